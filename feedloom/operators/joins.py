@@ -1,0 +1,58 @@
+"""Joins against a side whose keys are unique."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+_ROUTE = "__route"
+
+
+def unique_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same rows, failing the job if two of them share a key."""
+    rest = [c for c in df.columns if c not in keys]
+    clash = F.raise_error(F.concat_ws(" ", F.lit("several source rows for key"), *[F.col(k).cast("string") for k in keys]))
+    merged = df.groupBy(*keys).agg(F.count("*").alias("__n"), F.first(F.struct(*rest)).alias("__row"))
+    checked = F.when(F.col("__n") == 1, F.col("__row")).otherwise(clash)
+    return merged.withColumn("__row", checked).select(*keys, "__row.*")
+
+
+def lookup(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str] | Mapping[str, str],
+    how: str = "left",
+    extra: Column | None = None,
+) -> DataFrame:
+    """Join ``left`` to a ``right`` side with at most one row per key.
+
+    The right side is mostly a grouped table. Grouping leaves it partitioned by the
+    join keys, so Spark would join without shuffling it again; but adaptive execution
+    splits a hot partition only where *both* sides are shuffled for the join. A hash
+    of the keys as one more equality brings that about. It costs one more shuffle of
+    the (pre-aggregated) right side, and lets the rows of a hot key on the left be
+    spread over many tasks, since each needs only the one right row. A NULL key
+    matches nothing. Small right sides are broadcast by Spark itself, by their size.
+
+    ``how`` is one of ``left``, ``inner``, ``left_semi`` and ``left_anti``; key columns of the
+    right side are dropped from the result. ``extra`` is a further condition, whose
+    column names must be found on one side only.
+    """
+    pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
+    left_types = {f.name: f.dataType for f in left.schema.fields}
+    right_types = {f.name: f.dataType for f in right.schema.fields}
+    for lk, rk in pairs.items():
+        if left_types[lk] != right_types[rk]:
+            raise TypeError(f"join keys differ in type: {lk} {left_types[lk]}, {rk} {right_types[rk]}")
+    names = {rk: f"__right_{i}" for i, rk in enumerate(pairs.values())}
+    right = right.withColumn(_ROUTE + "_r", F.xxhash64(*pairs.values())).withColumnsRenamed(names)
+    left = left.withColumn(_ROUTE, F.xxhash64(*pairs.keys()))
+    tests = [F.col(_ROUTE) == F.col(_ROUTE + "_r")]
+    tests += [F.col(lk) == F.col(names[rk]) for lk, rk in pairs.items()]
+    if extra is not None:
+        tests.append(extra)
+    joined = left.join(right, reduce(lambda a, b: a & b, tests), how)
+    return joined.drop(_ROUTE, _ROUTE + "_r", *names.values())
