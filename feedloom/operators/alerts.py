@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators.gates import branch
+from feedloom.operators.joins import lookup
 
 
 def suppressed_by_config(failures: DataFrame, config: DataFrame) -> DataFrame:
@@ -27,13 +28,9 @@ def count_matching(df: DataFrame, column: str, text: str, alias: str = "n") -> D
 
 
 def alert_branch(failures: DataFrame, config: DataFrame) -> DataFrame:
-    """Every failure with ``skip`` or ``send``."""
-    names = failures.select(F.lower("dag_id").alias("__d"), F.lower("task_id").alias("__t")).distinct()
-    named = names.select(F.col("__d").alias("dag_id"), F.col("__t").alias("task_id"))
-    hits = suppressed_by_config(named, config).select(
-        F.col("dag_id").alias("__d"), F.col("task_id").alias("__t"), F.lit(True).alias("__hit")
-    )
-    on = (F.lower("dag_id") == F.col("__d")) & (F.lower("task_id") == F.col("__t"))
-    return failures.join(hits, on, "left").withColumn("alert", branch(F.col("__hit"), "skip", "send")).drop(
-        "__d", "__t", "__hit"
-    )
+    """Every failure with ``skip`` or ``send``. Each distinct DAG and task is tested against the rules once."""
+    lowered = failures.withColumns({"__d": F.lower("dag_id"), "__t": F.lower("task_id")})
+    names = lowered.select(F.col("__d").alias("dag_id"), F.col("__t").alias("task_id")).distinct()
+    hits = suppressed_by_config(names, config).withColumn("__hit", F.lit(True))
+    out = lookup(lowered, hits, {"__d": "dag_id", "__t": "task_id"})
+    return out.withColumn("alert", branch(F.col("__hit"), "skip", "send")).drop("__d", "__t", "__hit")

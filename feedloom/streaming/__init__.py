@@ -1,4 +1,4 @@
 from feedloom.streaming.arrivals import file_stream, process_new_files
-from feedloom.streaming.watermarks import keep_watermarks, watermark_stream
+from feedloom.streaming.watermarks import keep_watermarks, read_watermarks, watermark_stream
 
-__all__ = ["file_stream", "keep_watermarks", "process_new_files", "watermark_stream"]
+__all__ = ["file_stream", "keep_watermarks", "process_new_files", "read_watermarks", "watermark_stream"]

@@ -2,46 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.sinks.publish import publish
 
+def watermark_stream(stream: DataFrame, source: str, time: str) -> DataFrame:
+    """Row count and greatest time of each source so far.
 
-def watermark_stream(stream: DataFrame, source: str, time: str, lateness: str = "1 hour") -> DataFrame:
-    """Row count and greatest time of each source in a stream."""
-    timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, lateness)
-    return timed.groupBy(source).agg(F.max(time).alias("start_timestamp"), F.count("*").alias("n"))
+    The state is one row per source. No row is ever too late to count, so there is no
+    event-time watermark to drop any.
+    """
+    return stream.groupBy(source).agg(F.max(F.col(time).cast("timestamp")).alias("start_timestamp"), F.count("*").alias("n"))
 
 
-def merge_watermarks(table: DataFrame, rows: DataFrame, source: str) -> DataFrame:
-    """The table with each source's later watermark and greater count.
+def keep_watermarks(stream: DataFrame, table_path: str, checkpoint: str) -> None:
+    """Write what has changed since the last call to the control table at a path, and return.
 
-    Both only grow, so merging the same rows twice changes nothing: a batch may be repeated.
+    Each batch has a folder of its own, written over if the batch is run again, so a lost
+    driver or executor leaves nothing half done.
     """
-    both = table.unionByName(rows.select(*table.columns))
-    return both.groupBy(source).agg(F.max("start_timestamp").alias("start_timestamp"), F.max("n").alias("n"))
-
 
-def keep_watermarks(stream: DataFrame, source: str, table_path: str, checkpoint: str) -> None:
-    """Bring the control table at a path up to date with a stream of watermarks, and return."""
-
-    def merge(batch: DataFrame, _: int) -> None:
-        spark: SparkSession = batch.sparkSession
-        try:
-            merged = merge_watermarks(spark.read.parquet(table_path), batch, source)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            merged = batch
-        publish(spark, {table_path: merged})
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table_path}/batch={number}")
 
     query = (
         stream.writeStream.outputMode("update")
-        .foreachBatch(merge)
+        .foreachBatch(put)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+
+
+def read_watermarks(spark: SparkSession, table_path: str, source: str) -> DataFrame:
+    """The current watermark of each source: its latest row over all batches."""
+    latest = F.max_by(F.struct("start_timestamp", "n"), "batch")
+    rows = spark.read.parquet(table_path).groupBy(source).agg(latest.alias("r"))
+    return rows.select(source, "r.start_timestamp", "r.n")
+
+
+def compact_watermarks(spark: SparkSession, table_path: str, target: str, source: str) -> None:
+    """Write the current watermarks to another path as batch -1, for a table of many batches."""
+    read_watermarks(spark, table_path, source).write.mode("errorifexists").parquet(f"{target}/batch=-1")
