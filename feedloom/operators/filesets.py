@@ -14,6 +14,9 @@ SELECTIONS = ("NEWER_OLDEST", "NEWER_LATEST")
 VALIDATIONS = ("FILENAME", "FILEMODTIME")
 # Fixed value: a source without a known last file starts here.
 FIRST_TIME = "1900-05-30 09:59:43"
+# Fixed value: up to this many ranks Spark cuts groups down before the shuffle
+# (the default of spark.sql.optimizer.windowGroupLimitThreshold).
+RANKS_KEPT = 1000
 TEXT_EXTENSIONS = ("dat", "csv", "txt")
 
 
@@ -75,15 +78,22 @@ def latest(files: DataFrame, folder: Column, suffix: Column, path: str = "path")
     )
 
 
-def nth_file(files: DataFrame, folder: Column, n: int = 0, path: str = "path") -> DataFrame:
-    """The n-th file by path in each folder, from 0.
+def nth_file(files: DataFrame, folder: Column, n: int = 0, path: str = "path", chunk: Column | None = None) -> DataFrame:
+    """The n-th file by path in each folder, from 0. Paths are unique.
 
-    The test on the rank lets Spark keep only the first n + 1 rows of a folder in each task before
-    the shuffle, so a folder of any size sends little.
+    For a small n the test on the rank lets Spark keep only the first n + 1 rows of a folder in
+    each task before the shuffle, so a folder of any size sends little. For a large one
+    files are numbered by chunks, see :func:`ordering.numbered`.
     """
-    order = W.partitionBy("folder").orderBy(path)
-    ranked = files.select(folder.alias("folder"), path).withColumn("__rank", F.row_number().over(order))
-    return ranked.where(F.col("__rank") <= n + 1).where(F.col("__rank") == n + 1).drop("__rank")
+    files = files.select(folder.alias("folder"), path)
+    if n + 1 < RANKS_KEPT:
+        order = W.partitionBy("folder").orderBy(path)
+        ranked = files.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= n + 1)
+    elif chunk is not None:
+        ranked = numbered(files, ["folder"], [path], chunk, "__rank")
+    else:
+        raise ValueError(f"n from {RANKS_KEPT - 1} on needs a chunk expression")
+    return ranked.where(F.col("__rank") == n + 1).drop("__rank")
 
 
 def numbered_names(

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 _CHUNK = "__chunk"
 
@@ -37,7 +38,9 @@ def _before(df: DataFrame, group: Sequence[str], totals: dict[str, Column], whol
     return chunks.select(*group, _CHUNK, *[c.alias(n) for n, c in out.items()])
 
 
-def _inside(df: DataFrame, group: Sequence[str], order: Sequence[str], marks: DataFrame) -> tuple[DataFrame, W]:
+def _inside(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], marks: DataFrame
+) -> tuple[DataFrame, WindowSpec]:
     """Rows and the marks of their chunks together, with a window over a chunk that has its mark first.
 
     The mark brings the totals before the chunk into the window, so that nothing has
@@ -59,9 +62,11 @@ def numbered(
     df = df.withColumn(_CHUNK, chunk)
     marks = _before(df, group, {"__rows": F.count("*")}, {"__rows": "__whole"} if total else {})
     rows, inside = _inside(df, group, order, marks)
-    rows = rows.withColumn(alias, F.max("__rows_before").over(inside) + F.row_number().over(inside) - 1)
+    frame = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
+    new = {alias: F.max("__rows_before").over(frame) + F.row_number().over(inside) - 1}
     if total:
-        rows = rows.withColumn(total, F.max("__whole").over(inside))
+        new[total] = F.max("__whole").over(frame)
+    rows = rows.withColumns(new)
     keep = [*[c for c in df.columns if c != _CHUNK], alias, *([total] if total else [])]
     return rows.where(F.col("__mark").isNull()).select(*keep)
 

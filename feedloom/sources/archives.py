@@ -9,86 +9,145 @@ Spark's text and CSV readers unpack them.
 from __future__ import annotations
 
 import io
+import itertools
 import uuid
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
+from urllib.parse import quote
 
-import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.sources.files import manifest
 
-BATCH = 4096
+BATCH_ROWS = 8192
+BATCH_BYTES = 8 << 20
 
 
-def _filesystem(uri: str):
-    from pyarrow import fs
+def _filesystem(uri: str) -> tuple[fs.FileSystem, str]:
+    # Hadoop writes local paths as file:/a/b, and has several names for S3.
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = uri.replace("file:/", "file:///", 1)
+    scheme, mark, rest = uri.partition("://")
+    if scheme in ("s3a", "s3n"):
+        uri = f"s3{mark}{rest}"
+    return fs.FileSystem.from_uri(quote(uri, safe=":/") if mark else uri)
 
-    if "://" in uri or uri.startswith("/"):
-        return fs.FileSystem.from_uri(uri)
-    # Hadoop writes local paths as file:/a/b.
-    return fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1))
 
+class _Seekable(io.RawIOBase):
+    """An Arrow file that refuses a bad position the way Python files do, which short archives rely on."""
 
-def _open_zip(uri: str) -> zipfile.ZipFile:
+    def __init__(self, file):
+        self._file = file
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self._file.tell()
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        base = {io.SEEK_SET: 0, io.SEEK_CUR: self._file.tell(), io.SEEK_END: self._file.size()}[whence]
+        if base + offset < 0:
+            raise OSError(f"negative position {base + offset}")
+        return self._file.seek(base + offset)
+
+    def readinto(self, buffer) -> int:
+        data = self._file.read(len(buffer))
+        buffer[: len(data)] = data
+        return len(data)
+
+    def close(self) -> None:
+        if not self.closed:
+            self._file.close()
+        super().close()
+
+
+@contextmanager
+def _open_zip(uri: str) -> Iterator[zipfile.ZipFile]:
     filesystem, path = _filesystem(uri)
-    return zipfile.ZipFile(filesystem.open_input_file(path))
+    with io.BufferedReader(_Seekable(filesystem.open_input_file(path)), 1 << 20) as file:
+        with zipfile.ZipFile(file) as archive:
+            yield archive
 
 
-def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for uri in batch["path"]:
-            with _open_zip(uri) as archive:
-                infos = [i for i in archive.infolist() if not i.is_dir()]
-                for at in range(0, len(infos), BATCH):
-                    part = infos[at : at + BATCH]
-                    yield pd.DataFrame({"path": uri, "member": [i.filename for i in part], "length": [i.file_size for i in part]})
+class _Rows:
+    """Collects rows of some columns and hands them on as Arrow batches of a bounded size."""
+
+    def __init__(self, schema: pa.Schema):
+        self._schema = schema
+        self._held: list[tuple] = []
+        self._bytes = 0
+
+    def add(self, row: tuple, size: int = 0) -> Iterator[pa.RecordBatch]:
+        self._held.append(row)
+        self._bytes += size
+        if len(self._held) == BATCH_ROWS or self._bytes >= BATCH_BYTES:
+            yield from self.rest()
 
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self._held:
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*self._held, strict=True), self._schema, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, schema=self._schema)
+        self._held, self._bytes = [], 0
 
-def _read_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = _Rows(pa.schema([("path", pa.string()), ("member", pa.string()), ("length", pa.int64())]))
     for batch in batches:
-        for uri, members in batch.groupby("path")["member"]:
+        for uri in batch.column("path").to_pylist():
             with _open_zip(uri) as archive:
-                for member in members:
-                    with io.TextIOWrapper(archive.open(member), "utf-8", newline=None) as lines:
-                        held: list[str] = []
-                        start = 0
-                        for line in lines:
-                            held.append(line.rstrip("\n"))
-                            if len(held) == BATCH:
-                                yield _lines(uri, member, start, held)
-                                start, held = start + len(held), []
-                        if held:
-                            yield _lines(uri, member, start, held)
+                for info in archive.infolist():
+                    if not info.is_dir():
+                        yield from rows.add((uri, info.filename, info.file_size))
+    yield from rows.rest()
 
 
-def _lines(uri: str, member: str, start: int, values: list[str]) -> pd.DataFrame:
-    return pd.DataFrame({"path": uri, "member": member, "line": range(start, start + len(values)), "value": values})
+def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("path", pa.string()), ("member", pa.string()), ("line", pa.int64()), ("value", pa.string())])
+    rows = _Rows(schema)
+    for batch in batches:
+        pairs = sorted(zip(batch.column("path").to_pylist(), batch.column("member").to_pylist(), strict=True))
+        for uri, members in itertools.groupby(pairs, key=lambda pair: pair[0]):
+            with _open_zip(uri) as archive:
+                for _, member in members:
+                    with io.TextIOWrapper(archive.open(member), "utf-8") as lines:
+                        for number, line in enumerate(lines):
+                            yield from rows.add((uri, member, number, line.rstrip("\n")), len(line))
+    yield from rows.rest()
 
 
 def zip_members(spark: SparkSession, path: str) -> DataFrame:
     """One row per file in the zip archives below a path: ``path``, ``member``, ``length``."""
     archives = manifest(spark, path).where(F.endswith(F.lower("path"), F.lit(".zip"))).select("path")
-    return archives.mapInPandas(_list_members, "path string, member string, length long")
+    return archives.mapInArrow(_list_members, "path string, member string, length long")
 
 
 def read_zip_lines(members: DataFrame, tasks: int | None = None) -> DataFrame:
     """Lines of archive members: ``path``, ``member``, ``line`` (from 0), ``value``. Takes rows of :func:`zip_members`."""
     keys = ["path", "member"]
     spread = members.select(*keys).repartition(tasks, *keys) if tasks else members.select(*keys).repartition(*keys)
-    return spread.mapInPandas(_read_members, "path string, member string, line long, value string")
+    return spread.mapInArrow(_read_members, "path string, member string, line long, value string")
 
 
 def write_zip(df: DataFrame, target: str, member: str, content: str) -> DataFrame:
-    """Write text rows as members of zip archives, one archive per partition; gives one row per archive.
+    """Write text rows as members of zip archives, one archive per non-empty partition; gives one row per archive.
 
     An archive is written under a name of its own and then moved to its final one, so a task
     that is run again replaces what it wrote before. Run the result through an action once.
     """
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next((b for b in batches if b.num_rows), None)
+        if first is None:
+            return
         number = TaskContext.get().partitionId()
         filesystem, base = _filesystem(target)
         filesystem.create_dir(base, recursive=True)
@@ -96,13 +155,14 @@ def write_zip(df: DataFrame, target: str, member: str, content: str) -> DataFram
         count = 0
         with filesystem.open_output_stream(draft) as out:
             with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
-                for batch in batches:
-                    for name, text in zip(batch["member"], batch["content"], strict=True):
+                for batch in itertools.chain([first], batches):
+                    members, texts = (batch.column(c).to_pylist() for c in ("member", "content"))
+                    for name, text in zip(members, texts, strict=True):
                         archive.writestr(name, text if text is not None else "")
                         count += 1
         final = f"{base}/part-{number:05d}.zip"
         filesystem.move(draft, final)
-        yield pd.DataFrame({"path": [final], "members": [count]})
+        yield pa.RecordBatch.from_pydict({"path": [final], "members": [count]})
 
     rows = df.select(F.col(member).alias("member"), F.col(content).alias("content"))
-    return rows.mapInPandas(write, "path string, members long")
+    return rows.mapInArrow(write, "path string, members long")

@@ -4,12 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WATERMARK = "max_start_timestamp"
 
 
+def file_path() -> Column:
+    """Path of the file a row is from, spelled as in a manifest.
+
+    Spark's metadata column has it URL-encoded, except for the plus sign, which decoding would turn into a blank.
+    """
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def manifest(spark: SparkSession, path: str | Sequence[str], recursive: bool = True) -> DataFrame:
     """One row per file with ``path``, ``modificationTime`` and ``length``. File contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
@@ -21,7 +29,7 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], recursive: bool =
     """Lines of text files as ``path`` and ``value``. ``.gz`` files are unpacked on reading, each by one task."""
     paths = [path] if isinstance(path, str) else list(path)
     reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
-    return reader.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
+    return reader.text(paths).select(file_path().alias("path"), "value")
 
 
 def data_lines(lines: DataFrame) -> DataFrame:
@@ -41,4 +49,4 @@ def read_watermark(spark: SparkSession, path: str, column: str = WATERMARK, data
 def read_status(spark: SparkSession, path: str) -> DataFrame:
     """Status documents, one JSON object per file, as ``path`` and ``count``."""
     documents = spark.read.schema("count long").option("multiLine", "true").json(path)
-    return documents.select(F.col("_metadata.file_path").alias("path"), "count")
+    return documents.select(file_path().alias("path"), "count")

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from feedloom.sources.files import file_path
+
 
 def file_stream(
     spark: SparkSession,
@@ -26,7 +27,7 @@ def file_stream(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if pattern is not None:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(path).withColumn("file_path", F.col("_metadata.file_path"))
+    return reader.load(path).withColumn("file_path", file_path())
 
 
 def process_new_files(stream: DataFrame, target: str, checkpoint: str, file_format: str = "parquet") -> None:

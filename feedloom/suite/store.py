@@ -47,7 +47,7 @@ def archive_lines(t: Tables) -> DataFrame:
     out = scratch(t.spark, "zips")
     member = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt"))
     rows = t.documents.select(member.alias("member"), "text")
-    archives.write_zip(rows, out, "member", "text").write.format("noop").mode("overwrite").save()
+    archives.write_zip(rows.repartition("member"), out, "member", "text").write.format("noop").mode("overwrite").save()
     lines = archives.read_zip_lines(archives.zip_members(t.spark, out))
     counted = lines.groupBy("member").agg(
         F.count_if(F.trim("value") != "").alias("lines"), F.sum(F.length("value")).alias("chars")
@@ -72,7 +72,7 @@ def gzip_lines(t: Tables) -> DataFrame:
 
 @query("select * from orders")
 def sink_max_records(t: Tables) -> DataFrame:
-    job = extract.ExtractJob(scratch(t.spark, "orders"), records_per_file=1000, run_date="2024-01-01")
+    job = extract.ExtractJob(scratch(t.spark, "orders"), records_per_file=10_000, run_date="2024-01-01")
     return t.spark.read.parquet(extract.run(t.spark, t.orders, job).location)
 
 
