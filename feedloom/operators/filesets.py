@@ -188,13 +188,18 @@ def non_blank_lines(text: Column) -> Column:
 
 
 def data_gate(
-    files: DataFrame, lines: DataFrame, folder: Column, extensions: tuple[str, ...] | None = TEXT_EXTENSIONS
+    folders: DataFrame,
+    files: DataFrame,
+    lines: DataFrame,
+    folder: Column,
+    extensions: tuple[str, ...] | None = TEXT_EXTENSIONS,
 ) -> DataFrame:
     """Whether a folder holds data: some file of any length, and no such file without a line.
 
-    ``files`` is the manifest, ``lines`` has ``path`` and ``value`` (see ``sources.read_lines``). Files of no length are
-    passed over; one with another extension fails the job, unless ``extensions`` is None.
-    The manifest leads, since a file of blank lines only has no line to show.
+    Takes one row per ``folder`` asked about, the manifest, and lines as ``path`` and ``value`` (see
+    ``sources.files.read_lines``). Files of no length are passed over; one with another extension
+    fails the job, unless ``extensions`` is None. The manifest leads, since a file of blank lines
+    only has no line to show.
     """
     counts = lines.where(F.trim("value") != "").groupBy("path").agg(F.count("*").alias("__lines"))
     sized = files.where(F.col("length") > 0)
@@ -202,9 +207,7 @@ def data_gate(
         ext = F.lower(F.substring_index("path", ".", -1))
         bad = F.raise_error(F.concat(F.lit("extension not allowed: "), F.col("path"))).cast("string")
         sized = sized.withColumn("path", F.when(ext.isin(*extensions), F.col("path")).otherwise(bad))
-    # Every sized file leads to its folder; folders of empty files only are kept with nothing sized.
-    marks = lookup(sized, counts, ["path"]).groupBy(folder.alias("folder")).agg(
-        F.min(F.coalesce("__lines", F.lit(0))).alias("__least")
-    )
-    all_folders = files.select(folder.alias("folder")).distinct()
-    return lookup(all_folders, marks, ["folder"]).select("folder", F.coalesce(F.col("__least") > 0, F.lit(False)).alias("has_data"))
+    least = F.min(F.coalesce("__lines", F.lit(0)))
+    marks = lookup(sized, counts, ["path"]).groupBy(folder.alias("folder")).agg(least.alias("__least"))
+    out = lookup(folders, marks, ["folder"])
+    return out.withColumn("has_data", F.coalesce(F.col("__least") > 0, F.lit(False))).drop("__least")

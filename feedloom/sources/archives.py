@@ -14,30 +14,18 @@ import uuid
 import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
-from urllib.parse import quote
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.sources.files import manifest
+from feedloom.sources.files import filesystem_of, manifest
 
 BATCH_ROWS = 8192
 BATCH_BYTES = 8 << 20
 
 
-def _filesystem(uri: str) -> tuple[fs.FileSystem, str]:
-    # Hadoop writes local paths as file:/a/b, and has several names for S3.
-    if uri.startswith("file:/") and not uri.startswith("file://"):
-        uri = uri.replace("file:/", "file:///", 1)
-    scheme, mark, rest = uri.partition("://")
-    if scheme in ("s3a", "s3n"):
-        uri = f"s3{mark}{rest}"
-    return fs.FileSystem.from_uri(quote(uri, safe=":/") if mark else uri)
-
-
 class _Seekable(io.RawIOBase):
     """An Arrow file that refuses a bad position the way Python files do, which short archives rely on."""
 
@@ -72,7 +60,7 @@ class _Seekable(io.RawIOBase):
 
 @contextmanager
 def _open_zip(uri: str) -> Iterator[zipfile.ZipFile]:
-    filesystem, path = _filesystem(uri)
+    filesystem, path = filesystem_of(uri)
     with io.BufferedReader(_Seekable(filesystem.open_input_file(path)), 1 << 20) as file:
         with zipfile.ZipFile(file) as archive:
             yield archive
@@ -149,7 +137,7 @@ def write_zip(df: DataFrame, target: str, member: str, content: str) -> DataFram
         if first is None:
             return
         number = TaskContext.get().partitionId()
-        filesystem, base = _filesystem(target)
+        filesystem, base = filesystem_of(target)
         filesystem.create_dir(base, recursive=True)
         draft = f"{base}/_draft-{uuid.uuid4().hex}"
         count = 0

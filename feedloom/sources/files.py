@@ -2,14 +2,61 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import partial
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WATERMARK = "max_start_timestamp"
 
 
+def filesystem_of(uri: str) -> tuple[fs.FileSystem, str]:
+    """A file system for use inside tasks, and the path there."""
+    # Hadoop writes local paths as file:/a/b, and has several names for S3.
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = uri.replace("file:/", "file:///", 1)
+    scheme, mark, rest = uri.partition("://")
+    if scheme in ("s3a", "s3n"):
+        uri = f"s3{mark}{rest}"
+    return fs.FileSystem.from_uri(quote(uri, safe=":/") if mark else uri)
+
+
+def _list(batches: Iterator[pa.RecordBatch], deep: bool) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for root in batch.column("path").to_pylist():
+            filesystem, base = filesystem_of(root)
+            found = filesystem.get_file_info(fs.FileSelector(base, recursive=deep))
+            if deep:
+                found = [i for i in found if i.is_file]
+            root = root.rstrip("/")
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([root + i.path[len(base.rstrip("/")) :] for i in found], pa.string()),
+                    pa.array([i.mtime for i in found], pa.timestamp("us", "UTC")),
+                    pa.array([i.size if i.is_file else None for i in found], pa.int64()),
+                    pa.array([not i.is_file for i in found], pa.bool_()),
+                ],
+                names=["path", "modificationTime", "length", "is_folder"],
+            )
+
+
+def list_objects(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """As :func:`manifest`, with files of no length too, which Spark's own listing leaves out.
+
+    The folders directly below each path are listed by tasks of their own.
+    """
+    schema = "path string, modificationTime timestamp, length long, is_folder boolean"
+    paths = [path] if isinstance(path, str) else list(path)
+    roots = spark.createDataFrame([(f"file:{p}" if p.startswith("/") else p,) for p in paths], "path string")
+    top = roots.mapInArrow(partial(_list, deep=False), schema)
+    below = top.where("is_folder").select("path").repartition("path").mapInArrow(partial(_list, deep=True), schema)
+    return top.where("not is_folder").union(below).drop("is_folder")
+
+
 def file_path() -> Column:
     """Path of the file a row is from, spelled as in a manifest.
 
@@ -19,7 +66,7 @@ def file_path() -> Column:
 
 
 def manifest(spark: SparkSession, path: str | Sequence[str], recursive: bool = True) -> DataFrame:
-    """One row per file with ``path``, ``modificationTime`` and ``length``. File contents are not read."""
+    """One row per file of some length: ``path``, ``modificationTime`` and ``length``. File contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     paths = [path] if isinstance(path, str) else list(path)
     return reader.load(paths).select("path", "modificationTime", "length")

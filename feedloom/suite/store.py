@@ -35,7 +35,8 @@ def file_manifest(t: Tables) -> DataFrame:
 @query("select source as folder, bool_or(trim(text) <> '') as has_data from documents group by 1")
 def data_gate(t: Tables) -> DataFrame:
     path = _texts_by_source(t)
-    return filesets.data_gate(files.manifest(t.spark, path), files.read_lines(t.spark, path), _folder())
+    folders = t.documents.select(F.col("source").alias("folder")).distinct()
+    return filesets.data_gate(folders, files.manifest(t.spark, path), files.read_lines(t.spark, path), _folder())
 
 
 @query(
