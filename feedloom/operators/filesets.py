@@ -193,9 +193,12 @@ def data_gate(
     lines: DataFrame,
     folder: Column,
     extensions: tuple[str, ...] | None = TEXT_EXTENSIONS,
+    header: int | None = None,
 ) -> DataFrame:
     """Whether a folder holds data: some file of any length, and no such file without a line.
 
+    Blank lines do not count, nor do those up to the header, if its index among the others is given.
+
     Takes one row per ``folder`` asked about, the manifest, and lines as ``path`` and ``value`` (see
     ``sources.files.read_lines``). Files of no length are passed over; one with another extension
     fails the job, unless ``extensions`` is None. The manifest leads, since a file of blank lines
@@ -207,7 +210,8 @@ def data_gate(
         ext = F.lower(F.substring_index("path", ".", -1))
         bad = F.raise_error(F.concat(F.lit("extension not allowed: "), F.col("path"))).cast("string")
         sized = sized.withColumn("path", F.when(ext.isin(*extensions), F.col("path")).otherwise(bad))
-    least = F.min(F.coalesce("__lines", F.lit(0)))
+    skipped = 0 if header is None else header + 1
+    least = F.min(F.coalesce("__lines", F.lit(0)) - skipped)
     marks = lookup(sized, counts, ["path"]).groupBy(folder.alias("folder")).agg(least.alias("__least"))
     out = lookup(folders, marks, ["folder"])
     return out.withColumn("has_data", F.coalesce(F.col("__least") > 0, F.lit(False))).drop("__least")

@@ -28,6 +28,20 @@ def branch_by(value: Column, branches: Mapping[str, str]) -> Column:
     return F.coalesce(F.try_element_at(table, text), wrong)
 
 
+def branch_of_result(result: DataFrame, branches: Mapping[str, str]) -> DataFrame:
+    """The branch of the first cell of a query's result, as one row. No row or a NULL fails the job.
+
+    A result is one row by nature; of several any may be taken, so order the query if it matters.
+    """
+    cell = result.limit(1).select(F.col(result.columns[0]).cast("string").alias("v")).agg(F.first("v").alias("v"))
+    return cell.select(branch_by(F.col("v"), branches).alias("branch"))
+
+
+def history_branch(argument: Column, history: str, incremental: str) -> Column:
+    """Whether a run is asked to load history (``y``); without the argument it is incremental."""
+    return branch(F.lower(F.trim(argument)) == "y", history, incremental)
+
+
 def date_gate(feed_date: Column, run_date: Column, yes: str, no: str) -> Column:
     """Whether the feed has come up to the run date."""
     return branch(feed_date.cast("date") >= run_date.cast("date"), yes, no)

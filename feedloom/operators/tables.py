@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from feedloom.operators.joins import lookup
 
@@ -43,26 +44,35 @@ def upsert(
     Of several rows for one key the last by ``order_by`` counts, as if they had come one after
     the other. An inserted row gets ``insert_timestamp``, an updated one keeps its own and gets
     ``update_timestamp``. Keys are the primary key of the table: unique there, never NULL.
+
+    The table is joined from the left and new rows are found among the few keys it shares
+    with ``rows``, so while ``rows`` is small enough for Spark to broadcast, the table is not
+    shuffled however large it is. ``rows`` is read more than once.
     """
     values = [c for c in rows.columns if c not in keys]
     last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), order_by).alias("__new"))
-    old = table.withColumn("__old", F.lit(True))
-    joined = old.join(last, list(keys), "full_outer")
-    is_new, hit = F.col("__old").isNull(), F.col("__new").isNotNull()
-    out = []
-    for field in table.schema.fields:
-        c, old_value = field.name, F.col(field.name)
-        if c in keys:
-            out.append(old_value)
-        elif c == "insert_timestamp":
-            out.append(F.when(is_new, now).otherwise(old_value).alias(c))
-        elif c == "update_timestamp":
-            out.append(F.when(is_new, F.lit(None)).when(hit, now).otherwise(old_value).cast(field.dataType).alias(c))
-        elif c in values:
-            new_value = F.col(f"__new.{c}")
-            if c not in update:
-                new_value = F.when(is_new, new_value).otherwise(old_value)
-            out.append(F.when(hit, new_value).otherwise(old_value).alias(c))
+    hit = F.col("__new").isNotNull()
+
+    def after_update(field: StructField) -> Column:
+        old = F.col(field.name)
+        if field.name == "update_timestamp":
+            return F.when(hit, now).otherwise(old).cast(field.dataType).alias(field.name)
+        if field.name in update:
+            return F.when(hit, F.col(f"__new.{field.name}")).otherwise(old).alias(field.name)
+        return old
+
+    def inserted(field: StructField) -> Column:
+        if field.name in keys:
+            return F.col(field.name)
+        if field.name == "insert_timestamp":
+            new = now
+        elif field.name in values and field.name != "update_timestamp":
+            new = F.col(f"__new.{field.name}")
         else:
-            out.append(old_value)
-    return joined.select(*out)
+            new = F.lit(None)
+        return new.cast(field.dataType).alias(field.name)
+
+    kept = lookup(table, last, keys).select(*[after_update(f) for f in table.schema.fields])
+    shared = lookup(table.select(*keys), last.select(*keys), keys, "left_semi")
+    new = lookup(last, shared, keys, "left_anti").select(*[inserted(f) for f in table.schema.fields])
+    return kept.unionByName(new)

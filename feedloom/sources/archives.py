@@ -20,9 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.sources.files import filesystem_of, manifest
+from feedloom.sources.files import BATCH_ROWS, filesystem_of, manifest
 
-BATCH_ROWS = 8192
 BATCH_BYTES = 8 << 20
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WATERMARK = "max_start_timestamp"
+BATCH_ROWS = 8192
 
 
 def filesystem_of(uri: str) -> tuple[fs.FileSystem, str]:
@@ -32,22 +33,25 @@ def _list(batches: Iterator[pa.RecordBatch], deep: bool) -> Iterator[pa.RecordBa
             found = filesystem.get_file_info(fs.FileSelector(base, recursive=deep))
             if deep:
                 found = [i for i in found if i.is_file]
-            root = root.rstrip("/")
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([root + i.path[len(base.rstrip("/")) :] for i in found], pa.string()),
-                    pa.array([i.mtime for i in found], pa.timestamp("us", "UTC")),
-                    pa.array([i.size if i.is_file else None for i in found], pa.int64()),
-                    pa.array([not i.is_file for i in found], pa.bool_()),
-                ],
-                names=["path", "modificationTime", "length", "is_folder"],
-            )
+            root, cut = root.rstrip("/"), len(base.rstrip("/"))
+            for start in range(0, len(found), BATCH_ROWS):
+                part = found[start : start + BATCH_ROWS]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([root + i.path[cut:] for i in part], pa.string()),
+                        pa.array([i.mtime for i in part], pa.timestamp("us", "UTC")),
+                        pa.array([i.size if i.is_file else None for i in part], pa.int64()),
+                        pa.array([not i.is_file for i in part], pa.bool_()),
+                    ],
+                    names=["path", "modificationTime", "length", "is_folder"],
+                )
 
 
 def list_objects(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """As :func:`manifest`, with files of no length too, which Spark's own listing leaves out.
+    """As :func:`manifest`, with the files Spark's own listing leaves out: empty ones and those named ``_*`` or ``.*``.
 
-    The folders directly below each path are listed by tasks of their own.
+    The folders directly below each path are listed by tasks of their own, where Spark's
+    listing is kept on the driver.
     """
     schema = "path string, modificationTime timestamp, length long, is_folder boolean"
     paths = [path] if isinstance(path, str) else list(path)

@@ -139,6 +139,11 @@ def test_branches_fail_on_the_unknown(spark):
     for bad in (F.lit("other"), F.lit(None)):
         with pytest.raises(PySparkException, match="no branch for"):
             df.select(gates.branch_by(bad, {"true": "run"})).collect()
+    assert gates.branch_of_result(df, {"true": "run"}).first()[0] == "run"
+    with pytest.raises(PySparkException, match="no branch for NULL"):
+        gates.branch_of_result(df.limit(0), {"true": "run"}).collect()
+    flags = [df.select(gates.history_branch(F.lit(v).cast("string"), "h", "i")).first()[0] for v in (" Y", "n", None)]
+    assert flags == ["h", "i", "i"]
     with pytest.raises(PySparkException, match="no .* in the status document"):
         df.select(gates.json_count_gate(F.lit("{}"), "a", "b")).collect()
     assert df.select(gates.json_count_gate(F.lit('{"count": "2"}'), "a", "b")).first()[0] == "a"
@@ -177,6 +182,16 @@ def test_upsert_keeps_the_insert_time_and_can_be_repeated(spark):
     assert rows(twice, *keys, "feed_date", "insert_timestamp") == rows(once, *keys, "feed_date", "insert_timestamp")
 
 
+def test_upsert_does_not_shuffle_the_table_for_a_few_rows(spark):
+    table = spark.range(1000).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    new = spark.createDataFrame([(5, 50, 1), (2000, 7, 1)], "k long, v long, at int")
+    out = tables.upsert(table, new, ["k"], ["v"], F.lit("now"), "at")
+    got = {r.k: r.v for r in out.collect()}
+    assert len(got) == 1001 and got[5] == 50 and got[2000] == 7 and got[6] == 6
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_append_and_delete(spark):
     table = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
     added = spark.createDataFrame([(2, "c"), (3, None)], "k int, v string")

@@ -144,6 +144,8 @@ def test_data_gate(spark, landing):
         "empty": False,
         "none": False,
     }
+    headed = {r.folder: r.has_data for r in filesets.data_gate(asked, listed, lines, folder, header=0).collect()}
+    assert headed == {"good": True, "blank": False, "mixed": False, "empty": False, "none": False}
     with pytest.raises(PySparkException, match="extension not allowed"):
         filesets.data_gate(asked, listed, lines, folder, extensions=("txt", "csv")).collect()
     assert filesets.data_gate(asked, listed, lines, folder, extensions=None).count() == 5
@@ -211,6 +213,16 @@ def test_bulk_load(spark, tmp_path):
         bulk_load.typed(bad).collect()
 
 
+def test_insert_is_by_position(spark, tmp_path):
+    spark.sql(f"create table by_position (a int, b date) using parquet location '{tmp_path}/t'")
+    try:
+        df = spark.createDataFrame([("2024-01-02", 1)], "b string, a int").select("a", F.col("b").cast("date").alias("other"))
+        bulk_load.insert_into(spark, df, "by_position")
+        assert [tuple(r) for r in spark.table("by_position").collect()] == [(1, datetime(2024, 1, 2).date())]
+    finally:
+        spark.sql("drop table by_position")
+
+
 def test_arrivals_are_processed_once(spark, tmp_path):
     source, target, check = (f"{tmp_path}/{n}" for n in ("in", "out", "check"))
     spark.range(0, 5).coalesce(1).write.mode("append").parquet(source)
