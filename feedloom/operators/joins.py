@@ -8,9 +8,25 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.session import scratch
+
 _ROUTE = "__route"
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the shared scratch folder and go on from there.
+
+    For a reduced side of a join with a much larger one. Spark knows the size of a written
+    table when it plans: a small one is broadcast and the large side is not shuffled at all,
+    a large one is not. For a grouped table it has an upper bound only, and finds out the real size
+    when it has already shuffled both sides. The table also serves several readers.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def unique_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same rows, failing the job if two of them share a key."""
     rest = [c for c in df.columns if c not in keys]
@@ -35,7 +51,8 @@ def lookup(
     of the keys as one more equality brings that about. It costs one more shuffle of
     the (pre-aggregated) right side, and lets the rows of a hot key on the left be
     spread over many tasks, since each needs only the one right row. A NULL key
-    matches nothing. Small right sides are broadcast by Spark itself, by their size.
+    matches nothing. Small right sides are broadcast by Spark itself, by their size; where the
+    left side is large, see :func:`settled`.
 
     ``how`` is one of ``left``, ``inner``, ``left_semi`` and ``left_anti``; key columns of the
     right side are dropped from the result. ``extra`` is a further condition, whose

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
 
-from feedloom.operators.joins import lookup
+from feedloom.operators.joins import lookup, settled
 
 
 def complete_rows(rows: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -45,12 +45,13 @@ def upsert(
     the other. An inserted row gets ``insert_timestamp``, an updated one keeps its own and gets
     ``update_timestamp``. Keys are the primary key of the table: unique there, never NULL.
 
-    The table is joined from the left and new rows are found among the few keys it shares
-    with ``rows``, so while ``rows`` is small enough for Spark to broadcast, the table is not
-    shuffled however large it is. ``rows`` is read more than once.
+    The last rows are settled first (see :func:`joins.settled`). The table is joined to them from
+    the left, and new rows are found among the keys it shares with them, so while they are
+    small enough for Spark to broadcast, the table is not shuffled however large it is.
     """
     values = [c for c in rows.columns if c not in keys]
     last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), order_by).alias("__new"))
+    last = settled(last, "upserts")
     hit = F.col("__new").isNotNull()
 
     def after_update(field: StructField) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.joins import lookup, unique_by
+from feedloom.operators.joins import lookup, settled, unique_by
 
 
 def group_floor(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -15,22 +15,27 @@ def group_floor(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.min(value).alias(value))
 
 
-def drop_dominated(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def drop_dominated(df: DataFrame, keys: Sequence[str], value: str, settle: bool = False) -> DataFrame:
     """Delete each row for which a row with equal keys and a lesser value exists.
 
     Ties stay, and so do rows with a NULL key or a NULL value, which compare with
     nothing. Only groups that hold two different values can lose rows, so these alone
     reach the join: their least values, one row per group, against which the rows
     are anti-joined. No two rows of a group are ever paired with each other.
+
+    ``settle`` writes those groups out first (see :func:`joins.settled`): where they are few, the rows
+    are then read a second time but never shuffled.
     """
     least = "__least"
     mixed = (
-        df.dropna(subset=list(keys))
-        .groupBy(*keys)
+        df.groupBy(*keys)
         .agg(F.min(value).alias(least), F.max(value).alias("__most"))
         .where(F.col(least) < F.col("__most"))
         .drop("__most")
+        .dropna(subset=list(keys))
     )
+    if settle:
+        mixed = settled(mixed, "mixed-groups")
     return lookup(df, mixed, list(keys), "left_anti", extra=F.col(value) > F.col(least))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators.feeds import LOAD, dependencies, max_feed_date, next_feed_dates, ready_loads, run_dates
-from feedloom.operators.joins import lookup
+from feedloom.operators.joins import lookup, settled
 from feedloom.operators.tables import delete_by_keys
 
 
@@ -23,9 +23,10 @@ def plan_cycle(
 ) -> DataFrame:
     """Run date, next feed date and readiness of each load, and the reason if it is not ready.
 
-    A load without dependencies is ready.
+    A load without dependencies is ready. The latest feed dates, which several steps look
+    up, are worked out once, right away.
     """
-    feeds = max_feed_date(run_control)
+    feeds = settled(max_feed_date(run_control), "latest-feeds")
     dated = next_feed_dates(run_dates(loads, catchup, today), feeds, step, month_end)
     out = lookup(dated, ready_loads(dependencies(edges, feeds)), LOAD)
     ready = F.coalesce(F.col("ready"), F.lit(True))

@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.operators.joins import lookup
+from feedloom.operators.joins import lookup, settled
 from feedloom.operators.versions import drop_dominated, group_floor, update_from
 from feedloom.sinks.publish import publish
 
@@ -51,7 +51,7 @@ def schedule_ends(schedules: DataFrame, feed_date: date | str) -> DataFrame:
 
 def current_legs(legs: DataFrame) -> DataFrame:
     """Step 1: legs that no other with the same key ends before."""
-    return drop_dominated(legs, LEG_KEY, END)
+    return drop_dominated(legs, LEG_KEY, END, settle=True)
 
 
 def close_legs(legs: DataFrame, ends: DataFrame) -> DataFrame:
@@ -97,7 +97,7 @@ def inactivated_paths(paths: DataFrame, ends_by_path: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Inactivation:
-    """The outputs, all of one input state and not computed yet."""
+    """The outputs, all of one input state."""
 
     legs: DataFrame
     paths: DataFrame
@@ -106,8 +106,9 @@ class Inactivation:
 
 
 def inactivate(legs: DataFrame, schedules: DataFrame, paths: DataFrame, feed_date: date | str) -> Inactivation:
-    ends = schedule_ends(schedules, feed_date)
-    by_path = path_ends(legs, ends)
+    """All steps. What several of them read, the schedule and path ends, is worked out once, right away."""
+    ends = settled(schedule_ends(schedules, feed_date), "schedule-ends")
+    by_path = settled(path_ends(legs, ends), "path-ends")
     return Inactivation(
         legs=close_legs(current_legs(legs), ends),
         paths=close_paths(paths, by_path),
@@ -116,6 +117,12 @@ def inactivate(legs: DataFrame, schedules: DataFrame, paths: DataFrame, feed_dat
     )
 
 
+def inactivated(legs: DataFrame, schedules: DataFrame, paths: DataFrame, feed_date: date | str) -> DataFrame:
+    """Step 5 alone, where the changed tables are not asked for."""
+    ends = settled(schedule_ends(schedules, feed_date), "schedule-ends")
+    return inactivated_paths(paths, path_ends(legs, ends))
+
+
 def run(
     spark: SparkSession,
     legs_path: str,

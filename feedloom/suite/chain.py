@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.operators.joins import settled
 from feedloom.plans import bulk_load, inactivation
 from feedloom.suite.registry import Tables, query
 
@@ -27,16 +28,45 @@ PATH = """select p_partkey as path_id, p_name as path_dscr,
     case when p_size > 10 then date '3001-01-01' else date '1996-06-30' end as path_inactive_dt from part"""
 
 
+def _day() -> Column:
+    return F.col("l_shipdate").cast("date")
+
+
+def _leg_keys() -> list[Column]:
+    year = F.trunc(_day(), "year")
+    return [
+        F.col("l_linenumber").alias("flt_id"),
+        year.alias("sch_leg_active_dt"),
+        year.alias("sch_leg_eff_dt"),
+        F.last_day(F.add_months(year, 11)).alias("sch_leg_disc_dt"),
+        F.col("l_returnflag").alias("sch_leg_orig_cd"),
+        F.col("l_linestatus").alias("sch_leg_dest_cd"),
+    ]
+
+
+def _bitmask() -> Column:
+    return F.floor(F.col("l_quantity") / 10).cast("int")
+
+
 def legs(t: Tables) -> DataFrame:
-    return t.spark.sql(LEG.replace("from lineitem", "from {lineitem}"), lineitem=t.lineitem)
+    end = F.when(F.col("l_discount") >= 0.08, _day()).otherwise(F.lit(inactivation.OPEN).cast("date"))
+    return t.lineitem.select(
+        F.col("l_partkey").alias("path_id"),
+        *_leg_keys(),
+        _bitmask().alias("leg_freq_bitmask"),
+        end.alias(inactivation.END),
+    )
 
 
 def schedules(t: Tables) -> DataFrame:
-    return t.spark.sql(SCH.replace("from lineitem", "from {lineitem}"), lineitem=t.lineitem)
+    return t.lineitem.select(*_leg_keys(), _bitmask().alias("sch_leg_freq_bitmask"), _day().alias(inactivation.END))
 
 
 def paths(t: Tables) -> DataFrame:
-    return t.spark.sql(PATH.replace("from part", "from {part}"), part=t.part)
+    end = F.when(F.col("p_size") > 10, F.lit(inactivation.OPEN)).otherwise(F.lit("1996-06-30"))
+    return t.part.select(
+        F.col("p_partkey").alias("path_id"), F.col("p_name").alias("path_dscr"), end.cast("date").alias("path_inactive_dt")
+    )
 
 
 _SAME_LEG = " and ".join(f"a.{c} = o.{c}" for c in inactivation.LEG_KEY)
@@ -67,15 +97,18 @@ def scd_sched_max(t: Tables) -> DataFrame:
     return inactivation.schedule_ends(schedules(t), FEED_DATE)
 
 
+def _ends(t: Tables) -> DataFrame:
+    return settled(inactivation.schedule_ends(schedules(t), FEED_DATE), "schedule-ends")
+
+
 @query(f"{_WITH} select * from upd")
 def scd_update_from(t: Tables) -> DataFrame:
-    ends = inactivation.schedule_ends(schedules(t), FEED_DATE)
-    return inactivation.close_legs(inactivation.current_legs(legs(t)), ends)
+    return inactivation.close_legs(inactivation.current_legs(legs(t)), _ends(t))
 
 
 @query(f"{_WITH} select * from vip")
 def scd_path_min(t: Tables) -> DataFrame:
-    return inactivation.inactivate(legs(t), schedules(t), paths(t), FEED_DATE).path_ends
+    return inactivation.path_end_rows(paths(t), inactivation.path_ends(legs(t), _ends(t)))
 
 
 @query(
@@ -83,12 +116,12 @@ def scd_path_min(t: Tables) -> DataFrame:
     from path p left join vip v on v.path_id = p.path_id"""
 )
 def scd_path_update(t: Tables) -> DataFrame:
-    return inactivation.inactivate(legs(t), schedules(t), paths(t), FEED_DATE).paths
+    return inactivation.close_paths(paths(t), inactivation.path_ends(legs(t), _ends(t)))
 
 
 @query(f"{_WITH} select v.path_id, p.path_dscr from vip v join path p on v.path_id = p.path_id")
 def scd_inactivated(t: Tables) -> DataFrame:
-    return inactivation.inactivate(legs(t), schedules(t), paths(t), FEED_DATE).inactivated
+    return inactivation.inactivated(legs(t), schedules(t), paths(t), FEED_DATE)
 
 
 def _staged_columns() -> str:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions import dates, text
 from feedloom.operators import alerts, controls, documents, feeds, gates, ordering, tables
+from feedloom.operators.joins import settled
 from feedloom.plans import feed_cycle as cycle
 from feedloom.sources.jdbc import extract_rows
 from feedloom.suite.registry import Tables, query
@@ -141,7 +142,7 @@ def feed_date_gap(t: Tables) -> DataFrame:
 
 @query(f"{_GIVEN} select domainname, loadname, dependent_domainname, diff_days, met from checked")
 def dependency_check(t: Tables) -> DataFrame:
-    out = feeds.dependencies(edges(t), latest_feeds(t), given=F.lit("2000-06-30"))
+    out = feeds.dependencies(edges(t), settled(latest_feeds(t), "latest-feeds"), given=F.lit("2000-06-30"))
     return out.select(
         "domainname", "loadname", "dependent_domainname", F.col("diff_days").cast("long").alias("diff_days"), "met"
     )
@@ -149,7 +150,8 @@ def dependency_check(t: Tables) -> DataFrame:
 
 @query(f"{_GIVEN} select domainname, loadname, bool_and(met) as ready from checked group by 1, 2")
 def dep_all_met(t: Tables) -> DataFrame:
-    return feeds.ready_loads(feeds.dependencies(edges(t), latest_feeds(t), given=F.lit("2000-06-30")))
+    latest = settled(latest_feeds(t), "latest-feeds")
+    return feeds.ready_loads(feeds.dependencies(edges(t), latest, given=F.lit("2000-06-30")))
 
 
 @query(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from feedloom.functions import dates, names, text
 from feedloom.operators import filesets
 from feedloom.operators.gates import branch
+from feedloom.operators.joins import settled
 from feedloom.sinks.datasets import max_watermark as top_value
 from feedloom.suite.registry import Tables, query
 
@@ -103,7 +104,7 @@ def _picked(first: str) -> str:
 
 def _pick(t: Tables, selection: str) -> DataFrame:
     files = t.spark.sql(_NEWER.replace("from events", "from {events}"), events=t.events)
-    last = filesets.last_processed(files.withColumn("is_sensed", F.col("value") > 40))
+    last = settled(filesets.last_processed(files.withColumn("is_sensed", F.col("value") > 40)), "last-processed")
     return filesets.pick_newer(files, last, ["domain_name", "load_name"], selection, "FILENAME")
 
 

@@ -118,6 +118,9 @@ def test_drop_dominated_against_brute_force(spark):
     }
     kept = drop_dominated(df, ["k", "s"], "v")
     assert {r.id for r in kept.collect()} == {r[0] for r in data} - gone
+    kept = drop_dominated(df, ["k", "s"], "v", settle=True)
+    assert {r.id for r in kept.collect()} == {r[0] for r in data} - gone
+    assert "hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
     assert kept.columns == df.columns
 
 
