@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Files are compressed; what they hold in memory, and so what is broadcast, is a multiple.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     # Split a hot partition even if a later step then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

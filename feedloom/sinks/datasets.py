@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 from typing import Any
@@ -36,6 +37,7 @@ def write_dataset(
     records_per_file: int | None = RECORDS_PER_FILE,
     watermark: str | None = None,
     watermark_type: str = "timestamp",
+    partition_by: Sequence[str] = (),
     **options: str,
 ) -> Written:
     """Write a dataset; count it and take its watermark in the same pass.
@@ -48,6 +50,8 @@ def write_dataset(
         measures.append(F.max(F.col(watermark).cast(watermark_type)).cast("string").alias("top"))
     seen = Observation()
     writer = df.observe(seen, *measures).write.mode(mode).format(file_format).options(**options)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if records_per_file:
         writer = writer.option("maxRecordsPerFile", records_per_file)
     writer.save(location)

@@ -63,7 +63,8 @@ def archive_lines(t: Tables) -> DataFrame:
 def gzip_lines(t: Tables) -> DataFrame:
     out = scratch(t.spark, "gzip")
     rows = t.documents.select("lang", F.col("text").alias("value"))
-    rows.write.partitionBy("lang").option("compression", "gzip").text(out)
+    # A packed file is read by one task, so files are kept small.
+    write_dataset(rows, out, "text", records_per_file=1000, partition_by=["lang"], compression="gzip")
     lang = F.regexp_extract("path", "/lang=([^/]*)/", 1)
     lines = files.read_lines(t.spark, out)
     return lines.groupBy(lang.alias("lang")).agg(

@@ -38,4 +38,4 @@ def bag(table) -> tuple[list[tuple[str, str]], Counter]:
 
 
 def compare(spark_df, con, sql: str):
-    return bag(spark_df.toArrow()), bag(con.execute(sql).to_arrow_table())
+    return bag(spark_df.toArrow()), bag(con.sql(sql).to_arrow_table())
