@@ -66,6 +66,11 @@ def watermark_text(ts: Column, start: Column | None = None) -> Column:
     return F.coalesce(iso, fallback) if start is None else F.coalesce(iso, start, fallback)
 
 
+def file_time(text: Column) -> Column:
+    """A file time written as 14 digits, such as 20240131235959."""
+    return F.to_timestamp(text.cast("string"), "yyyyMMddHHmmss")
+
+
 def is_month_end(day: Column) -> Column:
     return F.last_day(day) == day
 

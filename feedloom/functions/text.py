@@ -36,6 +36,12 @@ def subject(*parts: Column, width: int = 100) -> Column:
     return F.left(F.upper(F.concat_ws(" | ", *[p.cast("string") for p in parts])), F.lit(width))
 
 
+def with_environment(text: Column, environment: str) -> Column:
+    """A subject marked with its environment, unless that is production."""
+    name = environment.upper()
+    return text if name in ("PRD", "PROD") else F.concat(text, F.lit(f" ({name})"))
+
+
 def zero_padded(text: Column, width: int) -> Column:
     """Zeros on the left up to a width; longer text is never cut."""
     return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)

@@ -107,7 +107,8 @@ def dependencies(edges: DataFrame, feeds: DataFrame, given: Column | None = None
         itself = F.coalesce(F.lower("check_self_dependency") == "y", F.lit(False))
         out = out.withColumn("other_date", F.when(itself, given.cast("date")).otherwise(F.col("other_date")))
     gap = day_gap(F.col("own_date"), F.col("other_date"))
-    return out.withColumn("diff_days", gap).withColumn("met", holds_by(F.col("operator"), gap, F.col("offset")))
+    offset = F.coalesce(F.col("offset"), F.raise_error(F.lit("dependency without an offset")).cast("int"))
+    return out.withColumn("diff_days", gap).withColumn("met", holds_by(F.col("operator"), gap, offset))
 
 
 def ready_loads(checked: DataFrame) -> DataFrame:

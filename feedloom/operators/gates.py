@@ -18,6 +18,12 @@ def branch(test: Column, yes: str, no: str) -> Column:
     return F.when(test, F.lit(yes)).otherwise(F.lit(no))
 
 
+def require(df: DataFrame, test: Column, message: str) -> DataFrame:
+    """The same rows; the job fails at one for which the test is not true."""
+    wrong = F.raise_error(F.concat(F.lit(message + ": "), F.to_json(F.struct(*df.columns)))).cast("boolean")
+    return df.where(F.when(test, F.lit(True)).otherwise(wrong))
+
+
 def branch_by(value: Column, branches: Mapping[str, str]) -> Column:
     """The branch of a value, compared as text. A NULL or unmapped value fails the job."""
     if not branches:

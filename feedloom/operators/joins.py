@@ -29,11 +29,10 @@ def settled(df: DataFrame, name: str) -> DataFrame:
 
 def unique_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same rows, failing the job if two of them share a key."""
-    rest = [c for c in df.columns if c not in keys]
     clash = F.raise_error(F.concat_ws(" ", F.lit("several source rows for key"), *[F.col(k).cast("string") for k in keys]))
-    merged = df.groupBy(*keys).agg(F.count("*").alias("__n"), F.first(F.struct(*rest)).alias("__row"))
+    merged = df.groupBy(*keys).agg(F.count("*").alias("__n"), F.first(F.struct(*df.columns)).alias("__row"))
     checked = F.when(F.col("__n") == 1, F.col("__row")).otherwise(clash)
-    return merged.withColumn("__row", checked).select(*keys, "__row.*")
+    return merged.select(checked.alias("__row")).select("__row.*")
 
 
 def lookup(

@@ -15,6 +15,11 @@ from pyspark.sql.types import StructField
 from feedloom.operators.joins import lookup, settled
 
 
+# What an upsert of the job control table replaces, and what makes a file record fit to be kept.
+JOB_CONTROL_UPDATES = ("start_timestamp", "run_date", "feed_date")
+FILE_AUDIT_REQUIRED = ("file_name", "file_path", "file_mod_time")
+
+
 def complete_rows(rows: DataFrame, required: Sequence[str]) -> DataFrame:
     """Rows that have a value in every required column: the ones fit to be appended."""
     return rows.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required]))

@@ -10,17 +10,20 @@ from __future__ import annotations
 
 import io
 import itertools
+import sys
 import uuid
 import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.sources.files import BATCH_ROWS, filesystem_of, manifest
+from feedloom.sources.files import BATCH_ROWS, filesystem_of, manifest, qualified
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BATCH_BYTES = 8 << 20
 
@@ -131,6 +134,8 @@ def write_zip(df: DataFrame, target: str, member: str, content: str) -> DataFram
     that is run again replaces what it wrote before. Run the result through an action once.
     """
 
+    target = qualified(df.sparkSession, target)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = next((b for b in batches if b.num_rows), None)
         if first is None:

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from functools import partial
 from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Tasks get the functions they run by value, so the package need not be installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 WATERMARK = "max_start_timestamp"
 BATCH_ROWS = 8192
 
@@ -26,6 +31,12 @@ def filesystem_of(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(quote(uri, safe=":/") if mark else uri)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with the scheme and host that the cluster's settings give it, as manifests have it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop_path).toString()
+
+
 def _list(batches: Iterator[pa.RecordBatch], deep: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for root in batch.column("path").to_pylist():
@@ -55,7 +66,7 @@ def list_objects(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """
     schema = "path string, modificationTime timestamp, length long, is_folder boolean"
     paths = [path] if isinstance(path, str) else list(path)
-    roots = spark.createDataFrame([(f"file:{p}" if p.startswith("/") else p,) for p in paths], "path string")
+    roots = spark.createDataFrame([(qualified(spark, p),) for p in paths], "path string")
     top = roots.mapInArrow(partial(_list, deep=False), schema)
     below = top.where("is_folder").select("path").repartition("path").mapInArrow(partial(_list, deep=True), schema)
     return top.where("not is_folder").union(below).drop("is_folder")

@@ -464,6 +464,5 @@ def control_upsert(t: Tables) -> DataFrame:
         F.col("o_orderdate").alias("start_timestamp"),
         "o_orderkey",
     )
-    update = ["run_date", "feed_date", "start_timestamp"]
     now = F.lit("2024-01-01").cast(time)
-    return tables.upsert(table, rows, ["domainname", "loadname"], update, now, "o_orderkey")
+    return tables.upsert(table, rows, ["domainname", "loadname"], tables.JOB_CONTROL_UPDATES, now, "o_orderkey")

@@ -59,6 +59,17 @@ def test_unknown_operator_fails(spark, latest):
         feeds.dependencies(edges(spark, ("own", "a", "other", "b", "!=", 2, None)), latest).collect()
 
 
+def test_missing_offset_fails(spark, latest):
+    with pytest.raises(PySparkException, match="without an offset"):
+        feeds.dependencies(edges(spark, ("own", "a", "other", "b", ">=", None, None)), latest).collect()
+
+
+def test_require(spark, latest):
+    assert gates.require(latest, F.col("feed_date").isNotNull(), "no date").count() == 2
+    with pytest.raises(PySparkException, match='too old: {"domainname":"own"'):
+        gates.require(latest, F.col("feed_date") > F.lit("2023-07-11").cast("date"), "too old").collect()
+
+
 def test_feed_date_gaps(spark, latest):
     pairs = spark.createDataFrame([("own", "a", "other", "b")], "from_domain string, from_load string, to_domain string, to_load string")
     assert rows(feeds.feed_date_gaps(pairs, latest, 2), "gap_days", "met") == [(2, True)]

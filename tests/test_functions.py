@@ -141,6 +141,9 @@ def test_ids_and_texts(value):
     assert value(text.zero_padded(F.lit("42"), 6)) == "000042"
     assert value(text.zero_padded(F.lit("12345"), 3)) == "12345"
     assert value(text.subject(F.lit("x" * 60), F.lit("y" * 60))) == ("X" * 60 + " | " + "Y" * 60)[:100]
+    assert value(text.with_environment(F.lit("s"), "stg")) == "s (STG)"
+    assert value(text.with_environment(F.lit("s"), "Prod")) == "s"
+    assert value(dates.file_time(F.lit(19000530095943))) == datetime(1900, 5, 30, 9, 59, 43)
     assert value(text.last_part(F.lit("a::b::c"), "::")) == "c"
 
 

@@ -81,6 +81,8 @@ def test_watermark_of_text_is_taken_after_the_cast(spark, tmp_path):
     assert written.watermark == "10"
     assert write_watermark(spark, written, f"{tmp_path}/w", "top", "long")
     assert files.read_watermark(spark, f"{tmp_path}/w", "top", "long").first()[0] == 10
+    for i, none in enumerate((spark.createDataFrame([], "v string"), df.where("1 = 0"))):
+        assert write_dataset(none, f"{tmp_path}/none{i}", watermark="v").record_count == 0
     nothing = write_dataset(df.limit(0), f"{tmp_path}/e", watermark="v", watermark_type="long")
     assert not write_watermark(spark, nothing, f"{tmp_path}/none", "top", "long")
     assert not (tmp_path / "none").exists()

@@ -136,6 +136,7 @@ def test_update_from(spark):
 def test_unique_by_passes_unique_rows(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
     assert {tuple(r) for r in unique_by(df, ["k"]).collect()} == {(1, "a"), (2, None)}
+    assert {tuple(r) for r in unique_by(df.select("k"), ["k"]).collect()} == {(1,), (2,)}
 
 
 def test_lookup_refuses_keys_of_two_types(spark):
