@@ -4,7 +4,8 @@ A window over a group runs in one task. Where one group may hold a large share o
 rows, the group is cut into chunks along the order: rows are numbered or summed inside
 their chunk, and what the chunks before hold is added. A chunk expression must never
 fall as the order rises (``id div 4096``, the day of a time, the first letters of a name).
-Results do not depend on how it cuts; only the size of the largest task does.
+Results do not depend on how it cuts; only the size of the largest task does. Where no
+expression cuts evenly, :func:`range_chunks` adds a column that does.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from feedloom.operators.joins import settled
+
 _CHUNK = "__chunk"
 
 
@@ -29,6 +32,19 @@ def sorted_runs(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     return df.sortWithinPartitions(*order)
 
 
+def range_chunks(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], chunks: int | None = None, alias: str = "chunk"
+) -> DataFrame:
+    """The same rows with a chunk column that cuts groups evenly, however their order values lie.
+
+    Rows are range-partitioned by group and order, and the partition number is the chunk. Where the
+    ranges end is sampled anew each time they are worked out, so the rows are settled with it.
+    """
+    by = [*group, *order]
+    ranged = df.repartitionByRange(chunks, *by) if chunks else df.repartitionByRange(*by)
+    return settled(ranged.withColumn(alias, F.spark_partition_id()), "range-chunks")
+
+
 def _before(df: DataFrame, group: Sequence[str], totals: dict[str, Column], whole: dict[str, str]) -> DataFrame:
     """Per group and chunk, each total over the chunks before it, and over the whole group where asked."""
     chunks = df.groupBy(*group, _CHUNK).agg(*[t.alias(a) for a, t in totals.items()])

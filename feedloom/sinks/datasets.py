@@ -64,16 +64,21 @@ def max_watermark(df: DataFrame, column: str, data_type: str = "timestamp", alia
 
 
 def write_watermark(
-    spark: SparkSession, written: Written, location: str, alias: str = WATERMARK, data_type: str = "timestamp"
+    spark: SparkSession,
+    written: Written,
+    location: str,
+    alias: str = WATERMARK,
+    data_type: str = "timestamp",
+    mode: str = "overwrite",
+    file_format: str = "csv",
 ) -> bool:
-    """Store the watermark of a write as one CSV file with a header; nothing if no rows were written."""
+    """Store the watermark of a write as one file, CSV with a header unless told otherwise; nothing if no rows were written."""
     if not written.record_count or written.watermark is None:
         return False
     row = spark.createDataFrame([(written.watermark,)], "v string").select(F.col("v").cast(data_type).alias(alias))
     pattern = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    row.coalesce(1).write.mode("overwrite").option("header", "true").option("timestampFormat", pattern).option(
-        "timestampNTZFormat", pattern
-    ).csv(location)
+    writer = row.coalesce(1).write.mode(mode).format(file_format).option("header", "true")
+    writer.option("timestampFormat", pattern).option("timestampNTZFormat", pattern).save(location)
     return True
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions import dates, names, text
-from feedloom.operators import filesets
+from feedloom.operators import filesets, ordering
 from feedloom.operators.gates import branch
 from feedloom.operators.joins import settled
 from feedloom.sinks.datasets import max_watermark as top_value
@@ -81,9 +81,11 @@ def nth_file(t: Tables) -> DataFrame:
     count(*) over (partition by {_HOST}) as n from pages) x"""
 )
 def numbered_exports(t: Tables) -> DataFrame:
-    files = listing(t).withColumn("key", names.key(F.col("path")))
-    chunk = F.left("key", F.lit(5))
-    out = filesets.numbered_names(files, host(), ["key", "page_id"], chunk, "exp_", F.lit("20240101"), "txt")
+    files = t.pages.select("page_id", names.bucket(F.col("url")).alias("host"), names.key(F.col("url")).alias("key"))
+    order = ["key", "page_id"]
+    files = ordering.range_chunks(files, ["host"], order)
+    stamp = F.lit("20240101")
+    out = filesets.numbered_names(files, F.col("host"), order, F.col("chunk"), "exp_", stamp, "txt")
     return out.select("page_id", "new_name")
 
 

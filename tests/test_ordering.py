@@ -42,6 +42,18 @@ def test_running_total(skewed, width):
     assert {(r.g, r.id, r.running_size, r.over_cap) for r in out.collect()} == want
 
 
+@pytest.mark.parametrize("chunks", [None, 5])
+def test_range_chunks(skewed, chunks):
+    data, df = skewed
+    cut = ordering.range_chunks(df, ["g"], ["id"], chunks)
+    out = ordering.numbered(cut, ["g"], ["id"], F.col("chunk"))
+    want = {(r[0], r[1], i) for rows in by_group(data) for i, r in enumerate(rows, 1)}
+    assert {(r.g, r.id, r.n) for r in out.collect()} == want
+    if chunks:
+        sizes = [r["count"] for r in cut.groupBy("chunk").count().collect()]
+        assert len(sizes) == chunks and max(sizes) < len(data) / 2
+
+
 def test_a_group_is_cut_into_several_tasks(skewed):
     _, df = skewed
     out = ordering.numbered(df, ["g"], ["id"], F.floor(F.col("id") / 100))

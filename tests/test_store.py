@@ -75,6 +75,30 @@ def test_extract_job(spark, tmp_path):
             extract.ExtractJob("out", **bad)
 
 
+def test_extract_from_arguments():
+    args = {"TABLE_NAME": "t", "DATABASE_NAME": "d", "OUTPUT_LOCATION": "out", "FILTER_CONDITION": "x > 1"}
+    query, job = extract.from_arguments(args, "2024-01-02")
+    assert query == "select * from d.t where x > 1"
+    assert job == extract.ExtractJob("out")
+    more = {
+        "HISTORY_LOAD": "Y",
+        "APPEND_CURRENT_DATE": "Y",
+        "MAX_RECORDS_PER_FILE": "10",
+        "IS_INCREMENTAL": "y",
+        "INCREMENTAL_COL_NAME": "ts",
+        "INCREMENTAL_VALUE_OUTPUT_LOC": "mark",
+        "POPULATE_META_FILE": "true",
+        "META_FILE_LOCATION": "meta/",
+        "AUDIT_FEED_ID": "7",
+        "DAG_RUN_ID": "r",
+    }
+    query, job = extract.from_arguments(args | more, "2024-01-02")
+    assert query == "select * from d.t"
+    assert (job.run_date, job.records_per_file, job.watermark_column) == ("2024-01-02", 10, "ts")
+    assert (job.manifest_location, job.feed_id, job.run_id) == ("meta/t_20240102", "7", "r")
+    assert extract.from_arguments(args | {"HISTORY_LOAD": "N"}, "2024-01-02")[0] == "select * from d.t where x > 1"
+
+
 def test_watermark_of_text_is_taken_after_the_cast(spark, tmp_path):
     df = spark.createDataFrame([("9",), ("10",), (None,)], "v string")
     written = write_dataset(df, f"{tmp_path}/d", watermark="v", watermark_type="long")
