@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.compare import holds, holds_by
 from feedloom.functions.dates import day_gap, step_date
-from feedloom.operators.joins import lookup
+from feedloom.operators.joins import lookup, settled
 
 LOAD = ["domainname", "loadname"]
 
@@ -141,8 +141,11 @@ def next_file(audit: DataFrame, sequence: DataFrame, requests: DataFrame) -> Dat
         .groupBy("domain_name", "feed_date", "load_name")
         .agg(F.max("run_id").alias("run_id"))
     )
+    # The few runs looked for are settled, so that the long audit table is cut down to them as it is read.
+    latest = settled(latest, "latest-runs")
+    wanted = latest.select(F.col("run_id").alias("__run")).distinct()
     ends = F.struct(F.col("end_time").isNull(), F.col("end_time"), F.col("loadname"))
-    rows = audit.groupBy(F.col("run_id").alias("__run"), F.lower("dag_name").alias("__dag")).agg(
+    rows = lookup(audit, wanted, {"run_id": "__run"}, "left_semi").groupBy(F.col("run_id").alias("__run"), F.lower("dag_name").alias("__dag")).agg(
         F.max_by(F.struct(F.col("loadname")), ends).alias("__last")
     )
     asked = requests.withColumn("__want", F.lower("dag_name"))

@@ -105,6 +105,19 @@ def read_jdbc(spark: SparkSession, **options) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(**options)).load()
 
 
+def bounds_query(query: str, column: str) -> str:
+    """A query for the least and greatest value of a column of another query."""
+    return f"select min({column}) as lower_bound, max({column}) as upper_bound from ({query}) bounds"
+
+
+def read_sliced(spark: SparkSession, column: str, count: int, **options) -> DataFrame:
+    """As :func:`read_jdbc`, in slices of a column between its bounds, for which the database is asked first."""
+    lower, upper = read_jdbc(spark, **options | {"query": bounds_query(options["query"], column)}).first()
+    if lower is None:
+        return read_jdbc(spark, **options)
+    return read_jdbc(spark, **options, slices=Slices(column, lower, upper, count))
+
+
 def extract_rows(
     table: DataFrame, history: bool = False, condition: str | None = None
 ) -> DataFrame:

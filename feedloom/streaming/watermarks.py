@@ -40,8 +40,3 @@ def read_watermarks(spark: SparkSession, table_path: str, source: str) -> DataFr
     latest = F.max_by(F.struct("start_timestamp", "n"), "batch")
     rows = spark.read.parquet(table_path).groupBy(source).agg(latest.alias("r"))
     return rows.select(source, "r.start_timestamp", "r.n")
-
-
-def compact_watermarks(spark: SparkSession, table_path: str, target: str, source: str) -> None:
-    """Write the current watermarks to another path as batch -1, for a table of many batches."""
-    read_watermarks(spark, table_path, source).write.mode("errorifexists").parquet(f"{target}/batch=-1")

@@ -33,6 +33,21 @@ def test_jdbc_options():
     assert {jdbc.driver_class(d) for d in "mysql MSSQL oracle teradata postgres db2".split()} == set(jdbc.DRIVERS.values())
 
 
+def test_sliced_read_asks_for_the_bounds_first(spark, monkeypatch):
+    calls = []
+
+    def read(spark, **options):
+        calls.append(options)
+        return spark.createDataFrame([(3, 9) if len(calls) == 1 else (None, None)], "a int, b int")
+
+    monkeypatch.setattr(jdbc, "read_jdbc", read)
+    jdbc.read_sliced(spark, "id", 4, database_type="db2", url="u", query="select 1")
+    assert calls[0]["query"] == "select min(id) as lower_bound, max(id) as upper_bound from (select 1) bounds"
+    assert calls[1]["slices"] == jdbc.Slices("id", 3, 9, 4) and calls[1]["query"] == "select 1"
+    jdbc.read_sliced(spark, "id", 4, database_type="db2", url="u", query="select 1")
+    assert "slices" not in calls[3]
+
+
 def test_extract_query():
     q = jdbc.extract_query
     assert q("d", "t", history=True) == "select * from d.t"
@@ -223,6 +238,16 @@ def test_publish_replaces_what_it_reads(spark, tmp_path):
     assert sorted(p.name for p in tmp_path.iterdir()) == ["a", "b"]
 
 
+def test_publish_touches_nothing_if_an_output_fails(spark, tmp_path):
+    a, b = f"{tmp_path}/a", f"{tmp_path}/b"
+    spark.range(3).write.parquet(a)
+    broken = spark.range(1).select(F.raise_error(F.lit("no output")).cast("int").alias("v"))
+    with pytest.raises(PySparkException, match="no output"):
+        publish(spark, {a: spark.range(9), b: broken})
+    assert spark.read.parquet(a).count() == 3
+    assert not (tmp_path / "b").exists()
+
+
 def test_bulk_load(spark, tmp_path):
     columns = bulk_load.NOTIFICATION_COLUMNS
     assert len(columns) == 31 and len(bulk_load.NOTIFICATION_CASTS) == 6
