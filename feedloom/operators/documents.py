@@ -23,7 +23,9 @@ def joined_list(
     return df.groupBy(*group, part.alias("part")).agg(F.array_join(items, separator).alias(alias))
 
 
-def json_arrays(df: DataFrame, group: Sequence[str], fields: Sequence[str | Column], part: Column, alias: str = "records") -> DataFrame:
+def json_arrays(
+    df: DataFrame, group: Sequence[str], fields: Sequence[str | Column], part: Column, alias: str = "records"
+) -> DataFrame:
     """Rows of each group as JSON arrays of objects, ordered by their fields."""
     items = F.array_sort(F.collect_list(F.struct(*fields)))
     return df.groupBy(*group, part.alias("part")).agg(F.to_json(items, {"ignoreNullFields": "false"}).alias(alias))

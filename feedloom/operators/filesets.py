@@ -131,7 +131,12 @@ def last_processed(audit: DataFrame) -> DataFrame:
         audit.where(F.col("is_sensed"))
         .groupBy("domain_name", "load_name")
         .agg(row.alias("__r"))
-        .select("domain_name", "load_name", F.col("__r.file_mod_time").alias("last_time"), F.col("__r.file_name").alias("last_name"))
+        .select(
+            "domain_name",
+            "load_name",
+            F.col("__r.file_mod_time").alias("last_time"),
+            F.col("__r.file_name").alias("last_name"),
+        )
     )
 
 

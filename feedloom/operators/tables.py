@@ -82,3 +82,12 @@ def upsert(
     shared = lookup(table.select(*keys), last.select(*keys), keys, "left_semi")
     new = lookup(last, shared, keys, "left_anti").select(*[inserted(f) for f in table.schema.fields])
     return kept.unionByName(new)
+
+
+def upsert_watermarks(control: DataFrame, marks: DataFrame, now: Column) -> DataFrame:
+    """The job control table with new watermarks (the load, ``run_date``, ``feed_date``, ``start_timestamp``).
+
+    A load that brought no rows has none, and its control row stays. Of several for one load the latest counts.
+    """
+    known = complete_rows(marks, ["start_timestamp"]).withColumn("__order", F.col("start_timestamp"))
+    return upsert(control, known, ["domainname", "loadname"], JOB_CONTROL_UPDATES, now, "__order")

@@ -304,13 +304,19 @@ def branch_map(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", gates.branch_by(F.col("o_orderstatus"), branches).alias("branch"))
 
 
-@query("select o_orderkey, case when cast(o_orderdate as date) >= date '1998-06-01' then 'ok' else 'fail' end as branch from orders")
+@query(
+    """select o_orderkey, case when cast(o_orderdate as date) >= date '1998-06-01' then 'ok' else 'fail' end as branch
+    from orders"""
+)
 def date_gate(t: Tables) -> DataFrame:
     gate = gates.date_gate(F.col("o_orderdate"), F.lit("1998-06-01"), "ok", "fail")
     return t.orders.select("o_orderkey", gate.alias("branch"))
 
 
-@query("select event_id, case when cast(json_extract_string(props, '$.k') as int) >= 1 then 'new' else 'none' end as branch from events")
+@query(
+    """select event_id, case when cast(json_extract_string(props, '$.k') as int) >= 1 then 'new' else 'none' end as branch
+    from events"""
+)
 def json_count_gate(t: Tables) -> DataFrame:
     return t.events.select("event_id", gates.json_count_gate(F.col("props"), "new", "none", "$.k").alias("branch"))
 
@@ -425,7 +431,10 @@ def control_append(t: Tables) -> DataFrame:
     return tables.append_rows(table, t.supplier.select(F.col("s_suppkey").alias("k"), name.alias("name")), ["k", "name"])
 
 
-@query("select o.* from orders o where not exists (select 1 from lineitem l where l.l_orderkey = o.o_orderkey and l.l_quantity > 45)")
+@query(
+    """select o.* from orders o where not exists (
+    select 1 from lineitem l where l.l_orderkey = o.o_orderkey and l.l_quantity > 45)"""
+)
 def delete_by_keys(t: Tables) -> DataFrame:
     listed = t.lineitem.where(F.col("l_quantity") > 45)
     return tables.delete_by_keys(t.orders, listed, {"o_orderkey": "l_orderkey"})
@@ -466,3 +475,33 @@ def control_upsert(t: Tables) -> DataFrame:
     )
     now = F.lit("2024-01-01").cast(time)
     return tables.upsert(table, rows, ["domainname", "loadname"], tables.JOB_CONTROL_UPDATES, now, "o_orderkey")
+
+
+@query(
+    """with t as (select cast(c_custkey as varchar(20)) as loadname from customer),
+    u as (select cast(user_id as varchar(20)) as loadname, max(case when value > 60 then ts end) as start_timestamp
+        from events group by 1 having max(case when value > 60 then ts end) is not null)
+    select 'events' as domainname, coalesce(t.loadname, u.loadname) as loadname,
+    case when u.loadname is null then date '1990-01-01' else date '2024-02-01' end as run_date,
+    case when u.loadname is null then date '1990-01-01' else date '2024-01-31' end as feed_date,
+    case when t.loadname is null then timestamp '2024-02-01 00:00:00' else timestamp '1990-01-02 00:00:00' end
+    as insert_timestamp, u.start_timestamp,
+    case when t.loadname is not null and u.loadname is not null then timestamp '2024-02-01 00:00:00' end as update_timestamp
+    from t full outer join u on u.loadname = t.loadname"""
+)
+def watermark_upsert(t: Tables) -> DataFrame:
+    day, time = F.lit("1990-01-01").cast("date"), "timestamp_ntz"
+    control = t.customer.select(
+        F.lit("events").alias("domainname"),
+        F.col("c_custkey").cast("string").alias("loadname"),
+        day.alias("run_date"),
+        day.alias("feed_date"),
+        F.lit("1990-01-02").cast(time).alias("insert_timestamp"),
+        F.lit(None).cast(time).alias("start_timestamp"),
+        F.lit(None).cast(time).alias("update_timestamp"),
+    )
+    marks = t.events.groupBy(F.lit("events").alias("domainname"), F.col("user_id").cast("string").alias("loadname")).agg(
+        F.max(F.when(F.col("value") > 60, F.col("ts"))).alias("start_timestamp")
+    )
+    marks = marks.withColumn("run_date", F.lit("2024-02-01").cast("date")).withColumn("feed_date", F.date_add("run_date", -1))
+    return tables.upsert_watermarks(control, marks, F.lit("2024-02-01").cast(time))

@@ -68,8 +68,8 @@ def latest_file(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""select folder, path from (select {_HOST} as folder, url as path, row_number() over (partition by {_HOST} order by url) as rn
-    from pages) x where rn = 2"""
+    f"""select folder, path from (select {_HOST} as folder, url as path,
+    row_number() over (partition by {_HOST} order by url) as rn from pages) x where rn = 2"""
 )
 def nth_file(t: Tables) -> DataFrame:
     return filesets.nth_file(listing(t), host(), 1)
@@ -148,7 +148,10 @@ def path_parts(t: Tables) -> DataFrame:
     )
 
 
-@query("select * from (select page_id, url as path, regexp_replace(url, '[?=&#]', ' ', 'g') as clean from pages) x where path <> clean")
+@query(
+    """select * from (select page_id, url as path, regexp_replace(url, '[?=&#]', ' ', 'g') as clean from pages) x
+    where path <> clean"""
+)
 def path_clean(t: Tables) -> DataFrame:
     files = listing(t).select("page_id", "path", names.cleaned(F.col("path"), "[?=&#]").alias("clean"))
     return files.where(F.col("path") != F.col("clean"))
@@ -232,7 +235,10 @@ def local_time(t: Tables) -> DataFrame:
     return t.events.select("event_id", dates.local_text(ts).alias("local_time"), dates.run_id(ts).alias("run_id"))
 
 
-@query("select o_orderkey, case when last_day(cast(o_orderdate as date)) = cast(o_orderdate as date) then 'last' else 'other' end as branch from orders")
+@query(
+    """select o_orderkey, case when last_day(cast(o_orderdate as date)) = cast(o_orderdate as date) then 'last' else 'other' end
+    as branch from orders"""
+)
 def month_end_flag(t: Tables) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
     return t.orders.select("o_orderkey", branch(dates.is_month_end(day), "last", "other").alias("branch"))
