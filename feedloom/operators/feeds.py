@@ -145,8 +145,10 @@ def next_file(audit: DataFrame, sequence: DataFrame, requests: DataFrame) -> Dat
     latest = settled(latest, "latest-runs")
     wanted = latest.select(F.col("run_id").alias("__run")).distinct()
     ends = F.struct(F.col("end_time").isNull(), F.col("end_time"), F.col("loadname"))
-    rows = lookup(audit, wanted, {"run_id": "__run"}, "left_semi").groupBy(F.col("run_id").alias("__run"), F.lower("dag_name").alias("__dag")).agg(
-        F.max_by(F.struct(F.col("loadname")), ends).alias("__last")
+    rows = (
+        lookup(audit, wanted, {"run_id": "__run"}, "left_semi")
+        .groupBy(F.col("run_id").alias("__run"), F.lower("dag_name").alias("__dag"))
+        .agg(F.max_by(F.struct(F.col("loadname")), ends).alias("__last"))
     )
     asked = requests.withColumn("__want", F.lower("dag_name"))
     found = lookup(asked, latest, ["domain_name", "feed_date", "load_name"])

@@ -21,7 +21,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.sources.files import BATCH_ROWS, filesystem_of, manifest, qualified
+from feedloom.sources.files import BATCH_ROWS, filesystem_of, manifest, qualified, spread
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -117,14 +117,14 @@ def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def zip_members(spark: SparkSession, path: str) -> DataFrame:
     """One row per file in the zip archives below a path: ``path``, ``member``, ``length``."""
     archives = manifest(spark, path).where(F.endswith(F.lower("path"), F.lit(".zip"))).select("path")
-    return archives.mapInArrow(_list_members, "path string, member string, length long")
+    return spread(archives, ["path"]).mapInArrow(_list_members, "path string, member string, length long")
 
 
 def read_zip_lines(members: DataFrame, tasks: int | None = None) -> DataFrame:
     """Lines of archive members: ``path``, ``member``, ``line`` (from 0), ``value``. Takes rows of :func:`zip_members`."""
     keys = ["path", "member"]
-    spread = members.select(*keys).repartition(tasks, *keys) if tasks else members.select(*keys).repartition(*keys)
-    return spread.mapInArrow(_read_members, "path string, member string, line long, value string")
+    work = spread(members.select(*keys), keys, tasks)
+    return work.mapInArrow(_read_members, "path string, member string, line long, value string")
 
 
 def write_zip(df: DataFrame, target: str, member: str, content: str) -> DataFrame:

@@ -31,6 +31,15 @@ def filesystem_of(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(quote(uri, safe=":/") if mark else uri)
 
 
+def spread(df: DataFrame, keys: Sequence[str], tasks: int | None = None) -> DataFrame:
+    """Rows that each stand for much work, such as files to open, over a fixed number of tasks.
+
+    By default as many as there are shuffle partitions. Without a number Spark would merge the
+    partitions, since the rows themselves are small.
+    """
+    return df.repartition(tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """A path with the scheme and host that the cluster's settings give it, as manifests have it."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -68,7 +77,8 @@ def list_objects(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     paths = [path] if isinstance(path, str) else list(path)
     roots = spark.createDataFrame([(qualified(spark, p),) for p in paths], "path string")
     top = roots.mapInArrow(partial(_list, deep=False), schema)
-    below = top.where("is_folder").select("path").repartition("path").mapInArrow(partial(_list, deep=True), schema)
+    folders = spread(top.where("is_folder").select("path"), ["path"])
+    below = folders.mapInArrow(partial(_list, deep=True), schema)
     return top.where("not is_folder").union(below).drop("is_folder")
 
 
