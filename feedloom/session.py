@@ -34,7 +34,7 @@ def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8)
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
