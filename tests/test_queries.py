@@ -5,11 +5,13 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from feedloom.suite import ORACLES as SUITE_SQL
+from feedloom.suite import QUERIES as SUITE
 from tests.oracle import compare, sql_session
 
 SF_DIR = os.environ.get("FEEDLOOM_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = SUITE
+ORACLES = SUITE_SQL
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +21,8 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):
