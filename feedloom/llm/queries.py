@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.llm.simhash import near_duplicates
 from feedloom.llm.substring_dedup import remove_repeated_windows
 from feedloom.llm.suffix_dedup import remove_repeats
 
@@ -36,6 +37,13 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of three-word shingles, linked at two or fewer differing bits."""
+    out = near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, bits=2)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left of every document once all 20-word windows that occur earlier are cut."""
