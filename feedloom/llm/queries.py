@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.llm.mixing import mix, mix_sql
+from feedloom.llm.quality_rules import BASE, judge
 from feedloom.llm.simhash import near_duplicates
 from feedloom.llm.substring_dedup import remove_repeated_windows
 from feedloom.llm.suffix_dedup import remove_repeats
@@ -37,6 +39,15 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed: sources weigh 3, 1, 2 in turn, 150 % of all words, no source more than twice."""
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op3_mixing"] = mix_sql()
+
+
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of three-word shingles, linked at two or fewer differing bits."""
@@ -50,3 +61,9 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeated_windows(table(spark, sf_dir, "documents"), words=20)
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"])
     return out.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of every document, and whether the rules' votes taken together keep it."""
+    return judge(table(spark, sf_dir, "documents")).select("doc_id", *BASE, "base_failed", "kept", "quality")
