@@ -83,34 +83,54 @@ def votes() -> list[Column]:
     return out
 
 
-def fit(patterns: list[tuple[list[int], int]], rounds: int = 60) -> tuple[float, list[list[tuple[float, float]]]]:
-    """Prior of good, and for each rule and vote its chance given good and given bad.
+Model = tuple[list[float], list[list[float]]]
+#: A good text sets a rule off at most so often; a text that is bad in a rule's way at least so often.
+FALSE_ALARM, SEEN = 0.05, 0.5
 
-    ``patterns`` are combinations of votes with the number of documents that have them. Starts from rules that are right four
-    times out of five; one pseudo-count keeps every chance above zero.
+
+def fit(patterns: list[tuple[list[int], int]], rounds: int = 100) -> Model:
+    """Shares of the kinds of text, and how often each kind sets off each rule.
+
+    Texts are bad in different ways, and rules that see one way say nothing of the others. So there is one kind of good text and, for each rule, one
+    kind of bad text that mainly this rule sees; which other rules see it too is estimated. ``patterns`` are combinations of votes with the
+    number of documents that have them. Abstentions are left out of every count.
     """
-    rules = len(RULES)
-    start = {GOOD: (0.8, 0.2), BAD: (0.2, 0.8), ABSTAIN: (1.0, 1.0)}
-    prior, chances = 0.8, [[start[v] for v in range(3)] for _ in range(rules)]
+    rules = range(len(RULES))
+    shares = [0.8] + [0.2 / len(RULES)] * len(RULES)
+    alarms = [[0.01 for _ in rules]] + [[0.9 if r == kind else 0.1 for r in rules] for kind in rules]
     total = sum(n for _, n in patterns)
     for _ in range(rounds if total else 0):
-        sums = [[[1.0, 1.0] for _ in range(3)] for _ in range(rules)]
-        good = 1.0
+        mass = [1e-6 for _ in shares]
+        fired, voted = ([[1e-6 for _ in rules] for _ in shares] for _ in range(2))
         for vote, n in patterns:
-            p = _posterior(prior, chances, vote)
-            good += n * p
-            for r, v in enumerate(vote):
-                sums[r][v][0] += n * p
-                sums[r][v][1] += n * (1 - p)
-        prior = good / (total + 2)
-        whole = [[sum(s[v][c] for v in range(3)) for c in range(2)] for s in sums]
-        chances = [[(s[v][0] / w[0], s[v][1] / w[1]) for v in range(3)] for s, w in zip(sums, whole, strict=True)]
-    return prior, chances
-
-
-def _posterior(prior: float, chances: list[list[tuple[float, float]]], vote: list[int]) -> float:
-    odds = math.log(prior) - math.log(1 - prior) + sum(math.log(chances[r][v][0]) - math.log(chances[r][v][1]) for r, v in enumerate(vote))
-    return 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
+            for kind, p in enumerate(kinds_of(vote, (shares, alarms))):
+                mass[kind] += n * p
+                for r, v in enumerate(vote):
+                    if v != ABSTAIN:
+                        voted[kind][r] += n * p
+                        fired[kind][r] += n * p * (v == BAD)
+        shares = [m / sum(mass) for m in mass]
+        for kind, row in enumerate(alarms):
+            for r in rules:
+                low, high = (1e-4, FALSE_ALARM) if kind == 0 else (SEEN if r == kind - 1 else 1e-3, 0.999)
+                row[r] = min(high, max(low, fired[kind][r] / voted[kind][r]))
+    return shares, alarms
+
+
+def kinds_of(vote: list[int], model: Model) -> list[float]:
+    """Posterior probability of each kind of text, good first."""
+    shares, alarms = model
+    chances = [s * math.prod(1 if v == ABSTAIN else a if v == BAD else 1 - a for v, a in zip(vote, row, strict=True)) for s, row in zip(shares, alarms, strict=True)]
+    return [c / sum(chances) for c in chances]
+
+
+def quality(model: Model) -> Column:
+    """Posterior probability of good, of the votes of a row."""
+    chances = []
+    for share, row in zip(*model, strict=True):
+        terms = [F.element_at(F.array(F.lit(1.0), F.lit(1 - a), F.lit(a)), vote + 1) for vote, a in zip(votes(), row, strict=True)]
+        chances.append(math.prod(terms, start=F.lit(share)))
+    return chances[0] / sum(chances[1:], chances[0])
 
 
 def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -124,11 +144,7 @@ def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """
     held = settled(features(docs), "features")
     counted = held.groupBy(*votes()).count().collect()  # 3 ** len(RULES) rows at most
-    prior, chances = fit(sorted((list(row[:-1]), row[-1]) for row in counted))
-    odds = F.lit(math.log(prior) - math.log(1 - prior))
-    for vote, chance in zip(votes(), chances, strict=True):
-        weight = [math.log(good) - math.log(bad) for good, bad in chance]
-        odds = odds + F.element_at(F.array(*map(F.lit, weight)), vote + 1)
+    model = fit(sorted((list(row[:-1]), row[-1]) for row in counted))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    judged = held.withColumn("base_failed", failed).withColumn("quality", 1 / (1 + F.exp(-odds)))
+    judged = held.withColumn("base_failed", failed).withColumn("quality", quality(model))
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
