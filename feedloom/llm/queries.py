@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.llm import language
 from feedloom.llm.mixing import mix, mix_sql
 from feedloom.llm.quality_rules import BASE, judge
 from feedloom.llm.simhash import near_duplicates
@@ -67,3 +68,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features of every document, and whether the rules' votes taken together keep it."""
     return judge(table(spark, sf_dir, "documents")).select("doc_id", *BASE, "base_failed", "kept", "quality")
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the four fifths of them that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.learn(docs))
