@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import language
+from feedloom.llm import decontaminate, language, licences
 from feedloom.llm.mixing import mix, mix_sql
 from feedloom.llm.quality_rules import BASE, judge
 from feedloom.llm.simhash import near_duplicates
@@ -49,6 +49,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op3_mixing"] = mix_sql()
 
 
+@query
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and template wording of every document."""
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of three-word shingles, linked at two or fewer differing bits."""
@@ -75,3 +81,9 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the four fifths of them that are not held out."""
     docs = table(spark, sf_dir, "documents")
     return language.predict(docs, language.learn(docs))
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents hold, by windows of five-word shingles similar by 0.8 or more."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 0.8)
