@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontaminate, language, licences
+from feedloom.llm import decontaminate, html_text, language, licences
 from feedloom.llm.mixing import mix, mix_sql
 from feedloom.llm.quality_rules import BASE, judge
 from feedloom.llm.simhash import near_duplicates
 from feedloom.llm.substring_dedup import remove_repeated_windows
 from feedloom.llm.suffix_dedup import remove_repeats
+from feedloom.llm.warc_zip import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +28,12 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op1_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record in ZIP archives, written and read back by range."""
+    return round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
 @query
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes left of every document once all 100-byte strings that occur earlier are cut."""
@@ -87,3 +94,9 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that documents hold, by windows of five-word shingles similar by 0.8 or more."""
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 0.8)
+
+
+@query
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
