@@ -65,14 +65,10 @@ def dealt(rows: DataFrame, buckets: int) -> DataFrame:
     return rows.repartitionById(buckets, "bucket")
 
 
-def exchange(
-    rows: DataFrame,
-    emit: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]],
-    names: list[str],
-    work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-    schema: str,
-    buckets: int,
-) -> DataFrame:
+Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def exchange(rows: DataFrame, emit: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], names: list[str], work: Work, schema: str, buckets: int) -> DataFrame:
     """``emit`` packs what a batch of rows has for each bucket; ``work`` answers for all entries of a bucket."""
 
     def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,13 +79,13 @@ def exchange(
     return dealt(rows.mapInArrow(emitted, packed_schema(names)), buckets).mapInArrow(work, schema)
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges whose texts add up to about the limit."""
-    offsets = text_offsets(batch.column(column))[1]
+    offsets = text_offsets(texts)[1]
     start = 0
-    while start < batch.num_rows:
+    while start < len(texts):
         stop = int(np.searchsorted(offsets, offsets[start] + limit, "right")) - 1
-        stop = min(max(stop, start + 1), batch.num_rows)
+        stop = min(max(stop, start + 1), len(texts))
         yield start, stop
         start = stop
 
@@ -107,3 +103,15 @@ def text_offsets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def list_array(values: np.ndarray, starts: np.ndarray) -> pa.Array:
     """Lists cut out of consecutive values; ``starts`` has one more entry than there are lists."""
     return pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(values))
+
+
+def homes(ids: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket at which all that concerns a document is brought together."""
+    spread = ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((spread >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+
+
+def record_batches(columns: list[pa.Array], names: list[str], rows: int = 4096) -> Iterator[pa.RecordBatch]:
+    whole = pa.RecordBatch.from_arrays(columns, names=names)
+    for at in range(0, whole.num_rows, rows):
+        yield whole.slice(at, rows)

@@ -119,7 +119,7 @@ def _match(batches: Iterator[pa.RecordBatch], held, similarity: float) -> Iterat
         ids, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in KEY)
         buffer, offsets = blocks.text_offsets(batch.column("text"))
         out: list[tuple] = []
-        for begin, stop in blocks.slices(batch, "text"):
+        for begin, stop in blocks.slices(batch.column("text")):
             found = words(LOWER[buffer[offsets[begin] : offsets[stop]]], offsets[begin : stop + 1] - offsets[begin], BREAK)
             names, begins = shingles(found)
             hit = seen[(names & np.uint64((1 << 22) - 1)).astype(np.int64)]

@@ -10,7 +10,7 @@ character of each per step.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -129,12 +129,12 @@ def phrases(pieces: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarray
     return count + (state != root)
 
 
-def _predict(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
+def _predict(batches: Iterator[pa.RecordBatch], held, carried: list[str]) -> Iterator[pa.RecordBatch]:
     model: Model = held.value
     for batch in batches:
         texts = batch.column("text")
         pred, score = [UNDETERMINED] * batch.num_rows, np.zeros(batch.num_rows)
-        for begin, stop in blocks.slices(batch, "text"):
+        for begin, stop in blocks.slices(batch.column("text")):
             rows, pieces = [], []
             sizes = np.zeros(stop - begin, np.int64)
             for i in range(begin, stop):
@@ -164,9 +164,7 @@ def _predict(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch
             for i in np.flatnonzero(sizes).tolist():
                 pred[begin + i] = model.languages[best[i]]
                 score[begin + i] = min(1.0, max(0.0, float(margin[i])))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("held_out"), pa.array(pred), pa.array(score)], names=["doc_id", "held_out", "lang_pred", "score"]
-        )
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), pa.array(pred), pa.array(score)], names=[*carried, "lang_pred", "score"])
 
 
 def learn(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> Model:
@@ -187,8 +185,8 @@ def learn(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> Model:
     return build({language: list(held) for language, held in texts.items()})
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id``, ``held_out``, ``lang_pred`` and ``score`` of every row; only the text decides.
+def predict(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
+    """``doc_id``, ``held_out``, the columns to ``keep``, ``lang_pred`` and ``score`` of every row; only the text decides.
 
     ``score`` is by how much the second language needs more phrases than the first, as a share of the second's (0 to 1). A text that is null, empty or has no letter is
     ``und`` with score 0, as is every text if nothing was learned; ties go to the language first in order. With one language the score is held
@@ -196,6 +194,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     in pieces of ``PIECE`` letters. Other columns are ignored.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
-    texts = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"), held_out().alias("held_out"))
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, lang_pred string, score double"
-    return texts.mapInArrow(lambda b: _predict(b, held), schema)
+    rows = docs.select("doc_id", held_out().alias("held_out"), *keep, *([] if "text" in keep else ["text"]))
+    carried = ["doc_id", "held_out", *keep]
+    schema = ", ".join([f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carried] + ["lang_pred string", "score double"])
+    return rows.mapInArrow(lambda b: _predict(b, held, carried), schema)

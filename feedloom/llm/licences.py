@@ -124,7 +124,7 @@ def _scan(batches: Iterator[pa.RecordBatch], phrases: Mapping[str, str], templat
         n_words, n_base = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
         first, last = np.full(rows, 1 << 62, np.int64), np.full(rows, -1, np.int64)
         basic, extra = [set() for _ in range(rows)], [set() for _ in range(rows)]
-        for begin, stop in blocks.slices(batch, "text"):
+        for begin, stop in blocks.slices(batch.column("text")):
             text = LOWER[buffer[offsets[begin] : offsets[stop]]]
             found = words(text, offsets[begin : stop + 1] - offsets[begin], BREAK)
             names, begins = found.names(), found.begins

@@ -59,7 +59,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.R
     for batch in batches:
         buffer, offsets = blocks.text_offsets(batch.column("text"))
         out = np.zeros(batch.num_rows, np.uint64)
-        for begin, stop in blocks.slices(batch, "text"):
+        for begin, stop in blocks.slices(batch.column("text")):
             text = LOWER[buffer[offsets[begin] : offsets[stop]]]
             found = words(text, offsets[begin : stop + 1] - offsets[begin])
             data, start, end = text.tobytes(), found.start.tolist(), found.end.tolist()

@@ -20,7 +20,7 @@ in a third of all documents costs one entry per slice.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,8 @@ GRAM = 24
 BLOCK = 8
 _SPANS = ["start", "end"]
 _REPLY = "id long, tag int, start array<int>, end array<int>, anchor array<int>"
+_FOUND = {"id": "<i8", "tag": "<i4", "start": "<i4", "end": "<i4"}
+_FOUND |= {"open_id": "<i8", "open_tag": "<i4", "open_start": "<i4", "open_last": "<i4", "open_anchor": "<i4"}
 _DONE = {"done_id": "<i8", "done_tag": "<i4", "done_start": "<i4", "done_end": "<i4"}
 _ANCHORS = {"gram": "<u4", "name": "<u8", "id": "<i8", "tag": "<i4", "start": "<i4", "last": "<i4", "anchor": "<i4"} | _DONE
 _SUFFIXES = {"rank": "<u8", "left": "<u8", "right": "<u8", "near": "u1", "far": "u1", "id": "<i8", "tag": "<i4", "at": "<i4"} | _DONE
@@ -64,28 +66,43 @@ def _done(slot: int, buckets: int, ident: np.ndarray, tag: np.ndarray, start: np
     yield from blocks.packed(_as(_DONE, columns), np.full(len(start), slot % buckets), names)
 
 
-def _rows(ident: np.ndarray, tag: np.ndarray, begins: np.ndarray, start: np.ndarray, end: np.ndarray, anchor: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    lists = [blocks.list_array(x.astype(np.int32), begins) for x in (start, end)]
-    lists.append(pa.nulls(len(ident), pa.list_(pa.int32())) if anchor is None else blocks.list_array(anchor.astype(np.int32), begins))
-    table = [pa.array(ident), pa.array(tag), *lists]
-    whole = pa.RecordBatch.from_arrays(table, names=["id", "tag", "start", "end", "anchor"])
-    for at in range(0, len(ident), 4096):
-        yield whole.slice(at, 4096)
-
-
-def _span_rows(d: dict[str, np.ndarray], found: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+def _spans(d: dict[str, np.ndarray], found: list[tuple[np.ndarray, ...]], buckets: int) -> Iterator[pa.RecordBatch]:
+    """What is to be cut, packed for the documents' buckets."""
     found.append((d["done_id"], d["done_tag"], d["done_start"], d["done_end"]))
     ident, tag, start, end = (np.concatenate([f[i] for f in found]) for i in range(4))
     (ident, tag), start, end, begins = spans_per_key([ident, tag], start, end)
-    yield from _rows(ident, tag, begins, start, end, None)
+    count = np.diff(begins)
+    columns = {"id": np.repeat(ident, count), "tag": np.repeat(tag, count), "start": start, "end": end}
+    yield from blocks.packed(_as(_FOUND, columns), blocks.homes(columns["id"], buckets), list(_FOUND))
+
+
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document with spans to be cut, merged, and one per document with open anchors."""
+    d = blocks.unpacked(batches, _FOUND)
+    (ident, tag), start, end, begins = spans_per_key([d["id"], d["tag"]], d["start"], d["end"])
+    none = pa.nulls(len(ident), pa.list_(pa.int32()))
+    names = [*KEY, *_SPANS, "anchor"]
+    yield from blocks.record_batches([pa.array(ident), pa.array(tag), *(blocks.list_array(x, begins) for x in (start, end)), none], names)
+    order = np.lexsort((d["open_start"], d["open_tag"], d["open_id"]))
+    ident, tag = d["open_id"][order], d["open_tag"][order]
+    fresh = np.flatnonzero(np.r_[True, (ident[1:] != ident[:-1]) | (tag[1:] != tag[:-1])]) if len(order) else order
+    lists = [blocks.list_array(d[n][order], np.r_[fresh, len(order)]) for n in ("open_start", "open_last", "open_anchor")]
+    yield from blocks.record_batches([pa.array(ident[fresh]), pa.array(tag[fresh]), *lists], names)
+
+
+def _texts(batch: pa.RecordBatch) -> pa.Array:
+    """The texts of a batch, which may come with further columns in a struct."""
+    column = batch.column("text")
+    return column.flatten()[0] if pa.types.is_struct(column.type) else column
 
 
 def _anchors(batch: pa.RecordBatch, width: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """The anchors of each slice, those with equal surroundings folded."""
     names = list(_ANCHORS)
-    buffer, offsets = blocks.text_offsets(batch.column("text"))
+    texts = _texts(batch)
+    buffer, offsets = blocks.text_offsets(texts)
     ids, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in KEY)
-    for begin, stop in blocks.slices(batch, "text"):
+    for begin, stop in blocks.slices(texts):
         at = offsets[begin : stop + 1] - offsets[begin]
         text = buffer[offsets[begin] : offsets[stop]]
         counts = np.maximum(np.diff(at) - width + 1, 0)
@@ -111,32 +128,28 @@ def _anchors(batch: pa.RecordBatch, width: int, buckets: int) -> Iterator[pa.Rec
         yield from _done(int(name[0] >> np.uint64(40)), buckets, ident[drop], tag[drop], (first - base)[drop], (last - base)[drop] + width, names)
 
 
-def _resolve_anchors(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _resolve_anchors(batches: Iterator[pa.RecordBatch], width: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Spans of repeated anchors; and the first of each name whose gram has other names too, to be looked at suffix by suffix."""
     d = blocks.unpacked(batches, _ANCHORS)
     order, fresh, later = _ordered([d["gram"], d["name"]], [d["id"], d["tag"], d["start"]])
     drop = order[later]
-    yield from _span_rows(d, [(d["id"][drop], d["tag"][drop], d["start"][drop], d["last"][drop] + width)])
+    yield from _spans(d, [(d["id"][drop], d["tag"][drop], d["start"][drop], d["last"][drop] + width)], buckets)
     first = order[fresh]
     gram = d["gram"][first]
-    mixed_gram = np.zeros(len(gram), bool)
-    if len(gram):
+    if len(first) > 1:
         same = gram[1:] == gram[:-1]
-        mixed_gram[1:] |= same
-        mixed_gram[:-1] |= same
-    left = first[mixed_gram]
-    left = left[np.lexsort((d["start"][left], d["tag"][left], d["id"][left]))]
-    ident, tag = d["id"][left], d["tag"][left]
-    fresh = np.r_[True, (ident[1:] != ident[:-1]) | (tag[1:] != tag[:-1])] if len(left) else np.empty(0, bool)
-    yield from _rows(ident[fresh], tag[fresh], np.r_[np.flatnonzero(fresh), len(left)], d["start"][left], d["last"][left], d["anchor"][left])
+        left = first[np.r_[same, False] | np.r_[False, same]]
+        columns = {f"open_{n}": d[n][left] for n in ("id", "tag", "start", "last", "anchor")}
+        yield from blocks.packed(_as(_FOUND, columns), blocks.homes(columns["open_id"], buckets), list(_FOUND))
 
 
 def _suffixes(batch: pa.RecordBatch, width: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """The suffixes that open anchors own, in blocks of offsets."""
     names = list(_SUFFIXES)
-    buffer, offsets = blocks.text_offsets(batch.column("text"))
+    texts = _texts(batch)
+    buffer, offsets = blocks.text_offsets(texts)
     ids, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in KEY)
-    for begin, stop in blocks.slices(batch, "text"):
+    for begin, stop in blocks.slices(texts):
         at = offsets[begin : stop + 1] - offsets[begin]
         text = np.pad(buffer[offsets[begin] : offsets[stop]], (BLOCK, BLOCK))  # reads past either end give bytes that masks blank out
         part = batch.slice(begin, stop - begin)
@@ -169,7 +182,7 @@ def _suffixes(batch: pa.RecordBatch, width: int, buckets: int) -> Iterator[pa.Re
         yield from _done(int(rank[0] >> np.uint64(40)), buckets, ident[drop], tag[drop], place[drop] - far[drop], place[drop] - near[drop] + width, names)
 
 
-def _resolve_suffixes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _resolve_suffixes(batches: Iterator[pa.RecordBatch], width: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Sorts the suffixes of one offset at a time."""
     d = blocks.unpacked(batches, _SUFFIXES)
     found = []
@@ -181,12 +194,12 @@ def _resolve_suffixes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator
         drop = here[order[later]]
         start = d["at"][drop] - offset
         found.append((d["id"][drop], d["tag"][drop], start, start + width))
-    yield from _span_rows(d, found)
+    yield from _spans(d, found, buckets)
 
 
 def _cut(batches: Iterator[pa.RecordBatch], whole_characters: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        buffer, offsets = blocks.text_offsets(batch.column("text"))
+        buffer, offsets = blocks.text_offsets(_texts(batch))
         spans = [batch.column(c) for c in _SPANS]
         kept, lists = [], []
         for i in range(batch.num_rows):
@@ -205,16 +218,19 @@ def _cut(batches: Iterator[pa.RecordBatch], whole_characters: bool) -> Iterator[
             lists.append([{"start": a, "end": b} for a, b in zip(start.tolist(), end.tolist(), strict=True)])
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         arrays = [batch.column("id"), pa.array(np.diff(offsets)), pa.array(lists, kind), pa.array(kept, pa.binary())]
-        yield pa.RecordBatch.from_arrays(arrays, names=["id", "n_bytes", "removed", "kept"])
+        column = batch.column("text")
+        rest = column.flatten()[1:] if pa.types.is_struct(column.type) else []
+        carried = [column.type.field(i).name for i in range(1, 1 + len(rest))]
+        yield pa.RecordBatch.from_arrays([*arrays, *rest], names=["id", "n_bytes", "removed", "kept", *carried])
 
 
-def remove_repeats(docs: DataFrame, width: int = 100, whole_characters: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = 100, whole_characters: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Cut every byte that a ``width``-byte string covers which also starts earlier, in any document.
 
     Earlier means a smaller ``doc_id``, or an earlier start in the same one. Strings are judged on the input, overlaps count, and no string
     crosses a document's end. Needs ``doc_id`` and ``text``; other columns are ignored. Result: ``doc_id``, ``n_bytes`` (length of
     the UTF-8 text), ``removed`` (maximal spans, ``end`` exclusive) and ``kept`` (the remaining bytes). With ``whole_characters``, characters
-    that a span cuts into go as a whole, so that what is kept is UTF-8 again.
+    that a span cuts into go as a whole, so that what is kept is UTF-8 again. ``keep`` names further columns to return.
 
     Null and empty texts give zero bytes and no spans, texts shorter than ``width`` stay whole, texts of any length are handled
     in memory linear in that one text. A null ``doc_id`` comes before all others. Rows with the same ``doc_id`` and text are the same document: none repeats the other.
@@ -223,16 +239,28 @@ def remove_repeats(docs: DataFrame, width: int = 100, whole_characters: bool = F
     if width < GRAM + BLOCK * 2:
         raise ValueError(f"width must be at least {GRAM + BLOCK * 2}")
     buckets = blocks.buckets_of(docs)
-    texts = keyed(docs)
-    anchors = blocks.exchange(
-        texts, lambda b: _anchors(b, width, buckets), list(_ANCHORS), lambda b: _resolve_anchors(b, width), _REPLY, buckets
+    texts = keyed(docs, keep)
+    found = blocks.packed_schema(list(_FOUND))
+
+    def at_home(rows: DataFrame) -> DataFrame:
+        return blocks.dealt(rows, buckets).mapInArrow(_documents, _REPLY)
+
+    anchors = at_home(
+        blocks.exchange(texts, lambda b: _anchors(b, width, buckets), list(_ANCHORS), lambda b: _resolve_anchors(b, width, buckets), found, buckets)
     )
-    open_anchors = texts.join(per_document(anchors.where("anchor is not null"), [*_SPANS, "anchor"]), KEY)
-    suffixes = blocks.exchange(
-        open_anchors, lambda b: _suffixes(b, width, buckets), list(_SUFFIXES), lambda b: _resolve_suffixes(b, width), _REPLY, buckets
+    # One row per document, of few bytes: hashing it spares sorting the texts it is joined to.
+    open_anchors = texts.join(anchors.where("anchor is not null").hint("shuffle_hash"), KEY)
+    suffixes = at_home(
+        blocks.exchange(
+            open_anchors, lambda b: _suffixes(b, width, buckets), list(_SUFFIXES), lambda b: _resolve_suffixes(b, width, buckets), found, buckets
+        )
     )
     spans = anchors.where("anchor is null").select(*KEY, *_SPANS).union(suffixes.select(*KEY, *_SPANS))
     cut = texts.join(per_document(spans, _SPANS), KEY, "left").mapInArrow(
-        lambda b: _cut(b, whole_characters), "id long, n_bytes long, removed array<struct<start:int,end:int>>, kept binary"
+        lambda b: _cut(b, whole_characters),
+        ", ".join(
+            ["id long, n_bytes long, removed array<struct<start:int,end:int>>, kept binary"]
+            + [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
+        ),
     )
-    return cut.select(doc_id(), "n_bytes", "removed", "kept")
+    return cut.select(doc_id(), "n_bytes", "removed", "kept", *keep)

@@ -52,5 +52,5 @@ def words(text: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> W
 def word_slices(batch: pa.RecordBatch, column: str = "text"):
     """Row ranges of a batch with their words."""
     buffer, offsets = blocks.text_offsets(batch.column(column))
-    for begin, stop in blocks.slices(batch, column):
+    for begin, stop in blocks.slices(batch.column(column)):
         yield begin, stop, words(buffer[offsets[begin] : offsets[stop]], offsets[begin : stop + 1] - offsets[begin])
