@@ -18,12 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from feedloom.llm import blocks
-from feedloom.llm.documents import KEY, doc_id, keyed, per_document
+from feedloom.llm.documents import KEY, doc_id, keyed
 from feedloom.llm.groups import folded
 from feedloom.llm.rolling import Rolling
 from feedloom.llm.spans import merged, spans_per_key
 from feedloom.llm.words import word_slices
 
+_SPANS = {"id": "<i8", "tag": "<i4", "start": "<i4", "count": "<i4"}
 _REPLY = "id long, tag int, start array<int>, count array<int>"
 _DONE = {"done_id": "<i8", "done_tag": "<i4", "done_start": "<i4", "done_end": "<i4"}
 
@@ -69,19 +70,25 @@ def _windows(batch: pa.RecordBatch, size: int, first: bool, last: bool, buckets:
         yield from blocks.packed({n: v.astype(kinds[n]) for n, v in columns.items()}, slot, list(kinds))
 
 
-def _resolve(batches: Iterator[pa.RecordBatch], size: int, last: bool) -> Iterator[pa.RecordBatch]:
-    """Before the last level the windows that are alive; at the last the words that repeated windows cover."""
+def _resolve(batches: Iterator[pa.RecordBatch], size: int, last: bool, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Before the last level the windows that are alive; at the last the words that repeated windows cover. Packed for the documents' buckets."""
     d = blocks.unpacked(batches, _columns(last))
     keep, several, later = folded(d["name"], [d["id"], d["tag"], d["at"]])
     hit = later if last else np.r_[later, keep[several | (d["many"][keep] > 0)]]
-    length = size if last else 1
     keys = [np.r_[d["id"][hit], d["done_id"]], np.r_[d["tag"][hit], d["done_tag"]]]
     at = d["at"][hit].astype(np.int64)
-    (ident, tag), start, end, begins = spans_per_key(keys, np.r_[at, d["done_start"]], np.r_[at + length, d["done_end"]])
-    arrays = [pa.array(ident), pa.array(tag), blocks.list_array(start, begins), blocks.list_array(end - start, begins)]
-    whole = pa.RecordBatch.from_arrays(arrays, names=["id", "tag", "start", "count"])
-    for i in range(0, len(ident), 4096):
-        yield whole.slice(i, 4096)
+    (ident, tag), start, end, begins = spans_per_key(keys, np.r_[at, d["done_start"]], np.r_[at + (size if last else 1), d["done_end"]])
+    count = np.diff(begins)
+    columns = {"id": np.repeat(ident, count), "tag": np.repeat(tag, count), "start": start, "count": end - start}
+    yield from blocks.packed({n: v.astype(_SPANS[n]) for n, v in columns.items()}, blocks.homes(columns["id"], buckets), list(_SPANS))
+
+
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document with its spans from all buckets, merged."""
+    d = blocks.unpacked(batches, _SPANS)
+    (ident, tag), start, end, begins = spans_per_key([d["id"], d["tag"]], d["start"], d["start"] + d["count"])
+    lists = [blocks.list_array(x, begins) for x in (start, end - start)]
+    yield from blocks.record_batches([pa.array(ident), pa.array(tag), *lists], list(_SPANS))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,11 +139,12 @@ def remove_repeated_windows(docs: DataFrame, words: int = 20, shortest: int | No
             rows,
             lambda b, size=size, first=first, last=last: _windows(b, size, first, last, buckets),
             list(_columns(last)),
-            lambda b, size=size, last=last: _resolve(b, size, last),
-            _REPLY,
+            lambda b, size=size, last=last: _resolve(b, size, last, buckets),
+            blocks.packed_schema(list(_SPANS)),
             buckets,
         )
-        found = per_document(found, ["start", "count"])
+        # One row per document, of few bytes: hashing it spares sorting the texts it is joined to.
+        found = blocks.dealt(found, buckets).mapInArrow(_documents, _REPLY).hint("shuffle_hash")
         if last:
             break
         rows, first, size = texts.join(found, KEY), False, size * 2
