@@ -67,7 +67,7 @@ def mix(
     plan = plan.withColumn("missing", F.col("target") - F.col("whole") * F.col("source_size"))
     plan = settled(plan.select("s", "source_size", "pulled", "n", "target", "whole", "missing"), "targets")
 
-    chance = F.col("missing") * F.col("pull") / F.col("pulled")
+    chance = F.try_divide(F.col("missing") * F.col("pull"), "pulled")
     odds = F.col("u") / (1 - F.col("u"))
     key = F.when(chance >= 1, 0.0).when(chance > 0, odds / (chance / (1 - chance)))
     drawn = sized.join(plan, F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("u", uniform(seed)).withColumn("key", key)
