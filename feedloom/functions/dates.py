@@ -32,6 +32,28 @@ DIRECTIVES = {
 }
 
 
+# What each directive matches in a text. Numbers have all their digits.
+_LETTERS = r"\p{L}"
+MATCHES = {d: rf"\d{{{len(p)}}}" for d, p in DIRECTIVES.items() if d in ("%Y", "%y", "%m", "%d", "%H", "%I", "%M", "%S", "%f", "%j")}
+MATCHES |= {"%p": "[AaPp][Mm]", "%b": _LETTERS + "{3}", "%a": _LETTERS + "{3}", "%B": _LETTERS + "+", "%A": _LETTERS + "+"}
+
+
+def date_regex(fmt: str) -> str:
+    """A regular expression for the text of a date in a strftime format."""
+
+    def one(match: re.Match) -> str:
+        token = match.group(0)
+        if token == "%%":
+            return "%"
+        if token.startswith("%"):
+            if token not in MATCHES:
+                raise ValueError(f"unsupported date directive {token!r}")
+            return MATCHES[token]
+        return re.sub(r"([^\w\s])", r"\\\1", token)
+
+    return re.sub(r"%.|[^%]+", one, fmt)
+
+
 def spark_pattern(fmt: str) -> str:
     """A Spark datetime pattern for a strftime format; letters outside directives are quoted."""
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedloom.functions.dates import spark_pattern
+from feedloom.functions.dates import date_regex, spark_pattern
 
 
 def folder(path: Column) -> Column:
@@ -70,9 +70,10 @@ def date_in_name(path: Column, prefix: str, fmt: str = "%Y%m%d", strict: bool =
 
     The prefix may be given as a glob, of which the part before the first ``*`` counts.
     """
-    width = len(fmt) + (2 if "%Y" in fmt else 0)
     rest = F.nullif(F.split_part(path, F.lit(prefix.split("*")[0]), F.lit(2)), F.lit(""))
-    return parse_date(F.left(rest, F.lit(width)), fmt, strict)
+    # Where the date ends is what its directives match; text they do not match is left to fail as a date.
+    found = F.nullif(F.regexp_extract(rest, f"^({date_regex(fmt)})", 1), F.lit(""))
+    return parse_date(F.coalesce(found, rest), fmt, strict)
 
 
 def cased(text: Column, mode: str | None) -> Column:

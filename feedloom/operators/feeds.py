@@ -132,15 +132,17 @@ def next_file(audit: DataFrame, sequence: DataFrame, requests: DataFrame) -> Dat
         .groupBy("domainname", "feeddate", "loadname")
         .agg(F.max("run_id").alias("run_id"))
     )
-    starts = F.startswith(F.col("loadname"), F.col("load_name"))
-    same_feed = (F.col("domainname") == F.col("domain_name")) & (F.col("feeddate") == F.col("feed_date"))
     asked_feeds = requests.select("domain_name", "feed_date", "load_name").distinct()
-    # One row per feed and load name again, so a DAG's requests share it.
-    latest = (
-        asked_feeds.join(runs, same_feed & starts)
-        .groupBy("domain_name", "feed_date", "load_name")
+    # Names are cut to the lengths asked for (no more of these than letters in a name), so that starting with a name is being equal to it.
+    lengths = [r.n for r in asked_feeds.where("load_name is not null").select(F.length("load_name").alias("n")).distinct().collect()]
+    cut = F.filter(F.array(*map(F.lit, sorted(lengths))).cast("array<int>"), lambda n: n <= F.length("loadname"))
+    starts = (
+        runs.select("domainname", "feeddate", "run_id", "loadname", F.explode(cut).alias("__n"))
+        .groupBy("domainname", "feeddate", F.left("loadname", F.col("__n")).alias("__start"))
         .agg(F.max("run_id").alias("run_id"))
     )
+    # One row per feed and load name again, so a DAG's requests share it.
+    latest = lookup(asked_feeds, starts, {"domain_name": "domainname", "feed_date": "feeddate", "load_name": "__start"}, "inner")
     # The few runs looked for are settled, so that the long audit table is cut down to them as it is read.
     latest = settled(latest, "latest-runs")
     wanted = latest.select(F.col("run_id").alias("__run")).distinct()

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedloom.operators.gates import branch
@@ -14,9 +13,6 @@ SELECTIONS = ("NEWER_OLDEST", "NEWER_LATEST")
 VALIDATIONS = ("FILENAME", "FILEMODTIME")
 # Fixed value: a source without a known last file starts here.
 FIRST_TIME = "1900-05-30 09:59:43"
-# Fixed value: up to this many ranks Spark cuts groups down before the shuffle
-# (the default of spark.sql.optimizer.windowGroupLimitThreshold).
-RANKS_KEPT = 1000
 TEXT_EXTENSIONS = ("dat", "csv", "txt")
 
 
@@ -78,21 +74,12 @@ def latest(files: DataFrame, folder: Column, suffix: Column, path: str = "path")
     )
 
 
-def nth_file(files: DataFrame, folder: Column, n: int = 0, path: str = "path", chunk: Column | None = None) -> DataFrame:
-    """The n-th file by path in each folder, from 0. Paths are unique.
+def nth_file(files: DataFrame, folder: Column, n: int = 0, path: str = "path") -> DataFrame:
+    """The n-th file by path in each folder, from 0, for any n. Paths are unique.
 
-    For a small n the test on the rank lets Spark keep only the first n + 1 rows of a folder in
-    each task before the shuffle, so a folder of any size sends little. For a large one
-    files are numbered by chunks, see :func:`ordering.numbered`.
+    Files are numbered by ranges (see :func:`ordering.numbered`), so a folder of any size is spread over tasks.
     """
-    files = files.select(folder.alias("folder"), path)
-    if n + 1 < RANKS_KEPT:
-        order = W.partitionBy("folder").orderBy(path)
-        ranked = files.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= n + 1)
-    elif chunk is not None:
-        ranked = numbered(files, ["folder"], [path], chunk, "__rank")
-    else:
-        raise ValueError(f"n from {RANKS_KEPT - 1} on needs a chunk expression")
+    ranked = numbered(files.select(folder.alias("folder"), path), ["folder"], [path], alias="__rank")
     return ranked.where(F.col("__rank") == n + 1).drop("__rank")
 
 
@@ -100,7 +87,6 @@ def numbered_names(
     files: DataFrame,
     folder: Column,
     order: list[str],
-    chunk: Column,
     prefix: str,
     stamp: Column,
     extension: str,
@@ -109,10 +95,9 @@ def numbered_names(
     """New names ``<prefix><stamp>_<n>.<extension>`` for the files of each folder, numbered from 1.
 
     A folder of one file goes without a number. With ``clock`` the stamp is a time, and each
-    file is one second later: ``<prefix>_<yyyyMMddHHmmss>.<extension>``. ``chunk`` splits folders
-    for the numbering, see :func:`ordering.numbered`.
+    file is one second later: ``<prefix>_<yyyyMMddHHmmss>.<extension>``.
     """
-    out = numbered(files.withColumn("folder", folder), ["folder"], order, chunk, "n", total="__total")
+    out = numbered(files.withColumn("folder", folder), ["folder"], order, alias="n", total="__total")
     end = F.lit("." + extension)
     if clock:
         moved = F.timestamp_add("SECOND", F.col("n").cast("int"), stamp)
@@ -173,11 +158,12 @@ def stable_files(before: DataFrame, after: DataFrame, path: str = "path", mark:
     return lookup(before, later, [path], "left_semi", extra=F.col(mark) == F.col("__mark"))
 
 
-def object_counts(files: DataFrame, folder: Column, limit: int = 1, path: str = "path") -> DataFrame:
-    """Files per folder, folder markers aside, and whether they are more than allowed."""
+def object_counts(folders: DataFrame, files: DataFrame, folder: Column, limit: int = 1, path: str = "path") -> DataFrame:
+    """Files per folder asked about, folder markers aside, and whether they are more than allowed. An empty folder has 0."""
     real = files.where(~F.endswith(F.col(path), F.lit("/")))
-    counts = real.groupBy(folder.alias("folder")).agg(F.count("*").alias("n"))
-    return counts.withColumn("too_many", F.col("n") > limit)
+    counts = real.groupBy(folder.alias("folder")).agg(F.count("*").alias("__n"))
+    out = lookup(folders, counts, ["folder"]).withColumn("n", F.coalesce("__n", F.lit(0))).drop("__n")
+    return out.withColumn("too_many", F.col("n") > limit)
 
 
 def presence_gate(folders: DataFrame, files: DataFrame, folder: Column, yes: str, no: str) -> DataFrame:
@@ -187,9 +173,14 @@ def presence_gate(folders: DataFrame, files: DataFrame, folder: Column, yes: str
     return out.withColumn("branch", branch(F.col("__n") >= 1, yes, no)).drop("__n")
 
 
+def has_content(line: Column) -> Column:
+    """Whether a line holds anything but white space: blanks, tabs and line ends of any system are none."""
+    return line.rlike(r"\S")
+
+
 def non_blank_lines(text: Column) -> Column:
-    """How many lines of a text are not blank."""
-    return F.size(F.filter(F.split(text, "\n"), lambda line: F.trim(line) != ""))
+    """How many lines of a text are not blank; lines end with LF, CR LF or CR."""
+    return F.size(F.filter(F.split(text, r"\r\n?|\n"), has_content))
 
 
 def data_gate(
@@ -209,7 +200,7 @@ def data_gate(
     fails the job, unless ``extensions`` is None. The manifest leads, since a file of blank lines
     only has no line to show.
     """
-    counts = lines.where(F.trim("value") != "").groupBy("path").agg(F.count("*").alias("__lines"))
+    counts = lines.where(has_content(F.col("value"))).groupBy("path").agg(F.count("*").alias("__lines"))
     sized = files.where(F.col("length") > 0)
     if extensions is not None:
         ext = F.lower(F.substring_index("path", ".", -1))

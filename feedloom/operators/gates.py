@@ -98,6 +98,7 @@ def status_gate(
 
 
 def status_gate_like(
+    domains: DataFrame,
     audit: DataFrame,
     names: Sequence[str],
     busy: str,
@@ -107,11 +108,18 @@ def status_gate_like(
 ) -> DataFrame:
     """As :func:`status_gate`, for load names that *contain* one of a few given texts.
 
-    Gives a row per domain and text that some load matches. Each audit row is tested
-    against the texts where it lies, so nothing is joined.
+    Gives a row per domain asked about (``domainname``) and text; one that no load matches is free. Each audit row is tested
+    against the texts where it lies, and only counts are joined.
     """
     texts = F.array(*[F.lit(n) for n in names])
     hits = F.filter(texts, lambda t: F.contains(F.col("loadname"), t))
     matched = audit.select("domainname", "run_id", "status", F.explode(hits).alias("load_text"))
     counts = _run_counts(matched, ["domainname", "load_text"], statuses, last_run)
-    return counts.withColumn("branch", branch(F.col("__n") > 0, busy, free)).drop("__n")
+    asked = domains.select("domainname", F.explode(texts).alias("load_text"))
+    out = lookup(asked, counts, ["domainname", "load_text"])
+    return out.withColumn("branch", branch(F.col("__n") > 0, busy, free)).drop("__n")
+
+
+def equality_gate(left: Column, right: Column, yes: str, no: str) -> Column:
+    """Whether two values are the same, such as the next file and the file that moves the feed date. NULL equals nothing."""
+    return branch(left == right, yes, no)

@@ -28,7 +28,8 @@ def settled(df: DataFrame, name: str) -> DataFrame:
 
 
 def unique_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The same rows, failing the job if two of them share a key."""
+    """The same rows, failing the job if two of them share a key. Rows with a NULL key, which match nothing, are left out."""
+    df = df.dropna(subset=list(keys))
     clash = F.raise_error(F.concat_ws(" ", F.lit("several source rows for key"), *[F.col(k).cast("string") for k in keys]))
     merged = df.groupBy(*keys).agg(F.count("*").alias("__n"), F.first(F.struct(*df.columns)).alias("__row"))
     checked = F.when(F.col("__n") == 1, F.col("__row")).otherwise(clash)

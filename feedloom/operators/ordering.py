@@ -4,13 +4,16 @@ A window over a group runs in one task. Where one group may hold a large share o
 rows, the group is cut into chunks along the order: rows are numbered or summed inside
 their chunk, and what the chunks before hold is added. A chunk expression must never
 fall as the order rises (``id div 4096``, the day of a time, the first letters of a name).
-Results do not depend on how it cuts; only the size of the largest task does. Where no
-expression cuts evenly, :func:`range_chunks` adds a column that does.
+Results do not depend on how it cuts; only the size of the largest task does. What the chunks
+before hold is itself worked out range by range, so the one step that takes a group
+as a whole has a row per range of it, of which there are as many as partitions. Numbering
+needs no chunks: without an expression the rows are cut into ranges themselves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -20,6 +23,7 @@ from pyspark.sql.window import WindowSpec
 from feedloom.operators.joins import settled
 
 _CHUNK = "__chunk"
+_RANGE = "__range"
 
 
 def global_sort(df: DataFrame, order: Sequence[str | Column], ties: Sequence[str] = ()) -> DataFrame:
@@ -45,13 +49,42 @@ def range_chunks(
     return settled(ranged.withColumn(alias, F.spark_partition_id()), "range-chunks")
 
 
+def _with_marks(df: DataFrame, marks: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Rows with the marks of their group and range; a NULL in the group is a value like any other."""
+    names = {g: f"__of_{i}" for i, g in enumerate([*group, _RANGE])}
+    same = [F.col(g).eqNullSafe(F.col(n)) for g, n in names.items()]
+    return df.join(marks.withColumnsRenamed(names), reduce(lambda a, b: a & b, same)).drop(*names.values())
+
+
 def _before(df: DataFrame, group: Sequence[str], totals: dict[str, Column], whole: dict[str, str]) -> DataFrame:
     """Per group and chunk, each total over the chunks before it, and over the whole group where asked."""
     chunks = df.groupBy(*group, _CHUNK).agg(*[t.alias(a) for a, t in totals.items()])
-    earlier = W.partitionBy(*group).orderBy(_CHUNK).rowsBetween(W.unboundedPreceding, -1)
-    out = {f"{a}_before": F.coalesce(F.sum(a).over(earlier), F.lit(0)) for a in totals}
-    out |= {name: F.sum(a).over(W.partitionBy(*group)) for a, name in whole.items()}
-    return chunks.select(*group, _CHUNK, *[c.alias(n) for n, c in out.items()])
+    cut = range_chunks(chunks, group, [_CHUNK], alias=_RANGE)
+    ranges = cut.groupBy(*group, _RANGE).agg(*[F.sum(a).alias(a) for a in totals])
+    earlier = W.partitionBy(*group).orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1)
+    marks = {f"{a}_earlier": F.coalesce(F.sum(a).over(earlier), F.lit(0)) for a in totals}
+    marks |= {name: F.sum(a).over(W.partitionBy(*group)) for a, name in whole.items()}
+    marked = _with_marks(cut, ranges.select(*group, _RANGE, *[c.alias(n) for n, c in marks.items()]), group)
+    inside = W.partitionBy(*group, _RANGE).orderBy(_CHUNK).rowsBetween(W.unboundedPreceding, -1)
+    out = {f"{a}_before": F.col(f"{a}_earlier") + F.coalesce(F.sum(a).over(inside), F.lit(0)) for a in totals}
+    return marked.select(*group, _CHUNK, *[c.alias(n) for n, c in out.items()], *whole.values())
+
+
+def _numbered_by_ranges(df: DataFrame, group: Sequence[str], order: Sequence[str], alias: str, total: str | None) -> DataFrame:
+    """Rows are shuffled once, to ranges of group and order, and settled there with their place.
+
+    A table of a row per group and range then says where each range's numbers start.
+    """
+    by = [*group, *order]
+    place = {_RANGE: F.spark_partition_id(), "__place": F.monotonically_increasing_id()}
+    rows = settled(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumns(place), "ranges")
+    parts = rows.groupBy(*group, _RANGE).agg(F.min("__place").alias("__first"), F.count("*").alias("__rows"))
+    earlier = W.partitionBy(*group).orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("__rows").over(earlier), F.lit(0)) - F.col("__first") + 1
+    whole = F.sum("__rows").over(W.partitionBy(*group))
+    marks = settled(parts.select(*group, _RANGE, start.alias("__start"), whole.alias("__whole")), "range-marks")
+    new = [(F.col("__start") + F.col("__place")).alias(alias), *([F.col("__whole").alias(total)] if total else [])]
+    return _with_marks(rows, marks, group).select(*df.columns, *new)
 
 
 def _inside(
@@ -70,11 +103,13 @@ def numbered(
     df: DataFrame,
     group: Sequence[str],
     order: Sequence[str],
-    chunk: Column,
+    chunk: Column | None = None,
     alias: str = "n",
     total: str | None = None,
 ) -> DataFrame:
     """Number the rows of each group from 1. The order must be total; ``total`` also adds the group's size."""
+    if chunk is None:
+        return _numbered_by_ranges(df, group, order, alias, total)
     df = df.withColumn(_CHUNK, chunk)
     marks = _before(df, group, {"__rows": F.count("*")}, {"__rows": "__whole"} if total else {})
     rows, inside = _inside(df, group, order, marks)

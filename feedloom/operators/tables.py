@@ -47,7 +47,7 @@ def upsert(
     """Insert rows whose key is new and update the ``update`` columns of the others.
 
     Of several rows for one key the last by ``order_by`` counts, as if they had come one after
-    the other. An inserted row gets ``insert_timestamp``, an updated one keeps its own and gets
+    the other; one without an order comes first. An inserted row gets ``insert_timestamp``, an updated one keeps its own and gets
     ``update_timestamp``. Keys are the primary key of the table: unique there, never NULL.
 
     The last rows are settled first (see :func:`joins.settled`). The table is joined to them from
@@ -55,7 +55,8 @@ def upsert(
     small enough for Spark to broadcast, the table is not shuffled however large it is.
     """
     values = [c for c in rows.columns if c not in keys]
-    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), order_by).alias("__new"))
+    place = F.struct(F.col(order_by).isNotNull(), F.col(order_by))
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), place).alias("__new"))
     last = settled(last, "upserts")
     hit = F.col("__new").isNotNull()
 

@@ -7,13 +7,43 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.sinks.publish import publish
+
 # The columns of the flight notification table in their order, and those that
 # are cast on loading.
 NOTIFICATION_COLUMNS = (
-    "notif_dtm carrier_cd flt_txt flt_num sch_dprt_dtl orig_arpt_cd dest_arpt_cd dvrt_txt cnxl_ind fst_notif "
-    "proc_compl_dtm agt_compl cust_cntct_cd pax_cnt mp_cnt compl_cd acars_txt rsn_cd rsn_txt email_cd ez_cd "
-    "stat_cd ready_ind flt_mnfst_ind wx_ind notes_txt create_dtm create_by update_dtm update_by load_dtm"
-).split()
+    "notif_dtm",
+    "carrier_cd",
+    "flt_txt",
+    "flt_num",
+    "sch_dprt_dtl",
+    "orig_arpt_cd",
+    "dest_arpt_cd",
+    "dvrt_txt",
+    "cnxl_ind",
+    "fst_notif",
+    "proc_compl_dtm",
+    "agt_compl",
+    "cust_cntct_cd",
+    "pax_cnt",
+    "mp_cnt",
+    "compl_cd",
+    "acars_txt",
+    "rsn_cd",
+    "rsn_txt",
+    "email_cd",
+    "ez_cd",
+    "stat_cd",
+    "ready_ind",
+    "flt_mnfst_ind",
+    "wx_ind",
+    "notes_txt",
+    "create_dtm",
+    "create_by",
+    "update_dtm",
+    "update_by",
+    "load_dtm",
+)
 NOTIFICATION_CASTS = {
     "notif_dtm": "timestamp",
     "sch_dprt_dtl": "date",
@@ -53,11 +83,17 @@ def load(
 ) -> None:
     """Replace a dataset by the typed content of a parquet prefix.
 
-    There is no staging copy: the files are read where they lie, only the listed columns of them.
+    The files are read where they lie, only the listed columns of them. The target is replaced when all
+    of the new content is written, so a load that fails leaves it as it was.
     """
-    typed(spark.read.parquet(prefix), columns, casts).write.mode("overwrite").parquet(target)
+    publish(spark, {target: typed(spark.read.parquet(prefix), columns, casts)})
 
 
 def insert_into(spark: SparkSession, df: DataFrame, table: str) -> None:
     """Insert into a catalog table by position, as an INSERT without a column list does."""
     df.write.insertInto(table)
+
+
+def replace_rows(spark: SparkSession, df: DataFrame, table: str) -> None:
+    """Empty a catalog table and insert by position: one overwrite, so readers never find it half done."""
+    df.write.insertInto(table, overwrite=True)

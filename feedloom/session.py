@@ -22,7 +22,10 @@ RUNTIME_CONF = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings the operators rely on and return the session."""
+    """Apply the settings the operators rely on and return the session.
+
+    They hold for all that uses this session afterwards.
+    """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
@@ -49,8 +52,10 @@ def scratch(spark: SparkSession, name: str) -> str:
     that every executor sees it and a lost executor loses nothing. Only where that
     is unset, as in tests, a machine-local folder stands in.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="feedloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

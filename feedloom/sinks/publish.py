@@ -9,24 +9,35 @@ touched before all outputs exist.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def stage(tables: Mapping[str, DataFrame], file_format: str = "parquet") -> dict[str, str]:
-    """Write each table next to its target path and give the staging path of each."""
+def stage(
+    tables: Mapping[str, DataFrame], file_format: str = "parquet", layout: Mapping[str, Sequence[str]] | None = None
+) -> dict[str, str]:
+    """Write each table next to its target path and give the staging path of each.
+
+    ``layout`` names the partition columns of the targets that have any.
+    """
     run = uuid.uuid4().hex
     staged = {}
     for target, df in tables.items():
         staged[target] = f"{target.rstrip('/')}__staged_{run}"
-        df.write.mode("errorifexists").format(file_format).save(staged[target])
+        by = (layout or {}).get(target, ())
+        df.write.mode("errorifexists").format(file_format).partitionBy(*by).save(staged[target])
     return staged
 
 
-def publish(spark: SparkSession, tables: Mapping[str, DataFrame], file_format: str = "parquet") -> None:
+def publish(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    file_format: str = "parquet",
+    layout: Mapping[str, Sequence[str]] | None = None,
+) -> None:
     """Replace the datasets at the given paths, all of them computed from the state before."""
-    put_in_place(spark, stage(tables, file_format))
+    put_in_place(spark, stage(tables, file_format, layout))
 
 
 def put_in_place(spark: SparkSession, staged: Mapping[str, str]) -> None:

@@ -1,4 +1,4 @@
-"""Zip archives: listing, reading and writing.
+"""Zip archives: listing and reading.
 
 An archive is opened where the task runs and read through in small batches, so neither
 an archive nor a member has to fit in memory. Members are listed first and then spread
@@ -11,17 +11,17 @@ from __future__ import annotations
 import io
 import itertools
 import sys
-import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from functools import partial
 
 import pyarrow as pa
-from pyspark import TaskContext, cloudpickle
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.sources.files import BATCH_ROWS, filesystem_of, manifest, qualified, spread
+from feedloom.sources.files import BATCH_ROWS, filesystem_of, manifest, spread, store_options
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -61,8 +61,8 @@ class _Seekable(io.RawIOBase):
 
 
 @contextmanager
-def _open_zip(uri: str) -> Iterator[zipfile.ZipFile]:
-    filesystem, path = filesystem_of(uri)
+def _open_zip(uri: str, options: Mapping[str, str]) -> Iterator[zipfile.ZipFile]:
+    filesystem, path = filesystem_of(uri, options)
     with io.BufferedReader(_Seekable(filesystem.open_input_file(path)), 1 << 20) as file:
         with zipfile.ZipFile(file) as archive:
             yield archive
@@ -89,24 +89,24 @@ class _Rows:
         self._held, self._bytes = [], 0
 
 
-def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _list_members(batches: Iterator[pa.RecordBatch], options: Mapping[str, str]) -> Iterator[pa.RecordBatch]:
     rows = _Rows(pa.schema([("path", pa.string()), ("member", pa.string()), ("length", pa.int64())]))
     for batch in batches:
         for uri in batch.column("path").to_pylist():
-            with _open_zip(uri) as archive:
+            with _open_zip(uri, options) as archive:
                 for info in archive.infolist():
                     if not info.is_dir():
                         yield from rows.add((uri, info.filename, info.file_size))
     yield from rows.rest()
 
 
-def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read_members(batches: Iterator[pa.RecordBatch], options: Mapping[str, str]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("path", pa.string()), ("member", pa.string()), ("line", pa.int64()), ("value", pa.string())])
     rows = _Rows(schema)
     for batch in batches:
         pairs = sorted(zip(batch.column("path").to_pylist(), batch.column("member").to_pylist(), strict=True))
         for uri, members in itertools.groupby(pairs, key=lambda pair: pair[0]):
-            with _open_zip(uri) as archive:
+            with _open_zip(uri, options) as archive:
                 for _, member in members:
                     with io.TextIOWrapper(archive.open(member), "utf-8") as lines:
                         for number, line in enumerate(lines):
@@ -117,44 +117,11 @@ def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def zip_members(spark: SparkSession, path: str) -> DataFrame:
     """One row per file in the zip archives below a path: ``path``, ``member``, ``length``."""
     archives = manifest(spark, path).where(F.endswith(F.lower("path"), F.lit(".zip"))).select("path")
-    return spread(archives, ["path"]).mapInArrow(_list_members, "path string, member string, length long")
+    return spread(archives, ["path"]).mapInArrow(partial(_list_members, options=store_options(spark)), "path string, member string, length long")
 
 
 def read_zip_lines(members: DataFrame, tasks: int | None = None) -> DataFrame:
     """Lines of archive members: ``path``, ``member``, ``line`` (from 0), ``value``. Takes rows of :func:`zip_members`."""
     keys = ["path", "member"]
     work = spread(members.select(*keys), keys, tasks)
-    return work.mapInArrow(_read_members, "path string, member string, line long, value string")
-
-
-def write_zip(df: DataFrame, target: str, member: str, content: str) -> DataFrame:
-    """Write text rows as members of zip archives, one archive per non-empty partition; gives one row per archive.
-
-    An archive is written under a name of its own and then moved to its final one, so a task
-    that is run again replaces what it wrote before. Run the result through an action once.
-    """
-
-    target = qualified(df.sparkSession, target)
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = next((b for b in batches if b.num_rows), None)
-        if first is None:
-            return
-        number = TaskContext.get().partitionId()
-        filesystem, base = filesystem_of(target)
-        filesystem.create_dir(base, recursive=True)
-        draft = f"{base}/_draft-{uuid.uuid4().hex}"
-        count = 0
-        with filesystem.open_output_stream(draft) as out:
-            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
-                for batch in itertools.chain([first], batches):
-                    members, texts = (batch.column(c).to_pylist() for c in ("member", "content"))
-                    for name, text in zip(members, texts, strict=True):
-                        archive.writestr(name, text if text is not None else "")
-                        count += 1
-        final = f"{base}/part-{number:05d}.zip"
-        filesystem.move(draft, final)
-        yield pa.RecordBatch.from_pydict({"path": [final], "members": [count]})
-
-    rows = df.select(F.col(member).alias("member"), F.col(content).alias("content"))
-    return rows.mapInArrow(write, "path string, members long")
+    return work.mapInArrow(partial(_read_members, options=store_options(members.sparkSession)), "path string, member string, line long, value string")

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
-from functools import partial
+from collections.abc import Iterator, Mapping, Sequence
+from functools import partial, reduce
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -13,6 +13,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.operators.joins import settled
+
 # Tasks get the functions they run by value, so the package need not be installed on the executors.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -20,13 +22,34 @@ WATERMARK = "max_start_timestamp"
 BATCH_ROWS = 8192
 
 
-def filesystem_of(uri: str) -> tuple[fs.FileSystem, str]:
-    """A file system for use inside tasks, and the path there."""
+# Hadoop's S3 settings, and what Arrow's file system calls them.
+_S3 = {
+    "fs.s3a.access.key": "access_key",
+    "fs.s3a.secret.key": "secret_key",
+    "fs.s3a.session.token": "session_token",
+    "fs.s3a.endpoint": "endpoint_override",
+    "fs.s3a.endpoint.region": "region",
+}
+
+
+def store_options(spark: SparkSession) -> dict[str, str]:
+    """Settings of the cluster's object store that file access inside tasks has to share."""
+    conf = spark._jsc.hadoopConfiguration()
+    return {name: conf.get(key) for key, name in _S3.items() if conf.get(key)}
+
+
+def filesystem_of(uri: str, options: Mapping[str, str] | None = None) -> tuple[fs.FileSystem, str]:
+    """A file system for use inside tasks, and the path there: local paths, ``file``, ``hdfs``, ``gs``, ``abfs`` and ``s3`` (``s3a``, ``s3n``).
+
+    ``options`` are those of :func:`store_options`, for S3. Other settings of Hadoop do not reach Arrow.
+    """
     # Hadoop writes local paths as file:/a/b, and has several names for S3.
     if uri.startswith("file:/") and not uri.startswith("file://"):
         uri = uri.replace("file:/", "file:///", 1)
     scheme, mark, rest = uri.partition("://")
-    if scheme in ("s3a", "s3n"):
+    if scheme in ("s3a", "s3n", "s3"):
+        if options:
+            return fs.S3FileSystem(**options), rest
         uri = f"s3{mark}{rest}"
     return fs.FileSystem.from_uri(quote(uri, safe=":/") if mark else uri)
 
@@ -46,40 +69,60 @@ def qualified(spark: SparkSession, path: str) -> str:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop_path).toString()
 
 
-def _list(batches: Iterator[pa.RecordBatch], deep: bool) -> Iterator[pa.RecordBatch]:
+_LISTED = "path string, modificationTime timestamp, length long, is_folder boolean"
+# So many folders are enough to spread over the tasks; each is then walked by one.
+_FOLDERS_PER_TASK = 4
+
+
+def _list(batches: Iterator[pa.RecordBatch], deep: bool, options: Mapping[str, str]) -> Iterator[pa.RecordBatch]:
+    """What lies in each folder; with ``deep`` also below it, folder after folder."""
     for batch in batches:
         for root in batch.column("path").to_pylist():
-            filesystem, base = filesystem_of(root)
-            found = filesystem.get_file_info(fs.FileSelector(base, recursive=deep))
-            if deep:
-                found = [i for i in found if i.is_file]
+            filesystem, base = filesystem_of(root, options)
             root, cut = root.rstrip("/"), len(base.rstrip("/"))
-            for start in range(0, len(found), BATCH_ROWS):
-                part = found[start : start + BATCH_ROWS]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([root + i.path[cut:] for i in part], pa.string()),
-                        pa.array([i.mtime for i in part], pa.timestamp("us", "UTC")),
-                        pa.array([i.size if i.is_file else None for i in part], pa.int64()),
-                        pa.array([not i.is_file for i in part], pa.bool_()),
-                    ],
-                    names=["path", "modificationTime", "length", "is_folder"],
-                )
-
-
-def list_objects(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """As :func:`manifest`, with the files Spark's own listing leaves out: empty ones and those named ``_*`` or ``.*``.
-
-    The folders directly below each path are listed by tasks of their own, where Spark's
-    listing is kept on the driver.
+            todo = [base]
+            while todo:
+                found = filesystem.get_file_info(fs.FileSelector(todo.pop()))
+                if deep:
+                    todo += [i.path for i in found if not i.is_file]
+                    found = [i for i in found if i.is_file]
+                for start in range(0, len(found), BATCH_ROWS):
+                    part = found[start : start + BATCH_ROWS]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([root + i.path[cut:] for i in part], pa.string()),
+                            pa.array([i.mtime for i in part], pa.timestamp("us", "UTC")),
+                            pa.array([i.size if i.is_file else None for i in part], pa.int64()),
+                            pa.array([not i.is_file for i in part], pa.bool_()),
+                        ],
+                        names=["path", "modificationTime", "length", "is_folder"],
+                    )
+
+
+def manifest(spark: SparkSession, path: str | Sequence[str], recursive: bool = True) -> DataFrame:
+    """One row per file: ``path``, ``modificationTime`` and ``length``. Empty files and those named ``_*`` or ``.*`` are listed too.
+
+    Folders are listed level by level until there are several for each task, which then walk what is below
+    them. A task holds one folder's entries at a time; the driver holds none. Listings are settled, so that later steps see
+    one state of the store.
     """
-    schema = "path string, modificationTime timestamp, length long, is_folder boolean"
     paths = [path] if isinstance(path, str) else list(path)
-    roots = spark.createDataFrame([(qualified(spark, p),) for p in paths], "path string")
-    top = roots.mapInArrow(partial(_list, deep=False), schema)
-    folders = spread(top.where("is_folder").select("path"), ["path"])
-    below = folders.mapInArrow(partial(_list, deep=True), schema)
-    return top.where("not is_folder").union(below).drop("is_folder")
+    options = store_options(spark)
+    folders = spark.createDataFrame([(qualified(spark, p),) for p in paths], "path string")
+    enough = _FOLDERS_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    listed: list[DataFrame] = []
+    while True:
+        level = settled(spread(folders, ["path"]).mapInArrow(partial(_list, deep=False, options=options), _LISTED), "listing")
+        listed.append(level.where("not is_folder"))
+        folders = level.where("is_folder").select("path")
+        count = folders.count() if recursive else 0
+        if count == 0:
+            break
+        if count >= enough:
+            below = spread(folders, ["path"]).mapInArrow(partial(_list, deep=True, options=options), _LISTED)
+            listed.append(settled(below, "listing"))
+            break
+    return reduce(DataFrame.union, listed).drop("is_folder")
 
 
 def file_path() -> Column:
@@ -90,13 +133,6 @@ def file_path() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
-def manifest(spark: SparkSession, path: str | Sequence[str], recursive: bool = True) -> DataFrame:
-    """One row per file of some length: ``path``, ``modificationTime`` and ``length``. File contents are not read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    paths = [path] if isinstance(path, str) else list(path)
-    return reader.load(paths).select("path", "modificationTime", "length")
-
-
 def read_lines(spark: SparkSession, path: str | Sequence[str], recursive: bool = True) -> DataFrame:
     """Lines of text files as ``path`` and ``value``. ``.gz`` files are unpacked on reading, each by one task."""
     paths = [path] if isinstance(path, str) else list(path)
@@ -106,7 +142,7 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], recursive: bool =
 
 def data_lines(lines: DataFrame) -> DataFrame:
     """Lines that are not blank."""
-    return lines.where(F.trim("value") != "")
+    return lines.where(F.col("value").rlike(r"\S"))
 
 
 def read_watermark(spark: SparkSession, path: str, column: str = WATERMARK, data_type: str = "timestamp") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.sinks.publish import publish
+
 
 def watermark_stream(stream: DataFrame, source: str, time: str) -> DataFrame:
     """Row count and greatest time of each source so far.
@@ -15,15 +17,27 @@ def watermark_stream(stream: DataFrame, source: str, time: str) -> DataFrame:
     return stream.groupBy(source).agg(F.max(F.col(time).cast("timestamp")).alias("start_timestamp"), F.count("*").alias("n"))
 
 
-def keep_watermarks(stream: DataFrame, table_path: str, checkpoint: str) -> None:
-    """Write what has changed since the last call to the control table at a path, and return.
+def _exists(spark: SparkSession, path: str) -> bool:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+
+
+def keep_watermarks(stream: DataFrame, table_path: str, checkpoint: str, source: str) -> None:
+    """Bring what has changed since the last call into the control table at a path, and return.
 
-    Each batch has a folder of its own, written over if the batch is run again, so a lost
-    driver or executor leaves nothing half done.
+    The table has one row per source. A batch is merged into it, and of each source the row with the greatest time (of equal ones, the
+    greatest count) stays; so a batch that runs again changes nothing, nor does a new checkpoint that starts over with old
+    files. The new table is complete before it takes the old one's place.
     """
 
     def put(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table_path}/batch={number}")
+        spark = batch.sparkSession
+        rows = batch.select(source, "start_timestamp", "n")
+        if _exists(spark, table_path):
+            rows = rows.unionByName(spark.read.parquet(table_path))
+        greatest = F.struct(F.col("start_timestamp").isNotNull().alias("known"), "start_timestamp", "n")
+        merged = rows.groupBy(source).agg(F.max(greatest).alias("r"))
+        publish(spark, {table_path: merged.select(source, "r.start_timestamp", "r.n")})
 
     query = (
         stream.writeStream.outputMode("update")
@@ -36,7 +50,5 @@ def keep_watermarks(stream: DataFrame, table_path: str, checkpoint: str) -> None
 
 
 def read_watermarks(spark: SparkSession, table_path: str, source: str) -> DataFrame:
-    """The current watermark of each source: its latest row over all batches."""
-    latest = F.max_by(F.struct("start_timestamp", "n"), "batch")
-    rows = spark.read.parquet(table_path).groupBy(source).agg(latest.alias("r"))
-    return rows.select(source, "r.start_timestamp", "r.n")
+    """The current watermark of each source."""
+    return spark.read.parquet(table_path).select(source, "start_timestamp", "n")

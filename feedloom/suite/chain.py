@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators.joins import settled
 from feedloom.plans import bulk_load, inactivation
+from feedloom.session import scratch
 from feedloom.suite.registry import Tables, query
 
 # One day before the first day of a year, so that legs of that year become active "tomorrow".
@@ -152,3 +155,44 @@ def bulk_load_typed(t: Tables) -> DataFrame:
     out = bulk_load.typed(staged)
     times = [c for c, kind in bulk_load.NOTIFICATION_CASTS.items() if kind == "timestamp"]
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
+
+
+@query(f"select {_CASTS} from (select {_staged_columns()} from lineitem) s")
+def bulk_load_target(t: Tables) -> DataFrame:
+    """A prefix loaded into a target, which is read, and its rows inserted by position into a table that was emptied."""
+    out = scratch(t.spark, "bulk-load")
+    t.spark.sql(f"select {_staged_columns()} from {{lineitem}}", lineitem=t.lineitem).write.parquet(f"{out}/prefix")
+    bulk_load.load(t.spark, f"{out}/prefix", f"{out}/target")
+    loaded = t.spark.read.parquet(f"{out}/target")
+    name = f"bulk_load_{uuid.uuid4().hex}"
+    loaded.limit(1).write.option("path", f"{out}/table").saveAsTable(name)
+    bulk_load.replace_rows(t.spark, loaded.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(loaded.columns)]), name)
+    times = [c for c, kind in bulk_load.NOTIFICATION_CASTS.items() if kind == "timestamp"]
+    return t.spark.read.parquet(f"{out}/table").withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
+
+
+_LEG_TEXT = "concat_ws('|', " + ", ".join(f"cast({c} as varchar(20))" for c in inactivation.LEG_TO_SCHEDULE) + ")"
+
+
+@query(
+    f"""{_WITH} select 'leg' as what, path_id, {_LEG_TEXT} as described, sch_leg_inactive_dt as ends from upd
+    union all select 'path', p.path_id, p.path_dscr, coalesce(v.minina, p.path_inactive_dt) from path p left join vip v on v.path_id = p.path_id
+    union all select 'end', path_id, null, minina from vip
+    union all select 'closed', v.path_id, p.path_dscr, null from vip v join path p on v.path_id = p.path_id"""
+)
+def scd_published(t: Tables) -> DataFrame:
+    """The whole chain over stored tables, and all that it leaves: legs, paths and both lists, from one input state."""
+    out = scratch(t.spark, "chain")
+    stored = {name: f"{out}/{name}" for name in ("legs", "schedules", "paths", "ends", "closed")}
+    for name, df in (("legs", legs(t)), ("schedules", schedules(t)), ("paths", paths(t))):
+        df.write.parquet(stored[name])
+    inactivation.run(t.spark, *stored.values(), FEED_DATE)
+    read = {name: t.spark.read.parquet(path) for name, path in stored.items()}
+    key = F.concat_ws("|", *[F.col(c).cast("string") for c in inactivation.LEG_TO_SCHEDULE])
+
+    def rows(name: str, what: str, described: Column, ends: Column) -> DataFrame:
+        return read[name].select(F.lit(what).alias("what"), "path_id", described.alias("described"), ends.cast("date").alias("ends"))
+
+    text, none, dscr = F.lit(None).cast("string"), F.lit(None), F.col("path_dscr")
+    out = rows("legs", "leg", key, F.col(inactivation.END)).union(rows("paths", "path", dscr, F.col("path_inactive_dt")))
+    return out.union(rows("ends", "end", text, F.col("minina"))).union(rows("closed", "closed", dscr, none))

@@ -168,8 +168,10 @@ def feed_cycle(t: Tables) -> DataFrame:
 
 @query(
     f"""with c as (select distinct domainname, loadname, run_date from ({CATCHUP}) k)
-    select * from c where not exists (select 1 from ({RUN_CONTROL}) r where r.domainname = c.domainname
-    and trim(r.loadname) = c.loadname and r.run_date = c.run_date + 1)"""
+    select 'catchup' as kind, domainname, loadname, run_date, cast(null as date) as feed_date from c where not exists (
+    select 1 from ({RUN_CONTROL}) r where r.domainname = c.domainname and trim(r.loadname) = c.loadname and r.run_date = c.run_date + 1)
+    union all select 'control', domainname, loadname, run_date, feed_date from ({RUN_CONTROL}) r
+    union all select 'control', domainname, trim(loadname), run_date - 1, feed_date from ({RUN_CONTROL}) r"""
 )
 def catchup_cleared(t: Tables) -> DataFrame:
     run_control, catchup = _table(t, RUN_CONTROL, "orders"), _table(t, CATCHUP, "orders")
@@ -177,8 +179,11 @@ def catchup_cleared(t: Tables) -> DataFrame:
         "domainname", F.trim("loadname").alias("loadname"), F.date_add("run_date", -1).alias("run_date"), "feed_date"
     )
     now = F.lit("2024-01-01 00:00:00").cast("timestamp")
-    empty = done.limit(0).withColumn("insert_timestamp", now)
-    return cycle.record_cycle(empty, catchup.distinct(), done, now)[1]
+    before = run_control.select("domainname", "loadname", "run_date", "feed_date", now.alias("insert_timestamp"))
+    control, left = cycle.record_cycle(before, catchup.distinct(), done, now)
+    columns = ["kind", "domainname", "loadname", "run_date", "feed_date"]
+    left = left.select(F.lit("catchup").alias("kind"), "domainname", "loadname", "run_date", F.lit(None).cast("date").alias("feed_date"))
+    return left.union(control.withColumn("kind", F.lit("control")).select(*columns))
 
 
 _AUDIT = f"audit as ({AUDIT})"
@@ -212,16 +217,29 @@ def latest_run_status(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""with {_AUDIT}, m as (select a.domainname, p.load_text, a.run_id, a.status from audit a
-    join (values ('load_1'), ('7'), ('99')) p(load_text) on contains(a.loadname, p.load_text)),
+    f"""with {_AUDIT}, q as (select distinct a.domainname, p.load_text from audit a
+    cross join (values ('load_1'), ('7'), ('99'), ('zzz')) p(load_text)),
+    m as (select q.domainname, q.load_text, a.run_id, a.status from q
+    left join audit a on a.domainname = q.domainname and contains(a.loadname, q.load_text)),
     z as (select domainname, load_text, max(run_id) as run_id from m group by 1, 2)
     select m.domainname, m.load_text, case when count(case when m.status = 'started' then 1 end) > 0
     then 'skip' else 'next' end as branch from m join z on z.domainname = m.domainname and z.load_text = m.load_text
-    and z.run_id = m.run_id group by 1, 2"""
+    and z.run_id is not distinct from m.run_id group by 1, 2"""
 )
 def status_gate_like(t: Tables) -> DataFrame:
     audit = _table(t, AUDIT, "orders")
-    return gates.status_gate_like(audit, ["load_1", "7", "99"], "skip", "next", last_run=True)
+    domains = audit.select("domainname").distinct()
+    return gates.status_gate_like(domains, audit, ["load_1", "7", "99", "zzz"], "skip", "next", last_run=True)
+
+
+@query(
+    """select o_orderkey, case when left(o_orderpriority, 1) = cast(o_custkey % 5 + 1 as varchar(1)) then 'next' else 'skip' end as branch
+    from orders"""
+)
+def equality_gate(t: Tables) -> DataFrame:
+    """Whether the file that comes next is the one that moves the feed date."""
+    moves = (F.col("o_custkey") % 5 + 1).cast("string")
+    return t.orders.select("o_orderkey", gates.equality_gate(F.left("o_orderpriority", F.lit(1)), moves, "next", "skip").alias("branch"))
 
 
 @query(
@@ -239,21 +257,22 @@ def count_gate(t: Tables) -> DataFrame:
 _RUNS = f"runs as ({RUNS})"
 _STEPS = """steps(domain_name, load_name, "current", "next") as (values
     ('F', 'load', '1-URGENT', '2-HIGH'), ('F', 'load', '2-HIGH', '3-MEDIUM'), ('F', 'load', '3-MEDIUM', '4-NOT SPECIFIED'),
-    ('O', 'load', '1-URGENT', '5-LOW'), ('O', 'load', '5-LOW', '1-URGENT'), ('P', 'load', '4-NOT SPECIFIED', '1-URGENT'))"""
+    ('O', 'load', '1-URGENT', '5-LOW'), ('O', 'load', '5-LOW', '1-URGENT'), ('P', 'load', '4-NOT SPECIFIED', '1-URGENT'), ('F', 'loadF', '1-URGENT', '5-LOW'),
+    ('F', 'loadF', '2-HIGH', '1-URGENT'))"""
 
 
 @query(
     f"""with {_RUNS}, {_STEPS},
-    asked as (select distinct domainname, feeddate, dag_name from runs),
-    top as (select q.domainname, q.feeddate, q.dag_name, max(r.run_id) as run_id from asked q left join runs r
-        on r.domainname = q.domainname and r.feeddate = q.feeddate and r.status = 'completed' and r.loadname like 'load%'
-        group by 1, 2, 3),
-    cur as (select m.domainname, m.feeddate, m.dag_name, r.loadname, row_number() over (
-        partition by m.domainname, m.feeddate, m.dag_name order by r.end_time desc nulls first, r.loadname desc) as rn
+    asked as (select distinct domainname, feeddate, dag_name, asks from runs cross join (values ('load'), ('loadF')) a(asks)),
+    top as (select q.domainname, q.feeddate, q.dag_name, q.asks, max(r.run_id) as run_id from asked q left join runs r
+        on r.domainname = q.domainname and r.feeddate = q.feeddate and r.status = 'completed' and starts_with(r.loadname, q.asks)
+        group by 1, 2, 3, 4),
+    cur as (select m.domainname, m.feeddate, m.dag_name, m.asks, r.loadname, row_number() over (
+        partition by m.domainname, m.feeddate, m.dag_name, m.asks order by r.end_time desc nulls first, r.loadname desc) as rn
         from top m left join runs r on r.run_id = m.run_id and lower(r.dag_name) = lower(m.dag_name))
-    select c.domainname as domain_name, 'load' as load_name, c.feeddate as feed_date, c.dag_name,
+    select c.domainname as domain_name, c.asks as load_name, c.feeddate as feed_date, c.dag_name,
     case when c.loadname is null then 'first' else s."next" end as next_file
-    from cur c left join steps s on s.domain_name = c.domainname and s."current" = split_part(c.loadname, '::', 2)
+    from cur c left join steps s on s.domain_name = c.domainname and s.load_name = c.asks and s."current" = split_part(c.loadname, '::', 2)
     where c.rn = 1"""
 )
 def latest_run_next_file(t: Tables) -> DataFrame:
@@ -261,7 +280,7 @@ def latest_run_next_file(t: Tables) -> DataFrame:
     sequence = t.spark.sql(f"with {_STEPS} select * from steps".replace('"', "`"))
     asked = runs.select(
         F.col("domainname").alias("domain_name"),
-        F.lit("load").alias("load_name"),
+        F.explode(F.array(F.lit("load"), F.lit("loadF"))).alias("load_name"),
         F.col("feeddate").alias("feed_date"),
         "dag_name",
         F.lit("first").alias("default_file"),
@@ -400,13 +419,13 @@ def audit_json(t: Tables) -> DataFrame:
 
 
 @query(
-    """select source, doc_id, running_size, running_size > 200000 as over_cap from (select source, doc_id,
+    """select source, doc_id, running_size, running_size > 20000 as over_cap from (select source, doc_id,
     cast(sum(n_chars) over (partition by source order by doc_id rows between unbounded preceding and current row)
     as bigint) as running_size from documents) x"""
 )
 def running_cap(t: Tables) -> DataFrame:
     rows = t.documents.select("source", "doc_id", "n_chars")
-    out = ordering.over_cap(rows, ["source"], ["doc_id"], "n_chars", 200_000, F.floor(F.col("doc_id") / 1024))
+    out = ordering.over_cap(rows, ["source"], ["doc_id"], "n_chars", 20_000, F.floor(F.col("doc_id") / 1024))
     return out.drop("n_chars")
 
 
@@ -478,7 +497,7 @@ def control_upsert(t: Tables) -> DataFrame:
 
 
 @query(
-    """with t as (select cast(c_custkey as varchar(20)) as loadname from customer),
+    """with t as (select cast(c_custkey * 2 as varchar(20)) as loadname from customer),
     u as (select cast(user_id as varchar(20)) as loadname, max(case when value > 60 then ts end) as start_timestamp
         from events group by 1 having max(case when value > 60 then ts end) is not null)
     select 'events' as domainname, coalesce(t.loadname, u.loadname) as loadname,
@@ -493,7 +512,7 @@ def watermark_upsert(t: Tables) -> DataFrame:
     day, time = F.lit("1990-01-01").cast("date"), "timestamp_ntz"
     control = t.customer.select(
         F.lit("events").alias("domainname"),
-        F.col("c_custkey").cast("string").alias("loadname"),
+        (F.col("c_custkey") * 2).cast("string").alias("loadname"),
         day.alias("run_date"),
         day.alias("feed_date"),
         F.lit("1990-01-02").cast(time).alias("insert_timestamp"),

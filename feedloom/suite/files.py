@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions import dates, names, text
-from feedloom.operators import filesets, ordering
+from feedloom.operators import filesets
 from feedloom.operators.gates import branch
 from feedloom.operators.joins import settled
 from feedloom.sinks.datasets import max_watermark as top_value
@@ -34,9 +36,24 @@ def manifest_select(t: Tables) -> DataFrame:
     return files.select("page_id", "path")
 
 
-@query(f"select {_HOST} as folder, count(*) as n, count(*) > 1 as too_many from pages where not url like '%/' group by 1")
+@query(
+    f"""select {_HOST} as folder, count(case when not url like '%/' then 1 end) as n,
+    count(case when not url like '%/' then 1 end) > 1 as too_many from pages group by 1
+    union all select 'nothing.example.com', 0, false"""
+)
 def manifest_count_gate(t: Tables) -> DataFrame:
-    return filesets.object_counts(listing(t), host())
+    files = listing(t)
+    nothing = t.spark.createDataFrame([("nothing.example.com",)], "folder string")
+    return filesets.object_counts(files.select(host().alias("folder")).distinct().union(nothing), files, host())
+
+
+@query("select o_orderkey, 'in/' || strftime(o_orderdate, '%Y-%m-%d') || '/f.csv' as path from orders where year(o_orderdate) = 1996 and month(o_orderdate) = 2")
+def run_date_folder(t: Tables) -> DataFrame:
+    """Files in the folders of one month's run dates."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    files = t.orders.select("o_orderkey", F.concat(F.lit("in/"), day, F.lit("/f.csv")).alias("path"))
+    days = [filesets.select_files(files, prefix="in/", suffix=".csv", run_date=f"1996-02-{d:02d}") for d in range(1, 30)]
+    return reduce(DataFrame.union, days)
 
 
 @query(
@@ -83,9 +100,7 @@ def nth_file(t: Tables) -> DataFrame:
 def numbered_exports(t: Tables) -> DataFrame:
     files = t.pages.select("page_id", names.bucket(F.col("url")).alias("host"), names.key(F.col("url")).alias("key"))
     order = ["key", "page_id"]
-    files = ordering.range_chunks(files, ["host"], order)
-    stamp = F.lit("20240101")
-    out = filesets.numbered_names(files, F.col("host"), order, F.col("chunk"), "exp_", stamp, "txt")
+    out = filesets.numbered_names(files, F.col("host"), order, "exp_", F.lit("20240101"), "txt")
     return out.select("page_id", "new_name")
 
 
@@ -157,11 +172,19 @@ def path_clean(t: Tables) -> DataFrame:
     return files.where(F.col("path") != F.col("clean"))
 
 
-@query("select o_orderkey, cast(o_orderdate as date) as feed_date from orders")
+@query(
+    """select o_orderkey, cast(o_orderdate as date) as feed_date, cast(o_orderdate as date) as by_name,
+    cast(o_orderdate as date) as by_day from orders"""
+)
 def file_date(t: Tables) -> DataFrame:
-    name = F.concat(F.lit("in/feed_"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit(".dat"))
-    return t.orders.select("o_orderkey", name.alias("path")).select(
-        "o_orderkey", names.date_in_name(F.col("path"), "feed_*.dat").alias("feed_date")
+    def path(pattern: str) -> Column:
+        return F.concat(F.lit("in/feed_"), F.date_format("o_orderdate", pattern), F.lit("1.dat"))
+
+    return t.orders.select(
+        "o_orderkey",
+        names.date_in_name(path("yyyyMMdd"), "feed_*.dat").alias("feed_date"),
+        names.date_in_name(path("ddMMMMyyyy"), "feed_*.dat", "%d%B%Y").alias("by_name"),
+        names.date_in_name(path("yyyyDDD"), "feed_*.dat", "%Y%j").alias("by_day"),
     )
 
 
@@ -255,8 +278,10 @@ def monthly30(t: Tables) -> DataFrame:
 
 
 @query(
-    """select doc_id, cast(len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')) as bigint) as n
-    from documents"""
+    r"""select doc_id, cast(len(list_filter(string_split_regex(replace(text, '. ', concat('.', chr(13), chr(10), chr(9), chr(13))), '\r\n?|\n'),
+    lambda x: regexp_matches(x, '\S'))) as bigint) as n from documents"""
 )
 def nonblank_counts(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", filesets.non_blank_lines(F.col("text")).cast("long").alias("n"))
+    # Sentences become lines of all kinds, with a line of a tab between them.
+    lines = F.replace(F.col("text"), F.lit(". "), F.lit(".\r\n\t\r"))
+    return t.documents.select("doc_id", filesets.non_blank_lines(lines).cast("long").alias("n"))

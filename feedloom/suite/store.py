@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators import filesets
+from feedloom.operators import filesets, gates
 from feedloom.plans import extract
 from feedloom.session import scratch
 from feedloom.sinks import load_manifest as put_manifest
 from feedloom.sinks import write_dataset, write_watermark
 from feedloom.sources import archives, files
 from feedloom.streaming import file_stream, keep_watermarks, process_new_files, read_watermarks, watermark_stream
+from feedloom.suite.fixtures import put_file, write_zip
 from feedloom.suite.registry import Tables, query
 
+#: Unpacked bytes of one packed file.
+PACKED_BYTES = 256 << 20
+
 
 def _texts_by_source(t: Tables) -> str:
     """Document texts as files, one folder per source."""
@@ -26,49 +30,91 @@ def _folder() -> Column:
     return F.regexp_extract("path", "/source=([^/]*)/", 1)
 
 
-@query("select source as folder, cast(sum(strlen(text) + 1) as bigint) as bytes, true as has_files from documents group by 1")
+def _written(listed: DataFrame) -> DataFrame:
+    """Without the marks and checksums that writing leaves."""
+    return listed.where(~F.col("path").rlike(r"\.crc$|/_SUCCESS$"))
+
+
+@query(
+    """select source as folder, cast(sum(strlen(text) + 1) + case when source = 'src1' then 3 else 0 end as bigint) as bytes,
+    case when source = 'src1' then 1 else 0 end as n_empty, case when source = 'src1' then 1 else 0 end as n_hidden, true as timed
+    from documents group by 1"""
+)
 def file_manifest(t: Tables) -> DataFrame:
-    found = files.manifest(t.spark, _texts_by_source(t)).groupBy(_folder().alias("folder"))
-    return found.agg(F.sum("length").alias("bytes"), (F.count("*") > 0).alias("has_files"))
+    """Bytes by folder; one of the folders also holds an empty and a hidden file."""
+    out = _texts_by_source(t)
+    put_file(t.spark, f"{out}/source=src1/empty.txt")
+    put_file(t.spark, f"{out}/source=src1/_hidden", b"abc")
+    found = _written(files.manifest(t.spark, out)).groupBy(_folder().alias("folder"))
+    return found.agg(
+        F.sum("length").alias("bytes"),
+        F.count_if(F.col("length") == 0).cast("int").alias("n_empty"),
+        F.count_if(F.col("path").rlike("/[_.][^/]*$")).cast("int").alias("n_hidden"),
+        (F.min("modificationTime") > F.lit("2000-01-01").cast("timestamp")).alias("timed"),
+    )
 
 
-@query("select source as folder, bool_or(trim(text) <> '') as has_data from documents group by 1")
+@query(
+    r"""select source as folder, source <> 'src1' and bool_or(regexp_matches(text, '\S')) as has_data from documents group by 1"""
+)
 def data_gate(t: Tables) -> DataFrame:
-    path = _texts_by_source(t)
+    """Folders with data; the texts of one source are blanks and tabs."""
+    blank = F.when(F.col("source") == "src1", F.lit(" \t ")).otherwise(F.col("text"))
+    path = scratch(t.spark, "texts")
+    t.documents.select("source", blank.alias("value")).write.partitionBy("source").text(path)
     folders = t.documents.select(F.col("source").alias("folder")).distinct()
-    return filesets.data_gate(folders, files.manifest(t.spark, path), files.read_lines(t.spark, path), _folder())
+    return filesets.data_gate(folders, _written(files.manifest(t.spark, path)), files.read_lines(t.spark, path), _folder())
+
+
+@query(
+    """select concat('l_', lang) as load_name, count(case when n_chars > 300 then 1 end) as count,
+    case when count(case when n_chars > 300 then 1 end) >= 1 then 'new' else 'none' end as branch from documents group by 1
+    union all select 'l_nothing', 0, 'none'"""
+)
+def status_documents(t: Tables) -> DataFrame:
+    """Status documents written one to a load, read back and judged."""
+    out = scratch(t.spark, "status")
+    long = F.count_if(F.col("n_chars") > 300).alias("count")
+    nothing = t.spark.createDataFrame([("l_nothing", 0)], "load string, count long")
+    counts = t.documents.groupBy(F.concat(F.lit("l_"), F.col("lang")).alias("load")).agg(long).union(nothing)
+    counts.repartition("load").write.partitionBy("load").json(out)
+    load = F.regexp_extract("path", "/load=([^/]*)/", 1)
+    found = files.read_status(t.spark, out).select(load.alias("load_name"), "count")
+    return found.withColumn("branch", gates.json_count_gate(F.to_json(F.struct("count")), "new", "none"))
 
 
 @query(
-    """select concat('doc_', cast(doc_id as varchar(20)), '.txt') as member,
-    cast(len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')) as bigint) as lines,
+    r"""select concat('doc_', cast(doc_id as varchar(20)), '.txt') as member,
+    cast(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '\S'))) as bigint) as lines,
     cast(length(replace(text, chr(10), '')) as bigint) as chars from documents"""
 )
 def archive_lines(t: Tables) -> DataFrame:
     out = scratch(t.spark, "zips")
     member = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt"))
     rows = t.documents.select(member.alias("member"), "text")
-    archives.write_zip(rows.repartition("member"), out, "member", "text").write.format("noop").mode("overwrite").save()
+    write_zip(rows.repartition("member"), out, "member", "text").write.format("noop").mode("overwrite").save()
     lines = archives.read_zip_lines(archives.zip_members(t.spark, out))
     counted = lines.groupBy("member").agg(
-        F.count_if(F.trim("value") != "").alias("lines"), F.sum(F.length("value")).alias("chars")
+        F.count_if(filesets.has_content(F.col("value"))).alias("lines"), F.sum(F.length("value")).alias("chars")
     )
     return counted
 
 
 @query(
-    """select lang, cast(sum(len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> ''))) as bigint) as lines,
+    r"""select lang, cast(sum(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '\S')))) as bigint) as lines,
     cast(sum(length(replace(text, chr(10), ''))) as bigint) as chars from documents group by 1"""
 )
 def gzip_lines(t: Tables) -> DataFrame:
     out = scratch(t.spark, "gzip")
     rows = t.documents.select("lang", F.col("text").alias("value"))
-    # A packed file is read by one task, so files are kept small.
-    write_dataset(rows, out, "text", records_per_file=1000, partition_by=["lang"], compression="gzip")
+    # A packed file is read by one task, so a file holds what one task reads well.
+    each = rows.agg(F.avg(F.length("value") + 1).alias("n")).first().n or 1
+    per_file = max(1, int(PACKED_BYTES / each))
+    write_dataset(rows, out, "text", records_per_file=per_file, partition_by=["lang"], compression="gzip")
     lang = F.regexp_extract("path", "/lang=([^/]*)/", 1)
     lines = files.read_lines(t.spark, out)
     return lines.groupBy(lang.alias("lang")).agg(
-        F.count_if(F.trim("value") != "").alias("lines"), F.sum(F.length("value")).alias("chars")
+        F.count_if(filesets.has_content(F.col("value"))).alias("lines"), F.sum(F.length("value")).alias("chars")
     )
 
 
@@ -112,7 +158,11 @@ def stream_new_files(t: Tables) -> DataFrame:
 @query("select event_type, max(ts) as start_timestamp, count(*) as n from events group by 1")
 def stream_max_watermark(t: Tables) -> DataFrame:
     out = scratch(t.spark, "watermarks")
-    stream = file_stream(t.spark, t.path("events") + "*", t.events.schema)
-    keep_watermarks(watermark_stream(stream, "event_type", "ts"), f"{out}/table", f"{out}/checkpoint")
+    # Several files, one to a batch.
+    t.events.repartition(3, "event_id").write.parquet(f"{out}/in")
+    stream = file_stream(t.spark, f"{out}/in", t.events.schema, files_per_batch=1)
+    # A second checkpoint starts over with the same files, which changes nothing.
+    for checkpoint in ("one", "two"):
+        keep_watermarks(watermark_stream(stream, "event_type", "ts"), f"{out}/table", f"{out}/{checkpoint}", "event_type")
     kept = read_watermarks(t.spark, f"{out}/table", "event_type")
     return kept.withColumn("start_timestamp", F.col("start_timestamp").cast("timestamp_ntz"))

@@ -137,8 +137,9 @@ def test_status_and_count_gates(spark):
     loads = spark.createDataFrame([("dom", "load"), ("dom", "none")], "domainname string, loadname string")
     assert rows(gates.status_gate(loads, a, "skip", "next"), "loadname", "branch") == [("load", "skip"), ("none", "next")]
     assert rows(gates.status_gate(loads, a, "skip", "next", last_run=True), "loadname", "branch") == [("load", "next"), ("none", "next")]
-    like = gates.status_gate_like(a, ["load", "b"], "skip", "next", ["failed"], last_run=True)
-    assert rows(like, "load_text", "branch") == [("b", "skip"), ("load", "skip")]
+    domains = loads.select("domainname").distinct()
+    like = gates.status_gate_like(domains, a, ["load", "b", "zzz"], "skip", "next", ["failed"], last_run=True)
+    assert rows(like, "load_text", "branch") == [("b", "skip"), ("load", "skip"), ("zzz", "next")]
     asked = loads.withColumn("feed_date", F.lit("2024-01-01").cast("date")).withColumn("expected_count", F.lit(2))
     out = gates.count_gate(asked, a, "next", "skip")
     assert rows(out, "loadname", "completed", "branch") == [("load", 2, "next"), ("none", 0, "skip")]
@@ -203,6 +204,13 @@ def test_upsert_does_not_shuffle_the_table_for_a_few_rows(spark):
     assert plan.count("BroadcastHashJoin") == 3 and "hashpartitioning" not in plan
 
 
+def test_upsert_takes_rows_without_an_order(spark):
+    table = spark.createDataFrame([(1, 10, "t0")], "k long, v long, insert_timestamp string")
+    new = spark.createDataFrame([(1, 11, None), (2, 20, None), (3, 30, None), (3, 31, 1)], "k long, v long, at int")
+    out = tables.upsert(table, new, ["k"], ["v"], F.lit("now"), "at")
+    assert rows(out, "*") == [(1, 11, "t0"), (2, 20, "now"), (3, 31, "now")]
+
+
 def test_append_and_delete(spark):
     table = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
     added = spark.createDataFrame([(2, "c"), (3, None)], "k int, v string")

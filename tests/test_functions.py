@@ -114,6 +114,8 @@ def test_date_in_name(value):
     assert value(names.date_in_name(bad, "feed_", strict=False)) is None
     with pytest.raises(PySparkException):
         value(names.date_in_name(bad, "feed_"))
+    for name, fmt in (("feed_15Jul2023x.dat", "%d%b%Y"), ("feed_20231961.dat", "%Y%j"), ("feed_15-July-2023-2.dat", "%d-%B-%Y"), ("feed_230715_9", "%y%m%d")):
+        assert value(names.date_in_name(F.lit(name), "feed_", fmt)) == date(2023, 7, 15)
 
 
 def test_file_names(value):

@@ -22,10 +22,10 @@ def by_group(data):
     return [list(rows) for _, rows in itertools.groupby(order, key=lambda r: r[0])]
 
 
-@pytest.mark.parametrize("width", [1, 7, 100, 100_000])
+@pytest.mark.parametrize("width", [None, 1, 7, 100, 100_000])
 def test_numbered(skewed, width):
     data, df = skewed
-    out = ordering.numbered(df, ["g"], ["id"], F.floor(F.col("id") / width), total="size")
+    out = ordering.numbered(df, ["g"], ["id"], width and F.floor(F.col("id") / width), total="size")
     assert out.columns == ["g", "id", "v", "n", "size"]
     want = {(r[0], r[1], i, len(rows)) for rows in by_group(data) for i, r in enumerate(rows, 1)}
     assert {(r.g, r.id, r.n, r["size"]) for r in out.collect()} == want
@@ -59,7 +59,18 @@ def test_a_group_is_cut_into_several_tasks(skewed):
     out = ordering.numbered(df, ["g"], ["id"], F.floor(F.col("id") / 100))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(g#" in plan and "__chunk#" in plan
-    assert "Join" not in plan
+
+
+def test_a_hot_group_is_numbered_over_many_ranges(spark):
+    df = spark.range(50_000).select(F.lit("hot").alias("g"), F.col("id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    out = ordering.numbered(df, ["g"], ["id"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert out.where("n <> id + 1").count() == 0
+    ranges = out.inputFiles()
+    assert len([f for f in ranges if "ranges-" in f]) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Exchange hashpartitioning" not in plan  # rows are not shuffled again
 
 
 def test_global_sort(spark):
@@ -93,25 +104,22 @@ def test_keep_latest(spark):
 def test_nth_file(spark):
     files = manifest(spark, *[f"d/{i:05d}" for i in range(1500)], "e/only")
     assert [r.path for r in filesets.nth_file(files, folder(), 2).collect()] == ["d/00002"]
-    late = filesets.nth_file(files, folder(), 1200, chunk=F.left("path", F.lit(5)))
+    late = filesets.nth_file(files, folder(), 1200)
     assert [r.path for r in late.collect()] == ["d/01200"]
-    with pytest.raises(ValueError, match="chunk"):
-        filesets.nth_file(files, folder(), 1200)
-    plan = filesets.nth_file(files, folder(), 2)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert [r.path for r in filesets.nth_file(files, folder(), 999).collect()] == ["d/00999"]
+    assert filesets.nth_file(files, folder(), 1500).collect() == []
 
 
 def test_numbered_names(spark):
     files = manifest(spark, "d/a", "d/b", "e/only")
-    chunk = F.left("path", F.lit(3))
-    out = filesets.numbered_names(files, folder(), ["path"], chunk, "exp_", F.lit("2024"), "txt")
+    out = filesets.numbered_names(files, folder(), ["path"], "exp_", F.lit("2024"), "txt")
     assert sorted((r.path, r.new_name) for r in out.collect()) == [
         ("d/a", "exp_2024_1.txt"),
         ("d/b", "exp_2024_2.txt"),
         ("e/only", "exp_2024.txt"),
     ]
     last_second = F.lit("2024-12-31 23:59:58").cast("timestamp")
-    out = filesets.numbered_names(files, folder(), ["path"], chunk, "exp", last_second, "txt", clock=True)
+    out = filesets.numbered_names(files, folder(), ["path"], "exp", last_second, "txt", clock=True)
     assert sorted((r.path, r.new_name) for r in out.collect()) == [
         ("d/a", "exp_20241231235959.txt"),
         ("d/b", "exp_20250101000000.txt"),
@@ -130,8 +138,9 @@ def test_select_files(spark):
 
 def test_counts_and_presence(spark):
     files = manifest(spark, "d/", "d/a", "d/b", "e/a")
-    counts = {r.folder: (r.n, r.too_many) for r in filesets.object_counts(files, folder()).collect()}
-    assert counts == {"d/": (2, True), "e/": (1, False)}
+    asked = spark.createDataFrame([("d/",), ("e/",), ("none/",)], "folder string")
+    counts = {r.folder: (r.n, r.too_many) for r in filesets.object_counts(asked, files, folder()).collect()}
+    assert counts == {"d/": (2, True), "e/": (1, False), "none/": (0, False)}
     asked = spark.createDataFrame([("d/",), ("none/",)], "folder string")
     out = filesets.presence_gate(asked, files, folder(), "yes", "no").collect()
     assert {r.folder: r.branch for r in out} == {"d/": "yes", "none/": "no"}

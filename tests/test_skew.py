@@ -3,12 +3,10 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as entry_points
+from feedloom.suite import ORACLES, QUERIES
 from tests.oracle import compare, sql_session
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
 
 # One leg key, customer, user, host and source with a third of all rows each.
 HOT = {
@@ -39,8 +37,19 @@ def sql_files():
     return sorted(Path(SF_DIR).glob("*.parquet"))
 
 
+@pytest.fixture(params=["broadcasts", "shuffles"])
+def joined(spark, request):
+    """Joins as Spark likes them, and with all of them shuffled."""
+    if request.param == "shuffles":
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_hot_keys(spark, hot_dir, name):
+def test_hot_keys(spark, hot_dir, joined, name):
     (kinds, rows), (sql_kinds, sql_rows) = compare(QUERIES[name](spark, hot_dir), sql_session(hot_dir), ORACLES[name])
     assert kinds == sql_kinds
     assert rows - sql_rows == sql_rows - rows

@@ -16,6 +16,7 @@ from feedloom.session import scratch
 from feedloom.sinks import publish, write_dataset, write_watermark
 from feedloom.sources import archives, files, jdbc
 from feedloom.streaming import file_stream, keep_watermarks, process_new_files, read_watermarks, watermark_stream
+from feedloom.suite.fixtures import write_zip
 
 
 def test_jdbc_options():
@@ -153,7 +154,6 @@ def landing(tmp_path):
 def test_manifest_and_lines_agree_on_paths(spark, landing):
     listed = files.manifest(spark, landing)
     assert listed.columns == ["path", "modificationTime", "length"]
-    assert "content" not in listed._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
     lines = files.data_lines(files.read_lines(spark, landing)).groupBy("path").count()
     got = {r.path.split("/landing/")[1]: r["count"] for r in listed.join(lines, "path").collect()}
     assert got == {"good/a b+c%20.txt": 2, "blank/y.txt": 1, "mixed/f.DAT": 1}
@@ -161,16 +161,32 @@ def test_manifest_and_lines_agree_on_paths(spark, landing):
 
 def test_listing_has_empty_files_and_the_same_paths(spark, landing):
     (Path(landing) / "top.txt").write_text("x")
-    listed = files.list_objects(spark, landing)
+    (Path(landing) / "empty" / "_hidden").write_text("abc")
+    listed = files.manifest(spark, landing)
     got = {r.path: (r.modificationTime, r.length) for r in listed.collect()}
-    known = {r.path: (r.modificationTime, r.length) for r in files.manifest(spark, landing).collect()}
-    assert {p for p in got if got[p][1] == 0} == set(got) - set(known)
-    assert len(got) == 7 and len(known) == 5
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing)
+    known = {r.path: (r.modificationTime, r.length) for r in reader.select("path", "modificationTime", "length").collect()}
+    assert {p.rpartition("/")[2] for p in set(got) - set(known)} == {p.rpartition("/")[2] for p in got if got[p][1] == 0} | {"_hidden"}
+    assert len(got) == 8 and len(known) == 5
     for path, (time, length) in known.items():
         assert got[path][1] == length and abs((got[path][0] - time).total_seconds()) < 1
+    flat = {r.path.rpartition("/")[2] for r in files.manifest(spark, landing, recursive=False).collect()}
+    assert flat == {"top.txt"}
     folder = F.regexp_extract("path", "([^/]*)/[^/]*$", 1)
-    counts = filesets.object_counts(listed, folder, limit=1).collect()
-    assert {r.folder: r.n for r in counts} == {"good": 1, "blank": 2, "mixed": 2, "empty": 1, "landing": 1}
+    asked = spark.createDataFrame([(f,) for f in ("good", "blank", "mixed", "empty", "landing", "none")], "folder string")
+    counts = filesets.object_counts(asked, listed, folder, limit=1).collect()
+    assert {r.folder: r.n for r in counts} == {"good": 1, "blank": 2, "mixed": 2, "empty": 2, "landing": 1, "none": 0}
+
+
+def test_listing_walks_deep_folders(spark, tmp_path):
+    for i in range(40):
+        for j in range(3):
+            folder = tmp_path / f"a{i}" / "b" / f"c{j}"
+            folder.mkdir(parents=True)
+            (folder / "f").write_text("x" * i)
+    listed = files.manifest(spark, str(tmp_path)).collect()
+    assert sorted(r.length for r in listed) == sorted([*range(40)] * 3)
+    assert len({r.path for r in listed}) == 120
 
 
 def test_data_gate(spark, landing):
@@ -195,7 +211,7 @@ def test_data_gate(spark, landing):
 def test_zip_round_trip(spark, tmp_path):
     target = f"{tmp_path}/zips in"
     df = spark.createDataFrame([(f"m{i}.txt", f"line {i}\r\n\nend") for i in range(50)] + [("none.txt", None)], "m string, t string")
-    made = archives.write_zip(df.repartition(3), target, "m", "t").collect()
+    made = write_zip(df.repartition(3), target, "m", "t").collect()
     assert sum(r.members for r in made) == 51
     members = archives.zip_members(spark, target)
     assert members.count() == 51
@@ -256,7 +272,7 @@ def test_bulk_load(spark, tmp_path):
     staged.withColumn("more", F.lit(1)).write.parquet(f"{tmp_path}/staged")
     bulk_load.load(spark, f"{tmp_path}/staged", f"{tmp_path}/target")
     out = spark.read.parquet(f"{tmp_path}/target")
-    assert out.columns == columns
+    assert out.columns == list(columns)
     assert out.first().notif_dtm == datetime(2024, 1, 2, 3, 4, 5)
     bad = staged.withColumn("load_dtm", F.lit("soon"))
     assert bulk_load.typed(bad, permissive=True).first().load_dtm is None
@@ -292,13 +308,43 @@ def test_watermarks_grow_over_calls(spark, tmp_path):
 
     def arrive(*rows):
         spark.createDataFrame(rows, "s string, ts timestamp").coalesce(1).write.mode("append").parquet(source)
-        keep_watermarks(watermark_stream(file_stream(spark, source, "s string, ts timestamp"), "s", "ts"), table, check)
+        keep_watermarks(watermark_stream(file_stream(spark, source, "s string, ts timestamp"), "s", "ts"), table, check, "s")
         return {r.s: (r.start_timestamp.day, r.n) for r in read_watermarks(spark, table, "s").collect()}
 
     day = lambda d: datetime(2024, 1, d)
     assert arrive(("a", day(5)), ("b", day(1))) == {"a": (5, 1), "b": (1, 1)}
     # A late row counts, and does not move the watermark back.
     assert arrive(("a", day(2)), ("c", day(9))) == {"a": (5, 2), "b": (1, 1), "c": (9, 1)}
+    # With a new checkpoint batches are numbered from 0 again; a later time still wins.
+    check = f"{tmp_path}/another"
+    assert arrive(("a", day(20))) == {"a": (20, 3), "b": (1, 1), "c": (9, 1)}
+
+
+def test_publish_keeps_the_layout(spark, tmp_path):
+    target = f"{tmp_path}/table"
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "v int, k string")
+    df.write.partitionBy("k").parquet(target)
+    publish(spark, {target: spark.read.parquet(target).withColumn("v", F.col("v") + 1)}, layout={target: ["k"]})
+    assert sorted(p.name for p in Path(target).iterdir() if p.is_dir()) == ["k=a", "k=b"]
+    assert sorted((r.v, r.k) for r in spark.read.parquet(target).collect()) == [(2, "a"), (3, "b")]
+
+
+def test_blank_lines_of_all_kinds(spark):
+    df = spark.createDataFrame([("a\r\n\r\n\t\nb",), (" \t ",), ("\r\n",), ("x\ry",), (None,)], "t string")
+    assert [r[0] for r in df.select(filesets.non_blank_lines(F.col("t"))).collect()] == [2, 0, 0, 2, None]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="share"):
+        scratch(Session(), "x")
 
 
 def test_scratch_is_new_each_time(spark):

@@ -139,6 +139,15 @@ def test_unique_by_passes_unique_rows(spark):
     assert {tuple(r) for r in unique_by(df.select("k"), ["k"]).collect()} == {(1,), (2,)}
 
 
+def test_unique_by_passes_null_keys_over(spark):
+    df = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c")], "k int, v string")
+    assert {tuple(r) for r in unique_by(df, ["k"]).collect()} == {(1, "c")}
+    target = spark.createDataFrame([(None, 1), (1, 1)], "k int, v int")
+    source = spark.createDataFrame([(None, 5), (None, 6), (1, 7)], "sk int, n int")
+    out = update_from(target, source, {"k": "sk"}, {"v": F.col("n")}, F.col("n") > 0)
+    assert {tuple(r) for r in out.collect()} == {(None, 1), (1, 7)}
+
+
 def test_lookup_refuses_keys_of_two_types(spark):
     left, right = spark.createDataFrame([(1,)], "k int"), spark.createDataFrame([(1, 2)], "k long, v int")
     with pytest.raises(TypeError, match="differ in type"):
