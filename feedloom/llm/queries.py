@@ -13,7 +13,7 @@ from feedloom.llm.quality_rules import BASE, judge
 from feedloom.llm.simhash import near_duplicates
 from feedloom.llm.substring_dedup import remove_repeated_windows
 from feedloom.llm.suffix_dedup import remove_repeats
-from feedloom.llm.warc_zip import round_trip
+from feedloom.llm.warc_zip import REVISIT_BYTES, round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +34,14 @@ def op1_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+ORACLES["op1_warc_zip"] = f"""
+    with p as (select page_id, url, coalesce(html, '') as html from pages),
+    k as (select *, strlen(html) as payload_bytes, max(page_id) over (partition by html) as top from p)
+    select page_id, payload_bytes, sha1(html) as payload_digest,
+      case when payload_bytes >= {REVISIT_BYTES} and page_id <> top then 'revisit' else 'response' end as record_type,
+      case when payload_bytes >= {REVISIT_BYTES} and page_id <> top then top end as refers_to, url from k"""
+
+
 @query
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes left of every document once all 100-byte strings that occur earlier are cut."""
@@ -47,6 +55,19 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ORACLES["op2_suffix_dedup"] = r"""
+    with d as (select doc_id, encode(coalesce(text, '')) as x, strlen(coalesce(text, '')) as n from documents),
+    b as (select doc_id, n, x, unnest(range(1, n + 1)) as i from d),
+    k as (select doc_id, i, hex(x[i : i]) as byte, case when i + 99 <= n then x[i : i + 99] end as win from b),
+    r as (select doc_id, i, byte, win is not null and row_number() over (partition by win order by doc_id, i) > 1 as again from k),
+    c as (select *, bool_or(again) over (partition by doc_id order by i rows between 99 preceding and current row) as gone from r),
+    e as (select *, gone and not coalesce(lag(gone) over (partition by doc_id order by i), false) as opens from c),
+    s as (select doc_id, count(case when gone then 1 end) as n_removed, count(case when opens then 1 end) as n_spans,
+      string_agg(byte, '' order by i) filter (not gone) as kept from e group by doc_id)
+    select d.doc_id, d.n::bigint as n_bytes, coalesce(s.n_removed, 0) as n_removed, coalesce(s.n_spans, 0) as n_spans,
+      sha256(unhex(coalesce(s.kept, ''))) as kept_sha256 from d left join s on s.doc_id = d.doc_id"""
+
+
 @query
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed: sources weigh 3, 1, 2 in turn, 150 % of all words, no source more than twice."""
@@ -77,6 +98,18 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLES["op6_substring_dedup"] = r"""
+    with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+    w as (select doc_id, len(ws) as n, unnest(ws) as word, generate_subscripts(ws, 1) as i from d),
+    k as (select *, case when i + 19 <= n then string_agg(word, ' ') over (
+      partition by doc_id order by i rows between current row and 19 following) end as win from w),
+    r as (select *, win is not null and row_number() over (partition by win order by doc_id, i) > 1 as again from k),
+    c as (select *, bool_or(again) over (partition by doc_id order by i rows between 19 preceding and current row) as gone from r),
+    s as (select doc_id, count(case when gone then 1 end) as n_removed, string_agg(word, ' ' order by i) filter (not gone) as kept from c group by doc_id)
+    select d.doc_id, len(d.ws)::bigint as n_words, coalesce(s.n_removed, 0) as n_removed, sha256(coalesce(s.kept, '')) as kept_sha256
+    from d left join s on s.doc_id = d.doc_id"""
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features of every document, and whether the rules' votes taken together keep it."""

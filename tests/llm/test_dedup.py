@@ -10,11 +10,11 @@ import xxhash
 
 from feedloom.llm import near_copies, simhash
 from feedloom.llm.components import components
-from feedloom.llm.queries import QUERIES
+from feedloom.llm.queries import ORACLES, QUERIES
 from feedloom.llm.rolling import Rolling, leftmost_minima, mixed
 from feedloom.llm.substring_dedup import remove_repeated_windows
 from feedloom.llm.suffix_dedup import remove_repeats
-from tests.llm.helpers import LOWER, SF, WORD, documents, empty, odd_documents, order
+from tests.llm.helpers import LOWER, SF, WORD, documents, duck, empty, odd_documents, order
 
 
 def sha(data: bytes) -> str:
@@ -193,3 +193,12 @@ def test_rolling_names():
     least = leftmost_minima(mixed(values), 7)
     plain = [i + int(np.argmin(mixed(values)[i : i + 7] >> np.uint64(31))) for i in range(394)]
     assert least.tolist() == plain
+
+
+@pytest.mark.parametrize("name", ["op1_warc_zip", "op2_suffix_dedup", "op3_mixing", "op6_substring_dedup"])
+def test_queries_equal_sql(spark, name):
+    table = duck(ORACLES[name])
+    df = QUERIES[name](spark, SF)
+    assert sorted(df.columns) == sorted(table.column_names)
+    expected = collections.Counter(zip(*(table.column(c).to_pylist() for c in df.columns), strict=True))
+    assert collections.Counter(map(tuple, df.collect())) == expected

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from feedloom.llm import decontaminate, language, licences, quality_rules
 from feedloom.llm.mixing import mix
-from feedloom.llm.queries import ORACLES, QUERIES
-from tests.llm.helpers import LOWER, SF, WORD, documents, duck, empty, odd_documents, sample
+from feedloom.llm.queries import QUERIES
+from tests.llm.helpers import LOWER, SF, WORD, documents, empty, odd_documents, sample
 
 
 @pytest.fixture(scope="module")
@@ -241,13 +241,6 @@ def test_votes_of_one_kind_do_not_hide_another():
     assert sum(quality_rules.kinds_of(bad(2, 3), model)) == pytest.approx(1)
 
 
-def test_mixing_equals_sql(spark):
-    rows = {tuple(r) for r in QUERIES["op3_mixing"](spark, SF).collect()}
-    names = ["doc_id", "size", "source_size", "target", "taken"]
-    table = duck(ORACLES["op3_mixing"])
-    assert rows == set(zip(*(table.column(n).to_pylist() for n in names), strict=True))
-
-
 def test_mixing_odd_rows(spark, monkeypatch):
     monkeypatch.setattr("feedloom.llm.mixing.CELL_ROWS", 3)
     rows = odd_documents(random.Random(7))
