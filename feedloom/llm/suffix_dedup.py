@@ -15,7 +15,9 @@ block, and what decides long ties is worked out beforehand:
    resolves the tie, and differ in at most seven bytes on either side. One offset is sorted at a time, by those bytes and that rank.
 
 Both exchanges carry numbers only. Equal entries of one slice of text are folded before they are sent, so that a passage
-in a third of all documents costs one entry per slice.
+in a third of all documents costs one entry per slice. A gram that has many names in some slice, as at the edge of such a passage, is hot: its
+anchors are dealt out by name instead of by gram, and their suffixes by all their bytes instead of by rank, so neither meets in one task. A mark
+tells the gram's own bucket, where slices with few names of it have sent theirs; all open anchors of a gram are treated alike.
 """
 
 from __future__ import annotations
@@ -34,12 +36,14 @@ from feedloom.llm.spans import merged, spans_per_key
 
 GRAM = 24
 BLOCK = 8
+#: Names of one gram in a slice from which the gram is hot. It decides where entries go, not what comes out.
+HOT = 16
 _SPANS = ["start", "end"]
-_REPLY = "id long, tag int, start array<int>, end array<int>, anchor array<int>"
+_REPLY = "id long, tag int, start array<int>, end array<int>, anchor array<int>, hot array<int>"
 _FOUND = {"id": "<i8", "tag": "<i4", "start": "<i4", "end": "<i4"}
-_FOUND |= {"open_id": "<i8", "open_tag": "<i4", "open_start": "<i4", "open_last": "<i4", "open_anchor": "<i4"}
+_FOUND |= {"open_id": "<i8", "open_tag": "<i4", "open_start": "<i4", "open_last": "<i4", "open_anchor": "<i4", "open_hot": "<i4"}
 _DONE = {"done_id": "<i8", "done_tag": "<i4", "done_start": "<i4", "done_end": "<i4"}
-_ANCHORS = {"gram": "<u4", "name": "<u8", "id": "<i8", "tag": "<i4", "start": "<i4", "last": "<i4", "anchor": "<i4"} | _DONE
+_ANCHORS = {"mark": "<u4", "hot": "u1", "gram": "<u4", "name": "<u8", "id": "<i8", "tag": "<i4", "start": "<i4", "last": "<i4", "anchor": "<i4"} | _DONE
 _SUFFIXES = {"rank": "<u8", "left": "<u8", "right": "<u8", "near": "u1", "far": "u1", "id": "<i8", "tag": "<i4", "at": "<i4"} | _DONE
 
 
@@ -81,12 +85,12 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     d = blocks.unpacked(batches, _FOUND)
     (ident, tag), start, end, begins = spans_per_key([d["id"], d["tag"]], d["start"], d["end"])
     none = pa.nulls(len(ident), pa.list_(pa.int32()))
-    names = [*KEY, *_SPANS, "anchor"]
-    yield from blocks.record_batches([pa.array(ident), pa.array(tag), *(blocks.list_array(x, begins) for x in (start, end)), none], names)
+    names = [*KEY, *_SPANS, "anchor", "hot"]
+    yield from blocks.record_batches([pa.array(ident), pa.array(tag), *(blocks.list_array(x, begins) for x in (start, end)), none, none], names)
     order = np.lexsort((d["open_start"], d["open_tag"], d["open_id"]))
     ident, tag = d["open_id"][order], d["open_tag"][order]
     fresh = np.flatnonzero(np.r_[True, (ident[1:] != ident[:-1]) | (tag[1:] != tag[:-1])]) if len(order) else order
-    lists = [blocks.list_array(d[n][order], np.r_[fresh, len(order)]) for n in ("open_start", "open_last", "open_anchor")]
+    lists = [blocks.list_array(d[n][order], np.r_[fresh, len(order)]) for n in ("open_start", "open_last", "open_anchor", "open_hot")]
     yield from blocks.record_batches([pa.array(ident[fresh]), pa.array(tag[fresh]), *lists], names)
 
 
@@ -123,26 +127,38 @@ def _anchors(batch: pa.RecordBatch, width: int, buckets: int) -> Iterator[pa.Rec
         keep, drop = order[fresh], order[later]
         columns = {"gram": gram, "name": name, "id": ident, "tag": tag, "start": first - base, "last": last - base, "anchor": anchor - base}
         keep = np.sort(keep)
-        bucket = (gram[keep] >> np.uint64(33)).astype(np.int64) % buckets
-        yield from blocks.packed(_as(_ANCHORS, {n: v[keep] for n, v in columns.items()}), bucket, names)
+        grams_here, which, count = np.unique(gram[keep], return_inverse=True, return_counts=True)
+        hot = count[which] >= HOT
+        columns = {n: v[keep] for n, v in columns.items()} | {"hot": hot}
+        bucket = (np.where(hot, name[keep], gram[keep]) >> np.uint64(33)).astype(np.int64) % buckets
+        yield from blocks.packed(_as(_ANCHORS, columns), bucket, names)
+        marked = grams_here[count >= HOT]
+        yield from blocks.packed(_as(_ANCHORS, {"mark": marked}), (marked >> np.uint64(33)).astype(np.int64) % buckets, names)
         yield from _done(int(name[0] >> np.uint64(40)), buckets, ident[drop], tag[drop], (first - base)[drop], (last - base)[drop] + width, names)
 
 
 def _resolve_anchors(batches: Iterator[pa.RecordBatch], width: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Spans of repeated anchors; and the first of each name whose gram has other names too, to be looked at suffix by suffix."""
     d = blocks.unpacked(batches, _ANCHORS)
-    order, fresh, later = _ordered([d["gram"], d["name"]], [d["id"], d["tag"], d["start"]])
+    order, fresh, later = _ordered([d["hot"], d["gram"], d["name"]], [d["id"], d["tag"], d["start"]])
     drop = order[later]
     yield from _spans(d, [(d["id"][drop], d["tag"][drop], d["start"][drop], d["last"][drop] + width)], buckets)
     first = order[fresh]
-    gram = d["gram"][first]
-    if len(first) > 1:
-        same = gram[1:] == gram[:-1]
-        left = first[np.r_[same, False] | np.r_[False, same]]
-        columns = {f"open_{n}": d[n][left] for n in ("id", "tag", "start", "last", "anchor")}
+    gram, hot = d["gram"][first], d["hot"][first] > 0
+    if len(first):
+        same = (gram[1:] == gram[:-1]) & ~hot[1:]
+        hot |= np.isin(gram, d["mark"])
+        left = np.r_[same, False] | np.r_[False, same] | hot
+        hot, left = hot[left], first[left]
+        columns = {f"open_{n}": d[n][left] for n in ("id", "tag", "start", "last", "anchor")} | {"open_hot": hot}
         yield from blocks.packed(_as(_FOUND, columns), blocks.homes(columns["open_id"], buckets), list(_FOUND))
 
 
+def _low_bytes(count: np.ndarray) -> np.ndarray:
+    """Masks of so many low bytes, at most seven."""
+    return (np.uint64(1) << (8 * count).astype(np.uint64)) - np.uint64(1)
+
+
 def _suffixes(batch: pa.RecordBatch, width: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """The suffixes that open anchors own, in blocks of offsets."""
     names = list(_SUFFIXES)
@@ -155,6 +171,7 @@ def _suffixes(batch: pa.RecordBatch, width: int, buckets: int) -> Iterator[pa.Re
         part = batch.slice(begin, stop - begin)
         doc = np.repeat(np.arange(stop - begin), part.column("start").value_lengths().to_numpy(zero_copy_only=False))
         start, last, anchor = (part.column(c).flatten().to_numpy(zero_copy_only=False).astype(np.int64) + at[doc] for c in ("start", "end", "anchor"))
+        hot = part.column("hot").flatten().to_numpy(zero_copy_only=False) > 0
         low, high = (anchor - last) // BLOCK, (anchor - start) // BLOCK
         count = high - low + 1
         each = np.repeat(np.arange(len(doc)), count)
@@ -173,11 +190,21 @@ def _suffixes(batch: pa.RecordBatch, width: int, buckets: int) -> Iterator[pa.Re
             shift = np.uint64(8 * i)
             before |= np.where(i < far, text[np.maximum(core + BLOCK - 1 - i, 0)].astype(np.uint64) << shift, np.uint64(0))
             after |= np.where(i < BLOCK - 1 - near, text[np.minimum(core + BLOCK + size + i, len(text) - 1)].astype(np.uint64) << shift, np.uint64(0))
-        ident, tag, place = ids[begin:stop][doc[each]], tags[begin:stop][doc[each]], core - at[doc[each]]
+        ident, tag, place, hot = ids[begin:stop][doc[each]], tags[begin:stop][doc[each]], core - at[doc[each]], hot[each]
+        if hot.any():
+            # One entry for each suffix, with the bytes that count for it only.
+            count = np.where(hot, far - near + 1, 1)
+            which = np.repeat(np.arange(len(hot)), count)
+            offset = near[which] + np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+            rank, before, after, ident, tag, place, near, far, hot = (x[which] for x in (rank, before, after, ident, tag, place, near, far, hot))
+            near, far = np.where(hot, offset, near), np.where(hot, offset, far)
+            before = np.where(hot, before & _low_bytes(offset), before)
+            after = np.where(hot, after & _low_bytes(BLOCK - 1 - offset), after)
         order, fresh, later = _ordered([rank, before, after, near, far], [ident, tag, place])
         keep, drop = np.sort(order[fresh]), order[later]
         columns = {"rank": rank, "left": before, "right": after, "near": near, "far": far, "id": ident, "tag": tag, "at": place}
-        bucket = (rank[keep] >> np.uint64(33)).astype(np.int64) % buckets
+        whole = mixed(rank ^ mixed(before ^ mixed(after + near.astype(np.uint64))))
+        bucket = (np.where(hot, whole, rank)[keep] >> np.uint64(33)).astype(np.int64) % buckets
         yield from blocks.packed(_as(_SUFFIXES, {n: v[keep] for n, v in columns.items()}), bucket, names)
         yield from _done(int(rank[0] >> np.uint64(40)), buckets, ident[drop], tag[drop], place[drop] - far[drop], place[drop] - near[drop] + width, names)
 
