@@ -11,7 +11,7 @@ from feedloom.operators.joins import settled
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents to a cell of the ranking; a cell is what one task orders.
-CELL_ROWS = 20_000
+CELL_ROWS = 2_000
 
 
 def uniform(seed: str) -> Column:
