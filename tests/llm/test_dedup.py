@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from feedloom.llm import near_copies, simhash
+from feedloom.llm import near_copies, simhash, suffix_dedup
 from feedloom.llm.components import components
 from feedloom.llm.queries import ORACLES, QUERIES
 from feedloom.llm.rolling import Rolling, leftmost_minima, mixed
@@ -65,6 +65,20 @@ def test_remove_repeats(spark, seed, width):
     assert got == answers(rows, cut_strings(rows, width))
 
 
+def test_hot_grams_are_cut_alike(spark, monkeypatch):
+    """Many surroundings of one passage, with any number of them hot."""
+    rng = random.Random(11)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(150))
+    pieces = ["".join(rng.choice("xyzuvw ") for _ in range(n)) for n in (3, 5, 40, 120)]
+    texts = [rng.choice(pieces) + rng.choice(pieces) + passage[rng.choice([0, 0, 2, 9]) :] + rng.choice(pieces) + "".join(rng.choice("mnop") for _ in range(30)) for _ in range(120)]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    expected = answers(rows, cut_strings(rows, 100))
+    for hot in (1, 2, 5, 16, 1000):
+        monkeypatch.setattr(suffix_dedup, "HOT", hot)
+        out = remove_repeats(documents(spark, rows), 100).collect()
+        assert collections.Counter((r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), len(r.removed), sha(bytes(r.kept))) for r in out) == expected
+
+
 def test_remove_repeats_whole_characters(spark):
     rng = random.Random(9)
     passage, other = ("".join(rng.choice("éèêëàâäôöûüçñ") for _ in range(n)) for n in (80, 60))
@@ -158,7 +172,9 @@ def test_components(spark):
     assert got == groups(nodes, [(a, b) for a, b in linked if a != b])
 
 
-def test_one_of_each(spark):
+@pytest.mark.parametrize("hot", [2, 16])
+def test_one_of_each(spark, monkeypatch, hot):
+    monkeypatch.setattr(near_copies, "HOT", hot)
     rng = random.Random(8)
     rows = [(i, t, "en", "s", 1) for i, t in enumerate([None, "", " ", "a b", "A  b", "a c"])]
     for i in range(40):
