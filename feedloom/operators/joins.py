@@ -42,6 +42,7 @@ def lookup(
     on: Sequence[str] | Mapping[str, str],
     how: str = "left",
     extra: Column | None = None,
+    route: bool = True,
 ) -> DataFrame:
     """Join ``left`` to a ``right`` side with at most one row per key.
 
@@ -56,7 +57,8 @@ def lookup(
 
     ``how`` is one of ``left``, ``inner``, ``left_semi`` and ``left_anti``; key columns of the
     right side are dropped from the result. ``extra`` is a further condition, whose
-    column names must be found on one side only.
+    column names must be found on one side only. Without ``route`` the hash is left out: for tables that are
+    bucketed by the keys, which then join without a shuffle.
     """
     pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
     left_types = {f.name: f.dataType for f in left.schema.fields}
@@ -65,9 +67,12 @@ def lookup(
         if left_types[lk] != right_types[rk]:
             raise TypeError(f"join keys differ in type: {lk} {left_types[lk]}, {rk} {right_types[rk]}")
     names = {rk: f"__right_{i}" for i, rk in enumerate(pairs.values())}
-    right = right.withColumn(_ROUTE + "_r", F.xxhash64(*pairs.values())).withColumnsRenamed(names)
-    left = left.withColumn(_ROUTE, F.xxhash64(*pairs.keys()))
-    tests = [F.col(_ROUTE) == F.col(_ROUTE + "_r")]
+    tests = []
+    if route:
+        right = right.withColumn(_ROUTE + "_r", F.xxhash64(*pairs.values()))
+        left = left.withColumn(_ROUTE, F.xxhash64(*pairs.keys()))
+        tests.append(F.col(_ROUTE) == F.col(_ROUTE + "_r"))
+    right = right.withColumnsRenamed(names)
     tests += [F.col(lk) == F.col(names[rk]) for lk, rk in pairs.items()]
     if extra is not None:
         tests.append(extra)

@@ -15,7 +15,14 @@ def group_floor(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.min(value).alias(value))
 
 
-def drop_dominated(df: DataFrame, keys: Sequence[str], value: str, settle: bool = False) -> DataFrame:
+def group_range(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """One row per key group with the least and the greatest value (``__least``, ``__most``)."""
+    return df.groupBy(*keys).agg(F.min(value).alias("__least"), F.max(value).alias("__most"))
+
+
+def drop_dominated(
+    df: DataFrame, keys: Sequence[str], value: str, settle: bool = False, groups: DataFrame | None = None
+) -> DataFrame:
     """Delete each row for which a row with equal keys and a lesser value exists.
 
     Ties stay, and so do rows with a NULL key or a NULL value, which compare with
@@ -24,16 +31,11 @@ def drop_dominated(df: DataFrame, keys: Sequence[str], value: str, settle: bool
     are anti-joined. No two rows of a group are ever paired with each other.
 
     ``settle`` writes those groups out first (see :func:`joins.settled`): where they are few, the rows
-    are then read a second time but never shuffled.
+    are then read a second time but never shuffled. ``groups`` gives what :func:`group_range` gives, where that is at hand.
     """
     least = "__least"
-    mixed = (
-        df.groupBy(*keys)
-        .agg(F.min(value).alias(least), F.max(value).alias("__most"))
-        .where(F.col(least) < F.col("__most"))
-        .drop("__most")
-        .dropna(subset=list(keys))
-    )
+    groups = group_range(df, keys, value) if groups is None else groups
+    mixed = groups.where(F.col(least) < F.col("__most")).drop("__most").dropna(subset=list(keys))
     if settle:
         mixed = settled(mixed, "mixed-groups")
     return lookup(df, mixed, list(keys), "left_anti", extra=F.col(value) > F.col(least))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.joins import lookup, settled
-from feedloom.operators.versions import drop_dominated, group_floor, update_from
+from feedloom.operators.versions import drop_dominated, group_floor, group_range, update_from
 from feedloom.sinks.publish import publish
 
 # Fixed value: the end date of what has not ended.
@@ -49,9 +49,9 @@ def schedule_ends(schedules: DataFrame, feed_date: date | str) -> DataFrame:
     return schedules.where(active <= next_day).groupBy(*LEG_TO_SCHEDULE.values()).agg(F.max(end).alias("last_end"))
 
 
-def current_legs(legs: DataFrame) -> DataFrame:
+def current_legs(legs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """Step 1: legs that no other with the same key ends before."""
-    return drop_dominated(legs, LEG_KEY, END, settle=True)
+    return drop_dominated(legs, LEG_KEY, END, settle=True, groups=groups)
 
 
 def close_legs(legs: DataFrame, ends: DataFrame) -> DataFrame:
@@ -60,7 +60,7 @@ def close_legs(legs: DataFrame, ends: DataFrame) -> DataFrame:
     return update_from(legs, ends, LEG_TO_SCHEDULE, {END: F.col("last_end")}, ended, grouped=True)
 
 
-def path_ends(legs: DataFrame, ends: DataFrame) -> DataFrame:
+def path_ends(legs: DataFrame, ends: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """Steps 1 and 2 as far as the first end of each path goes.
 
     Dropping dominated legs leaves one end date per leg key, the least, so legs are reduced to that
@@ -68,7 +68,8 @@ def path_ends(legs: DataFrame, ends: DataFrame) -> DataFrame:
     of the legs sends few rows. Where a key column is NULL all dates of the key stay, but no
     schedule matches, so the least is again all that counts.
     """
-    closed = close_legs(group_floor(legs, LEG_KEY, END), ends)
+    floors = group_floor(legs, LEG_KEY, END) if groups is None else groups.drop("__most").withColumnRenamed("__least", END)
+    closed = close_legs(floors, ends)
     return closed.where(F.col("path_id").isNotNull()).groupBy("path_id").agg(F.min(END).alias("minina"))
 
 
@@ -106,11 +107,12 @@ class Inactivation:
 
 
 def inactivate(legs: DataFrame, schedules: DataFrame, paths: DataFrame, feed_date: date | str) -> Inactivation:
-    """All steps. What several of them read, the schedule and path ends, is worked out once, right away."""
+    """All steps. What several of them read is worked out once, right away: schedule ends, the ends of each leg key, and path ends."""
     ends = settled(schedule_ends(schedules, feed_date), "schedule-ends")
-    by_path = settled(path_ends(legs, ends), "path-ends")
+    groups = settled(group_range(legs, LEG_KEY, END), "leg-ends")
+    by_path = settled(path_ends(legs, ends, groups), "path-ends")
     return Inactivation(
-        legs=close_legs(current_legs(legs), ends),
+        legs=close_legs(current_legs(legs, groups), ends),
         paths=close_paths(paths, by_path),
         path_ends=path_end_rows(paths, by_path),
         inactivated=inactivated_paths(paths, by_path),

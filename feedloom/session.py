@@ -31,13 +31,13 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )

@@ -148,6 +148,20 @@ def test_unique_by_passes_null_keys_over(spark):
     assert {tuple(r) for r in out.collect()} == {(None, 1), (1, 7)}
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    for name in ("left_side", "right_side"):
+        spark.range(100).withColumn(name[0], F.col("id")).write.bucketBy(4, "id").mode("overwrite").saveAsTable(name)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = lookup(spark.table("left_side"), spark.table("right_side"), ["id"], route=False)
+        assert out.where("l = r").count() == 100
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("drop table left_side")
+        spark.sql("drop table right_side")
+
+
 def test_lookup_refuses_keys_of_two_types(spark):
     left, right = spark.createDataFrame([(1,)], "k int"), spark.createDataFrame([(1, 2)], "k long, v int")
     with pytest.raises(TypeError, match="differ in type"):
