@@ -85,7 +85,7 @@ def votes() -> list[Column]:
 
 Model = tuple[list[float], list[list[float]]]
 #: A good text sets a rule off at most so often; a text that is bad in a rule's way at least so often.
-FALSE_ALARM, SEEN = 0.05, 0.5
+FALSE_ALARM, SEEN = 0.01, 0.5
 
 
 def fit(patterns: list[tuple[list[int], int]], rounds: int = 100) -> Model:
