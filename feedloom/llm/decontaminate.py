@@ -178,18 +178,19 @@ def _short(found: Words, ids: np.ndarray, tags: np.ndarray, sizes: dict[int, _Si
     return out
 
 
-def _rounds(items: DataFrame) -> list[list[tuple[int, bytes]]]:
-    """The items in parts that may be sent to every task."""
+def _rounds(items: DataFrame) -> Iterator[list[tuple[int, bytes]]]:
+    """The items in parts that may be sent to every task, one at a time; at least one part."""
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text")).where("length(text) > 0")
-    parts, size = [[]], 0
+    part: list[tuple[int, bytes]] = []
+    size = 0
     for row in rows.toLocalIterator():
         text = bytes(row.text)
-        if size + len(text) > ITEM_BYTES and parts[-1]:
-            parts.append([])
-            size = 0
-        parts[-1].append((-1 if row.item_id is None else row.item_id, text))
+        if size + len(text) > ITEM_BYTES and part:
+            yield part
+            part, size = [], 0
+        part.append((-1 if row.item_id is None else row.item_id, text))
         size += len(text)
-    return parts
+    yield part
 
 
 def keyed_matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
