@@ -38,6 +38,23 @@ def _unpack(data: bytes, dtype: np.dtype) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
 
 
+def _pack_runs(values: np.ndarray) -> bytes:
+    """Each value once for as long as it repeats, after how many runs there are and how long each is."""
+    first = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+    lengths = np.diff(np.r_[first, len(values)]).astype("<u4")
+    return len(first).to_bytes(4, "little") + _pack(lengths) + _pack(np.ascontiguousarray(values[first]))
+
+
+def _unpack_runs(data: bytes, dtype: np.dtype) -> np.ndarray:
+    cut = 4 + 4 * int.from_bytes(data[:4], "little")
+    return np.repeat(_unpack(data[cut:], dtype), _unpack(data[4:cut], np.dtype("<u4")))
+
+
+def _repeats(name: str) -> bool:
+    """Whether a column holds documents' keys, which many entries in a row share."""
+    return name.endswith(("id", "tag"))
+
+
 def packed(columns: dict[str, np.ndarray], bucket: np.ndarray, names: list[str]) -> Iterator[pa.RecordBatch]:
     """One row per bucket that has entries, with nulls for names without a column; entries keep their order."""
     if not len(bucket):
@@ -46,7 +63,7 @@ def packed(columns: dict[str, np.ndarray], bucket: np.ndarray, names: list[str])
     sorted_bucket = bucket[order]
     cuts = np.flatnonzero(np.diff(sorted_bucket)) + 1
     keys = sorted_bucket[np.r_[0, cuts]].astype(np.int32)
-    parts = {n: [_pack(x) for x in np.split(np.ascontiguousarray(v)[order], cuts)] for n, v in columns.items()}
+    parts = {n: [(_pack_runs if _repeats(n) else _pack)(x) for x in np.split(np.ascontiguousarray(v)[order], cuts)] for n, v in columns.items()}
     arrays = [pa.array(parts.get(n, [None] * len(keys)), pa.binary()) for n in names]
     yield pa.RecordBatch.from_arrays([pa.array(keys), *arrays], names=["bucket", *names])
 
@@ -56,7 +73,7 @@ def unpacked(batches: Iterator[pa.RecordBatch], dtypes: dict[str, str]) -> dict[
     parts: dict[str, list[np.ndarray]] = {n: [] for n in dtypes}
     for batch in batches:
         for n, kind in dtypes.items():
-            parts[n] += [_unpack(x, np.dtype(kind)) for x in batch.column(n).drop_null().to_pylist()]
+            parts[n] += [(_unpack_runs if _repeats(n) else _unpack)(x, np.dtype(kind)) for x in batch.column(n).drop_null().to_pylist()]
     return {n: np.concatenate(p) if p else np.empty(0, dtypes[n]) for n, p in parts.items()}
 
 
