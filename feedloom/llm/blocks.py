@@ -2,7 +2,7 @@
 
 Positions in text outnumber documents by orders of magnitude. As rows of their own they would
 cost far more than the text. Here a task packs what it has for one bucket into a few byte strings, one row
-per slice of text and bucket. Spark deals these rows out, and the bucket's task unpacks and works on arrays.
+per about a million entries and bucket. Spark deals these rows out, and the bucket's task unpacks and works on arrays.
 """
 
 from __future__ import annotations
@@ -82,16 +82,40 @@ def dealt(rows: DataFrame, buckets: int) -> DataFrame:
     return rows.repartitionById(buckets, "bucket")
 
 
+#: Entries a task gathers before it packs them: enough to fill many buckets, and some tens of MB.
+ENTRIES = 1 << 20
+
+Entries = tuple[dict[str, np.ndarray], np.ndarray]
 Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
-def exchange(rows: DataFrame, emit: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], names: list[str], work: Work, schema: str, buckets: int) -> DataFrame:
-    """``emit`` packs what a batch of rows has for each bucket; ``work`` answers for all entries of a bucket."""
+def _gathered(entries: Iterator[Entries], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Entries of many slices packed together, those with the same columns to one row per bucket."""
+    held: dict[tuple[str, ...], list[Entries]] = {}
+    count = 0
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for columns, parts in held.items():
+            joined = {n: np.concatenate([p[n] for p, _ in parts]) for n in columns}
+            yield from packed(joined, np.concatenate([b for _, b in parts]), names)
+        held.clear()
+
+    for columns, bucket in entries:
+        held.setdefault(tuple(columns), []).append((columns, bucket))
+        count += len(bucket)
+        if count >= ENTRIES:
+            yield from rows()
+            count = 0
+    yield from rows()
+
+
+def exchange(
+    rows: DataFrame, emit: Callable[[pa.RecordBatch], Iterator[Entries]], names: list[str], work: Work, schema: str, buckets: int
+) -> DataFrame:
+    """``emit`` gives what a batch of rows has, as columns with the bucket of each entry; ``work`` answers for all entries of a bucket."""
 
     def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield from emit(batch)
+        yield from _gathered((e for batch in batches if batch.num_rows for e in emit(batch)), names)
 
     return dealt(rows.mapInArrow(emitted, packed_schema(names)), buckets).mapInArrow(work, schema)
 

@@ -80,7 +80,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
     return texts.mapInArrow(lambda b: _fingerprints(b, shingle_words), "doc_id long, fp long")
 
 
-def _cells(batch: pa.RecordBatch, radius: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _cells(batch: pa.RecordBatch, radius: int, buckets: int) -> Iterator[blocks.Entries]:
     """Each fingerprint under every value it is filed as."""
     fp = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
     node = batch.column("node").to_numpy(zero_copy_only=False)
@@ -90,7 +90,7 @@ def _cells(batch: pa.RecordBatch, radius: int, buckets: int) -> Iterator[pa.Reco
         cell = (part[:, None] ^ np.array(steps, np.uint64)[None, :]).reshape(-1)
         columns = {"cell": cell, "node": np.repeat(node[at : at + 4096], len(steps)), "fingerprint": np.repeat(part, len(steps))}
         spread = cell * np.uint64(0x9E3779B97F4A7C15)
-        yield from blocks.packed(columns, ((spread >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64), list(_CELL))
+        yield columns, ((spread >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
 
 
 def _meet(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:

@@ -44,7 +44,7 @@ def _alive(batch: pa.RecordBatch, begins: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def _windows(batch: pa.RecordBatch, size: int, first: bool, last: bool, buckets: int) -> Iterator[pa.RecordBatch]:
+def _windows(batch: pa.RecordBatch, size: int, first: bool, last: bool, buckets: int) -> Iterator[blocks.Entries]:
     kinds = _columns(last)
     ids, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in KEY)
     for begin, stop, found in word_slices(batch):
@@ -62,12 +62,12 @@ def _windows(batch: pa.RecordBatch, size: int, first: bool, last: bool, buckets:
         keep, many = keep[order], many[order]
         columns = {"name": name[keep], "many": many, "id": ident[keep], "tag": tag[keep], "at": at[keep]}
         bucket = ((name[keep] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-        yield from blocks.packed({n: v.astype(kinds[n]) for n, v in columns.items()}, bucket, list(kinds))
+        yield {n: v.astype(kinds[n]) for n, v in columns.items()}, bucket
         (ident, tag), begun, end, begins = spans_per_key([ident[later], tag[later]], at[later], at[later] + (size if last else 1))
         count = np.diff(begins)
         columns = {"done_id": np.repeat(ident, count), "done_tag": np.repeat(tag, count), "done_start": begun, "done_end": end}
         slot = np.full(len(begun), int(name[0] >> np.uint64(40)) % buckets)
-        yield from blocks.packed({n: v.astype(kinds[n]) for n, v in columns.items()}, slot, list(kinds))
+        yield {n: v.astype(kinds[n]) for n, v in columns.items()}, slot
 
 
 def _resolve(batches: Iterator[pa.RecordBatch], size: int, last: bool, buckets: int) -> Iterator[pa.RecordBatch]:

@@ -62,12 +62,12 @@ def _ordered(same: list[np.ndarray], place: list[np.ndarray]) -> tuple[np.ndarra
     return order, fresh, later
 
 
-def _done(slot: int, buckets: int, ident: np.ndarray, tag: np.ndarray, start: np.ndarray, end: np.ndarray, names: list[str]) -> Iterator[pa.RecordBatch]:
+def _done(slot: int, buckets: int, ident: np.ndarray, tag: np.ndarray, start: np.ndarray, end: np.ndarray) -> blocks.Entries:
     """Spans that a slice settles by itself, sent along."""
     (ident, tag), start, end, begins = spans_per_key([ident, tag], start, end)
     count = np.diff(begins)
     columns = {"done_id": np.repeat(ident, count), "done_tag": np.repeat(tag, count), "done_start": start, "done_end": end}
-    yield from blocks.packed(_as(_DONE, columns), np.full(len(start), slot % buckets), names)
+    return _as(_DONE, columns), np.full(len(start), slot % buckets)
 
 
 def _spans(d: dict[str, np.ndarray], found: list[tuple[np.ndarray, ...]], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -100,9 +100,8 @@ def _texts(batch: pa.RecordBatch) -> pa.Array:
     return column.flatten()[0] if pa.types.is_struct(column.type) else column
 
 
-def _anchors(batch: pa.RecordBatch, width: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _anchors(batch: pa.RecordBatch, width: int, buckets: int) -> Iterator[blocks.Entries]:
     """The anchors of each slice, those with equal surroundings folded."""
-    names = list(_ANCHORS)
     texts = _texts(batch)
     buffer, offsets = blocks.text_offsets(texts)
     ids, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in KEY)
@@ -131,10 +130,10 @@ def _anchors(batch: pa.RecordBatch, width: int, buckets: int) -> Iterator[pa.Rec
         hot = count[which] >= HOT
         columns = {n: v[keep] for n, v in columns.items()} | {"hot": hot}
         bucket = (np.where(hot, name[keep], gram[keep]) >> np.uint64(33)).astype(np.int64) % buckets
-        yield from blocks.packed(_as(_ANCHORS, columns), bucket, names)
+        yield _as(_ANCHORS, columns), bucket
         marked = grams_here[count >= HOT]
-        yield from blocks.packed(_as(_ANCHORS, {"mark": marked}), (marked >> np.uint64(33)).astype(np.int64) % buckets, names)
-        yield from _done(int(name[0] >> np.uint64(40)), buckets, ident[drop], tag[drop], (first - base)[drop], (last - base)[drop] + width, names)
+        yield _as(_ANCHORS, {"mark": marked}), (marked >> np.uint64(33)).astype(np.int64) % buckets
+        yield _done(int(name[0] >> np.uint64(40)), buckets, ident[drop], tag[drop], (first - base)[drop], (last - base)[drop] + width)
 
 
 def _resolve_anchors(batches: Iterator[pa.RecordBatch], width: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -159,9 +158,8 @@ def _low_bytes(count: np.ndarray) -> np.ndarray:
     return (np.uint64(1) << (8 * count).astype(np.uint64)) - np.uint64(1)
 
 
-def _suffixes(batch: pa.RecordBatch, width: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _suffixes(batch: pa.RecordBatch, width: int, buckets: int) -> Iterator[blocks.Entries]:
     """The suffixes that open anchors own, in blocks of offsets."""
-    names = list(_SUFFIXES)
     texts = _texts(batch)
     buffer, offsets = blocks.text_offsets(texts)
     ids, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in KEY)
@@ -205,8 +203,8 @@ def _suffixes(batch: pa.RecordBatch, width: int, buckets: int) -> Iterator[pa.Re
         columns = {"rank": rank, "left": before, "right": after, "near": near, "far": far, "id": ident, "tag": tag, "at": place}
         whole = mixed(rank ^ mixed(before ^ mixed(after + near.astype(np.uint64))))
         bucket = (np.where(hot, whole, rank)[keep] >> np.uint64(33)).astype(np.int64) % buckets
-        yield from blocks.packed(_as(_SUFFIXES, {n: v[keep] for n, v in columns.items()}), bucket, names)
-        yield from _done(int(rank[0] >> np.uint64(40)), buckets, ident[drop], tag[drop], place[drop] - far[drop], place[drop] - near[drop] + width, names)
+        yield _as(_SUFFIXES, {n: v[keep] for n, v in columns.items()}), bucket
+        yield _done(int(rank[0] >> np.uint64(40)), buckets, ident[drop], tag[drop], place[drop] - far[drop], place[drop] - near[drop] + width)
 
 
 def _resolve_suffixes(batches: Iterator[pa.RecordBatch], width: int, buckets: int) -> Iterator[pa.RecordBatch]:
