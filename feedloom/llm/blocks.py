@@ -112,7 +112,8 @@ def _gathered(entries: Iterator[Entries], names: list[str]) -> Iterator[pa.Recor
 def exchange(
     rows: DataFrame, emit: Callable[[pa.RecordBatch], Iterator[Entries]], names: list[str], work: Work, schema: str, buckets: int
 ) -> DataFrame:
-    """``emit`` gives what a batch of rows has, as columns with the bucket of each entry; ``work`` answers for all entries of a bucket."""
+    """``emit`` gives what a batch of rows has, as columns with the bucket of each entry; ``work`` answers for all
+    entries of a bucket."""
 
     def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _gathered((e for batch in batches if batch.num_rows for e in emit(batch)), names)

@@ -25,11 +25,12 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """Every node of a link table (``a``, ``b``: long) with the smallest node that it is linked to over any number of links: ``node``, ``component``.
+    """Every node of a link table (``a``, ``b``: long) with the smallest node that it is linked to over any number of
+    links: ``node``, ``component``.
 
-    Large and small stars (each node's neighbours tied to its smallest one) alternate until nothing changes. A round is a few
-    joins of link-sized tables, written to the shared scratch folder; links and nodes never reach the driver. Links of a node to
-    itself and nulls are passed over; repeated links are one. No links give no rows.
+    Large and small stars (each node's neighbours tied to its smallest one) alternate until nothing changes. A round
+    is a few joins of link-sized tables, written to the shared scratch folder; links and nodes never reach the driver.
+    Links of a node to itself and nulls are passed over; repeated links are one. No links give no rows.
     """
     larger, smaller = F.greatest("a", "b"), F.least("a", "b")
     links = links.where("a is not null and b is not null and a <> b").select(larger.alias("u"), smaller.alias("v")).distinct()

@@ -1,9 +1,10 @@
 """Documents that hold benchmark items, by SimHash of item-sized windows.
 
-Documents are read window by window, each as long as an item. A window and the items of its length are compared by SimHash of their
-word shingles: fingerprints are cut into eight blocks of eight bits, each block of an item filed under every value one bit around it. Fingerprints within
-``RADIUS`` bits agree in some block up to one bit, so looking up a window's eight blocks misses none of them. What is
-found is verified by the weighted similarity of the shingles themselves.
+Documents are read window by window, each as long as an item. A window and the items of its length are compared by
+SimHash of their word shingles: fingerprints are cut into eight blocks of eight bits, each block of an item filed
+under every value one bit around it. Fingerprints within ``RADIUS`` bits agree in some block up to one bit, so looking
+up a window's eight blocks misses none of them. What is found is verified by the weighted similarity of the shingles
+themselves.
 
 Most windows need no fingerprint: a window cannot be as similar as asked if too few of its shingles occur in any item.
 """
@@ -207,13 +208,15 @@ def keyed_matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILAR
 def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Benchmark items found in documents: ``doc_id``, ``item_id``, ``similarity``, and where (``start_word``, ``n_words``).
 
-    Words are runs of letters and digits, A-Z lower-cased; shingles have five words. A document holds an item if some window of as many words as the item has is within ``RADIUS``
-    bits and similar to it by at least ``similarity``: the weighted Jaccard similarity of shingles. The row tells of the most similar window, the first of equals. A document with fewer words than
-    the item is compared as a whole, an item of fewer than five words as one shingle.
+    Words are runs of letters and digits, A-Z lower-cased; shingles have five words. A document holds an item if some
+    window of as many words as the item has is within ``RADIUS`` bits and similar to it by at least ``similarity``:
+    the weighted Jaccard similarity of shingles. The row tells of the most similar window, the first of equals. A
+    document with fewer words than the item is compared as a whole, an item of fewer than five words as one shingle.
 
-    ``items`` has ``item_id`` and ``text`` and is a benchmark: it passes the driver part by part and goes to every task, at most ``ITEM_BYTES`` at a time.
-    Null and empty texts on either side match nothing, nor do items without a word; null item ids are given as -1. Repeated items are all told, repeated documents each get their
-    rows. Empty tables give no rows. Other columns are ignored. Texts are read whole.
+    ``items`` has ``item_id`` and ``text`` and is a benchmark: it passes the driver part by part and goes to every
+    task, at most ``ITEM_BYTES`` at a time. Null and empty texts on either side match nothing, nor do items without a
+    word; null item ids are given as -1. Repeated items are all told, repeated documents each get their rows. Empty
+    tables give no rows. Other columns are ignored. Texts are read whole.
     """
     return keyed_matches(docs, items, similarity).select(doc_id(), "item_id", "similarity", "start_word", "n_words")
 

@@ -14,9 +14,10 @@ KEY = ["id", "tag"]
 def keyed(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """``id``, ``tag`` and ``text`` as bytes.
 
-    A null ``doc_id`` counts as the smallest id, a null text as empty. Rows with one ``doc_id`` and different
-    texts are told apart by ``tag``, 32 bits of the text's hash; rows equal in both are one document to all
-    that follows, and each of them gets the same answer. Columns to ``keep`` travel with the text, in a struct whose first field is the text.
+    A null ``doc_id`` counts as the smallest id, a null text as empty. Rows with one ``doc_id`` and different texts
+    are told apart by ``tag``, 32 bits of the text's hash; rows equal in both are one document to all that follows,
+    and each of them gets the same answer. Columns to ``keep`` travel with the text, in a struct whose first field is
+    the text.
     """
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text")
     return docs.select(

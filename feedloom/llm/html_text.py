@@ -1,8 +1,8 @@
 """Main text of web pages: flat text blocks, classified by a decision tree.
 
-A page is read once from front to back into text blocks: stretches of text that no block-level tag breaks. Of each block a few numbers are
-known: words, link density, the same of the blocks before and after it, and in which kind of part it stands. A decision tree, grown from the small
-labelled table below, tells content from boilerplate.
+A page is read once from front to back into text blocks: stretches of text that no block-level tag breaks. Of each
+block a few numbers are known: words, link density, the same of the blocks before and after it, and in which kind of
+part it stands. A decision tree, grown from the small labelled table below, tells content from boilerplate.
 """
 
 from __future__ import annotations
@@ -266,12 +266,14 @@ def _extract(batches: Iterator[pa.RecordBatch], tree: Node) -> Iterator[pa.Recor
 def extract(pages: DataFrame, labelled: Sequence[tuple] = LABELLED) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` (code points) of every row: the article of the page.
 
-    Character references are decoded, white space inside a block becomes one blank, blocks are trimmed and joined in page order by two newlines. Line breaks
-    (``br``) are white space. Menus, headers, footers, sidebars, notices, adverts, forms, comments of readers, hidden parts, scripts and styles are left
-    out. ``labelled`` is the table the tree is grown from: the numbers named in ``FEATURES`` and 1 for content.
+    Character references are decoded, white space inside a block becomes one blank, blocks are trimmed and joined in
+    page order by two newlines. Line breaks (``br``) are white space. Menus, headers, footers, sidebars, notices,
+    adverts, forms, comments of readers, hidden parts, scripts and styles are left out. ``labelled`` is the table the
+    tree is grown from: the numbers named in ``FEATURES`` and 1 for content.
 
-    A null, empty or text-free page gives an empty text; unclosed tags, comments and quotes run to where a browser would end them or to the end. Pages are read whole. Each row is worked on by
-    itself, so repeated and null ids give a row each. An empty table gives no rows. Other columns are ignored.
+    A null, empty or text-free page gives an empty text; unclosed tags, comments and quotes run to where a browser
+    would end them or to the end. Pages are read whole. Each row is worked on by itself, so repeated and null ids give
+    a row each. An empty table gives no rows. Other columns are ignored.
     """
     tree = trained(labelled)
     kind = pages.schema["page_id"].dataType.simpleString()

@@ -1,8 +1,9 @@
 """Language identification by cross-parsing against labelled text.
 
-For each language a suffix automaton of some labelled text is built: it follows any substring of it. A document is cut into phrases, each the longest
-string from where the last one ended that the language's text contains. The closer the two are, the longer the matches, so the language that
-needs the fewest phrases per character wins (cross-parsing, which estimates the entropy of one text under another's statistics).
+For each language a suffix automaton of some labelled text is built: it follows any substring of it. A document is cut
+into phrases, each the longest string from where the last one ended that the language's text contains. The closer the
+two are, the longer the matches, so the language that needs the fewest phrases per character wins (cross-parsing,
+which estimates the entropy of one text under another's statistics).
 
 Automata become tables of numbers. A task then walks thousands of pieces of text through all languages at once, one
 character of each per step.
@@ -29,7 +30,8 @@ PIECE = 512
 
 
 def held_out() -> Column:
-    """Whether a document is kept from learning: the CRC-32 of its id as text is divisible by 5. A null id counts as an empty text."""
+    """Whether a document is kept from learning: the CRC-32 of its id as text is divisible by 5. A null id counts as
+    an empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
@@ -64,7 +66,8 @@ def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
 
 @dataclass
 class Model:
-    """``codes`` maps code points to symbols (0: no letter), ``table`` holds all automata: where a state's symbols lead, or back to its ``root``."""
+    """``codes`` maps code points to symbols (0: no letter), ``table`` holds all automata: where a state's symbols
+    lead, or back to its ``root``."""
 
     languages: list[str]
     codes: np.ndarray
@@ -107,7 +110,8 @@ def build(samples: dict[str, list[str]]) -> Model:
 
 
 def phrases(pieces: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarray:
-    """Phrases each piece needs in each language. ``pieces`` has a row per piece, longest first, and a column per position."""
+    """Phrases each piece needs in each language. ``pieces`` has a row per piece, longest first, and a column per
+    position."""
     lanes = len(pieces)
     root = np.repeat(model.roots[:, None], lanes, axis=1)
     state, count = root.copy(), np.zeros((len(model.roots), lanes), np.int32)
@@ -168,7 +172,8 @@ def _predict(batches: Iterator[pa.RecordBatch], held, carried: list[str]) -> Ite
 
 
 def learn(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> Model:
-    """The model of a table with ``doc_id``, ``text`` and ``lang``, from at most ``documents`` texts per language, drawn by a hash of the id.
+    """The model of a table with ``doc_id``, ``text`` and ``lang``, from at most ``documents`` texts per language,
+    drawn by a hash of the id.
 
     Rows held out (see :func:`held_out`), without a language or without text are no part of it. Equal texts count once.
     """
@@ -188,10 +193,11 @@ def learn(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> Model:
 def predict(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
     """``doc_id``, ``held_out``, the columns to ``keep``, ``lang_pred`` and ``score`` of every row; only the text decides.
 
-    ``score`` is by how much the second language needs more phrases than the first, as a share of the second's (0 to 1). A text that is null, empty or has no letter is
-    ``und`` with score 0, as is every text if nothing was learned; ties go to the language first in order. With one language the score is held
-    against one phrase per letter. Each row is judged by itself, so repeated and null ids give a row each; an empty table gives none. Texts are parsed whole,
-    in pieces of ``PIECE`` letters. Other columns are ignored.
+    ``score`` is by how much the second language needs more phrases than the first, as a share of the second's (0 to
+    1). A text that is null, empty or has no letter is ``und`` with score 0, as is every text if nothing was learned;
+    ties go to the language first in order. With one language the score is held against one phrase per letter. Each
+    row is judged by itself, so repeated and null ids give a row each; an empty table gives none. Texts are parsed
+    whole, in pieces of ``PIECE`` letters. Other columns are ignored.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select("doc_id", held_out().alias("held_out"), *keep, *([] if "text" in keep else ["text"]))

@@ -1,8 +1,9 @@
 """Licence scans: phrases, and templates with optional and replaceable wording.
 
-A template is text with markup: ``[[...]]`` may be missing, ``{{n}}`` stands for up to n words of any kind. Each is compiled into an automaton over words. A
-text is accepted where all mandatory words follow each other exactly, whatever fills the replaceable places. Automata start only where a template's
-first two words stand, which are found for all texts of a slice at once.
+A template is text with markup: ``[[...]]`` may be missing, ``{{n}}`` stands for up to n words of any kind. Each is
+compiled into an automaton over words. A text is accepted where all mandatory words follow each other exactly,
+whatever fills the replaceable places. Automata start only where a template's first two words stand, which are found
+for all texts of a slice at once.
 """
 
 from __future__ import annotations
@@ -58,7 +59,8 @@ def _words(text: str) -> list[bytes]:
 
 
 class Automaton:
-    """States in a row; a word leads from a state to the next where it is the one expected, and markup adds ways without a word or with any."""
+    """States in a row; a word leads from a state to the next where it is the one expected, and markup adds ways
+    without a word or with any."""
 
     def __init__(self, template: str):
         self.words: list[bytes | None] = []
@@ -163,12 +165,14 @@ def _scan(batches: Iterator[pa.RecordBatch], phrases: Mapping[str, str], templat
 def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Mapping[str, str] = TEMPLATES) -> DataFrame:
     """Licence wording of every row.
 
-    Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are lower-cased. ``n_base``, ``first_word`` and ``last_word`` count and place the phrases; ``base_labels`` are the labels of phrases
-    found, ``labels`` those of phrases and templates, distinct, in order, with commas. ``score`` is 1 if a template's wording is there in full, 0.5 if only phrases are, else
+    Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are lower-cased. ``n_base``, ``first_word`` and
+    ``last_word`` count and place the phrases; ``base_labels`` are the labels of phrases found, ``labels`` those of
+    phrases and templates, distinct, in order, with commas. ``score`` is 1 if a template's wording is there in full,
+    0.5 if only phrases are, else
     0. A template must start with a mandatory word; its punctuation counts for nothing.
 
-    Null and empty texts have no words, no labels, null places and score 0. Each row is judged by itself: repeated and null ids give a row each. Texts are read
-    whole. An empty table gives no rows. Other columns are ignored.
+    Null and empty texts have no words, no labels, null places and score 0. Each row is judged by itself: repeated and
+    null ids give a row each. Texts are read whole. An empty table gives no rows. Other columns are ignored.
     """
     texts = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
     schema = (

@@ -23,9 +23,10 @@ def uniform(seed: str) -> Column:
 def targets(sources: DataFrame, weights: Sequence[int], share: float, cap: int) -> DataFrame:
     """Words wanted of each source (``source``, ``source_size``, ``n``): adds ``target``.
 
-    Sources in order of their names, null last, get the weights in turn. ``share`` times all words are dealt out by weight; no source gets more than ``cap``
-    times its size, and what that leaves over goes to the others by weight. In ascending order of cap per weight, the sources up to some point
-    are at their caps, and the rest share what is left.
+    Sources in order of their names, null last, get the weights in turn. ``share`` times all words are dealt out by
+    weight; no source gets more than ``cap`` times its size, and what that leaves over goes to the others by weight.
+    In ascending order of cap per weight, the sources up to some point are at their caps, and the rest share what is
+    left.
     """
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.row_number().over(by_name) - 1) % len(weights) + 1)
@@ -46,16 +47,20 @@ def mix(
 ) -> DataFrame:
     """How often to take each document so that sources come near their targets in words.
 
-    Of every source, ``floor(target / size)`` copies of each document are certain. The words then missing are drawn by Pareto
-    order sampling: a document's inclusion probability is the missing share of the source (times ``weight``, a column of positive numbers,
-    relative to its mean by words), and documents are taken in ascending order of their random odds over their inclusion odds
-    until the words are reached, the last one if that comes nearer. So each source is off by half a document at most, and reruns agree.
+    Of every source, ``floor(target / size)`` copies of each document are certain. The words then missing are drawn by
+    Pareto order sampling: a document's inclusion probability is the missing share of the source (times ``weight``, a
+    column of positive numbers, relative to its mean by words), and documents are taken in ascending order of their
+    random odds over their inclusion odds until the words are reached, the last one if that comes nearer. So each
+    source is off by half a document at most, and reruns agree.
 
-    The order is worked out in cells of about ``CELL_ROWS`` documents, of which only those at the point where a source is full are sorted.
+    The order is worked out in cells of about ``CELL_ROWS`` documents, of which only those at the point where a source
+    is full are sorted.
 
-    Needs ``doc_id``, ``text``, ``source``. Result: ``doc_id``, ``source``, ``size`` (words), ``source_size``, ``target``, ``copies``, ``taken`` (words with
-    repeats). Null, empty and blank texts have size 0 and take 0 words. A null source is a source, the last one. Rows with the same ``doc_id`` have the same random number; ties go by
-    ``doc_id`` and size. A null ``doc_id`` is drawn like any other. A table without words has targets of 0, an empty one no rows. Other columns are ignored.
+    Needs ``doc_id``, ``text``, ``source``. Result: ``doc_id``, ``source``, ``size`` (words), ``source_size``,
+    ``target``, ``copies``, ``taken`` (words with repeats). Null, empty and blank texts have size 0 and take 0 words.
+    A null source is a source, the last one. Rows with the same ``doc_id`` have the same random number; ties go by
+    ``doc_id`` and size. A null ``doc_id`` is drawn like any other. A table without words has targets of 0, an empty
+    one no rows. Other columns are ignored.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     pull = F.coalesce(F.col(weight).cast("double"), F.lit(1.0)) if weight else F.lit(1.0)
@@ -91,7 +96,8 @@ def mix(
 
 
 def mix_sql(documents: str = "documents") -> str:
-    """DuckDB SQL for the rows of :func:`mix` with its defaults: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``."""
+    """DuckDB SQL for the rows of :func:`mix` with its defaults: ``doc_id``, ``size``, ``source_size``, ``target``,
+    ``taken``."""
     return f"""
     with sized as (
       select doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::bigint as size,

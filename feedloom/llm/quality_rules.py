@@ -1,8 +1,8 @@
 """Quality by weak supervision: rules vote or abstain, and expectation-maximisation finds out how far to trust each.
 
-All of it is DataFrame expressions. The features of a text are array expressions over its own words and lines, so documents are never
-shuffled. The model needs no document again either: how often each combination of votes occurs says all, and there are at
-most ``3 ** len(RULES)`` combinations.
+All of it is DataFrame expressions. The features of a text are array expressions over its own words and lines, so
+documents are never shuffled. The model needs no document again either: how often each combination of votes occurs
+says all, and there are at most ``3 ** len(RULES)`` combinations.
 """
 
 from __future__ import annotations
@@ -34,8 +34,9 @@ BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 def features(docs: DataFrame) -> DataFrame:
     """``doc_id`` and what the rules look at, for every row; a null text counts as empty.
 
-    Repeated windows of a text are found by sorting: each window's hash gives its upper bits to a number whose lower bits are its position, and equal windows then
-    lie side by side. The whole 64 bits are compared before two count as equal.
+    Repeated windows of a text are found by sorting: each window's hash gives its upper bits to a number whose lower
+    bits are its position, and equal windows then lie side by side. The whole 64 bits are compared before two count as
+    equal.
     """
     text = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
     lines = F.filter(F.split("t", "\n"), lambda x: F.trim(x, F.lit(SPACES)) != "")
@@ -91,9 +92,10 @@ FALSE_ALARM, SEEN = 0.01, 0.5
 def fit(patterns: list[tuple[list[int], int]], rounds: int = 100) -> Model:
     """Shares of the kinds of text, and how often each kind sets off each rule.
 
-    Texts are bad in different ways, and rules that see one way say nothing of the others. So there is one kind of good text and, for each rule, one
-    kind of bad text that mainly this rule sees; which other rules see it too is estimated. ``patterns`` are combinations of votes with the
-    number of documents that have them. Abstentions are left out of every count.
+    Texts are bad in different ways, and rules that see one way say nothing of the others. So there is one kind of
+    good text and, for each rule, one kind of bad text that mainly this rule sees; which other rules see it too is
+    estimated. ``patterns`` are combinations of votes with the number of documents that have them. Abstentions are
+    left out of every count.
     """
     rules = range(len(RULES))
     shares = [0.8] + [0.2 / len(RULES)] * len(RULES)
@@ -136,11 +138,12 @@ def quality(model: Model) -> Column:
 def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The features of every row, ``base_failed``, ``quality`` (posterior probability of good) and ``kept``.
 
-    ``base_failed``: fewer than 10 words, or more than 20 % of the words in repeated windows; such rows are not kept. All others are kept if their
-    quality is at least ``threshold``. The model is fitted on the votes of all rows.
+    ``base_failed``: fewer than 10 words, or more than 20 % of the words in repeated windows; such rows are not kept.
+    All others are kept if their quality is at least ``threshold``. The model is fitted on the votes of all rows.
 
-    Null, empty and blank texts have no words and fail. Each row is judged by itself, so repeated rows and ids, or null ids, give a row each. An empty table gives no
-    rows. Other columns are ignored. Texts are read whole; a text is one row of arrays in memory.
+    Null, empty and blank texts have no words and fail. Each row is judged by itself, so repeated rows and ids, or
+    null ids, give a row each. An empty table gives no rows. Other columns are ignored. Texts are read whole; a text
+    is one row of arrays in memory.
     """
     held = settled(features(docs), "features")
     counted = held.groupBy(*votes()).count().collect()  # 3 ** len(RULES) rows at most

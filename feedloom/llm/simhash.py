@@ -1,11 +1,12 @@
 """Near-duplicates by SimHash fingerprints and multi-index hashing.
 
-A fingerprint's 64 bits are votes of the document's word shingles. Two documents are linked if their fingerprints differ in few bits. To find
-all such pairs without comparing all, each fingerprint is cut into segments and filed in a table per
-segment, under every value in a small Hamming ball around that segment with the rest unchanged. With two segments and balls of radius one, two fingerprints
-at one or two bits from each other meet in a cell: both bits in one segment or one in each, one of the two filings
-takes one step towards the other. All that meet in a cell are within two bits of each other, so a cell's members are linked to its smallest
-one, after their whole distance is verified, and no cell ever yields all its pairs.
+A fingerprint's 64 bits are votes of the document's word shingles. Two documents are linked if their fingerprints
+differ in few bits. To find all such pairs without comparing all, each fingerprint is cut into segments and filed in a
+table per segment, under every value in a small Hamming ball around that segment with the rest unchanged. With two
+segments and balls of radius one, two fingerprints at one or two bits from each other meet in a cell: both bits in one
+segment or one in each, one of the two filings takes one step towards the other. All that meet in a cell are within
+two bits of each other, so a cell's members are linked to its smallest one, after their whole distance is verified,
+and no cell ever yields all its pairs.
 """
 
 from __future__ import annotations
@@ -73,8 +74,8 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.R
 def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
     """``doc_id`` and ``fp``, the fingerprint as a signed 64-bit number, of every row.
 
-    Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased. A text with fewer words than a shingle is one shingle; null, empty and blank texts
-    have fingerprint zero.
+    Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased. A text with fewer words than a shingle is one
+    shingle; null, empty and blank texts have fingerprint zero.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
     return texts.mapInArrow(lambda b: _fingerprints(b, shingle_words), "doc_id long, fp long")
@@ -111,7 +112,8 @@ def _meet(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBat
 
 
 def near_links(nodes: DataFrame, bits: int = RADIUS) -> DataFrame:
-    """Links (``a``, ``b``) that connect all of ``nodes`` (``node``, ``fp``, each fingerprint once) within ``bits`` (up to 2) of each other.
+    """Links (``a``, ``b``) that connect all of ``nodes`` (``node``, ``fp``, each fingerprint once) within ``bits``
+    (up to 2) of each other.
 
     Two nodes are linked directly or over a third one that is as near to both.
     """
@@ -125,10 +127,11 @@ def near_links(nodes: DataFrame, bits: int = RADIUS) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle_words: int = 3, bits: int = RADIUS) -> DataFrame:
     """Every row's fingerprint and the smallest ``doc_id`` reachable over links: ``doc_id``, ``fp``, ``component_id``.
 
-    Fingerprints with ``bits`` or fewer differing bits are linked; equal ones are one node from the start, so copies cost
-    nothing. Null, empty and blank texts all have fingerprint zero and are linked like any other. A null ``doc_id`` gets a component too, but never names
-    one (a component of such rows alone has null). Rows with the same ``doc_id`` each keep their fingerprint. An empty table gives no rows. Other columns are
-    ignored; texts are worked through whole.
+    Fingerprints with ``bits`` or fewer differing bits are linked; equal ones are one node from the start, so copies
+    cost nothing. Null, empty and blank texts all have fingerprint zero and are linked like any other. A null
+    ``doc_id`` gets a component too, but never names one (a component of such rows alone has null). Rows with the same
+    ``doc_id`` each keep their fingerprint. An empty table gives no rows. Other columns are ignored; texts are worked
+    through whole.
     """
     prints = _kept(fingerprints(docs, shingle_words), "fingerprints")
     nodes = _kept(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-nodes")

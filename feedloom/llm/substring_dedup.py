@@ -1,9 +1,10 @@
 """Removal of word windows that occur earlier, found by doubling their length.
 
-A window can only be repeated if both its halves are. So windows of a short length are looked at first, all of them; those that occur
-more than once are alive. At twice the length only windows with two living halves are looked at, and so on until the length
-asked for is reached or nothing is alive. Each level is one exchange of packed names: four bytes a window while it only prunes, where
-an accidental match merely keeps a window alive, and eight at the last level, which decides.
+A window can only be repeated if both its halves are. So windows of a short length are looked at first, all of them;
+those that occur more than once are alive. At twice the length only windows with two living halves are looked at, and
+so on until the length asked for is reached or nothing is alive. Each level is one exchange of packed names: four
+bytes a window while it only prunes, where an accidental match merely keeps a window alive, and eight at the last
+level, which decides.
 
 Equal windows of one slice of text are folded before they are sent, so a passage in a third of all documents costs one
 entry per slice.
@@ -71,7 +72,8 @@ def _windows(batch: pa.RecordBatch, size: int, first: bool, last: bool, buckets:
 
 
 def _resolve(batches: Iterator[pa.RecordBatch], size: int, last: bool, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Before the last level the windows that are alive; at the last the words that repeated windows cover. Packed for the documents' buckets."""
+    """Before the last level the windows that are alive; at the last the words that repeated windows cover. Packed for
+    the documents' buckets."""
     d = blocks.unpacked(batches, _columns(last))
     keep, several, later = folded(d["name"], [d["id"], d["tag"], d["at"]])
     hit = later if last else np.r_[later, keep[several | (d["many"][keep] > 0)]]
@@ -116,16 +118,18 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeated_windows(docs: DataFrame, words: int = 20, shortest: int | None = None) -> DataFrame:
-    """Cut every word that a window of ``words`` consecutive words covers whose sequence also starts earlier, in any document.
-
-    Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. Earlier means a smaller ``doc_id``, or an earlier start in the same one. Windows are judged on the
-    input and overlap. ``shortest`` is the length of the first level (half of ``words`` unless given), from which doubling must lead to
-    ``words``. Result: ``doc_id``, ``n_words``, ``removed`` (maximal spans of words, ``end`` exclusive) and ``kept`` (the remaining words, joined by
-    one space).
-
-    Null and empty texts have no words; texts of fewer words than a window stay whole; texts of any length are handled in memory linear in that one text.
-    A null ``doc_id`` comes before all others. Rows with the same ``doc_id`` and text are the same document: none repeats the other. With
-    the same ``doc_id`` and different texts they are ordered by a hash of the text. An empty table gives no rows. Other columns are ignored.
+    """Cut every word that a window of ``words`` consecutive words covers whose sequence also starts earlier, in any
+    document.
+
+    Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. Earlier means a smaller ``doc_id``, or an earlier start in the same
+    one. Windows are judged on the input and overlap. ``shortest`` is the length of the first level (half of ``words``
+    unless given), from which doubling must lead to ``words``. Result: ``doc_id``, ``n_words``, ``removed`` (maximal
+    spans of words, ``end`` exclusive) and ``kept`` (the remaining words, joined by one space).
+
+    Null and empty texts have no words; texts of fewer words than a window stay whole; texts of any length are handled
+    in memory linear in that one text. A null ``doc_id`` comes before all others. Rows with the same ``doc_id`` and
+    text are the same document: none repeats the other. With the same ``doc_id`` and different texts they are ordered
+    by a hash of the text. An empty table gives no rows. Other columns are ignored.
     """
     size = shortest or max(1, words // 2)
     if size < 1 or words % size or (words // size) & (words // size - 1):

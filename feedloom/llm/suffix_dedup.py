@@ -4,20 +4,23 @@ Which windows of ``width`` bytes occur earlier is what neighbours in a suffix ar
 tell. Sorting all suffixes of a corpus would move many times its size, so they are sorted block by
 block, and what decides long ties is worked out beforehand:
 
-1. *Cover sample.* Each window has an anchor, the place of its smallest ``GRAM``-gram. Like a difference cover, the anchors
-   leave no two equal windows without a common sampled offset; chosen by content rather than by position modulo a number, they
-   also fall on the same places in all copies of a passage. One position in about ``(width - GRAM) / 2`` is sampled.
+1. *Cover sample.* Each window has an anchor, the place of its smallest ``GRAM``-gram. Like a difference cover, the
+   anchors leave no two equal windows without a common sampled offset; chosen by content rather than by position
+   modulo a number, they also fall on the same places in all copies of a passage. One position in about ``(width -
+   GRAM) / 2`` is sampled.
 2. *Ranks.* An anchor owns the windows around it. Anchors whose whole surroundings are equal get one name; all but the
    first of a name are repeats with every window they own. Anchors whose gram has one name only
    are done with. This settles the insides of copies, however many there are.
-3. *Suffix buckets.* What is left are suffixes near the ends of passages. They are split by offset from their anchor, eight
-   offsets to a block. Within one, suffixes share ``width - 7`` bytes, whose name is the rank that
-   resolves the tie, and differ in at most seven bytes on either side. One offset is sorted at a time, by those bytes and that rank.
-
-Both exchanges carry numbers only. Equal entries of one slice of text are folded before they are sent, so that a passage
-in a third of all documents costs one entry per slice. A gram that has many names in some slice, as at the edge of such a passage, is hot: its
-anchors are dealt out by name instead of by gram, and their suffixes by all their bytes instead of by rank, so neither meets in one task. A mark
-tells the gram's own bucket, where slices with few names of it have sent theirs; all open anchors of a gram are treated alike.
+3. *Suffix buckets.* What is left are suffixes near the ends of passages. They are split by offset from their anchor,
+   eight offsets to a block. Within one, suffixes share ``width - 7`` bytes, whose name is the rank that resolves the
+   tie, and differ in at most seven bytes on either side. One offset is sorted at a time, by those bytes and that
+   rank.
+
+Both exchanges carry numbers only. Equal entries of one slice of text are folded before they are sent, so that a
+passage in a third of all documents costs one entry per slice. A gram that has many names in some slice, as at the
+edge of such a passage, is hot: its anchors are dealt out by name instead of by gram, and their suffixes by all their
+bytes instead of by rank, so neither meets in one task. A mark tells the gram's own bucket, where slices with few
+names of it have sent theirs; all open anchors of a gram are treated alike.
 """
 
 from __future__ import annotations
@@ -52,7 +55,8 @@ def _as(kinds: dict[str, str], columns: dict[str, np.ndarray]) -> dict[str, np.n
 
 
 def _ordered(same: list[np.ndarray], place: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sort by what must be equal, then by place: the order, which entries open a group, and which come after another place of it."""
+    """Sort by what must be equal, then by place: the order, which entries open a group, and which come after another
+    place of it."""
     order = np.lexsort((*place[::-1], *same[::-1]))
     if not len(order):
         return order, np.empty(0, bool), np.empty(0, bool)
@@ -137,7 +141,8 @@ def _anchors(batch: pa.RecordBatch, width: int, buckets: int) -> Iterator[blocks
 
 
 def _resolve_anchors(batches: Iterator[pa.RecordBatch], width: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Spans of repeated anchors; and the first of each name whose gram has other names too, to be looked at suffix by suffix."""
+    """Spans of repeated anchors; and the first of each name whose gram has other names too, to be looked at suffix by
+    suffix."""
     d = blocks.unpacked(batches, _ANCHORS)
     order, fresh, later = _ordered([d["hot"], d["gram"], d["name"]], [d["id"], d["tag"], d["start"]])
     drop = order[later]
@@ -252,14 +257,16 @@ def _cut(batches: Iterator[pa.RecordBatch], whole_characters: bool) -> Iterator[
 def remove_repeats(docs: DataFrame, width: int = 100, whole_characters: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Cut every byte that a ``width``-byte string covers which also starts earlier, in any document.
 
-    Earlier means a smaller ``doc_id``, or an earlier start in the same one. Strings are judged on the input, overlaps count, and no string
-    crosses a document's end. Needs ``doc_id`` and ``text``; other columns are ignored. Result: ``doc_id``, ``n_bytes`` (length of
-    the UTF-8 text), ``removed`` (maximal spans, ``end`` exclusive) and ``kept`` (the remaining bytes). With ``whole_characters``, characters
-    that a span cuts into go as a whole, so that what is kept is UTF-8 again. ``keep`` names further columns to return.
+    Earlier means a smaller ``doc_id``, or an earlier start in the same one. Strings are judged on the input, overlaps
+    count, and no string crosses a document's end. Needs ``doc_id`` and ``text``; other columns are ignored. Result:
+    ``doc_id``, ``n_bytes`` (length of the UTF-8 text), ``removed`` (maximal spans, ``end`` exclusive) and ``kept``
+    (the remaining bytes). With ``whole_characters``, characters that a span cuts into go as a whole, so that what is
+    kept is UTF-8 again. ``keep`` names further columns to return.
 
-    Null and empty texts give zero bytes and no spans, texts shorter than ``width`` stay whole, texts of any length are handled
-    in memory linear in that one text. A null ``doc_id`` comes before all others. Rows with the same ``doc_id`` and text are the same document: none repeats the other.
-    With the same ``doc_id`` and different texts they are ordered by a hash of the text. An empty table gives no rows.
+    Null and empty texts give zero bytes and no spans, texts shorter than ``width`` stay whole, texts of any length
+    are handled in memory linear in that one text. A null ``doc_id`` comes before all others. Rows with the same
+    ``doc_id`` and text are the same document: none repeats the other. With the same ``doc_id`` and different texts
+    they are ordered by a hash of the text. An empty table gives no rows.
     """
     if width < GRAM + BLOCK * 2:
         raise ValueError(f"width must be at least {GRAM + BLOCK * 2}")

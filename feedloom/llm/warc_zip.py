@@ -1,8 +1,9 @@
 """Web archives (WARC) packed in ZIP files: writing them, and reading records by range without unpacking.
 
-An archive holds ``archive/data.warc.gz``, records compressed one by one, and ``indexes/index.cdx``, a line per record with where it lies.
-Both are stored in the ZIP file as they are, so a record can be read by its range. Reading takes two steps: one task per archive
-reads its directories (classic or ZIP64) and index and cuts the records into ranges of some megabytes; then many tasks read ranges.
+An archive holds ``archive/data.warc.gz``, records compressed one by one, and ``indexes/index.cdx``, a line per record
+with where it lies. Both are stored in the ZIP file as they are, so a record can be read by its range. Reading takes
+two steps: one task per archive reads its directories (classic or ZIP64) and index and cuts the records into ranges of
+some megabytes; then many tasks read ranges.
 """
 
 from __future__ import annotations
@@ -95,14 +96,17 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, archive_bytes: int) -
 
 
 def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Write a record per row into ZIP archives below ``folder``, which all tasks must reach; the archives written: ``path``, ``length``, ``records``.
+    """Write a record per row into ZIP archives below ``folder``, which all tasks must reach; the archives written:
+    ``path``, ``length``, ``records``.
 
-    The payload is ``html`` in UTF-8, a null one empty. Of rows with equal payloads of at least ``REVISIT_BYTES`` bytes the one with the largest ``page_id``
-    becomes a response, the others revisits that refer to it; shorter ones are all responses. Rows that share that largest id are
-    all responses; null ids are smaller than any, and if there are no others all are responses. A null ``url`` is left out. An empty table gives no archive. Other columns are ignored.
+    The payload is ``html`` in UTF-8, a null one empty. Of rows with equal payloads of at least ``REVISIT_BYTES``
+    bytes the one with the largest ``page_id`` becomes a response, the others revisits that refer to it; shorter ones
+    are all responses. Rows that share that largest id are all responses; null ids are smaller than any, and if there
+    are no others all are responses. A null ``url`` is left out. An empty table gives no archive. Other columns are
+    ignored.
 
-    Payloads are not shuffled for large groups of equal pages: the larger groups' digests alone are grouped, and each row looks up the one of its own. Archives of tasks that failed stay
-    behind unlisted.
+    Payloads are not shuffled for large groups of equal pages: the larger groups' digests alone are grouped, and each
+    row looks up the one of its own. Archives of tasks that failed stay behind unlisted.
     """
     payload = F.coalesce(F.encode("html", "UTF-8"), F.lit(b""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
@@ -236,7 +240,8 @@ def _chunks(file, start: int, end: int) -> Iterator[bytes]:
 
 
 def records(chunks: Iterator[bytes], packed: bool) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (names in lower case) and blocks of consecutive records; ``packed`` ones are gzip members, one each or several records to one."""
+    """Headers (names in lower case) and blocks of consecutive records; ``packed`` ones are gzip members, one each or
+    several records to one."""
     held = b""
     for piece in _unpacked(chunks) if packed else chunks:
         held += piece
@@ -318,9 +323,10 @@ def _read(batches: Iterator[pa.RecordBatch], with_payload: bool) -> Iterator[pa.
 def read_archives(archives: DataFrame, with_payload: bool = True, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """The response and revisit records of ZIP-packaged WARC files (``path``, ``length``).
 
-    Result: ``page_id``, ``url``, ``payload_bytes``, ``payload_digest`` (SHA-1), ``record_type``, ``refers_to`` (of revisits), and the ``payload`` of responses (null for revisits, or without
-    ``with_payload``). Payloads are held against their digests. Members that are WARC files must be stored; with an index they are cut into ranges, without one a
-    member is one range. Broken archives and records fail the job. No archives, or empty ones, give no rows.
+    Result: ``page_id``, ``url``, ``payload_bytes``, ``payload_digest`` (SHA-1), ``record_type``, ``refers_to`` (of
+    revisits), and the ``payload`` of responses (null for revisits, or without ``with_payload``). Payloads are held
+    against their digests. Members that are WARC files must be stored; with an index they are cut into ranges, without
+    one a member is one range. Broken archives and records fail the job. No archives, or empty ones, give no rows.
     """
     tasks = blocks.buckets_of(archives)
     parts = archives.select("path", "length").repartition(tasks, "path").mapInArrow(

@@ -27,10 +27,6 @@ class Words:
     def names(self) -> np.ndarray:
         return Rolling(BYTE_VALUES[self.text]).names(self.start, self.end)
 
-    def of(self, doc: int) -> list[bytes]:
-        data = self.text.tobytes() if not isinstance(self.text, bytes) else self.text
-        return [data[a:b] for a, b in zip(self.start[self.begins[doc] : self.begins[doc + 1]].tolist(), self.end[self.begins[doc] : self.begins[doc + 1]].tolist(), strict=True)]
-
     def window_starts(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Of every window of ``size`` words inside one document: its first word, and the document."""
         counts = np.maximum(np.diff(self.begins) - size + 1, 0)
