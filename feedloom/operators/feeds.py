@@ -133,7 +133,8 @@ def next_file(audit: DataFrame, sequence: DataFrame, requests: DataFrame) -> Dat
         .agg(F.max("run_id").alias("run_id"))
     )
     asked_feeds = requests.select("domain_name", "feed_date", "load_name").distinct()
-    # Names are cut to the lengths asked for (no more of these than letters in a name), so that starting with a name is being equal to it.
+    # Names are cut to the lengths asked for (no more of these than letters in a name), so that starting with a name
+    # is being equal to it.
     lengths = [r.n for r in requests.where("load_name is not null").select(F.length("load_name").alias("n")).distinct().collect()]
     cut = F.filter(F.array(*map(F.lit, sorted(lengths))).cast("array<int>"), lambda n: n <= F.length("loadname"))
     starts = (

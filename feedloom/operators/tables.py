@@ -46,8 +46,8 @@ def upsert(
 ) -> DataFrame:
     """Insert rows whose key is new and update the ``update`` columns of the others.
 
-    Of several rows for one key the last by ``order_by`` counts, as if they had come one after
-    the other; one without an order comes first. An inserted row gets ``insert_timestamp``, an updated one keeps its own and gets
+    Of several rows for one key the last by ``order_by`` counts, as if they had come one after the other; one without
+    an order comes first. An inserted row gets ``insert_timestamp``, an updated one keeps its own and gets
     ``update_timestamp``. Keys are the primary key of the table: unique there, never NULL.
 
     The last rows are settled first (see :func:`joins.settled`). The table is joined to them from

@@ -107,7 +107,8 @@ class Inactivation:
 
 
 def inactivate(legs: DataFrame, schedules: DataFrame, paths: DataFrame, feed_date: date | str) -> Inactivation:
-    """All steps. What several of them read is worked out once, right away: schedule ends, the ends of each leg key, and path ends."""
+    """All steps. What several of them read is worked out once, right away: schedule ends, the ends of each leg key,
+    and path ends."""
     ends = settled(schedule_ends(schedules, feed_date), "schedule-ends")
     groups = settled(group_range(legs, LEG_KEY, END), "leg-ends")
     by_path = settled(path_ends(legs, ends, groups), "path-ends")

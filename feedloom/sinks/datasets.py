@@ -72,7 +72,8 @@ def write_watermark(
     mode: str = "overwrite",
     file_format: str = "csv",
 ) -> bool:
-    """Store the watermark of a write as one file, CSV with a header unless told otherwise; nothing if no rows were written."""
+    """Store the watermark of a write as one file, CSV with a header unless told otherwise; nothing if no rows were
+    written."""
     if not written.record_count or written.watermark is None:
         return False
     row = spark.createDataFrame([(written.watermark,)], "v string").select(F.col("v").cast(data_type).alias(alias))

@@ -39,7 +39,8 @@ def store_options(spark: SparkSession) -> dict[str, str]:
 
 
 def filesystem_of(uri: str, options: Mapping[str, str] | None = None) -> tuple[fs.FileSystem, str]:
-    """A file system for use inside tasks, and the path there: local paths, ``file``, ``hdfs``, ``gs``, ``abfs`` and ``s3`` (``s3a``, ``s3n``).
+    """A file system for use inside tasks, and the path there: local paths, ``file``, ``hdfs``, ``gs``, ``abfs`` and
+    ``s3`` (``s3a``, ``s3n``).
 
     ``options`` are those of :func:`store_options`, for S3. Other settings of Hadoop do not reach Arrow.
     """
@@ -100,7 +101,8 @@ def _list(batches: Iterator[pa.RecordBatch], deep: bool, options: Mapping[str, s
 
 
 def manifest(spark: SparkSession, path: str | Sequence[str], recursive: bool = True) -> DataFrame:
-    """One row per file: ``path``, ``modificationTime`` and ``length``. Empty files and those named ``_*`` or ``.*`` are listed too.
+    """One row per file: ``path``, ``modificationTime`` and ``length``. Empty files and those named ``_*`` or ``.*``
+    are listed too.
 
     Folders are listed level by level until there are several for each task, which then walk what is below
     them. A task holds one folder's entries at a time; the driver holds none. Listings are settled, so that later steps see

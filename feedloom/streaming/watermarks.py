@@ -25,9 +25,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def keep_watermarks(stream: DataFrame, table_path: str, checkpoint: str, source: str) -> None:
     """Bring what has changed since the last call into the control table at a path, and return.
 
-    The table has one row per source. A batch is merged into it, and of each source the row with the greatest time (of equal ones, the
-    greatest count) stays; so a batch that runs again changes nothing, nor does a new checkpoint that starts over with old
-    files. The new table is complete before it takes the old one's place.
+    The table has one row per source. A batch is merged into it, and of each source the row with the greatest time (of
+    equal ones, the greatest count) stays; so a batch that runs again changes nothing, nor does a new checkpoint that
+    starts over with old files. The new table is complete before it takes the old one's place.
     """
 
     def put(batch: DataFrame, number: int) -> None:
