@@ -199,6 +199,36 @@ def test_one_of_each(spark, monkeypatch, hot):
     assert set(got) == stay
 
 
+def survivors(rows):
+    """Rows with the smallest id of their group, by comparing all pairs."""
+    sets = []
+    for _, text in rows:
+        words = text.split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    near = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9]
+    return {rows[i][0] for i, g in groups(range(len(rows)), near).items() if i == g}
+
+
+def variants(rng, base, n, edits):
+    """Texts that differ from ``base`` in some words, each in others."""
+    for _ in range(n):
+        words = list(base)
+        for at in rng.sample(range(len(words)), edits):
+            words[at] = f"x{rng.randrange(10**9)}"
+        yield " ".join(words)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_one_of_each_of_a_large_family(spark, seed):
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    rows = list(enumerate(variants(rng, base, 400, 3)))
+    expected = survivors(rows)
+    assert 1 < len(expected) < 350
+    out = near_copies.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id for r in out.collect()} == expected
+
+
 def test_rolling_names():
     rng = np.random.default_rng(1)
     values = rng.integers(0, 3, 400).astype(np.uint64)
