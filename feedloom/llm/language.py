@@ -5,7 +5,8 @@ into phrases, each the longest string from where the last one ended that the lan
 two are, the longer the matches, so the language that needs the fewest phrases per character wins (cross-parsing,
 which estimates the entropy of one text under another's statistics).
 
-Automata become tables of numbers. A task then walks thousands of pieces of text through all languages at once, one
+Automata become one hash table of transitions, whose size goes by the labelled text and not by how many letters there
+are. A task then walks thousands of pieces of text through all languages at once, one
 character of each per step.
 """
 
@@ -66,13 +67,55 @@ def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
 
 @dataclass
 class Model:
-    """``codes`` maps code points to symbols (0: no letter), ``table`` holds all automata: where a state's symbols
-    lead, or back to its ``root``."""
+    """``codes`` maps code points to symbols (0: no letter), of which there are ``width``. ``keys`` and ``to`` are the
+    hash table of all automata: where a state (times ``width``, plus the symbol) leads; ``starts`` has the same of each
+    automaton's root."""
 
     languages: list[str]
     codes: np.ndarray
-    table: np.ndarray
+    width: int
+    keys: np.ndarray
+    to: np.ndarray
     roots: np.ndarray
+    starts: np.ndarray
+
+
+def _slot(key: np.ndarray, slots: int) -> np.ndarray:
+    """Where the search for a key begins in a table of ``slots``, a power of two."""
+    return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(65 - slots.bit_length())).astype(np.int64)
+
+
+def _hashed(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A table of distinct keys with linear probing, a quarter full at most; free slots hold -1."""
+    slots = 1 << max(1, (4 * len(key)).bit_length())
+    keys, to = np.full(slots, -1, np.int64), np.zeros(slots, np.int32)
+    slot = _slot(key, slots)
+    left = np.arange(len(key))
+    while len(left):
+        free = left[keys[slot[left]] < 0]
+        keys[slot[free]] = key[free]
+        left = left[keys[slot[left]] != key[left]]
+        slot[left] = (slot[left] + 1) % slots
+    to[slot] = value
+    return keys, to
+
+
+def _follow(model: Model, state: np.ndarray, symbol: np.ndarray, home: np.ndarray) -> np.ndarray:
+    """Where states lead; back to their root where a symbol leads nowhere."""
+    key = state.astype(np.int64) * model.width + symbol
+    slot = _slot(key, len(model.keys))
+    found = model.keys[slot]
+    out = np.where(found == key, model.to[slot], home)
+    left = np.nonzero((found != key) & (found >= 0))
+    key, slot = key[left], slot[left]
+    while len(slot):
+        slot = (slot + 1) % len(model.keys)
+        found = model.keys[slot]
+        hit = found == key
+        out[tuple(x[hit] for x in left)] = model.to[slot[hit]]
+        on = ~hit & (found >= 0)
+        left, key, slot = tuple(x[on] for x in left), key[on], slot[on]
+    return out
 
 
 def _symbols(text: str, codes: np.ndarray) -> np.ndarray:
@@ -84,29 +127,32 @@ def _symbols(text: str, codes: np.ndarray) -> np.ndarray:
 def build(samples: dict[str, list[str]]) -> Model:
     """The model of some texts per language."""
     letters = sorted({c for texts in samples.values() for t in texts for c in t.lower() if c.isalpha()})
-    of = {c: i + 1 for i, c in enumerate(letters[:253])}
+    of = {c: i + 1 for i, c in enumerate(letters)}
     other = len(of) + 1
-    codes = np.zeros(0x110000, np.uint8)
+    codes = np.zeros(0x110000, np.uint32)
     for point in range(0x110000):
         c = chr(point)
         if c.isalpha():
             low = c.lower()
             codes[point] = of.get(low, other)
     width = other + 1
-    tables, roots, at = [], [], 0
-    for language in sorted(samples):
+    languages = sorted(samples)
+    starts = np.zeros((len(languages), width), np.int32)
+    keys, to, roots, at = [], [], [], 0
+    for i, language in enumerate(languages):
         text = [s for t in samples[language] for s in [0, *_symbols(t[:SAMPLE_CHARACTERS], codes).tolist()]]
         step = suffix_automaton(text)
-        table = np.full((len(step), width), at, np.int32)
-        for state, moves in enumerate(step):
-            for symbol, to in moves.items():
-                if symbol != other:
-                    table[state, symbol] = at + to * width
-        tables.append(table.reshape(-1))
+        # Letters that no labelled text has in lower case lead nowhere.
+        edges = [(state, symbol, end) for state, moves in enumerate(step) for symbol, end in moves.items() if symbol != other]
+        state, symbol, end = np.array(edges, np.int64).reshape(-1, 3).T
+        keys.append((state + at) * width + symbol)
+        to.append(end + at)
+        starts[i] = at
+        starts[i, symbol[state == 0]] = end[state == 0] + at
         roots.append(at)
-        at += table.size
-    joined = np.concatenate(tables) if tables else np.zeros(0, np.int32)
-    return Model(sorted(samples), codes, joined, np.array(roots, np.int32))
+        at += len(step)
+    table = _hashed(*(np.concatenate([np.empty(0, np.int64), *x]) for x in (keys, to)))
+    return Model(languages, codes, width, *table, np.array(roots, np.int32), starts)
 
 
 def phrases(pieces: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarray:
@@ -120,12 +166,12 @@ def phrases(pieces: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarray
         n = active[at]
         if not n:
             break
-        symbol, home = pieces[:n, at].astype(np.int32), root[:, :n]
-        moved = model.table[state[:, :n] + symbol]
+        symbol, home = pieces[:n, at].astype(np.int64), root[:, :n]
+        moved = _follow(model, state[:, :n], symbol, home)
         stuck = moved == home
         # A phrase ended before this symbol; the next one starts with it. At the start there was none to end.
         count[:, :n] += stuck & (state[:, :n] != home)
-        again = model.table[home + symbol]
+        again = model.starts[:, symbol]
         moved = np.where(stuck, again, moved)
         # Symbols the language does not have are phrases of their own.
         count[:, :n] += stuck & (again == home)
@@ -143,7 +189,7 @@ def _predict(batches: Iterator[pa.RecordBatch], held, carried: list[str]) -> Ite
             sizes = np.zeros(stop - begin, np.int64)
             for i in range(begin, stop):
                 text = texts[i].as_py()
-                symbols = _symbols(text, model.codes) if text else np.empty(0, np.uint8)
+                symbols = _symbols(text, model.codes) if text else np.empty(0, np.uint32)
                 if symbols.any():
                     sizes[i - begin] = len(symbols)
                     cuts = [symbols[a : a + PIECE] for a in range(0, len(symbols), PIECE)]
@@ -153,7 +199,7 @@ def _predict(batches: Iterator[pa.RecordBatch], held, carried: list[str]) -> Ite
                 continue
             lengths = np.array([len(p) for p in pieces])
             order = np.argsort(-lengths, kind="stable")
-            grid = np.zeros((len(pieces), lengths[order[0]]), np.uint8)
+            grid = np.zeros((len(pieces), lengths[order[0]]), np.uint32)
             for lane, piece in enumerate(order.tolist()):
                 grid[lane, : lengths[piece]] = pieces[piece]
             counts = phrases(grid, lengths[order], model)

@@ -78,6 +78,18 @@ def test_language_is_not_learned_from_held_out_rows(spark):
     assert language.learn(hidden).languages == ["en", "es"]
 
 
+def test_letters_beyond_a_byte():
+    rng = np.random.default_rng(4)
+    alphabets = {"zh": range(0x4E00, 0x5200), "ko": range(0xAC00, 0xAE00), "ja": range(0x3041, 0x3097), "ru": range(0x430, 0x450), "en": range(97, 123)}
+    texts = {k: ["".join(chr(c) for c in rng.choice(v, 900)) for _ in range(3)] for k, v in alphabets.items()}
+    built = language.build(texts)
+    for name, (text, *_) in texts.items():
+        symbols = language._symbols(text, built.codes)
+        assert len(np.unique(symbols)) == len(set(text))
+        counts = language.phrases(symbols[None, :], np.array([len(symbols)]), built)[:, 0]
+        assert built.languages[int(np.argmin(counts))] == name and counts.min() == 1
+
+
 def test_language_of_odd_rows(spark, model):
     rows = odd_documents(random.Random(1)) + [(500, "1234 !!! ---", None, None, None), (500, "Ünïcödé 漢字", None, None, None)]
     out = language.predict(documents(spark, rows), model).collect()
