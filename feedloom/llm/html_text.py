@@ -17,8 +17,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Elements whose content is never text of the page (fixed values).
-UNSEEN = ("script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "audio", "video", "head", "select", "textarea", "button")
+#: Elements whose content is never text of the page (fixed values): those that browsers read as plain characters up to
+#: their own end tag or the end of the page, and those with elements inside.
+RAW = ("script", "style", "noscript", "iframe", "textarea", "title")
+NESTED = ("template", "svg", "math", "object", "canvas", "audio", "video", "select", "button")
+#: Elements that may stand in a page's head; any other ends it.
+HEAD = frozenset("base basefont bgsound link meta noframes template script style noscript title".split())
+#: Elements of which none stands in another of its kind: a second one ends the first.
+SINGLE = frozenset(("select", "button"))
+#: Elements that may stand in an unseen one without an end tag; any other that breaks a line ends it.
+WITHIN = frozenset(("option", "optgroup", "source", "track", "param", "img"))
+#: Elements of a page that end a drawing or formula without an end tag.
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup "
+    "table tt u ul var html article aside footer form header main nav section td th tr tbody".split()
+)
 #: Elements that stay within a line of text (fixed values).
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
@@ -91,15 +104,51 @@ LABELLED = (
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*>"
-    r"|<(?P<unseen>" + "|".join(UNSEEN) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=unseen)\s*>|\Z)"
+    r"|<(?P<unseen>" + "|".join(RAW) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=unseen)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I,
 )
+_ANY_NESTED = re.compile("<(?:" + "|".join(NESTED) + r")[\s/>]", re.I)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
+def _ends(page: str) -> dict[int, int]:
+    """Where unseen elements with elements inside end, by where they start; those without an end tag of their own are
+    left out."""
+    out: dict[int, int] = {}
+    if not _ANY_NESTED.search(page):
+        return out
+    begun: dict[str, list[int]] = {tag: [] for tag in NESTED}
+    for match in _TOKEN.finditer(page):
+        tag = (match["tag"] or "").lower()
+        if tag not in begun:
+            continue
+        starts = begun[tag]
+        if match["close"]:
+            if starts:
+                out[starts.pop()] = match.end()
+        elif not _closes_itself(tag, match["rest"]):
+            if tag in SINGLE:
+                starts.clear()
+            starts.append(match.start())
+    return out
+
+
+def _closes_itself(tag: str, rest: str) -> bool:
+    return tag in ("svg", "math") and rest.rstrip().endswith("/")
+
+
+def _ends_unclosed(unclosed: str, tag: str) -> bool:
+    """Whether a tag ends an unseen element that has no end tag."""
+    if unclosed == "template":
+        return False
+    if unclosed in ("svg", "math"):
+        return tag in BREAKOUT
+    return tag not in INLINE and tag not in WITHIN
+
+
 def blocks_of(page: str) -> list[tuple[str, int, int, int]]:
     """Text, words, words in links and kind of part of each block, in page order."""
     out: list[tuple[str, int, int, int]] = []
@@ -107,6 +156,9 @@ def blocks_of(page: str) -> list[tuple[str, int, int, int]]:
     text: list[str] = []
     linked: list[str] = []
     in_link, at = 0, 0
+    # Up to where all is unseen, the unseen element without an end tag, and whether this is the page's head.
+    unseen_to, unclosed, in_head = 0, "", False
+    ends = _ends(page)
     part = OUTSIDE
 
     def flush() -> None:
@@ -130,18 +182,45 @@ def blocks_of(page: str) -> list[tuple[str, int, int, int]]:
         return MAIN if any(kind == MAIN for _, kind in open_parts) else OUTSIDE
 
     for match in _TOKEN.finditer(page):
-        put(html.unescape(page[at : match.start()]))
-        at = match.end()
+        before, at = page[at : match.start()], match.end()
+        if match.start() < unseen_to:
+            continue
+        if in_head and before.strip():
+            in_head = False
+        if not in_head and not unclosed:
+            put(html.unescape(before))
         if match["cdata"] is not None:
-            put(match["cdata"])
+            if not in_head and not unclosed:
+                put(match["cdata"])
             continue
         if match["unseen"]:
-            if match["unseen"].lower() in ("head", "textarea", "select"):
+            name = match["unseen"].lower()
+            in_head = in_head and name in HEAD
+            if name in ("textarea", "title"):
                 flush()
             continue
         if not match["tag"]:
             continue
         tag, rest = match["tag"].lower(), match["rest"]
+        if unclosed:
+            if not _ends_unclosed(unclosed, tag):
+                continue
+            unclosed = ""
+        if tag == "head":
+            flush()
+            in_head = not match["close"]
+            continue
+        if in_head:
+            if tag in HEAD and tag != "template" or match["close"] and tag not in ("body", "html", "br"):
+                continue
+            in_head = tag == "template"
+        if tag in NESTED:
+            if tag == "select":
+                flush()
+            if not match["close"] and not _closes_itself(tag, rest):
+                unseen_to = ends.get(match.start(), 0)
+                unclosed = "" if unseen_to else tag
+            continue
         if tag == "a":
             in_link = 0 if match["close"] else 1
         if tag == "br":
@@ -161,7 +240,8 @@ def blocks_of(page: str) -> list[tuple[str, int, int, int]]:
             if kind is not None:
                 open_parts.append((tag, kind))
         part = kind_now()
-    put(html.unescape(page[at:]))
+    if not unclosed:
+        put(html.unescape(page[at:]))
     flush()
     return out
 
@@ -271,8 +351,9 @@ def extract(pages: DataFrame, labelled: Sequence[tuple] = LABELLED) -> DataFrame
     adverts, forms, comments of readers, hidden parts, scripts and styles are left out. ``labelled`` is the table the
     tree is grown from: the numbers named in ``FEATURES`` and 1 for content.
 
-    A null, empty or text-free page gives an empty text; unclosed tags, comments and quotes run to where a browser
-    would end them or to the end. Pages are read whole. Each row is worked on by itself, so repeated and null ids give
+    A null, empty or text-free page gives an empty text; comments, quotes, scripts and the like without an end run
+    to the end. A head ends where something begins that may not stand in it; drawings, buttons, objects and the like
+    without an end tag end at the next tag that breaks the line. Pages are read whole. Each row is worked on by itself, so repeated and null ids give
     a row each. An empty table gives no rows. Other columns are ignored.
     """
     tree = trained(labelled)

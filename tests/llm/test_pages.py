@@ -162,3 +162,33 @@ def test_articles_of_the_sample(spark):
         text = rows[page.page_id].text
         assert text and "track(" not in text and "<" not in text and rows[page.page_id].n_chars == len(text)
         assert page.html.partition("<footer>")[2].partition(";")[2][:20] not in text
+
+
+ARTICLE = "<article><h1>Title</h1><p>" + "Some words of the article. " * 12 + "</p></article>"
+SEEN = "Title\n\n" + ("Some words of the article. " * 12).strip()
+
+
+@pytest.mark.parametrize(
+    "before",
+    [
+        "<html><head><title>t</title><body>",
+        "<html><head><meta charset=utf-8><title>t</title>",
+        "<head><style>p {}</style><script>var a = '<p>';</script><link href=x></head><body>",
+        "<body><svg width=1 />",
+        "<body><math/>",
+        "<body><svg><path d=''><text>label</text><p></p>",
+        "<body><div><button>Go</div>",
+        "<body><object data=x><param name=y>",
+        "<body><video src=x><source src=y>",
+        "<body><button>Go<div></div><button>On</button>",
+        "<body><svg><g><svg></svg>label</g></svg>",
+        "<body><select><option>one<option>two</select>",
+    ],
+)
+def test_left_out_end_tags(before):
+    assert html_text.main_text(before + ARTICLE, html_text.trained()) == SEEN
+
+
+@pytest.mark.parametrize("tag", ["script", "style", "textarea", "template"])
+def test_runs_to_the_end(tag):
+    assert html_text.main_text(f"{ARTICLE}<{tag}>no text<p>of the page", html_text.trained()) == SEEN
