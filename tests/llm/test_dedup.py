@@ -229,6 +229,20 @@ def test_one_of_each_of_a_large_family(spark, seed):
     assert {r.doc_id for r in out.collect()} == expected
 
 
+def test_one_of_each_does_not_depend_on_slices(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "HOT", 2)
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(150)]
+    texts = [t for _ in range(60) for t in variants(rng, passage + [f"w{rng.randrange(10**6)}" for _ in range(36)], 4, 2)]
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    expected = survivors(sorted(rows))
+    assert 1 < len(expected) < 240
+    for parts in (1, 7):
+        out = near_copies.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts))
+        assert {r.doc_id for r in out.collect()} == expected
+
+
 def test_rolling_names():
     rng = np.random.default_rng(1)
     values = rng.integers(0, 3, 400).astype(np.uint64)
