@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from feedloom.llm import decontaminate, html_text, language, licences
 from feedloom.llm.mixing import mix, mix_sql
+from feedloom.llm.prefix_trie import prefix_trie
 from feedloom.llm.quality_rules import BASE, judge
 from feedloom.llm.simhash import near_duplicates
 from feedloom.llm.substring_dedup import remove_repeated_windows
@@ -133,3 +134,33 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+#: CRC-32 of the UTF-8 bytes of an ASCII text in DuckDB.
+CRC32_SQL = (
+    "xor(list_reduce(list_transform(range(1, length({0}) + 1), lambda i: ascii({0}[i])::bigint), "
+    "lambda c, b: list_reduce(range(0, 8), lambda x, j: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)), 4294967295), 4294967295)"
+)
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All prefixes of rebuilt conversations, with what sharing them saves."""
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op11_prefix_trie"] = f"""
+    with o as (select conv_id as c, conv_id::varchar as d, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} order by turn nulls first) as ts
+      from conversations group by conv_id),
+    h as (select c, ts, {CRC32_SQL.format("d")} % 9 as h from o),
+    b as (select h.c, list_concat(coalesce(f.ts, [])[1 : h.h], h.ts[h.h + 1 :]) as ts from h left join o f on f.c = h.c - h.c % 5),
+    p as (select c, ts, len(ts) as n, unnest(range(0, len(ts) + 1)) as depth from b),
+    n as (select ts[1 : depth] as pre, depth, min(c) as conv_id, count(*) as n_convs,
+      coalesce(string_agg(c::varchar, ',' order by c) filter (n = depth), '') as ends, count(*) filter (n = depth) as n_ends from p group by all),
+    w as (select *, case when depth > 0 then (n_convs - 1) * strlen(pre[depth].t) else 0 end as w from n),
+    s as (select pre[1 : up] as pre, sum(w) as saved, sum((n_convs = n_ends)::int) as leaves
+      from (select *, unnest(range(0, depth + 1)) as up from w) group by 1),
+    k as (select pre[1 : depth - 1] as pre, count(*) as k from n where depth > 0 group by 1)
+    select n.conv_id, n.depth, u.conv_id as parent_conv_id, n.n_convs, coalesce(k.k, 0) as n_children, s.leaves::bigint as n_leaves,
+      s.saved::bigint as saved_tokens, sha256(n.ends) as ends_sha256
+    from n join s on s.pre = n.pre left join k on k.pre = n.pre left join n u on n.depth > 0 and u.pre = n.pre[1 : n.depth - 1]"""
