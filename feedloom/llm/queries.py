@@ -11,6 +11,7 @@ from feedloom.llm import decontaminate, html_text, language, licences
 from feedloom.llm.mixing import mix, mix_sql
 from feedloom.llm.prefix_trie import prefix_trie
 from feedloom.llm.quality_rules import BASE, judge
+from feedloom.llm.sharding import shuffle_into_shards
 from feedloom.llm.simhash import near_duplicates
 from feedloom.llm.substring_dedup import remove_repeated_windows
 from feedloom.llm.suffix_dedup import remove_repeats
@@ -164,3 +165,11 @@ ORACLES["op11_prefix_trie"] = f"""
     select n.conv_id, n.depth, u.conv_id as parent_conv_id, n.n_convs, coalesce(k.k, 0) as n_children, s.leaves::bigint as n_leaves,
       s.saved::bigint as saved_tokens, sha256(n.ends) as ends_sha256
     from n join s on s.pre = n.pre left join k on k.pre = n.pre left join n u on n.depth > 0 and u.pre = n.pre[1 : n.depth - 1]"""
+
+
+@query
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in uniform random order over eight shards whose counts are at most one apart."""
+    placed = shuffle_into_shards(table(spark, sf_dir, "documents"), shards=8)
+    law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
