@@ -11,6 +11,7 @@ from feedloom.llm import decontaminate, html_text, language, licences
 from feedloom.llm.mixing import mix, mix_sql
 from feedloom.llm.prefix_trie import prefix_trie
 from feedloom.llm.quality_rules import BASE, judge
+from feedloom.llm.repair import damaged, repair
 from feedloom.llm.sharding import shuffle_into_shards
 from feedloom.llm.simhash import near_duplicates
 from feedloom.llm.substring_dedup import remove_repeated_windows
@@ -173,3 +174,10 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shuffle_into_shards(table(spark, sf_dir, "documents"), shards=8)
     law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
     return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with each damaged conversation, and its cheapest repair."""
+    conversations = table(spark, sf_dir, "conversations")
+    return repair(damaged(conversations), conversations)
