@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from feedloom.operators.joins import lookup, settled
 from feedloom.operators.versions import drop_dominated, group_floor, group_range, update_from
 from feedloom.sinks.publish import publish
+from feedloom.sinks.releases import Releases
 
 # Fixed value: the end date of what has not ended.
 OPEN = "3001-01-01"
@@ -147,3 +148,12 @@ def run(
             inactivated_path: out.inactivated,
         },
     )
+
+
+def release(releases: Releases, feed_date: date | str) -> int:
+    """Run the chain over the tables ``legs``, ``schedules`` and ``paths`` of the current release. Both changed tables and both lists
+    (``path_ends``, ``inactivated``) become current in one step."""
+    now = releases.read_all()
+    out = inactivate(now["legs"], now["schedules"], now["paths"], feed_date)
+    tables = {"legs": out.legs, "paths": out.paths, "path_ends": out.path_ends, "inactivated": out.inactivated}
+    return releases.publish(tables)

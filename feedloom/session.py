@@ -45,6 +45,10 @@ def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8,
     return tune(spark)
 
 
+#: Stands in for the shared folder in local sessions; sessions of one process share it.
+_local_base: str | None = None
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder for intermediate tables, one per call.
 
@@ -52,10 +56,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     that every executor sees it and a lost executor loses nothing. Only where that
     is unset, as in tests, a machine-local folder stands in.
     """
+    global _local_base
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="feedloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        _local_base = _local_base or tempfile.mkdtemp(prefix="feedloom-")
+        base = _local_base
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -166,7 +166,11 @@ def bulk_load_target(t: Tables) -> DataFrame:
     loaded = t.spark.read.parquet(f"{out}/target")
     name = f"bulk_load_{uuid.uuid4().hex}"
     loaded.limit(1).write.option("path", f"{out}/table").saveAsTable(name)
-    bulk_load.replace_rows(t.spark, loaded.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(loaded.columns)]), name)
+    try:
+        bulk_load.replace_rows(t.spark, loaded.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(loaded.columns)]), name)
+    finally:
+        # The table's folder is its own; dropping the name leaves the rows.
+        t.spark.sql(f"drop table {name}")
     times = [c for c, kind in bulk_load.NOTIFICATION_CASTS.items() if kind == "timestamp"]
     return t.spark.read.parquet(f"{out}/table").withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
 
@@ -187,12 +191,17 @@ def scd_published(t: Tables) -> DataFrame:
     for name, df in (("legs", legs(t)), ("schedules", schedules(t)), ("paths", paths(t))):
         df.write.parquet(stored[name])
     inactivation.run(t.spark, *stored.values(), FEED_DATE)
-    read = {name: t.spark.read.parquet(path) for name, path in stored.items()}
+    read = t.spark.read.parquet
+    return all_of(read(stored["legs"]), read(stored["paths"]), read(stored["ends"]), read(stored["closed"]))
+
+
+def all_of(legs: DataFrame, paths: DataFrame, ends: DataFrame, closed: DataFrame) -> DataFrame:
+    """All that the chain leaves, as rows of one form."""
     key = F.concat_ws("|", *[F.col(c).cast("string") for c in inactivation.LEG_TO_SCHEDULE])
 
-    def rows(name: str, what: str, described: Column, ends: Column) -> DataFrame:
-        return read[name].select(F.lit(what).alias("what"), "path_id", described.alias("described"), ends.cast("date").alias("ends"))
+    def rows(df: DataFrame, what: str, described: Column, until: Column) -> DataFrame:
+        return df.select(F.lit(what).alias("what"), "path_id", described.alias("described"), until.cast("date").alias("ends"))
 
     text, none, dscr = F.lit(None).cast("string"), F.lit(None), F.col("path_dscr")
-    out = rows("legs", "leg", key, F.col(inactivation.END)).union(rows("paths", "path", dscr, F.col("path_inactive_dt")))
-    return out.union(rows("ends", "end", text, F.col("minina"))).union(rows("closed", "closed", dscr, none))
+    out = rows(legs, "leg", key, F.col(inactivation.END)).union(rows(paths, "path", dscr, F.col("path_inactive_dt")))
+    return out.union(rows(ends, "end", text, F.col("minina"))).union(rows(closed, "closed", dscr, none))

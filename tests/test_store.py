@@ -347,6 +347,19 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
         scratch(Session(), "x")
 
 
+def test_scratch_without_a_set_folder(spark, monkeypatch):
+    class Context:
+        master = "local[2]"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    one, two = scratch(Session(), "x"), scratch(Session(), "x")
+    assert one != two and Path(one).parent == Path(two).parent and Path(one).parent.is_dir()
+
+
 def test_scratch_is_new_each_time(spark):
     base = spark.conf.get("spark.checkpoint.dir", None)
     one, two = scratch(spark, "x"), scratch(spark, "x")
