@@ -7,19 +7,24 @@ from pyspark.sql import functions as F
 
 from feedloom.operators.gates import branch
 from feedloom.operators.joins import lookup
+from feedloom.operators.requests import containing
 
 
 def suppressed_by_config(failures: DataFrame, config: DataFrame) -> DataFrame:
     """Failures (``dag_id``, ``task_id``) that a configuration row tells to pass over.
 
     A row does if it is for the DAG, its task list contains the task id, and its flag
-    is ``Y``. Names are matched without case.
+    is ``Y``. Names are matched without case. Task lists are found by parts of the task ids, so the rules and tasks of one DAG are not
+    all held against each other.
     """
     rules = config.where(F.upper("skip_alert") == "Y").select(
-        F.lower("dag_id").alias("__dag"), F.lower("task_id_list").alias("__tasks")
+        F.lower("dag_id").alias("rule_dag"), F.lower("task_id_list").alias("rule_tasks")
     )
-    same = (F.lower("dag_id") == F.col("__dag")) & F.contains(F.col("__tasks"), F.lower("task_id"))
-    return failures.join(rules.distinct(), same, "left_semi")
+    asked = failures.select(F.lower("dag_id").alias("asked_dag"), F.lower("task_id").alias("asked_task")).distinct()
+    met = containing(rules.distinct(), "rule_tasks", asked, "asked_task", {"rule_dag": "asked_dag"})
+    hits = met.select("asked_dag", "asked_task").distinct()
+    lowered = failures.withColumns({"__d": F.lower("dag_id"), "__t": F.lower("task_id")})
+    return lookup(lowered, hits, {"__d": "asked_dag", "__t": "asked_task"}, "left_semi").drop("__d", "__t")
 
 
 def count_matching(df: DataFrame, column: str, text: str, alias: str = "n") -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.operators.gates import branch
-from feedloom.operators.joins import lookup
+from feedloom.operators.joins import lookup, settled
 from feedloom.operators.ordering import numbered
 
 SELECTIONS = ("NEWER_OLDEST", "NEWER_LATEST")
@@ -74,13 +74,70 @@ def latest(files: DataFrame, folder: Column, suffix: Column, path: str = "path")
     )
 
 
+#: Up to this place in a folder Spark itself passes on no more rows of a task than that.
+NEAR = 1000
+#: Files of one folder that are put in order in one task.
+ORDERED = 1 << 17
+
+
+def _shared_start(low: Column, high: Column) -> Column:
+    """How many letters two texts have in common at the start."""
+    spots = F.sequence(F.lit(0), F.least(F.length(low), F.length(high)))
+    same = F.filter(spots, lambda n: F.left(low, n) == F.left(high, n))
+    return F.array_max(same)
+
+
+def _narrowed(rows: DataFrame, path: str) -> DataFrame:
+    """Rows of the range of each folder that holds the wanted place, counted from the start of that range.
+
+    Ranges are the next two letters after those that all paths of the folder share, and are only counted.
+    """
+    ends = rows.groupBy("folder").agg(F.min(path).alias("low"), F.max(path).alias("high"))
+    shared = settled(ends.select("folder", _shared_start(F.col("low"), F.col("high")).alias("__shared")), "shared-starts")
+    rows = lookup(rows, shared, ["folder"], "inner").withColumn("__part", F.substring(path, F.col("__shared") + 1, F.lit(2)))
+    counts = rows.groupBy("folder", "__part").agg(F.count("*").alias("n"), F.first("__want").alias("want"))
+    so_far = F.sum("n").over(Window.partitionBy("folder").orderBy("__part"))
+    hit = counts.withColumn("upto", so_far).where("want <= upto and want > upto - n")
+    hit = settled(hit.selectExpr("folder", "__part", "want - (upto - n) as __left"), "ranges-hit")
+    kept = lookup(rows, hit, ["folder", "__part"], "inner")
+    return kept.select("folder", path, F.col("__left").alias("__want"))
+
+
 def nth_file(files: DataFrame, folder: Column, n: int = 0, path: str = "path") -> DataFrame:
-    """The n-th file by path in each folder, from 0, for any n. Paths are unique.
+    """The n-th file by path in each folder, from 0, for any n. Paths are unique; a folder with fewer files has none.
 
-    Files are numbered by ranges (see :func:`ordering.numbered`), so a folder of any size is spread over tasks.
+    For the first thousand places each task passes on no more files than that. For later ones files are counted by ranges of
+    their paths, range within range, and only those of the range that holds the place are put in order.
+    """
+    rows = files.select(folder.alias("folder"), path)
+    place = F.row_number().over(Window.partitionBy("folder").orderBy(path))
+    if n < NEAR:
+        return rows.withColumn("__rank", place).where(F.col("__rank") == n + 1).drop("__rank")
+    rows = rows.withColumn("__want", F.lit(n + 1).cast("long"))
+    while True:
+        sizes = rows.groupBy("folder").agg(F.count("*").alias("n"), F.first("__want").alias("want"))
+        if (sizes.where("n >= want").agg(F.max("n")).first()[0] or 0) <= ORDERED:
+            break
+        rows = _narrowed(rows, path)
+    return rows.withColumn("__rank", place).where(F.col("__rank") == F.col("__want")).drop("__rank", "__want")
+
+
+def on_run_dates(files: DataFrame, dates: DataFrame, path: str = "path", run_date: str = "run_date") -> DataFrame:
+    """Files in a folder named after one of the asked dates (unique), with the date. One pass, however many dates."""
+    folders = F.split(path, "/")
+    between = F.array_distinct(F.slice(folders, F.lit(2), F.greatest(F.size(folders) - 2, F.lit(0))))
+    asked = dates.select(F.col(run_date).cast("string").alias("__folder"), F.col(run_date))
+    return lookup(files.withColumn("__folder", F.explode(between)), asked, ["__folder"], "inner").drop("__folder")
+
+
+def of_run_dates(table: DataFrame, dates: DataFrame, run_date: str = "run_date") -> DataFrame:
+    """Rows of a table laid out by run date, for a table of asked dates (unique).
+
+    While the table of dates is small enough to be broadcast, the dates are known before the files are listed: folders of other dates are
+    not opened. A test that any date passes lets Spark see that the dates leave something out.
     """
-    ranked = numbered(files.select(folder.alias("folder"), path), ["folder"], [path], alias="__rank")
-    return ranked.where(F.col("__rank") == n + 1).drop("__rank")
+    asked = dates.where(F.col(run_date) >= F.lit("0001-01-01").cast(dates.schema[run_date].dataType))
+    return table.join(asked.select(run_date), run_date, "left_semi")
 
 
 def numbered_names(
@@ -180,7 +237,8 @@ def has_content(line: Column) -> Column:
 
 def non_blank_lines(text: Column) -> Column:
     """How many lines of a text are not blank; lines end with LF, CR LF or CR."""
-    return F.size(F.filter(F.split(text, r"\r\n?|\n"), has_content))
+    # From the first character that is no white space to the end of its line is one line.
+    return F.regexp_count(text, F.lit(r"\S[^\r\n]*"))
 
 
 def data_gate(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions import dates, text
-from feedloom.operators import alerts, controls, documents, feeds, gates, ordering, tables
+from feedloom.operators import alerts, controls, documents, feeds, gates, ordering, requests, tables
 from feedloom.operators.joins import settled
 from feedloom.plans import feed_cycle as cycle
 from feedloom.sources.jdbc import extract_rows
@@ -232,6 +232,24 @@ def status_gate_like(t: Tables) -> DataFrame:
     return gates.status_gate_like(domains, audit, ["load_1", "7", "99", "zzz"], "skip", "next", last_run=True)
 
 
+@query(
+    f"""with {_AUDIT}, q as (select case when c_acctbal < 0 then '1-urgent' else '3-medium' end as domainname,
+    concat('_', cast(c_custkey as varchar(20))) as load_text from customer union all select '2-high', 'zzz'),
+    m as (select q.domainname, q.load_text, a.run_id, a.status from q
+    left join audit a on a.domainname = q.domainname and contains(a.loadname, q.load_text)),
+    z as (select domainname, load_text, max(run_id) as run_id from m group by 1, 2)
+    select m.domainname, m.load_text, case when count(case when m.status = 'started' then 1 end) > 0
+    then 'skip' else 'next' end as branch from m join z on z.domainname = m.domainname and z.load_text = m.load_text
+    and z.run_id is not distinct from m.run_id group by 1, 2"""
+)
+def status_gate_requests(t: Tables) -> DataFrame:
+    """A request for each customer: whether the last run of the loads whose name contains a text is busy."""
+    domain = F.when(F.col("c_acctbal") < 0, "1-urgent").otherwise("3-medium").alias("domainname")
+    asked = t.customer.select(domain, F.concat(F.lit("_"), F.col("c_custkey").cast("string")).alias("load_text"))
+    asked = asked.union(t.spark.createDataFrame([("2-high", "zzz")], "d string, l string"))
+    return requests.status_gate_for(asked, _table(t, AUDIT, "orders"), "skip", "next", last_run=True)
+
+
 @query(
     """select o_orderkey, case when left(o_orderpriority, 1) = cast(o_custkey % 5 + 1 as varchar(1)) then 'next' else 'skip' end as branch
     from orders"""

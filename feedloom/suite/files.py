@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions import dates, names, text
-from feedloom.operators import filesets
+from feedloom.operators import filesets, requests
 from feedloom.operators.gates import branch
 from feedloom.operators.joins import settled
+from feedloom.session import scratch
 from feedloom.sinks.datasets import max_watermark as top_value
 from feedloom.suite.registry import Tables, query
 
@@ -49,11 +48,48 @@ def manifest_count_gate(t: Tables) -> DataFrame:
 
 @query("select o_orderkey, 'in/' || strftime(o_orderdate, '%Y-%m-%d') || '/f.csv' as path from orders where year(o_orderdate) = 1996 and month(o_orderdate) = 2")
 def run_date_folder(t: Tables) -> DataFrame:
-    """Files in the folders of one month's run dates."""
+    """Files in the folders of one month's run dates, all dates in one pass."""
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     files = t.orders.select("o_orderkey", F.concat(F.lit("in/"), day, F.lit("/f.csv")).alias("path"))
-    days = [filesets.select_files(files, prefix="in/", suffix=".csv", run_date=f"1996-02-{d:02d}") for d in range(1, 30)]
-    return reduce(DataFrame.union, days)
+    dates = t.spark.sql("select explode(sequence(date'1996-02-01', date'1996-02-29')) as run_date")
+    return filesets.on_run_dates(filesets.select_files(files, prefix="in/", suffix=".csv"), dates).select("o_orderkey", "path")
+
+
+@query("""select o_orderkey, o_totalprice, cast(date_trunc('month', o_orderdate) as date) as run_date from orders
+    where date_trunc('month', o_orderdate) in (select date_trunc('month', c) from (select max(o_orderdate) as c from orders
+    group by o_orderpriority union all select min(o_orderdate) from orders group by o_orderpriority))""")
+def run_date_partitions(t: Tables) -> DataFrame:
+    """A table laid out by run date, read for the dates that another table asks for."""
+    path = scratch(t.spark, "by-run-date")
+    month = F.trunc("o_orderdate", "month").alias("run_date")
+    t.orders.select("o_orderkey", "o_totalprice", month).repartition("run_date").write.partitionBy("run_date").parquet(path)
+    ends = t.orders.groupBy("o_orderpriority").agg(F.min("o_orderdate").alias("low"), F.max("o_orderdate").alias("high"))
+    each = ends.select(F.explode(F.array("low", "high")).alias("day"))
+    dates = settled(each.select(F.trunc("day", "month").alias("run_date")).distinct(), "asked-dates")
+    return filesets.of_run_dates(t.spark.read.parquet(path), dates).select("o_orderkey", "o_totalprice", "run_date")
+
+
+_REQUESTS = """select 'h' || host as request_id, 'https://' || host || '/' as prefix, null as suffix, null as contains from hosts
+    union all select 's' || last, null, '/' || last, null from lasts
+    union all select 'c' || last, 'http', null, '/en/' || last from lasts
+    union all select 'none', null, null, 'no such text'"""
+
+
+@query(
+    f"""with hosts as (select distinct {_HOST} as host from pages),
+    lasts as (select distinct regexp_extract(url, '([^/]*)$', 1) as last from pages where regexp_extract(url, '([^/]*)$', 1) <> ''),
+    r as ({_REQUESTS})
+    select request_id, page_id, url as path from pages, r where (prefix is null or (starts_with(url, prefix) and url <> prefix))
+    and (suffix is null or ends_with(url, suffix)) and (contains is null or contains(url, contains))
+    and length(html) > 0 and not ends_with(url, '/')"""
+)
+def request_select(t: Tables) -> DataFrame:
+    """Files for a request per host, per last part of a path at the end, and per last part within: thousands in one pass."""
+    files = listing(t)
+    hosts = files.select(host().alias("host")).distinct()
+    lasts = files.select(F.substring_index("path", "/", -1).alias("last")).where("last <> ''").distinct()
+    asked = t.spark.sql(_REQUESTS.replace("from hosts", "from {hosts}").replace("from lasts", "from {lasts}"), hosts=hosts, lasts=lasts)
+    return requests.select_for(files, asked.withColumn("non_empty", F.lit(True))).select("request_id", "page_id", "path")
 
 
 @query(
@@ -92,6 +128,19 @@ def nth_file(t: Tables) -> DataFrame:
     return filesets.nth_file(listing(t), host(), 1)
 
 
+_FAR = "concat(cast(l_orderkey as varchar(20)), '/', cast(l_linenumber as varchar(20)))"
+
+
+@query(
+    f"""select l_returnflag as folder, path from (select l_returnflag, {_FAR} as path,
+    row_number() over (partition by l_returnflag order by {_FAR}) as rn from lineitem) x where rn = 1401"""
+)
+def nth_file_far(t: Tables) -> DataFrame:
+    """A place far on in each folder, found by counts of ranges."""
+    files = t.lineitem.select("l_returnflag", F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("path"))
+    return filesets.nth_file(files, F.col("l_returnflag"), 1400)
+
+
 @query(
     f"""select page_id, concat('exp_20240101', case when n = 1 then '' else concat('_', cast(rn as varchar(9))) end, '.txt')
     as new_name from (select page_id, row_number() over (partition by {_HOST} order by {_KEY}, page_id) as rn,

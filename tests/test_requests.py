@@ -1,0 +1,152 @@
+"""Requests as tables, the n-th file and run dates, against plain Python; and their plans."""
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from feedloom.operators import filesets, requests
+
+ASK = "request_id string, prefix string, suffix string, pattern string, contains string, excludes string, run_date string, non_empty boolean"
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def passes(path, length, ask):
+    import re
+
+    _, prefix, suffix, pattern, contains, excludes, run_date, non_empty = ask
+    return (
+        (prefix is None or (path.startswith(prefix) and path != prefix))
+        and (suffix is None or path.endswith(suffix))
+        and (pattern is None or re.search(pattern, path) is not None)
+        and (contains is None or contains in path)
+        and (excludes is None or excludes not in path)
+        and (run_date is None or f"/{run_date}/" in path)
+        and (not non_empty or (length > 0 and not path.endswith("/")))
+    )
+
+
+def manifest(spark, rows):
+    return spark.createDataFrame(rows, "path string, length long").withColumn("kind", F.lit("k"))
+
+
+def test_requests_against_every_pair(spark):
+    rng = random.Random(2)
+    part = lambda: rng.choice(["a", "bb", "load", "2024-01-02", "2024-01-03", "metadata", "é", "x_y", "aa", "aaaa", "b.csv"])
+    files = list({("/".join(part() for _ in range(rng.randrange(1, 6))) + rng.choice(["", "/", ".csv"]), rng.randrange(3)) for _ in range(400)})
+    asks = []
+    for i in range(300):
+        some = lambda v: v if rng.random() < 0.4 else None
+        path = rng.choice(files)[0]
+        cut = rng.randrange(len(path))
+        ask = (f"r{i}", some(path[:cut]), some(path[cut:]), some("a+/|csv$"), some(path[cut : cut + 3]), some("meta"), some("2024-01-02"), some(True))
+        if any(ask[k] for k in (1, 2, 4, 6)):
+            asks.append(ask)
+    asks += [("all_a", "a", None, None, None, None, None, None), ("copy", "a", None, None, None, None, None, None), ("no", None, None, None, "nothing", None, None, None)]
+    got = requests.select_for(manifest(spark, files), spark.createDataFrame(asks, ASK)).collect()
+    assert Counter((r.request_id, r.path, r.length) for r in got) == Counter((a[0], p, n) for a in asks for p, n in files if passes(p, n, a))
+    assert len(got) > 500
+
+
+def test_requests_need_a_text_and_may_lack_columns(spark):
+    files = manifest(spark, [("a/b", 1), ("a/", 0), ("a/bb", 0)])
+    with pytest.raises(PySparkException, match="without a text: 7"):
+        requests.select_for(files, spark.createDataFrame([(7, ".*")], "request_id int, pattern string")).collect()
+    got = requests.select_for(files, spark.createDataFrame([(1, "a/"), (2, "a/bb")], "request_id int, prefix string"))
+    assert got.columns == ["request_id", "path", "length", "kind"]
+    assert sorted((r.request_id, r.path) for r in got.collect()) == [(1, "a/b"), (1, "a/bb")]
+    none = requests.select_for(files, spark.createDataFrame([], "request_id int, prefix string"))
+    assert none.columns == got.columns and none.count() == 0
+
+
+def test_requests_are_told_apart_by_what_differs(spark, tmp_path):
+    """Thousands of requests below one folder: pairs grow with what is found, and the manifest is read once."""
+    path = str(tmp_path / "manifest")
+    manifest(spark, [(f"base/folder/{i:05d}/f.csv", 1) for i in range(5000)]).write.parquet(path)
+    asks = spark.createDataFrame([(i, "base/folder/", f"/{i:05d}/") for i in range(0, 6000)], "request_id int, prefix string, contains string")
+    files = spark.read.parquet(path)
+    assert requests.indexed_join(files, "path", asks, [(requests.START, F.col("prefix")), (requests.INSIDE, F.col("contains"))]).count() < 60_000
+    found = requests.select_for(files, asks)
+    assert found.count() == 5000
+    text = plan(found)
+    assert text.count("ReadSchema: struct<path:string,length:bigint") == 1
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+@pytest.mark.parametrize("last_run", [False, True])
+def test_status_gate_for_requests(spark, last_run):
+    rng = random.Random(last_run)
+    audit = [(rng.choice("xy"), f"load_{rng.randrange(30)}", rng.randrange(9), rng.choice(["started", "completed"])) for _ in range(200)]
+    asks = [(d, t) for d in "xyz" for t in ("load", "_1", "29", "2", "none")]
+    df = spark.createDataFrame(audit, "domainname string, loadname string, run_id long, status string")
+    got = requests.status_gate_for(spark.createDataFrame(asks, "domainname string, load_text string"), df, "busy", "free", last_run=last_run)
+    expected = set()
+    for d, t in asks:
+        hits = [a for a in audit if a[0] == d and t in a[1]]
+        if last_run and hits:
+            hits = [a for a in hits if a[2] == max(h[2] for h in hits)]
+        expected.add((d, t, "busy" if any(a[3] == "started" for a in hits) else "free"))
+    assert {(r.domainname, r.load_text, r.branch) for r in got.collect()} == expected
+
+
+def test_hot_dag_does_not_meet_all_its_rules(spark):
+    rules = spark.createDataFrame([("dag", f"task_{i:04d},task_{i + 1:04d}") for i in range(3000)], "dag_id string, tasks string")
+    asks = spark.createDataFrame([("dag", f"task_{i:04d}") for i in range(3000)], "dag string, task string")
+    pairs = requests.indexed_join(rules, "tasks", asks, [(requests.INSIDE, F.col("task"))], {"dag_id": "dag"})
+    assert pairs.count() < 60_000
+
+
+@pytest.mark.parametrize("ordered", [1, 7, 1000])
+def test_nth_by_ranges(spark, monkeypatch, ordered):
+    rng = random.Random(ordered)
+    letters = "abéz/"
+    files = [(f, f"in/{f}/" + "".join(rng.choice(letters) for _ in range(rng.randrange(9))) + str(i)) for f in "pqr" for i in range({"p": 300, "q": 40, "r": 3}[f])]
+    monkeypatch.setattr(filesets, "ORDERED", ordered)
+    monkeypatch.setattr(filesets, "NEAR", 1)
+    df = spark.createDataFrame(files, "f string, path string").repartition(4)
+    for n in (0, 2, 39, 299):
+        got = {(r.folder, r.path) for r in filesets.nth_file(df, F.col("f"), n).collect()}
+        expected = set()
+        for f in "pqr":
+            paths = sorted((p for g, p in files if g == f), key=lambda p: p.encode())
+            expected |= {(f, p) for p in paths[n : n + 1]}
+        assert got == expected
+
+
+def test_near_places_are_cut_before_the_shuffle(spark):
+    files = spark.createDataFrame([("a", "x")], "f string, path string")
+    assert "WindowGroupLimit" in plan(filesets.nth_file(files, F.col("f"), 5))
+
+
+def test_run_dates_in_one_pass(spark):
+    files = manifest(spark, [("in/2024-01-01/a", 1), ("in/2024-01-02/2024-01-01/b", 1), ("2024-01-01/a", 1), ("in/2024-01-01", 1), ("in/2024-01-01/2024-01-01/c", 1)])
+    dates = spark.sql("select explode(array(date'2024-01-01', date'2024-01-02')) as run_date")
+    got = filesets.on_run_dates(files, dates)
+    assert sorted((r.path, r.run_date.day) for r in got.collect()) == [
+        ("in/2024-01-01/2024-01-01/c", 1), ("in/2024-01-01/a", 1), ("in/2024-01-02/2024-01-01/b", 1), ("in/2024-01-02/2024-01-01/b", 2),
+    ]
+
+
+def test_run_date_folders_are_pruned(spark, tmp_path):
+    table, dates = str(tmp_path / "table"), str(tmp_path / "dates")
+    rows = spark.sql("select id, date_add(date'2024-01-01', cast(id % 40 as int)) as run_date from range(400)")
+    rows.repartition("run_date").write.partitionBy("run_date").parquet(table)
+    spark.sql("select date'2024-01-05' as run_date union all select date'2024-01-09'").write.parquet(dates)
+    found = filesets.of_run_dates(spark.read.parquet(table), spark.read.parquet(dates))
+    assert "dynamicpruning" in plan(found).lower()
+    assert sorted(r.id % 40 for r in found.collect()) == [4] * 10 + [8] * 10
+    nodes = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in nodes
+    # Files of other dates are not opened: broken ones do no harm.
+    for folder in (tmp_path / "table").glob("run_date=2024-01-2*"):
+        for file in folder.glob("*.parquet"):
+            file.write_bytes(b"broken")
+            (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    spark.catalog.refreshByPath(table)
+    again = filesets.of_run_dates(spark.read.schema("id long, run_date date").parquet(table), spark.read.parquet(dates))
+    assert again.count() == 20
