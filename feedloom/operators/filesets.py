@@ -215,6 +215,40 @@ def stable_files(before: DataFrame, after: DataFrame, path: str = "path", mark:
     return lookup(before, later, [path], "left_semi", extra=F.col(mark) == F.col("__mark"))
 
 
+def unchanged_runs(
+    listings: DataFrame, path: str = "path", mark: str = "modificationTime", at: str = "listed_at", chunk: int = 1024
+) -> DataFrame:
+    """Runs of consecutive listings in which a file had one mark: the path, the mark, ``first_at``, ``last_at``, ``n_listings`` and
+    ``is_last`` (whether the run goes up to the last listing).
+
+    Takes a history of listings, a row per file and time of listing. A listing without the file ends its run. NULL is a mark like any other. Listings are numbered; as
+    long as a file keeps its mark, that number and its own count rise together, so their difference names the run. A file's rows are counted
+    in chunks of so many listings, so a history of any length is spread over tasks.
+    """
+    times = settled(numbered(listings.select(at).distinct(), [], [at], alias="__listing", total="__all"), "listing-times")
+    rows = lookup(listings, times, [at], "inner").withColumn("__known", F.col(mark).isNotNull())
+    counted = numbered(rows, [path, "__known", mark], ["__listing"], F.expr(f"__listing div {chunk}"), alias="__own")
+    runs = counted.groupBy(path, mark, (F.col("__listing") - F.col("__own")).alias("__run")).agg(
+        F.min(at).alias("first_at"), F.max(at).alias("last_at"), F.count("*").alias("n_listings"), F.max(F.col("__listing") == F.col("__all")).alias("is_last")
+    )
+    return runs.drop("__run")
+
+
+def settled_files(
+    listings: DataFrame, for_listings: int | None = None, for_seconds: int | None = None, path: str = "path", mark: str = "modificationTime", at: str = "listed_at"
+) -> DataFrame:
+    """Files that the last listing shows with a mark they have had for so many listings, or for so long. With both, both must hold."""
+    if for_listings is None and for_seconds is None:
+        raise ValueError("say for how many listings or how many seconds")
+    runs = unchanged_runs(listings, path, mark, at).where("is_last")
+    if for_listings is not None:
+        runs = runs.where(F.col("n_listings") >= for_listings)
+    if for_seconds is not None:
+        span = F.col("last_at").cast("timestamp").cast("double") - F.col("first_at").cast("timestamp").cast("double")
+        runs = runs.where(span >= for_seconds)
+    return runs.drop("is_last")
+
+
 def object_counts(folders: DataFrame, files: DataFrame, folder: Column, limit: int = 1, path: str = "path") -> DataFrame:
     """Files per folder asked about, folder markers aside, and whether they are more than allowed. An empty folder has 0."""
     real = files.where(~F.endswith(F.col(path), F.lit("/")))

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from feedloom.functions.compare import holds
-from feedloom.operators.joins import lookup
+from feedloom.operators.joins import lookup, unique_by
+from feedloom.sinks.publish import put_in_place, stage
 
 _LOAD = ["domainname", "loadname"]
 
@@ -34,6 +36,43 @@ def branch_by(value: Column, branches: Mapping[str, str]) -> Column:
     return F.coalesce(F.try_element_at(table, text), wrong)
 
 
+@dataclass(frozen=True)
+class Branches:
+    """Rows with their branch, and what has been seen of those without one."""
+
+    rows: DataFrame
+    seen: Observation
+
+    def check(self) -> None:
+        """Fail if any row had none, saying how many and naming some. To be called when the rows have been written."""
+        lost = self.seen.get
+        if lost["lost"]:
+            raise ValueError(f"no branch for {lost['lost']} rows, values from {lost['least']!r} to {lost['most']!r}")
+
+
+def branch_from(df: DataFrame, value: str, branches: DataFrame, name: str = "value", to: str = "branch") -> Branches:
+    """The branch of each row from a table of branches (``name``, ``to``; unique names), compared as text.
+
+    For maps too large to be written down. Rows without a branch, and those with a NULL, go on with NULL and are counted in the pass that writes, so all
+    of them are known at the end and no second job looks for them: write ``rows``, then call ``check``, then put what was written in place.
+    """
+    known = branches.select(F.col(name).cast("string").alias("__value"), F.col(to).alias("branch"))
+    found = lookup(df.withColumn("__text", F.col(value).cast("string")), unique_by(known, ["__value"]), {"__text": "__value"})
+    lost = F.when(F.col("branch").isNull(), F.coalesce("__text", F.lit("NULL")))
+    seen = Observation()
+    measured = found.observe(seen, F.count(lost).alias("lost"), F.min(lost).alias("least"), F.max(lost).alias("most"))
+    return Branches(measured.drop("__text"), seen)
+
+
+def write_branches(df: DataFrame, value: str, branches: DataFrame, target: str, name: str = "value", to: str = "branch") -> None:
+    """Write rows with their branch, a folder per branch. The dataset is put in place only if every row has one."""
+    spark = df.sparkSession
+    found = branch_from(df, value, branches, name, to)
+    staged = stage({target: found.rows}, layout={target: ["branch"]})
+    found.check()
+    put_in_place(spark, staged)
+
+
 def branch_of_result(result: DataFrame, branches: Mapping[str, str]) -> DataFrame:
     """The branch of the first cell of a query's result, as one row. No row or a NULL fails the job.
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
@@ -36,6 +36,42 @@ def sorted_runs(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     return df.sortWithinPartitions(*order)
 
 
+#: Where a row of a Parquet file lies: columns that :func:`with_place` adds.
+PLACE = ["__file", "__row"]
+
+
+def with_place(table: DataFrame) -> DataFrame:
+    """Rows of a Parquet table with their place in it: the file's path and the row's number there."""
+    return table.select("*", F.col("_metadata.file_path").alias(PLACE[0]), F.col("_metadata.row_index").alias(PLACE[1]))
+
+
+def stable_sort(table: DataFrame, order: Sequence[str | Column], place: Sequence[str] = ()) -> DataFrame:
+    """Sort all rows, equal ones in the order they have in the table.
+
+    ``table`` is read from Parquet files, whose paths and row numbers give that order, unless ``place`` names columns that do. The place also breaks ties
+    between partitions, so one frequent value spreads.
+    """
+    if place:
+        return table.orderBy(*order, *place)
+    return with_place(table).orderBy(*order, *PLACE).drop(*PLACE)
+
+
+def write_sorted_runs(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int, order: Sequence[str] = ()) -> None:
+    """A catalog table of one file per bucket of the keys, sorted by them and then by ``order``. One shuffle.
+
+    Tables written so with equally many buckets are joined and merged by these keys without shuffle or sort; see :func:`read_sorted_runs`.
+    """
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.bucketBy(buckets, *keys).sortBy(*keys, *order).format("parquet").option("path", path).saveAsTable(name)
+
+
+def read_sorted_runs(spark: SparkSession, name: str) -> DataFrame:
+    """A table of sorted runs, whose order Spark is told to rely on. The setting holds for the session."""
+    spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    return spark.table(name)
+
+
 def range_chunks(
     df: DataFrame, group: Sequence[str], order: Sequence[str], chunks: int | None = None, alias: str = "chunk"
 ) -> DataFrame:

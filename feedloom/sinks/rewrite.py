@@ -144,3 +144,20 @@ def upsert_into(
     if not files and rows.isEmpty():
         return Rewrite()
     return _swap(spark, path, changed, files, layout)
+
+
+def replace_parts(spark: SparkSession, path: str, rows: DataFrame, part: str) -> Rewrite:
+    """Put new rows in the place of all rows of the parts (values of the partition column ``part``) that they are of.
+
+    The new rows may be made of the old ones. Files of other parts are left alone. The table is made if it is not there.
+    """
+    recover(spark, path)
+    rows = settled(rows, "part-rows")
+    parts = [r[0] for r in rows.select(part).distinct().collect()]
+    if not parts:
+        return Rewrite()
+    old = []
+    if [f for f in store.children(spark, path) if not f.startswith(("_", "."))]:
+        held = spark.read.parquet(path).where(F.col(part).isin(parts)).select(F.col("_metadata.file_path").alias("f"))
+        old = sorted(store.decoded(spark, r.f) for r in held.distinct().collect())
+    return _swap(spark, path, rows.repartition(part), old, [part])

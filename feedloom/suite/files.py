@@ -153,6 +153,22 @@ def numbered_exports(t: Tables) -> DataFrame:
     return out.select("page_id", "new_name")
 
 
+_LISTINGS = """select user_id, cast(ts as date) as day, max(cast(floor(coalesce(value, -1) / 40) as int)) as mark from events group by 1, 2"""
+
+
+@query(
+    f"""with h as ({_LISTINGS}), t as (select day, dense_rank() over (order by day) as k from (select distinct day from h)),
+    r as (select h.*, k, k - row_number() over (partition by user_id, mark order by k) as run from h join t on t.day = h.day)
+    select user_id, mark, min(day) as first_at, max(day) as last_at, count(*) as n_listings, max(k) = (select max(k) from t) as is_last
+    from r group by user_id, mark, run"""
+)
+def unchanged_runs(t: Tables) -> DataFrame:
+    """A history of daily listings, a file for each user: runs of days in which it was listed with one mark."""
+    mark = F.floor(F.coalesce("value", F.lit(-1.0)) / 40).cast("int")
+    listed = t.events.groupBy("user_id", F.col("ts").cast("date").alias("day")).agg(F.max(mark).alias("mark"))
+    return filesets.unchanged_runs(listed, "user_id", "mark", "day", chunk=16)
+
+
 _NEWER = """select e.event_type as domain_name, cast(e.user_id as varchar(20)) as load_name,
     concat('f_', cast(event_id as varchar(20))) as file_name, ts as file_mod_time, value from events e"""
 

@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators import filesets, gates
+from feedloom.operators import filesets, gates, ordering
+from feedloom.operators.joins import lookup, settled
 from feedloom.plans import extract
 from feedloom.session import scratch
 from feedloom.sinks import load_manifest as put_manifest
 from feedloom.sinks import write_dataset, write_watermark
 from feedloom.sources import archives, files
-from feedloom.streaming import file_stream, keep_watermarks, process_new_files, read_watermarks, watermark_stream
+from feedloom.streaming import (
+    file_stream,
+    keep_watermarks,
+    process_new_files,
+    process_sensed,
+    read_arrived,
+    read_audit,
+    read_watermarks,
+    sensed_stream,
+    watermark_stream,
+)
 from feedloom.suite.fixtures import put_file, write_zip
 from feedloom.suite.registry import Tables, query
 
@@ -164,3 +177,85 @@ def stream_max_watermark(t: Tables) -> DataFrame:
     keep_watermarks(watermark_stream(stream, "event_type", "ts"), f"{out}/table", f"{out}/checkpoint", "event_type")
     kept = read_watermarks(t.spark, f"{out}/table", "event_type")
     return kept.withColumn("start_timestamp", F.col("start_timestamp").cast("timestamp_ntz"))
+
+
+@query(
+    """select cast(a.event_type as varchar(20)) as load_name, a.n as rows, a.n as arrived, true as same_batch, true as is_sensed
+    from (select event_type, count(*) as n from events group by 1) a"""
+)
+def stream_arrivals_audited(t: Tables) -> DataFrame:
+    """Events that arrive in several batches, a load for each type, each batch with its audit rows; what arrived held against them."""
+    out = scratch(t.spark, "sensed")
+    kinds = sorted(r[0] for r in t.events.select("event_type").distinct().collect())
+    t.events.repartition(2, "event_id").write.partitionBy("event_type").parquet(f"{out}/in")
+    for kind in kinds:
+        stream = sensed_stream(t.spark, f"{out}/in/event_type={kind}", "event_id long, value double", files_per_batch=1)
+        process_sensed(stream, f"{out}/data", f"{out}/audit", f"{out}/checkpoint/{kind}", kind, "events", kind, "2024-01-01")
+    audit, arrived = read_audit(t.spark, f"{out}/audit"), read_arrived(t.spark, f"{out}/data", f"{out}/audit")
+    per_batch = arrived.groupBy("stream", "batch", "file_path").agg(F.count("*").alias("arrived"))
+    met = audit.join(per_batch, ["stream", "batch", "file_path"], "left")
+    return met.groupBy("load_name").agg(
+        F.sum("rows").alias("rows"), F.sum("arrived").alias("arrived"), F.bool_and(F.col("rows") == F.col("arrived")).alias("same_batch"), F.bool_and("is_sensed").alias("is_sensed")
+    )
+
+
+@query(
+    """select event_type, max(ts) as start_timestamp, count(*) as n, true as untouched from events group by 1"""
+)
+def stream_watermark_parts(t: Tables) -> DataFrame:
+    """Watermarks per type in a table of parts; a second stream with old rows of one type only leaves every file as it is."""
+    out = scratch(t.spark, "watermark-parts")
+    t.events.write.parquet(f"{out}/in")
+    events = t.events.schema
+    keep_watermarks(watermark_stream(file_stream(t.spark, f"{out}/in", events), "event_type", "ts"), f"{out}/table", f"{out}/one", "event_type")
+    name = F.col("_metadata.file_name").alias("name")
+    before = settled(t.spark.read.parquet(f"{out}/table").select(name).distinct(), "files")
+    keep_watermarks(watermark_stream(file_stream(t.spark, f"{out}/in", events), "event_type", "ts"), f"{out}/table", f"{out}/two", "event_type")
+    kept = t.spark.read.parquet(f"{out}/table").select("event_type", F.col("start_timestamp").cast("timestamp_ntz"), "n", name)
+    return lookup(kept, before.withColumn("untouched", F.lit(True)), ["name"]).drop("name")
+
+
+@query(
+    """select o_orderpriority as priority, count(*) as n, max(o_totalprice) as top from orders group by 1"""
+)
+def branch_table(t: Tables) -> DataFrame:
+    """Orders written by branch, looked up in a table with a branch for each customer."""
+    out = scratch(t.spark, "branches")
+    named = t.orders.select(F.col("o_orderpriority").alias("value")).distinct().withColumn("branch", F.lower("value"))
+    gates.write_branches(t.orders.select("o_orderpriority", "o_totalprice"), "o_orderpriority", named, f"{out}/orders")
+    rows = t.spark.read.parquet(f"{out}/orders").where(F.lower("o_orderpriority") == F.col("branch"))
+    return rows.groupBy(F.col("o_orderpriority").alias("priority")).agg(F.count("*").alias("n"), F.max("o_totalprice").alias("top"))
+
+
+@query(
+    """select l_orderkey, sum(l_quantity) as quantity, any_value(o_orderpriority) as priority
+    from lineitem join orders on o_orderkey = l_orderkey group by 1"""
+)
+def sorted_runs_join(t: Tables) -> DataFrame:
+    """Items and orders written once as sorted runs, joined and grouped without another shuffle or sort."""
+    out = scratch(t.spark, "runs")
+    names = {n: f"runs_{n}_{uuid.uuid4().hex}" for n in ("items", "orders")}
+    ordering.write_sorted_runs(t.lineitem.select("l_orderkey", "l_quantity"), names["items"], f"{out}/items", ["l_orderkey"], 8)
+    orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority")
+    ordering.write_sorted_runs(orders, names["orders"], f"{out}/orders", ["l_orderkey"], 8)
+    items, orders = (ordering.read_sorted_runs(t.spark, names[n]) for n in ("items", "orders"))
+    joined = items.hint("merge").join(orders, "l_orderkey")
+    for name in names.values():
+        # The files stay, and what has been read is known by them.
+        t.spark.sql(f"drop table {name}")
+    return joined.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("quantity"), F.first("o_orderpriority").alias("priority"))
+
+
+@query(
+    """select rank, l_orderkey, l_linenumber, l_quantity from (select *, row_number() over (order by l_quantity, l_orderkey, l_linenumber) as rank
+    from (select l_orderkey, l_linenumber, l_quantity from lineitem)) x"""
+)
+def stable_sort(t: Tables) -> DataFrame:
+    """Items by quantity, those of one quantity in the order in which they are stored: by order and line."""
+    out = scratch(t.spark, "stored")
+    t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity").orderBy("l_orderkey", "l_linenumber").write.parquet(f"{out}/items")
+    ordered = ordering.stable_sort(t.spark.read.parquet(f"{out}/items"), ["l_quantity"])
+    # Rows are numbered as they come, so the rank shows the order itself.
+    ordered.write.parquet(f"{out}/sorted")
+    stored = ordering.with_place(t.spark.read.parquet(f"{out}/sorted"))
+    return ordering.numbered(stored, [], ordering.PLACE, alias="rank").select("rank", "l_orderkey", "l_linenumber", "l_quantity")
