@@ -218,8 +218,9 @@ def variants(rng, base, n, edits):
         yield " ".join(words)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_one_of_each_of_a_large_family(spark, seed):
+@pytest.mark.parametrize("seed, rounds", [(1, near_copies.ROUNDS), (2, (1, 3, None))])
+def test_one_of_each_of_a_large_family(spark, monkeypatch, seed, rounds):
+    monkeypatch.setattr(near_copies, "ROUNDS", rounds)
     rng = random.Random(seed)
     base = [f"w{rng.randrange(5000)}" for _ in range(200)]
     rows = list(enumerate(variants(rng, base, 400, 3)))
