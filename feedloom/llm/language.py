@@ -23,9 +23,14 @@ from pyspark.sql import functions as F
 from feedloom.llm import blocks
 
 UNDETERMINED = "und"
-#: Bounds of the labelled sample: documents per language, and characters of each.
+#: Bounds of the labelled sample: languages, those with most documents first, documents per language, and characters of each.
+SAMPLE_LANGUAGES = 256
 SAMPLE_DOCUMENTS = 40
 SAMPLE_CHARACTERS = 1000
+#: Places of a long text that its characters are taken from.
+SPOTS = 4
+#: How far from its own language's phrases per letter towards another's a text may lie and still count as written in it.
+ODD = 0.8
 #: Characters after which a parse starts anew, so that long texts keep many lanes busy.
 PIECE = 512
 
@@ -68,8 +73,7 @@ def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
 @dataclass
 class Model:
     """``codes`` maps code points to symbols (0: no letter), of which there are ``width``. ``keys`` and ``to`` are the
-    hash table of all automata: where a state (times ``width``, plus the symbol) leads; ``starts`` has the same of each
-    automaton's root."""
+    hash table of all automata: where a state (times ``width``, plus the symbol) leads; ``starts`` has the same of each automaton's root. ``limit`` is the number of phrases per letter from which a text is in none of the languages."""
 
     languages: list[str]
     codes: np.ndarray
@@ -78,6 +82,7 @@ class Model:
     to: np.ndarray
     roots: np.ndarray
     starts: np.ndarray
+    limit: float = np.inf
 
 
 def _slot(key: np.ndarray, slots: int) -> np.ndarray:
@@ -140,7 +145,7 @@ def build(samples: dict[str, list[str]]) -> Model:
     starts = np.zeros((len(languages), width), np.int32)
     keys, to, roots, at = [], [], [], 0
     for i, language in enumerate(languages):
-        text = [s for t in samples[language] for s in [0, *_symbols(t[:SAMPLE_CHARACTERS], codes).tolist()]]
+        text = [s for t in samples[language] for s in [0, *_symbols(t, codes).tolist()]]
         step = suffix_automaton(text)
         # Letters that no labelled text has in lower case lead nowhere.
         edges = [(state, symbol, end) for state, moves in enumerate(step) for symbol, end in moves.items() if symbol != other]
@@ -179,74 +184,116 @@ def phrases(pieces: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarray
     return count + (state != root)
 
 
+def _rates(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases per letter of each text in each language, and how many letters and separators each has."""
+    rows, pieces, sizes = [], [], np.zeros(len(texts), np.int64)
+    for i, text in enumerate(texts):
+        symbols = _symbols(text, model.codes) if text else np.empty(0, np.uint32)
+        if symbols.any():
+            sizes[i] = len(symbols)
+            cuts = [symbols[a : a + PIECE] for a in range(0, len(symbols), PIECE)]
+            pieces += cuts
+            rows += [i] * len(cuts)
+    total = np.zeros((len(model.languages), len(texts)))
+    if pieces and model.languages:
+        lengths = np.array([len(p) for p in pieces])
+        order = np.argsort(-lengths, kind="stable")
+        grid = np.zeros((len(pieces), lengths[order[0]]), np.uint32)
+        for lane, piece in enumerate(order.tolist()):
+            grid[lane, : lengths[piece]] = pieces[piece]
+        counts = phrases(grid, lengths[order], model)
+        for language in range(len(model.languages)):
+            np.add.at(total[language], np.array(rows)[order], counts[language])
+    return total / np.maximum(sizes, 1), sizes
+
+
+def _limit(model: Model, more: dict[str, list[str]]) -> float:
+    """Phrases per letter from which a text is in none of the languages: between what further labelled texts need in their own language and in the
+    nearest other one, ``ODD`` of the way. Without other languages or texts there is none."""
+    own, foreign = [], []
+    for i, language in enumerate(model.languages):
+        texts = more.get(language, [])
+        if len(model.languages) > 1 and texts:
+            rate, sizes = _rates(texts, model)
+            rate = rate[:, sizes > 0]
+            own += rate[i].tolist()
+            foreign += np.delete(rate, i, axis=0).min(axis=0).tolist()
+    if not own:
+        return np.inf
+    return float(np.mean(own) + ODD * max(np.mean(foreign) - np.mean(own), 0.0)) if np.mean(foreign) > np.mean(own) else np.inf
+
+
 def _predict(batches: Iterator[pa.RecordBatch], held, carried: list[str]) -> Iterator[pa.RecordBatch]:
-    model: Model = held.value
+    model = Model(**held.value)
     for batch in batches:
         texts = batch.column("text")
-        pred, score = [UNDETERMINED] * batch.num_rows, np.zeros(batch.num_rows)
+        pred, score, fits = [UNDETERMINED] * batch.num_rows, np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
         for begin, stop in blocks.slices(batch.column("text")):
-            rows, pieces = [], []
-            sizes = np.zeros(stop - begin, np.int64)
-            for i in range(begin, stop):
-                text = texts[i].as_py()
-                symbols = _symbols(text, model.codes) if text else np.empty(0, np.uint32)
-                if symbols.any():
-                    sizes[i - begin] = len(symbols)
-                    cuts = [symbols[a : a + PIECE] for a in range(0, len(symbols), PIECE)]
-                    pieces += cuts
-                    rows += [i - begin] * len(cuts)
-            if not pieces or not model.languages:
+            rate, sizes = _rates(texts.slice(begin, stop - begin).to_pylist(), model)
+            if not sizes.any() or not model.languages:
                 continue
-            lengths = np.array([len(p) for p in pieces])
-            order = np.argsort(-lengths, kind="stable")
-            grid = np.zeros((len(pieces), lengths[order[0]]), np.uint32)
-            for lane, piece in enumerate(order.tolist()):
-                grid[lane, : lengths[piece]] = pieces[piece]
-            counts = phrases(grid, lengths[order], model)
-            total = np.zeros((len(model.languages), stop - begin))
-            for language in range(len(model.languages)):
-                np.add.at(total[language], np.array(rows)[order], counts[language])
-            rate = total / np.maximum(sizes, 1)
             best = np.argmin(rate, axis=0)
             ranked = np.sort(rate, axis=0)
             second = ranked[1] if len(model.languages) > 1 else np.maximum(ranked[0], 1.0)
             margin = 1 - ranked[0] / np.maximum(second, 1e-9)
+            # Few letters may be off by chance.
+            allowed = np.minimum(model.limit, 1.0) * sizes
+            fits[begin:stop] = (sizes > 0) & ((ranked[0] * sizes < allowed + np.sqrt(allowed)) | np.isinf(model.limit))
             for i in np.flatnonzero(sizes).tolist():
                 pred[begin + i] = model.languages[best[i]]
                 score[begin + i] = min(1.0, max(0.0, float(margin[i])))
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), pa.array(pred), pa.array(score)], names=[*carried, "lang_pred", "score"])
+        arrays = [*(batch.column(c) for c in carried), pa.array(pred), pa.array(score), pa.array(fits)]
+        yield pa.RecordBatch.from_arrays(arrays, names=[*carried, "lang_pred", "score", "fits"])
+
+
+def _spread(text: Column, draw: Column, characters: int) -> Column:
+    """A text's characters from several places all over it, each place drawn from its share of the text by hash; a short text whole."""
+    n, piece = F.length(text), characters // SPOTS
+    share = F.floor(n / SPOTS).cast("int")
+    parts = [F.substring(text, F.lit(k) * share + F.pmod(F.xxhash64(draw, F.lit(k)), share - piece + 1).cast("int") + 1, F.lit(piece)) for k in range(SPOTS)]
+    return F.when(n <= characters, F.array(text)).otherwise(F.array(*parts))
 
 
-def learn(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> Model:
+def learn(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS, characters: int = SAMPLE_CHARACTERS, languages: int = SAMPLE_LANGUAGES) -> Model:
     """The model of a table with ``doc_id``, ``text`` and ``lang``, from at most ``documents`` texts per language,
-    drawn by a hash of the id.
+    drawn by a hash of the id, and at most ``characters`` of each, from several places all over the text.
 
-    Rows held out (see :func:`held_out`), without a language or without text are no part of it. Equal texts count once.
+    As many further texts per language say how well a text must fit to be in one of the languages at all (see :func:`predict`). Of more than
+    ``languages`` labels those with most texts are learned. Rows held out (see :func:`held_out`), without a language or without text are no
+    part of it. Texts that give the same characters count once.
     """
     labelled = docs.where(~held_out() & F.col("lang").isNotNull() & (F.length("text") > 0))
-    labelled = labelled.select(F.col("lang").cast("string").alias("lang"), F.col("text").substr(1, SAMPLE_CHARACTERS).alias("text"), F.xxhash64("doc_id", "text").alias("draw"))
+    draw = F.xxhash64("doc_id", "text")
+    parts = _spread(F.col("text"), draw, characters)
+    labelled = labelled.select(F.col("lang").cast("string").alias("lang"), parts.alias("parts"), draw.alias("draw"))
+    most = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
     # The first rows of a window are kept task by task before the shuffle.
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
-    sample = labelled.withColumn("place", place).where(F.col("place") <= 4 * documents).orderBy("lang", "place").collect()
-    texts: dict[str, dict[str, None]] = {}
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "parts"))
+    first = labelled.withColumn("place", place).where(F.col("place") <= 8 * documents)
+    sample = first.join(most.select("lang"), "lang", "left_semi").orderBy("lang", "place").collect()
+    texts: dict[str, dict[tuple[str, ...], None]] = {}
     for row in sample:
         held = texts.setdefault(row.lang, {})
-        if len(held) < documents:
-            held[row.text] = None
-    return build({language: list(held) for language, held in texts.items()})
+        if len(held) < 2 * documents:
+            held[tuple(row.parts)] = None
+    model = build({language: [p for parts in list(held)[:documents] for p in parts] for language, held in texts.items()})
+    model.limit = _limit(model, {language: [" ".join(parts) for parts in list(held)[documents:]] for language, held in texts.items()})
+    return model
 
 
 def predict(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
-    """``doc_id``, ``held_out``, the columns to ``keep``, ``lang_pred`` and ``score`` of every row; only the text decides.
+    """``doc_id``, ``held_out``, the columns to ``keep``, ``lang_pred``, ``score`` and ``fits`` of every row; only the text decides.
 
     ``score`` is by how much the second language needs more phrases than the first, as a share of the second's (0 to
-    1). A text that is null, empty or has no letter is ``und`` with score 0, as is every text if nothing was learned;
-    ties go to the language first in order. With one language the score is held against one phrase per letter. Each
+    1). ``fits`` says whether the text is as near to its language as labelled texts are, and not as far as texts of another language, by more than
+    chance does to so few letters; a text in a language that was not learned, or in none, does not fit. A text that is null, empty or has no letter is ``und`` with score 0 and does not fit, as is every text if nothing was
+    learned; ties go to the language first in order. With one language the score is held against one phrase per letter, and every text with a letter fits. Each
     row is judged by itself, so repeated and null ids give a row each; an empty table gives none. Texts are parsed
     whole, in pieces of ``PIECE`` letters. Other columns are ignored.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain arrays: a class would have to be imported on the executors.
+    held = docs.sparkSession.sparkContext.broadcast(dict(vars(model)))
     rows = docs.select("doc_id", held_out().alias("held_out"), *keep, *([] if "text" in keep else ["text"]))
     carried = ["doc_id", "held_out", *keep]
-    schema = ", ".join([f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carried] + ["lang_pred string", "score double"])
+    schema = ", ".join([f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carried] + ["lang_pred string", "score double", "fits boolean"])
     return rows.mapInArrow(lambda b: _predict(b, held, carried), schema)

@@ -123,7 +123,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the four fifths of them that are not held out."""
     docs = table(spark, sf_dir, "documents")
-    return language.predict(docs, language.learn(docs))
+    return language.predict(docs, language.learn(docs)).drop("fits")
 
 
 @query

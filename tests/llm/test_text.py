@@ -90,6 +90,41 @@ def test_letters_beyond_a_byte():
         assert built.languages[int(np.argmin(counts))] == name and counts.min() == 1
 
 
+def test_language_is_learned_from_all_over_a_text(spark):
+    """Texts that begin alike, by more than the characters learned from each."""
+    rng = np.random.default_rng(4)
+    opening = "shared opening " * 90
+    stems = {"de": ["ung", "isch", "ver", "zen", "krau"], "es": ["cion", "mente", "llo", "que", "dad"]}
+    write = lambda lang, n: " ".join("".join(rng.choice(stems[lang], 3)) for _ in range(n))
+    rows = [(i, f"{opening}{write(lang, 300)}", lang) for i, lang in enumerate(["de", "es"] * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    tests = spark.createDataFrame([(i, write(lang, 40), lang) for i, lang in enumerate(["de", "es"] * 20)], docs.schema)
+    out = language.predict(tests, language.learn(docs), keep=["lang"]).collect()
+    assert all(r.lang_pred == r.lang for r in out)
+    few = language.learn(docs, documents=3, characters=200)
+    assert len(few.keys) < len(language.learn(docs).keys) / 4
+    assert language.learn(docs, languages=1).languages in (["de"], ["es"])
+
+
+def test_languages_that_were_not_learned_do_not_fit(spark):
+    rng = np.random.default_rng(6)
+    stems = {"aa": ["bor", "tim", "sel", "ka"], "bb": ["nux", "dri", "wo", "phe"], "cc": ["gyj", "zqu", "vih", "lx"]}
+    write = lambda lang: " ".join("".join(rng.choice(stems[lang], 3)) for _ in range(60))
+    docs = spark.createDataFrame([(i, write(lang), lang) for i, lang in enumerate(["aa", "bb"] * 100)], "doc_id long, text string, lang string")
+    model = language.learn(docs)
+    assert 0 < model.limit < 1
+    tests = [(i, write(lang), lang) for i, lang in enumerate(["aa", "bb", "cc"] * 10)] + [(90, "123", "none"), (91, None, "none")]
+    out = language.predict(spark.createDataFrame(tests, docs.schema), model, keep=["lang"]).collect()
+    assert {r.lang: r.fits for r in out} == {"aa": True, "bb": True, "cc": False, "none": False}
+    assert {r.lang_pred for r in out if r.lang == "cc"} <= {"aa", "bb"}
+
+
+def test_the_model_needs_no_class_on_the_executors(model):
+    import pickle
+
+    assert b"feedloom" not in pickle.dumps(dict(vars(model)))
+
+
 def test_language_of_odd_rows(spark, model):
     rows = odd_documents(random.Random(1)) + [(500, "1234 !!! ---", None, None, None), (500, "Ünïcödé 漢字", None, None, None)]
     out = language.predict(documents(spark, rows), model).collect()
