@@ -1,10 +1,10 @@
 """Near-duplicates by SimHash fingerprints and multi-index hashing.
 
 A fingerprint's 64 bits are votes of the document's word shingles. Two documents are linked if their fingerprints
-differ in few bits. To find all such pairs without comparing all, each fingerprint is cut into segments and filed in a
-table per segment, under every value in a small Hamming ball around that segment with the rest unchanged. With two
-segments and balls of radius one, two fingerprints at one or two bits from each other meet in a cell: both bits in one
-segment or one in each, one of the two filings takes one step towards the other. All that meet in a cell are within
+differ in few bits. To find all such pairs without comparing all, each fingerprint is filed in one table under itself and
+under each of the 64 values one bit away. Two fingerprints at one or two bits from each other then meet in a cell: one of
+each one's filings takes one step towards the other. The key is the whole fingerprint; it is not cut into segments with a table
+each, which a larger distance would need. All that meet in a cell are within
 two bits of each other, so a cell's members are linked to its smallest one, after their whole distance is verified,
 and no cell ever yields all its pairs.
 """
