@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 
 from feedloom.llm import blocks
 from feedloom.llm.decontaminate import BREAK, LOWER
-from feedloom.llm.rolling import BYTE_VALUES, Rolling
-from feedloom.llm.words import words
+from feedloom.llm.words import word_names, words
 
 #: Phrases that count wherever they stand, and their labels (fixed values).
 PHRASES = {
@@ -106,7 +105,7 @@ class Automaton:
 
 def _name(word: bytes) -> np.uint64:
     data = np.frombuffer(word, np.uint8)
-    return Rolling(BYTE_VALUES[data]).names(np.array([0]), np.array([len(data)]))[0]
+    return word_names(data, np.array([0]), np.array([len(data)]))[0]
 
 
 def _runs(names: np.ndarray, pattern: list[bytes]) -> np.ndarray:

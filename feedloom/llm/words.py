@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 from feedloom.llm import blocks
 from feedloom.llm.rolling import BYTE_VALUES, Rolling
@@ -13,6 +14,17 @@ from feedloom.llm.rolling import BYTE_VALUES, Rolling
 #: Bytes that end a word: blank and the controls from tab to carriage return.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Words of more bytes than this are named by XXH64. Polynomials modulo 2**64 are no good for them: there are pairs of strings of 1024 bytes
+#: that have one name whatever the base, and for a few hundred bytes some pairs differ in the upper bits only.
+LONG = 32
+
+
+def word_names(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each word ``text[start:end]``; equal words have equal names, in any text."""
+    out = Rolling(BYTE_VALUES[text]).names(start, end)
+    for i in np.flatnonzero(end - start > LONG).tolist():
+        out[i] = xxhash.xxh64_intdigest(text[start[i] : end[i]].tobytes())
+    return out
 
 
 @dataclass
@@ -25,7 +37,7 @@ class Words:
     begins: np.ndarray
 
     def names(self) -> np.ndarray:
-        return Rolling(BYTE_VALUES[self.text]).names(self.start, self.end)
+        return word_names(self.text, self.start, self.end)
 
     def window_starts(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Of every window of ``size`` words inside one document: its first word, and the document."""
