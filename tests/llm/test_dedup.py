@@ -155,6 +155,64 @@ def test_near_duplicates(spark):
     assert got == {(i, prints[i], component[i]) for i in ids}
 
 
+def near_prints(rng, families=30, members=12, moved=5):
+    """Fingerprints in families around a few values, many with equal halves, and loose ones."""
+    out = {rng.getrandbits(64) for _ in range(200)}
+    half = rng.getrandbits(32)
+    for i in range(families):
+        core = rng.getrandbits(64) if i % 3 else rng.getrandbits(32) << 32 | half
+        for _ in range(members):
+            value = core
+            for _ in range(rng.randrange(moved)):
+                value ^= 1 << rng.randrange(64)
+            out.add(value)
+    return sorted(out | {0, 1, (1 << 64) - 1})
+
+
+@pytest.mark.parametrize(("bits", "hot"), [(0, 4096), (1, 4096), (2, 4096), (2, 2), (3, 4096), (4, 3), (6, 4096), (6, 5)])
+def test_links_within_any_number_of_bits(spark, monkeypatch, bits, hot):
+    monkeypatch.setattr(simhash, "HOT", hot)
+    monkeypatch.setattr(simhash, "_PAIRS", 64)
+    prints = near_prints(random.Random(bits * 7 + hot))
+    nodes = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "fp long").repartition(3)
+    found = [(r.a & (1 << 64) - 1, r.b & (1 << 64) - 1) for r in simhash.near_links(nodes, bits).collect()]
+    near = [(a, b) for i, a in enumerate(prints) for b in prints[:i] if (a ^ b).bit_count() <= bits]
+    assert bool(near) == (bits > 0)
+    assert groups(prints, found) == groups(prints, near)
+    assert len(found) == len(set(found)) and all(a != b for a, b in found)
+
+
+def test_runs_cover_all_pairs(monkeypatch):
+    monkeypatch.setattr(simhash, "_PAIRS", 5)
+    for count in ([], [1], [12], [3, 1, 9, 5, 5, 1], [5, 5], [1] * 11):
+        seen = []
+        for first, last, skip, stop in simhash._runs(np.array(count, np.int64)):
+            for i in range(first, last):
+                seen += [(i, k) for k in range(skip if i == first else 0, stop if i == last - 1 else count[i])]
+        assert seen == [(i, k) for i, n in enumerate(count) for k in range(n)]
+
+
+def test_bits_out_of_range(spark):
+    with pytest.raises(ValueError):
+        simhash.near_links(spark.createDataFrame([(1,)], "fp long"), 32)
+
+
+def thue_morse(n):
+    """Two different strings whose polynomials modulo a power of two agree for any odd base."""
+    bits = [i.bit_count() & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("length", [64, 128, 1024, 4096])
+def test_long_words_keep_their_own_names(spark, length):
+    one, two = thue_morse(length)
+    tail = " ".join(f"w{i}" for i in range(25))
+    rows = [(1, f"{one} {tail}", None, None, None), (2, f"{two} q {tail}", None, None, None), (3, f"{two} {tail}", None, None, None)]
+    out = {r.doc_id: (r.n_words, r.kept) for r in remove_repeated_windows(documents(spark, rows)).collect()}
+    expected = cut_windows(rows, 20)
+    assert out == {r[0]: (expected[r[:2]][0], expected[r[:2]][2]) for r in rows}
+
+
 def test_near_duplicates_null_ids(spark):
     rows = [(None, "a b c d", None, None, None), (7, "a b c d", None, None, None), (None, "quite another text", None, None, None)]
     got = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(documents(spark, rows)).collect()}
