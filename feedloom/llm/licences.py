@@ -1,7 +1,7 @@
 """Licence scans: phrases, and templates with optional and replaceable wording.
 
-A template is text with markup: ``[[...]]`` may be missing, ``{{n}}`` stands for up to n words of any kind. Each is
-compiled into an automaton over words. A text is accepted where all mandatory words follow each other exactly,
+A template is text with markup: ``[[...]]`` may be missing, ``{{n}}`` stands for up to n words of any kind; both may stand inside
+``[[...]]``. Each is compiled into an automaton over words. A text is accepted where all mandatory words follow each other exactly,
 whatever fills the replaceable places. Automata start only where a template's first two words stand, which are found
 for all texts of a slice at once.
 """
@@ -27,7 +27,7 @@ PHRASES = {
     "all rights reserved": "reserved",
 }
 
-#: Grants and notices of well-known licences, as templates (fixed values).
+#: Grants and notices of well-known licences, and three whole ones, as templates (fixed values).
 TEMPLATES = {
     "apache-2.0": "licensed under the apache license [[,]] version 2.0 [[(the license)]]",
     "mit": "released under [[the terms of]] the mit license",
@@ -45,12 +45,35 @@ TEMPLATES = {
     "cc-by-nc-4.0": "licensed under [[a]] [[the]] [[creative commons]] cc by nc 4.0",
     "cc-by-text": "licensed under [[a]] [[the]] creative commons attribution {{3}} 4.0 international license",
     "cc0-1.0": "dedicated to the public domain under [[the]] cc0 1.0",
+    "mit-text": (
+        "permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the software), to deal in the "
+        "software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the software, "
+        "and to permit persons to whom the software is furnished to do so, subject to the following conditions: the above copyright notice and this permission notice "
+        "[[(including the next paragraph)]] shall be included in all copies or substantial portions of the software. the software is provided as is, without warranty of any kind, "
+        "express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement. in no event shall "
+        "{{12}} be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software "
+        "or the use or other dealings in the software"
+    ),
+    "isc-text": (
+        "permission to use, copy, modify, [[and/or]] [[and]] distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice "
+        "and this permission notice appear in all copies. the software is provided as is and {{12}} disclaims all warranties with regard to this software including all implied "
+        "warranties of merchantability and fitness. in no event shall {{12}} be liable for any special, direct, indirect, or consequential damages or any damages whatsoever resulting "
+        "from loss of use, data or profits, whether in an action of contract, negligence or other tortious action, arising out of or in connection with the use or performance of this software"
+    ),
+    "bsd-text": (
+        "redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: [[1]] [[a]] "
+        "redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. [[2]] [[b]] redistributions in binary form must "
+        "reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+        "[[[[3]] [[c]] neither the name of {{12}} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior "
+        "written permission]] this software is provided by {{12}} as is and any express or implied warranties, including, but not limited to, the implied warranties of "
+        "merchantability and fitness for a particular purpose are disclaimed"
+    ),
     "unlicense": "this is free and unencumbered software released into the public domain",
     "proprietary": "unauthorized copying of this {{3}} via any medium is strictly prohibited",
 }
 
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_PART = re.compile(r"\[\[(.*?)\]\]|\{\{(\d+)\}\}|((?:(?!\[\[|\{\{).)+)", re.S)
+_MARK = re.compile(r"\[\[|\]\]|\{\{.*?\}\}|\{\{|\}\}", re.S)
 
 
 def _words(text: str) -> list[bytes]:
@@ -64,16 +87,28 @@ class Automaton:
     def __init__(self, template: str):
         self.words: list[bytes | None] = []
         self.free: dict[int, set[int]] = {}
-        for optional, count, plain in _PART.findall(template):
-            start = len(self.words)
-            if count:
+        begun, at = [], 0
+        for mark in _MARK.finditer(template):
+            self.words += _words(template[at : mark.start()])
+            at, start = mark.end(), len(self.words)
+            if mark[0] == "[[":
+                begun.append(start)
+            elif mark[0] == "]]":
+                if not begun:
+                    raise ValueError("]] without [[")
+                if begun[-1] < start:
+                    self.free.setdefault(begun[-1], set()).add(start)
+                begun.pop()
+            else:
+                count = mark[0][2:-2].strip()
+                if not (count.isascii() and count.isdigit()):
+                    raise ValueError(f"a number between braces is wanted, not {mark[0]!r}")
                 self.words += [None] * int(count)
                 for i in range(start, len(self.words)):
                     self.free.setdefault(i, set()).add(len(self.words))
-            else:
-                self.words += _words(optional or plain)
-                if optional and len(self.words) > start:
-                    self.free.setdefault(start, set()).add(len(self.words))
+        if begun:
+            raise ValueError("[[ without ]]")
+        self.words += _words(template[at:])
         if len(self.words) < 2 or None in self.words[:2] or 0 in self.free or 1 in self.free:
             # The second word may follow an optional part, but then the first alone opens the template.
             self.opening = self.words[:1]
@@ -168,7 +203,7 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Mappi
     ``last_word`` count and place the phrases; ``base_labels`` are the labels of phrases found, ``labels`` those of
     phrases and templates, distinct, in order, with commas. ``score`` is 1 if a template's wording is there in full,
     0.5 if only phrases are, else
-    0. A template must start with a mandatory word; its punctuation counts for nothing.
+    0. A template must start with a mandatory word; its punctuation counts for nothing, and unpaired markup is an error.
 
     Null and empty texts have no words, no labels, null places and score 0. Each row is judged by itself: repeated and
     null ids give a row each. Texts are read whole. An empty table gives no rows. Other columns are ignored.

@@ -179,6 +179,35 @@ def test_licence_templates(spark):
         licences.Automaton("[[maybe]] this")
 
 
+def test_nested_licence_markup():
+    automaton = licences.Automaton("granted [[to {{3}} persons [[or firms]]]] free of charge")
+
+    def accepts(text):
+        return automaton.accepts(iter(plain_words(text)))
+
+    assert accepts("granted free of charge")
+    assert accepts("granted to persons free of charge")
+    assert accepts("granted to all such natural persons or firms free of charge")
+    assert not accepts("granted to all such very natural persons free of charge")
+    assert not accepts("granted or firms free of charge")
+    assert not accepts("granted to 3 persons or free of charge")
+    for broken in ("a [[b", "a b]] c", "a {{x}} b", "a {{2 b", "a 2}} b", "a [[b [[c]] d"):
+        with pytest.raises(ValueError):
+            licences.Automaton(broken)
+
+
+def test_whole_licences(spark):
+    bsd = licences.TEMPLATES["bsd-text"].replace("{{12}}", "The Regents of X and its contributors")
+    numbered = bsd.replace("[[1]] [[a]]", "1.").replace("[[2]] [[b]]", "2.").replace("[[[[3]] [[c]]", "3.").replace("]]", "")
+    two = bsd[: bsd.index("[[[[3]]")].replace("[[1]] [[a]]", "*").replace("[[2]] [[b]]", "*") + bsd[bsd.index("permission]]") + 12 :]
+    mit = licences.TEMPLATES["mit-text"].replace("{{12}}", "the authors or copyright holders").replace("[[(including the next paragraph)]]", "")
+    texts = [numbered.upper(), two, mit, mit.replace("sublicense", "rent"), two.replace("disclaimed", "accepted")]
+    rows = [(i, f"header\n{t}\nfooter", None, None, None) for i, t in enumerate(texts)]
+    got = {r.doc_id: r.labels.split(",") for r in licences.scan(documents(spark, rows)).collect()}
+    assert ["bsd-text" in got[i] for i in range(5)] == [True, True, False, False, False]
+    assert ["mit-text" in got[i] for i in range(5)] == [False, False, True, False, False]
+
+
 def test_every_template_accepts_its_own_wording():
     for label, template in licences.TEMPLATES.items():
         for keep in (True, False):
