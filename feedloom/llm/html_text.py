@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 #: Elements whose content is never text of the page (fixed values): those that browsers read as plain characters up to
 #: their own end tag or the end of the page, and those with elements inside.
 RAW = ("script", "style", "noscript", "iframe", "textarea", "title")
-NESTED = ("template", "svg", "math", "object", "canvas", "audio", "video", "select", "button")
+NESTED = ("template", "svg", "object", "canvas", "audio", "video", "select", "button", "annotation", "annotation-xml")
 #: Elements that may stand in a page's head; any other ends it.
 HEAD = frozenset("base basefont bgsound link meta noframes template script style noscript title".split())
 #: Elements of which none stands in another of its kind: a second one ends the first.
@@ -34,7 +36,8 @@ BREAKOUT = frozenset(
 )
 #: Elements that stay within a line of text (fixed values).
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 #: Elements that have no content (fixed values).
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,6 +48,12 @@ ASIDE_WORDS = frozenset(
     "respond reply replies sidebar nav navbar navigation menu breadcrumb breadcrumbs footer header masthead share sharing social related recommended widget subscribe "
     "newsletter signup login search pagination pager toc skip contentinfo complementary".split()
 )
+#: Words that set a part aside alone or before one of the second list only, words of which inside a main part none is set aside, and words
+#: that begin the name of a layout, which says nothing of the part itself (fixed values).
+SOFT_WORDS = frozenset(("related", "recommended"))
+LISTED_WORDS = frozenset("article articles content items links list post posts products reading stories story topics".split())
+HEAD_WORDS = frozenset(("header", "masthead"))
+LAYOUT_WORDS = frozenset(("has", "no", "with", "without"))
 MAIN_TAGS = frozenset(("article", "main"))
 MAIN_WORDS = frozenset("article post entry story main content".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
@@ -102,49 +111,161 @@ LABELLED = (
     (0, 0, 3, 0.5, 5, 1.0, 4, 0.8, 0),
 )
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*>"
-    r"|<(?P<unseen>" + "|".join(RAW) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=unseen)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I,
-)
-_ANY_NESTED = re.compile("<(?:" + "|".join(NESTED) + r")[\s/>]", re.I)
+_BEGIN = re.compile(r"<(?:(?P<other>!--|!\[CDATA\[|[!?])|(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]{0,63}))")
+_REST = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>")
+_STOP = re.compile("[>\"']")
+_RAW_ENDS = {tag: re.compile(f"</{tag}\\s*>", re.I) for tag in RAW}
+#: Characters of a tag looked at before its end is sought in steps.
+_SHORT = 256
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
-def _ends(page: str) -> dict[int, int]:
+class Token(NamedTuple):
+    """A tag (``tag`` in small letters, what follows it in ``rest``), plain characters of the page (``cdata``), an element that browsers
+    read as plain characters (``raw``), or something without text."""
+
+    start: int
+    end: int
+    tag: str = ""
+    close: bool = False
+    rest: str = ""
+    raw: bool = False
+    cdata: str | None = None
+
+
+class _TagEnds:
+    """Where tags end: at the first ``>`` outside quotes. What was once looked through in vain is not looked through again."""
+
+    def __init__(self, page: str):
+        self._page = page
+        self._last = {c: page.rfind(c) for c in ">\"'"}
+        self._vain: set[int] = set()
+        self._from, self._stop = 0, -1
+
+    def after(self, at: int) -> int:
+        """End of the tag whose name ends at ``at``, or -1 if it has none."""
+        page = self._page
+        if self._last[">"] < at:
+            return -1
+        short = _REST.match(page, at, min(len(page), at + _SHORT))
+        if short:
+            return short.end()
+        trail = []
+        while at not in self._vain:
+            trail.append(at)
+            if not self._from <= at <= self._stop:
+                found = _STOP.search(page, at)
+                self._from, self._stop = at, found.start() if found else len(page)
+            stop = self._stop
+            if stop == len(page):
+                break
+            if page[stop] == ">":
+                return stop + 1
+            if self._last[page[stop]] == stop:
+                break
+            at = page.find(page[stop], stop + 1) + 1
+        self._vain.update(trail)
+        return -1
+
+
+def tokens(page: str) -> list[Token]:
+    """Tags, comments and the like, in page order, in time that grows with the page's length however broken it is.
+
+    A ``<`` that begins nothing, or a tag without an end, is text.
+    """
+    out: list[Token] = []
+    ends, last_cdata, at = _TagEnds(page), page.rfind("]]>"), 0
+    last = page.rfind(">")
+    while found := _BEGIN.search(page, at):
+        start, at = found.start(), found.end()
+        other = found["other"]
+        if other == "!--":
+            end = page.find("-->", at)
+            at = end + 3 if end >= 0 else len(page)
+            out.append(Token(start, at))
+        elif other == "![CDATA[" and last_cdata >= at:
+            end = page.find("]]>", at)
+            out.append(Token(start, end + 3, cdata=page[at:end]))
+            at = end + 3
+        elif other:
+            end = page.find(">", start) if last > start else -1
+            if end >= 0:
+                at = end + 1
+                out.append(Token(start, at))
+        else:
+            end = ends.after(at)
+            if end < 0:
+                at = start + 1
+                continue
+            tag, rest, close = found["tag"].lower(), page[at : end - 1], bool(found["close"])
+            at = end
+            raw = tag in _RAW_ENDS and not close
+            if raw:
+                over = _RAW_ENDS[tag].search(page, end)
+                at = over.end() if over else len(page)
+            out.append(Token(start, at, tag, close, rest, raw))
+    return out
+
+
+def _ends(found: list[Token]) -> dict[int, int]:
     """Where unseen elements with elements inside end, by where they start; those without an end tag of their own are
     left out."""
     out: dict[int, int] = {}
-    if not _ANY_NESTED.search(page):
-        return out
     begun: dict[str, list[int]] = {tag: [] for tag in NESTED}
-    for match in _TOKEN.finditer(page):
-        tag = (match["tag"] or "").lower()
-        if tag not in begun:
+    for token in found:
+        if token.tag not in begun:
             continue
-        starts = begun[tag]
-        if match["close"]:
+        starts = begun[token.tag]
+        if token.close:
             if starts:
-                out[starts.pop()] = match.end()
-        elif not _closes_itself(tag, match["rest"]):
-            if tag in SINGLE:
+                out[starts.pop()] = token.end
+        elif not _closes_itself(token.tag, token.rest):
+            if token.tag in SINGLE:
                 starts.clear()
-            starts.append(match.start())
+            starts.append(token.start)
     return out
 
 
+class _Parts:
+    """Parts that are open, outermost first, and how many of each tag and kind there are."""
+
+    def __init__(self) -> None:
+        self.open: list[tuple[str, int]] = []
+        self.tags: Counter[str] = Counter()
+        self.kinds: Counter[int] = Counter()
+
+    def begin(self, tag: str, kind: int) -> None:
+        self.open.append((tag, kind))
+        self.tags[tag] += 1
+        self.kinds[kind] += 1
+
+    def end(self) -> str:
+        tag, kind = self.open.pop()
+        self.tags[tag] -= 1
+        self.kinds[kind] -= 1
+        return tag
+
+    def close(self, tag: str) -> None:
+        """Ends the innermost part of a tag and all in it."""
+        while self.tags[tag] and self.end() != tag:
+            pass
+
+    def kind(self) -> int:
+        """The innermost mark decides, but nothing inside a part set aside is main, save the headings of a main part."""
+        return ASIDE if self.kinds[ASIDE] else MAIN if self.kinds[MAIN] else OUTSIDE
+
+
 def _closes_itself(tag: str, rest: str) -> bool:
-    return tag in ("svg", "math") and rest.rstrip().endswith("/")
+    return tag == "svg" and rest.rstrip().endswith("/")
 
 
 def _ends_unclosed(unclosed: str, tag: str) -> bool:
     """Whether a tag ends an unseen element that has no end tag."""
     if unclosed == "template":
         return False
-    if unclosed in ("svg", "math"):
+    if unclosed == "svg":
         return tag in BREAKOUT
     return tag not in INLINE and tag not in WITHIN
 
@@ -152,13 +273,14 @@ def _ends_unclosed(unclosed: str, tag: str) -> bool:
 def blocks_of(page: str) -> list[tuple[str, int, int, int]]:
     """Text, words, words in links and kind of part of each block, in page order."""
     out: list[tuple[str, int, int, int]] = []
-    open_parts: list[tuple[str, int]] = []
+    parts = _Parts()
     text: list[str] = []
     linked: list[str] = []
     in_link, at = 0, 0
     # Up to where all is unseen, the unseen element without an end tag, and whether this is the page's head.
     unseen_to, unclosed, in_head = 0, "", False
-    ends = _ends(page)
+    found = tokens(page)
+    ends = _ends(found)
     part = OUTSIDE
 
     def flush() -> None:
@@ -175,101 +297,111 @@ def blocks_of(page: str) -> list[tuple[str, int, int, int]]:
             if in_link:
                 linked.append(f"{piece} ")
 
-    def kind_now() -> int:
-        """The innermost mark decides, but nothing inside a part set aside is main, save the headings of a main part."""
-        if any(kind == ASIDE for _, kind in open_parts):
-            return ASIDE
-        return MAIN if any(kind == MAIN for _, kind in open_parts) else OUTSIDE
-
-    for match in _TOKEN.finditer(page):
-        before, at = page[at : match.start()], match.end()
-        if match.start() < unseen_to:
+    for token in found:
+        before, at = page[at : token.start], token.end
+        if token.start < unseen_to:
             continue
         if in_head and before.strip():
             in_head = False
         if not in_head and not unclosed:
             put(html.unescape(before))
-        if match["cdata"] is not None:
+        if token.cdata is not None:
             if not in_head and not unclosed:
-                put(match["cdata"])
+                put(token.cdata)
             continue
-        if match["unseen"]:
-            name = match["unseen"].lower()
-            in_head = in_head and name in HEAD
-            if name in ("textarea", "title"):
+        tag, rest = token.tag, token.rest
+        if token.raw:
+            in_head = in_head and tag in HEAD
+            if tag in ("textarea", "title"):
                 flush()
             continue
-        if not match["tag"]:
+        if not tag:
             continue
-        tag, rest = match["tag"].lower(), match["rest"]
         if unclosed:
             if not _ends_unclosed(unclosed, tag):
                 continue
             unclosed = ""
         if tag == "head":
             flush()
-            in_head = not match["close"]
+            in_head = not token.close
             continue
         if in_head:
-            if tag in HEAD and tag != "template" or match["close"] and tag not in ("body", "html", "br"):
+            if tag in HEAD and tag != "template" or token.close and tag not in ("body", "html", "br"):
                 continue
             in_head = tag == "template"
         if tag in NESTED:
             if tag == "select":
                 flush()
-            if not match["close"] and not _closes_itself(tag, rest):
-                unseen_to = ends.get(match.start(), 0)
+            if not token.close and not _closes_itself(tag, rest):
+                unseen_to = ends.get(token.start, 0)
                 unclosed = "" if unseen_to else tag
             continue
         if tag == "a":
-            in_link = 0 if match["close"] else 1
+            in_link = 0 if token.close else 1
         if tag == "br":
             put(" ")
-        if tag in INLINE and not (rest and _aside(rest)) and not (match["close"] and any(t == tag for t, _ in open_parts)):
+        if tag in INLINE and not (rest and _aside(rest, parts)) and not (token.close and parts.tags[tag]):
             continue
         flush()
-        if match["close"]:
-            for i in range(len(open_parts) - 1, -1, -1):
-                if open_parts[i][0] == tag:
-                    del open_parts[i:]
-                    break
+        if token.close:
+            parts.close(tag)
         elif tag not in EMPTY and not rest.rstrip().endswith("/"):
-            if open_parts and open_parts[-1][0] in ("p", "li") and (tag == open_parts[-1][0] or open_parts[-1][0] == "p"):
-                open_parts.pop()  # their end tags may be left out
-            kind = _kind(tag, rest, open_parts)
+            if parts.open and parts.open[-1][0] in ("p", "li") and (tag == parts.open[-1][0] or parts.open[-1][0] == "p"):
+                parts.end()  # their end tags may be left out
+            kind = _kind(tag, rest, parts)
             if kind is not None:
-                open_parts.append((tag, kind))
-        part = kind_now()
+                parts.begin(tag, kind)
+        part = parts.kind()
     if not unclosed:
         put(html.unescape(page[at:]))
     flush()
     return out
 
 
-def _names(rest: str) -> set[str]:
-    return {w for m in _NAMED.findall(rest) for w in _SPLIT.split(m.strip("\"'").lower())}
+def _said(name: str, inside: bool) -> int:
+    """What one name of a class, id or role says of its part: aside, main or neither."""
+    words = [w for w in _SPLIT.split(name) if w]
+    if not words or words[0] in LAYOUT_WORDS:
+        return OUTSIDE
+    for i, word in enumerate(words):
+        if word in HEAD_WORDS and inside:
+            continue
+        if word in ASIDE_WORDS and (word not in SOFT_WORDS or all(w in LISTED_WORDS or w in ASIDE_WORDS for w in words[i + 1 :])):
+            return ASIDE
+    return MAIN if not MAIN_WORDS.isdisjoint(words) and HEAD_WORDS.isdisjoint(words) else OUTSIDE
+
+
+def _marked(rest: str, parts: _Parts) -> int:
+    """What a tag's class, id and role say together: a name of main words only outweighs others of the same attribute."""
+    out = OUTSIDE
+    for value in _NAMED.findall(rest):
+        said = {_said(name, bool(parts.kinds[MAIN])) for name in value.strip("\"'").lower().split()}
+        if ASIDE in said and MAIN not in said:
+            return ASIDE
+        out = MAIN if MAIN in said else out
+    return out
 
 
-def _aside(rest: str) -> bool:
-    return bool(_HIDDEN.search(rest)) or bool(_names(rest) & ASIDE_WORDS and not _names(rest) & MAIN_WORDS)
+def _aside(rest: str, parts: _Parts) -> bool:
+    return bool(_HIDDEN.search(rest)) or _marked(rest, parts) == ASIDE
 
 
-def _kind(tag: str, rest: str, open_parts: list[tuple[str, int]]) -> int | None:
+def _kind(tag: str, rest: str, parts: _Parts) -> int | None:
     """Which kind of part a tag opens: none for paragraphs and the like, which end without a word."""
     if tag in ASIDE_TAGS:
         return ASIDE
     if tag == "header":
         # The head of an article is part of it; that of a page is not.
-        return OUTSIDE if any(kind == MAIN for _, kind in open_parts) else ASIDE
+        return OUTSIDE if parts.kinds[MAIN] else ASIDE
     if tag in MAIN_TAGS:
         # Articles inside what is set aside, such as comments, stay aside.
-        return ASIDE if rest and _aside(rest) else MAIN
+        return ASIDE if rest and _aside(rest, parts) else MAIN
     if tag in ("body", "html"):
         return None
-    if rest and _aside(rest):
+    if rest and _aside(rest, parts):
         return ASIDE
     if tag in ("div", "section", "td"):
-        return MAIN if rest and _names(rest) & MAIN_WORDS else OUTSIDE
+        return MAIN if rest and _marked(rest, parts) == MAIN else OUTSIDE
     return None
 
 

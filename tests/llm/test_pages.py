@@ -3,7 +3,9 @@
 import collections
 import hashlib
 import io
+import random
 import struct
+import time
 import zipfile
 
 import numpy as np
@@ -192,3 +194,55 @@ def test_left_out_end_tags(before):
 @pytest.mark.parametrize("tag", ["script", "style", "textarea", "template"])
 def test_runs_to_the_end(tag):
     assert html_text.main_text(f"{ARTICLE}<{tag}>no text<p>of the page", html_text.trained()) == SEEN
+
+
+LONG = "<p>" + "Some words of an article that goes on and on, without a link. " * 4 + "</p>"
+
+
+@pytest.mark.parametrize("name", ["post-comments", "comment-content", "main-sidebar", "main-nav", "content-header", "entry-footer post-footer", "comments has-content"])
+def test_names_with_main_words_are_set_aside(name):
+    leak = f'<div class="{name}"><p>{"Nothing of the article stands here, but more than a few words. " * 3}</p></div>'
+    for page in (f"<body>{leak}<article>{LONG}</article>{leak}</body>", f"<body>{leak}<div class='content'>{LONG}</div></body>"):
+        assert "Nothing" not in html_text.main_text(page, html_text.trained())
+
+
+@pytest.mark.parametrize("name", ["related-work", "post has-sidebar", "no-comments", "post tag-search", "content comments-open", "with-ads"])
+def test_names_that_set_nothing_aside(name):
+    text = html_text.main_text(f'<body><div class="{name}">{LONG}</div></body>', html_text.trained())
+    assert text == " ".join(LONG[3:-4].split())
+
+
+def test_heads_of_articles_and_formulas_stay():
+    page = '<article><div class="entry-header"><h1>Title</h1></div><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>TeX</annotation></math> be so.</p></article>'
+    assert html_text.main_text(page, html_text.trained()) == "Title\n\nLet x=2 be so."
+
+
+@pytest.mark.parametrize(
+    "unit", ["x <b y ", '"x <b y ', '<b y="> ', "<div>", '<section class="x">', "<![CDATA[", "<", "<b", "<!x", "</p><section></div>", "<svg><a>", "<b 'x\" <i \"y ", "<!--"]
+)
+def test_broken_pages_take_time_in_proportion(unit):
+    """A megabyte of broken markup; where time grows with the square this takes hours."""
+    begun = time.monotonic()
+    html_text.main_text("<body>" + unit * ((1 << 20) // len(unit)), html_text.trained())
+    assert time.monotonic() - begun < 60
+
+
+def plain_tag_end(page, at):
+    quote = ""
+    for i in range(at, len(page)):
+        if quote:
+            quote = "" if page[i] == quote else quote
+        elif page[i] in "\"'":
+            quote = page[i]
+        elif page[i] == ">":
+            return i + 1
+    return -1
+
+
+def test_tag_ends(monkeypatch):
+    monkeypatch.setattr(html_text, "_SHORT", 3)
+    rng = random.Random(4)
+    for _ in range(3000):
+        page = "".join(rng.choice("ab<>\"'") for _ in range(rng.randrange(30)))
+        ends = html_text._TagEnds(page)
+        assert [ends.after(i) for i in range(len(page))] == [plain_tag_end(page, i) for i in range(len(page))]
