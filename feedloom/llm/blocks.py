@@ -15,6 +15,16 @@ from pyspark.sql import DataFrame
 
 #: Bytes of text worked on at a time; a longer document is taken by itself.
 SLICE_BYTES = 2 << 20
+#: Bytes of rows that Spark hands to Python at a time. Whole texts make rows of some kB, and pairs of texts twice that; Spark's own bound
+#: of 64 MB is held several times over in the JVM and in each Python process.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(df: DataFrame) -> None:
+    """Bound the Arrow batches of the session of ``df`` by bytes, unless something other than Spark's default is set. A single larger row is a batch."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key) == "67108864b":
+        conf.set(key, str(BATCH_BYTES))
 
 
 def buckets_of(df: DataFrame) -> int:

@@ -270,6 +270,7 @@ def remove_repeats(docs: DataFrame, width: int = 100, whole_characters: bool = F
     """
     if width < GRAM + BLOCK * 2:
         raise ValueError(f"width must be at least {GRAM + BLOCK * 2}")
+    blocks.bounded_batches(docs)
     buckets = blocks.buckets_of(docs)
     texts = keyed(docs, keep)
     found = blocks.packed_schema(list(_FOUND))
