@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from feedloom.llm import near_copies, simhash, suffix_dedup
+from feedloom.llm import blocks, near_copies, simhash, suffix_dedup
 from feedloom.llm.components import components
 from feedloom.llm.queries import ORACLES, QUERIES
 from feedloom.llm.rolling import Rolling, leftmost_minima, mixed
@@ -321,3 +321,30 @@ def test_queries_equal_sql(spark, name):
     assert sorted(df.columns) == sorted(table.column_names)
     expected = collections.Counter(zip(*(table.column(c).to_pylist() for c in df.columns), strict=True))
     assert collections.Counter(map(tuple, df.collect())) == expected
+
+
+def test_batches_are_bounded_unless_set(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        blocks.bounded_batches(spark.range(1))
+        assert spark.conf.get(key) == str(blocks.BATCH_BYTES)
+        spark.conf.set(key, "1m")
+        blocks.bounded_batches(spark.range(1))
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_pairs_tried_before_or_of_other_sizes_need_no_texts(spark):
+    texts = {n: " ".join(f"w{i}" for i in range(m)) for n, m in ((1, 24), (2, 25), (3, 60))}
+    nodes = spark.createDataFrame([(n, 0, n, len(t.split()) - 4) for n, t in texts.items()], "id long, tag int, node long, shingles int")
+    held = spark.createDataFrame([(n, 0, t.encode()) for n, t in texts.items()], "id long, tag int, text binary")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (1, 2)], "a long, b long")
+    tried = []
+    linked = near_copies._linked(pairs, tried, nodes, held, 5, 0.8)
+    assert [tuple(r) for r in linked.collect()] == [(1, 2)]
+    assert [tuple(r) for r in tried[0].collect()] == [(1, 2)]
+    assert near_copies._linked(pairs, tried, nodes, held, 5, 0.8).collect() == []
+    assert tried[1].collect() == []
