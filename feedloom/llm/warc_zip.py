@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import re
 import struct
 import uuid
 import zipfile
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from feedloom.llm import blocks
 from feedloom.operators.joins import lookup, settled
 from feedloom.session import scratch
-from feedloom.sources.files import filesystem_of
+from feedloom.sources.files import filesystem_of, store_options
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 #: Payloads of fewer bytes are never revisits.
@@ -35,6 +36,7 @@ RANGE_BYTES = 4 << 20
 CHUNK = 1 << 20
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _RECORD = "urn:x-page:"
+_BLANK = re.compile(rb"[\r\n]*")
 _DATE = "2020-01-01T00:00:00Z"
 
 
@@ -61,7 +63,7 @@ def _record(page: int | None, url: str | None, payload: bytes, digest: str, refe
     return packer.compress("\r\n".join(fields).encode() + b"\r\n\r\n" + block + b"\r\n\r\n") + packer.flush()
 
 
-def _store(folder: str, records: list[bytes]) -> tuple[str, int, int]:
+def _store(folder: str, records: list[bytes], options: dict[str, str]) -> tuple[str, int, int]:
     lines, at = [], 0
     for r in records:
         lines.append(f"{at} {len(r)}\n")
@@ -71,16 +73,16 @@ def _store(folder: str, records: list[bytes]) -> tuple[str, int, int]:
         archive.writestr(zipfile.ZipInfo(DATA), b"".join(records))
         archive.writestr(zipfile.ZipInfo(INDEX), "".join(lines))
     path = f"{folder}/part-{uuid.uuid4().hex}.zip"
-    filesystem, at_path = filesystem_of(path)
+    filesystem, at_path = filesystem_of(path, options)
     filesystem.create_dir(at_path.rpartition("/")[0], recursive=True)
     with filesystem.open_output_stream(at_path) as out:
         out.write(held.getbuffer())
     return path, held.tell(), len(records)
 
 
-def _write(batches: Iterator[pa.RecordBatch], folder: str, archive_bytes: int) -> Iterator[pa.RecordBatch]:
+def _write(batches: Iterator[pa.RecordBatch], folder: str, archive_bytes: int, options: dict[str, str]) -> Iterator[pa.RecordBatch]:
     def stored(records: list[bytes]) -> pa.RecordBatch:
-        path, size, count = _store(folder, records)
+        path, size, count = _store(folder, records, options)
         return pa.RecordBatch.from_pydict({"path": pa.array([path]), "length": pa.array([size]), "records": pa.array([count])})
 
     records, size = [], 0
@@ -108,6 +110,7 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
     Payloads are not shuffled for large groups of equal pages: the larger groups' digests alone are grouped, and each
     row looks up the one of its own. Archives of tasks that failed stay behind unlisted.
     """
+    options = store_options(pages.sparkSession)
     payload = F.coalesce(F.encode("html", "UTF-8"), F.lit(b""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
@@ -116,7 +119,7 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
     marked = lookup(rows, settled(repeated.drop("n"), "repeated-payloads"), ["digest"])
     revisit = F.col("refers_to").isNotNull() & ~F.col("refers_to").eqNullSafe(F.col("page_id"))
     marked = marked.select("page_id", "url", "payload", "digest", "refers_to", revisit.alias("revisit"))
-    return settled(marked.mapInArrow(lambda b: _write(b, folder, archive_bytes), "path string, length long, records long"), "archives")
+    return settled(marked.mapInArrow(lambda b: _write(b, folder, archive_bytes, options), "path string, length long, records long"), "archives")
 
 
 # --- reading
@@ -191,10 +194,10 @@ def data_start(file, member: Member) -> int:
     return member.header + 30 + sum(struct.unpack_from("<HH", head, 26))
 
 
-def _ranges(batches: Iterator[pa.RecordBatch], range_bytes: int) -> Iterator[pa.RecordBatch]:
+def _ranges(batches: Iterator[pa.RecordBatch], range_bytes: int, options: dict[str, str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, length in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist(), strict=True):
-            filesystem, at_path = filesystem_of(path)
+            filesystem, at_path = filesystem_of(path, options)
             with filesystem.open_input_file(at_path) as file:
                 found = list(members(file, length))
                 data = [m for m in found if m.name.endswith((".warc.gz", ".warc"))]
@@ -242,14 +245,26 @@ def _chunks(file, start: int, end: int) -> Iterator[bytes]:
 def records(chunks: Iterator[bytes], packed: bool) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers (names in lower case) and blocks of consecutive records; ``packed`` ones are gzip members, one each or
     several records to one."""
-    held = b""
+    held, at, looked, need, headers = bytearray(), 0, 0, -1, {}
     for piece in _unpacked(chunks) if packed else chunks:
         held += piece
-        while (record := _first(held)) is not None:
-            headers, block, used = record
-            held = held[used:]
-            yield headers, block
-    if held.strip():
+        while True:
+            if need < 0:
+                at = _BLANK.match(held, at).end()
+                end = held.find(b"\r\n\r\n", max(at, looked))
+                if end < 0:
+                    looked = max(at, len(held) - 3)
+                    break
+                headers = _headers(bytes(held[at:end]))
+                at, looked, need = end + 4, 0, int(headers["content-length"])
+            if len(held) - at < need:
+                break
+            yield headers, bytes(held[at : at + need])
+            at, need = at + need, -1
+        # What is left moves once per piece, not once per record.
+        del held[:at]
+        at, looked = 0, max(0, looked - at)
+    if need >= 0 or held.strip():
         raise ValueError("a record is cut off")
 
 
@@ -263,17 +278,11 @@ def _unpacked(chunks: Iterator[bytes]) -> Iterator[bytes]:
                 unpacker = zlib.decompressobj(31)
 
 
-def _first(held: bytes) -> tuple[dict[str, str], bytes, int] | None:
-    start = len(held) - len(held.lstrip(b"\r\n"))
-    end = held.find(b"\r\n\r\n", start)
-    if end < 0:
-        return None
-    version, *lines = held[start:end].decode("utf-8", "replace").split("\r\n")
+def _headers(head: bytes) -> dict[str, str]:
+    version, *lines = head.decode("utf-8", "replace").split("\r\n")
     if not version.startswith("WARC/"):
         raise ValueError("not a WARC record")
-    headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
-    stop = end + 4 + int(headers["content-length"])
-    return (headers, held[end + 4 : stop], stop) if len(held) >= stop else None
+    return {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
 
 
 def _page(identifier: str) -> int | None:
@@ -281,7 +290,7 @@ def _page(identifier: str) -> int | None:
     return int(text) if text.lstrip("-").isdigit() else None
 
 
-def _read(batches: Iterator[pa.RecordBatch], with_payload: bool) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterator[pa.RecordBatch], with_payload: bool, options: dict[str, str]) -> Iterator[pa.RecordBatch]:
     names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
 
@@ -291,7 +300,7 @@ def _read(batches: Iterator[pa.RecordBatch], with_payload: bool) -> Iterator[pa.
     rows, size = [], 0
     for batch in batches:
         for path, start, end, packed in zip(*(batch.column(c).to_pylist() for c in ("path", "start", "end", "packed")), strict=True):
-            filesystem, at_path = filesystem_of(path)
+            filesystem, at_path = filesystem_of(path, options)
             with filesystem.open_input_file(at_path) as file:
                 for headers, block in records(_chunks(file, start, end), packed):
                     if headers.get("warc-type") not in ("response", "revisit"):
@@ -328,12 +337,12 @@ def read_archives(archives: DataFrame, with_payload: bool = True, range_bytes: i
     against their digests. Members that are WARC files must be stored; with an index they are cut into ranges, without
     one a member is one range. Broken archives and records fail the job. No archives, or empty ones, give no rows.
     """
-    tasks = blocks.buckets_of(archives)
+    tasks, options = blocks.buckets_of(archives), store_options(archives.sparkSession)
     parts = archives.select("path", "length").repartition(tasks, "path").mapInArrow(
-        lambda b: _ranges(b, range_bytes), "path string, start long, end long, packed boolean"
+        lambda b: _ranges(b, range_bytes, options), "path string, start long, end long, packed boolean"
     )
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
-    return parts.repartition(tasks, "path", "start").mapInArrow(lambda b: _read(b, with_payload), schema)
+    return parts.repartition(tasks, "path", "start").mapInArrow(lambda b: _read(b, with_payload, options), schema)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:

@@ -123,6 +123,23 @@ def test_foreign_archives(spark, tmp_path):
     assert broken != plain
 
 
+@pytest.mark.parametrize("chunk", [1, 7, 1 << 16])
+def test_records_over_any_chunks(chunk):
+    payloads = [b"", b"p" * 10, b"\r\n\r\nWARC/1.1\r\n" * 5, b"q" * 300]
+    made = [warc_zip._record(i, "http://h/", p, hashlib.sha1(p).hexdigest(), None, False) for i, p in enumerate(payloads)]
+    for data, packed in ((b"".join(made), True), (b"".join(__import__("gzip").decompress(m) for m in made), False)):
+        got = list(warc_zip.records((data[i : i + chunk] for i in range(0, len(data), chunk)), packed))
+        assert [block.partition(b"\r\n\r\n")[2] for _, block in got] == payloads
+
+
+def test_long_records_take_time_in_proportion():
+    head = b"WARC/1.1\r\nContent-Length: %d\r\n\r\n"
+    data = head % (64 << 20) + b"x" * (64 << 20) + b"\r\n\r\n"
+    begun = time.process_time()
+    [(_, block)] = warc_zip.records((data[i : i + (1 << 16)] for i in range(0, len(data), 1 << 16)), False)
+    assert len(block) == 64 << 20 and time.process_time() - begun < 2
+
+
 PAGE = """<!DOCTYPE html><html><head><title>no</title><style>p{}</style></head><body class="main-page">
 <header><h1>Site</h1><nav><a href="/">Home</a></nav></header><div id="cookie-notice"><p>We use cookies to make all of this much better for you.</p></div>
 <div class="menu">one <a href=x>two</a></div>
