@@ -1,8 +1,8 @@
 """Many requests for texts at once: which rows start with, end with or contain what each request names.
 
 A request is tied to one key, a part of one of the texts it names, and rows are cut to the keys there are: starts and ends to the
-lengths asked for, insides to grams of two, four, eight or sixteen letters. Being equal in a key is a join; only pairs that are
-meet the exact test. A request takes the key that the fewest others could take, so thousands of them below one folder are told apart by
+lengths asked for, insides to grams of the length asked for, or of sixteen letters where more are asked. Being equal in a key is a
+join; only pairs that are meet the exact test, and an inside of up to sixteen letters is its own key, so those pairs are all met. A request takes the key that the fewest others could take, so thousands of them below one folder are told apart by
 what differs. The rows are read once, whatever the number of requests.
 """
 
@@ -18,8 +18,8 @@ from feedloom.operators.gates import branch
 from feedloom.operators.joins import lookup, settled
 
 START, END, INSIDE = "<", ">", "~"
-#: Grams are of the greatest of these lengths that a text has.
-GRAMS = (16, 8, 4, 2, 1)
+#: Insides longer than this are found by grams of this length. A shorter gram is in far more rows, and those grow with the rows.
+GRAM = 16
 
 _TESTS = ("prefix", "suffix", "pattern", "contains", "excludes", "run_date", "non_empty")
 
@@ -28,8 +28,7 @@ def _keys(asks: DataFrame, parts: Sequence[tuple[str, Column]], same: Sequence[s
     """The key of each request: ``__ask``, ``__kind``, ``__key``."""
     listed = F.array(*[F.struct(F.lit(kind).alias("kind"), part.alias("part")) for kind, part in parts])
     each = asks.select("__ask", *same, F.explode(listed).alias("p")).select("__ask", *same, "p.*").where(F.length("part") > 0)
-    size = reduce(lambda rest, n: F.when(F.length("part") >= n, n).otherwise(rest), reversed(GRAMS), F.lit(0))
-    size = F.when(F.col("kind") == INSIDE, size).otherwise(F.length("part"))
+    size = F.when(F.col("kind") == INSIDE, F.least(F.length("part"), F.lit(GRAM))).otherwise(F.length("part"))
     spots = F.sequence(F.lit(1), F.length("part") - F.col("size") + 1)
     each = each.withColumn("size", size).withColumn("at", F.explode(spots))
     key = F.substring("part", F.col("at"), F.col("size")).alias("key")

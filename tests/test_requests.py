@@ -101,6 +101,15 @@ def test_hot_dag_does_not_meet_all_its_rules(spark):
     assert pairs.count() < 60_000
 
 
+def test_short_insides_meet_only_rows_that_have_them(spark):
+    """An inside of up to sixteen letters is its own key: every pair it gives holds, however many loads share its shorter grams."""
+    rows = spark.createDataFrame([(f"load_{i}",) for i in range(3000)], "loadname string")
+    asks = spark.createDataFrame([(f"_{i}",) for i in range(0, 3000, 7)], "load_text string")
+    pairs = requests.indexed_join(rows, "loadname", asks, [(requests.INSIDE, F.col("load_text"))])
+    expected = sum(f"_{a}" in f"load_{i}" for a in range(0, 3000, 7) for i in range(3000))
+    assert pairs.count() == pairs.where(F.contains("loadname", "load_text")).count() == expected
+
+
 @pytest.mark.parametrize("ordered", [1, 7, 1000])
 def test_nth_by_ranges(spark, monkeypatch, ordered):
     rng = random.Random(ordered)
