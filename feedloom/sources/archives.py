@@ -13,7 +13,7 @@ import itertools
 import sys
 import zipfile
 from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 from functools import partial
 
 import pyarrow as pa
@@ -103,14 +103,17 @@ def _list_members(batches: Iterator[pa.RecordBatch], options: Mapping[str, str])
 def _read_members(batches: Iterator[pa.RecordBatch], options: Mapping[str, str]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("path", pa.string()), ("member", pa.string()), ("line", pa.int64()), ("value", pa.string())])
     rows = _Rows(schema)
-    for batch in batches:
-        pairs = sorted(zip(batch.column("path").to_pylist(), batch.column("member").to_pylist(), strict=True))
-        for uri, members in itertools.groupby(pairs, key=lambda pair: pair[0]):
-            with _open_zip(uri, options) as archive:
-                for _, member in members:
-                    with io.TextIOWrapper(archive.open(member), "utf-8") as lines:
-                        for number, line in enumerate(lines):
-                            yield from rows.add((uri, member, number, line.rstrip("\n")), len(line))
+    # Members come sorted by archive, and an archive stays open from one batch to the next: its listing, which grows with it, is read once a task.
+    with ExitStack() as opened:
+        held, archive = None, None
+        for batch in batches:
+            for uri, member in zip(batch.column("path").to_pylist(), batch.column("member").to_pylist(), strict=True):
+                if uri != held:
+                    opened.close()
+                    held, archive = uri, opened.enter_context(_open_zip(uri, options))
+                with io.TextIOWrapper(archive.open(member), "utf-8") as lines:
+                    for number, line in enumerate(lines):
+                        yield from rows.add((uri, member, number, line.rstrip("\n")), len(line))
     yield from rows.rest()
 
 
@@ -123,5 +126,5 @@ def zip_members(spark: SparkSession, path: str) -> DataFrame:
 def read_zip_lines(members: DataFrame, tasks: int | None = None) -> DataFrame:
     """Lines of archive members: ``path``, ``member``, ``line`` (from 0), ``value``. Takes rows of :func:`zip_members`."""
     keys = ["path", "member"]
-    work = spread(members.select(*keys), keys, tasks)
+    work = spread(members.select(*keys), keys, tasks).sortWithinPartitions(*keys)
     return work.mapInArrow(partial(_read_members, options=store_options(members.sparkSession)), "path string, member string, line long, value string")

@@ -233,6 +233,28 @@ def test_zip_with_folders_and_many_lines(spark, tmp_path):
     assert [int(r.value) for r in sorted(lines, key=lambda r: r.line)] == list(range(20_000))
 
 
+def test_zip_is_opened_once_a_task(tmp_path, monkeypatch):
+    """Members come in many small batches; each archive's listing, which grows with it, is read once, not once a batch."""
+    import pyarrow as pa
+
+    paths = []
+    for a in range(2):
+        paths.append(str(tmp_path / f"a{a}.zip"))
+        with zipfile.ZipFile(paths[-1], "w") as z:
+            for i in range(30):
+                z.writestr(f"m{i:02d}.txt", f"{a} {i}\nend")
+    opened = []
+    real = archives._open_zip
+    monkeypatch.setattr(archives, "_open_zip", lambda uri, options: opened.append(uri) or real(uri, options))
+    pairs = sorted((p, f"m{i:02d}.txt") for p in paths for i in range(30))
+    batches = [pa.RecordBatch.from_pydict({"path": [p for p, _ in pairs[k : k + 7]], "member": [m for _, m in pairs[k : k + 7]]}) for k in range(0, 60, 7)]
+    got = pa.Table.from_batches(list(archives._read_members(iter(batches), {}))).to_pylist()
+    assert opened == paths
+    assert sorted((r["path"], r["member"], r["line"], r["value"]) for r in got) == sorted(
+        (p, f"m{i:02d}.txt", n, v) for a, p in enumerate(paths) for i in range(30) for n, v in enumerate([f"{a} {i}", "end"])
+    )
+
+
 def test_gzip_lines(spark, tmp_path):
     with gzip.open(tmp_path / "a.gz", "wt") as out:
         out.write("x\n\ny\n")
