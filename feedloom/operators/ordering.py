@@ -41,8 +41,16 @@ PLACE = ["__file", "__row"]
 
 
 def with_place(table: DataFrame) -> DataFrame:
-    """Rows of a Parquet table with their place in it: the file's path and the row's number there."""
-    return table.select("*", F.col("_metadata.file_path").alias(PLACE[0]), F.col("_metadata.row_index").alias(PLACE[1]))
+    """Rows of a Parquet table with their place in it: the file's number in the order of paths and the row's number there.
+
+    A row carries a number, not its file's path, which would make each row that is sorted by its place several times wider.
+    The paths are numbered in a table of a row per file, written first so that Spark knows it is small.
+    """
+    path = "__path"
+    rows = table.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(PLACE[1]))
+    files = settled(rows.select(path).distinct(), "files")
+    numbered = files.select(path, F.row_number().over(W.orderBy(path)).alias(PLACE[0]))
+    return rows.join(numbered, path).select(*table.columns, *PLACE)
 
 
 def stable_sort(table: DataFrame, order: Sequence[str | Column], place: Sequence[str] = ()) -> DataFrame:

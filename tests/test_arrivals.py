@@ -221,3 +221,16 @@ def test_table_of_branches(spark, tmp_path):
     twice = known.union(spark.createDataFrame([("a", "other")], "value string, branch string"))
     with pytest.raises(Exception, match="several source rows"):
         gates.branch_from(rows, "v", twice).rows.collect()
+
+
+def test_place_is_a_file_number_not_a_path(spark, tmp_path):
+    rows = [(i % 5, i) for i in range(400)]
+    spark.createDataFrame(rows, "v int, i int").repartition(4).write.option("maxRecordsPerFile", 60).parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    placed = ordering.with_place(table)
+    # A number per file, in the order of the paths, so that a sort by place carries no path.
+    assert dict(placed.dtypes)[ordering.PLACE[0]] == "int"
+    paths = sorted({r[0] for r in table.select(F.col("_metadata.file_path")).collect()})
+    by_path = {r[1]: r[0] for r in table.select(F.col("_metadata.file_path"), "i").collect()}
+    got = {r["i"]: r[ordering.PLACE[0]] for r in placed.collect()}
+    assert got == {i: paths.index(p) + 1 for i, p in by_path.items()}
