@@ -161,7 +161,9 @@ def bulk_load_typed(t: Tables) -> DataFrame:
 def bulk_load_target(t: Tables) -> DataFrame:
     """A prefix loaded into a target, which is read, and its rows inserted by position into a table that was emptied."""
     out = scratch(t.spark, "bulk-load")
-    t.spark.sql(f"select {_staged_columns()} from {{lineitem}}", lineitem=t.lineitem).write.parquet(f"{out}/prefix")
+    # A file of one row group is read by one task; rows are spread first, or the first write stays on one core at any size.
+    lineitem = t.lineitem.hint("rebalance", "l_orderkey", "l_linenumber")
+    t.spark.sql(f"select {_staged_columns()} from {{lineitem}}", lineitem=lineitem).write.parquet(f"{out}/prefix")
     bulk_load.load(t.spark, f"{out}/prefix", f"{out}/target")
     loaded = t.spark.read.parquet(f"{out}/target")
     name = f"bulk_load_{uuid.uuid4().hex}"

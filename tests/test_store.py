@@ -302,6 +302,26 @@ def test_bulk_load(spark, tmp_path):
         bulk_load.typed(bad).collect()
 
 
+def test_bulk_load_target_spreads_one_row_group(spark, tmp_path, monkeypatch):
+    from feedloom.suite import QUERIES, chain
+
+    spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").coalesce(1).write.parquet(f"{tmp_path}/in/lineitem.parquet")
+    monkeypatch.setattr(chain, "scratch", lambda _spark, name: f"{tmp_path}/{name}")
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        got = QUERIES["bulk_load_target"](spark, f"{tmp_path}/in")
+        want = QUERIES["bulk_load_typed"](spark, f"{tmp_path}/in")
+        assert got.columns == want.columns and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # One file of one row group is one task; the prefix is written by several.
+    assert len(list((tmp_path / "bulk-load" / "prefix").glob("*.parquet"))) > 1
+
+
 def test_insert_is_by_position(spark, tmp_path):
     spark.sql(f"create table by_position (a int, b date) using parquet location '{tmp_path}/t'")
     try:
