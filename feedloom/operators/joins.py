@@ -2,15 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.session import scratch
 
 _ROUTE = "__route"
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Words of 64 bits by which rows are sifted, at most: a row of two numbers each, sent to all tasks. Keys that share a word
+#: make it let more rows pass, and with more than so many to a word, sifting is not worth it.
+SIFT_WORDS = 1 << 20
+_SIFT_KEYS = 32
+_SIFT_TYPES = {"string", "binary", "boolean", "tinyint", "smallint", "int", "bigint", "date", "timestamp"}
+
+
+@contextmanager
+def _freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What is run inside leaves no shuffle files; else they stay until the driver happens to collect its garbage."""
+    before = spark.conf.get(_FREED, None)
+    spark.conf.set(_FREED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREED)
+        else:
+            spark.conf.set(_FREED, before)
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
@@ -19,14 +40,52 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     For a reduced side of a join with a much larger one. Spark knows the size of a written
     table when it plans: a small one is broadcast and the large side is not shuffled at all,
     a large one is not. For a grouped table it has an upper bound only, and finds out the real size
-    when it has already shuffled both sides. The table also serves several readers.
+    when it has already shuffled both sides. The table also serves several readers. Once it is written, the
+    shuffle files behind it are removed.
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    with _freed_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _bits(keys: Sequence[Column], words: int) -> tuple[Column, Column]:
+    """The word of a key and four of its 64 bits."""
+    spread = F.xxhash64(*keys)
+    again = F.xxhash64(spread, F.lit(1))
+    one = F.lit(1).cast("bigint")
+    spots = [F.shiftrightunsigned(again, 6 * i).bitwiseAND(F.lit(63)).cast("int") for i in range(4)]
+    return F.pmod(spread, F.lit(words)), reduce(Column.bitwiseOR, [F.call_function("shiftleft", one, at) for at in spots])
+
+
+def parted(rows: DataFrame, keys: DataFrame, on: Sequence[str] | Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two: those that may have an equal in ``keys``, and those that for sure have none. Nothing is shuffled for it.
+
+    All rows that have one are in the first, and a few others. What is sent to all tasks is a table of hashed bits (a Bloom filter by
+    words) of a bounded size; where there are too many keys for it, all rows are in the first. Columns whose types differ or are not
+    plain are passed over. ``keys`` is read twice: a settled table.
+    """
+    pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
+    left, right = dict(rows.dtypes), dict(keys.dtypes)
+    pairs = {a: b for a, b in pairs.items() if left[a] == right[b] and left[a] in _SIFT_TYPES}
+    count = keys.count()
+    if not pairs or count > SIFT_WORDS * _SIFT_KEYS:
+        return rows, rows.limit(0)
+    words = max(1, min(SIFT_WORDS, count // 4))
+    word, bits = _bits([F.col(b) for b in pairs.values()], words)
+    table = keys.select(word.alias("__word"), bits.alias("__bits")).groupBy("__word").agg(F.bit_or("__bits").alias("__bits"))
+    word, bits = _bits([F.col(a) for a in pairs], words)
+    test = (word == F.col("__word")) & (bits.bitwiseAND(F.col("__bits")) == bits)
+    return rows.join(F.broadcast(table), test, "left_semi"), rows.join(F.broadcast(table), test, "left_anti")
+
+
+def sifted(rows: DataFrame, keys: DataFrame, on: Sequence[str] | Mapping[str, str]) -> DataFrame:
+    """``rows`` without most of those that have no equal in ``keys``, before they are shuffled to be joined to it, which still has to
+    follow. See :func:`parted`."""
+    return parted(rows, keys, on)[0]
+
+
 def unique_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same rows, failing the job if two of them share a key. Rows with a NULL key, which match nothing, are left out."""
     df = df.dropna(subset=list(keys))

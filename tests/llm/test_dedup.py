@@ -348,3 +348,18 @@ def test_pairs_tried_before_or_of_other_sizes_need_no_texts(spark):
     assert [tuple(r) for r in tried[0].collect()] == [(1, 2)]
     assert near_copies._linked(pairs, tried, nodes, held, 5, 0.8).collect() == []
     assert tried[1].collect() == []
+
+
+def test_candidate_texts_are_sifted_and_not_written(spark, monkeypatch):
+    """Of many texts only the candidates' are shuffled, rows that come twice count once, and no text goes to the scratch folder."""
+    kept, real = [], near_copies._kept
+    monkeypatch.setattr(near_copies, "_kept", lambda df, name: kept.append((name, df.columns)) or real(df, name))
+    texts = {n: " ".join(f"w{n // 2}_{i}" for i in range(24 + n % 2)) for n in range(400)}
+    nodes = spark.createDataFrame([(n, 0, n, len(t.split()) - 4) for n, t in texts.items()], "id long, tag int, node long, shingles int")
+    held = spark.createDataFrame([(n, 0, t.encode()) for n, t in texts.items() for _ in range(1 + 2 * (n % 4 == 0))], "id long, tag int, text binary")
+    repeated = real(held.groupBy("id", "tag").count().where("count > 1").select("id", "tag"), "repeated")
+    pairs = spark.createDataFrame([(0, 1), (2, 3), (4, 5), (6, 9)], "a long, b long")
+    linked = near_copies._linked(pairs, [], nodes, held, 5, 0.8, repeated)
+    assert sorted(tuple(r) for r in linked.collect()) == [(0, 1), (2, 3), (4, 5)]
+    assert kept == [("candidates", ["a", "b", "id_a", "tag_a", "id_b", "tag_b"])]
+    assert "LeftSemi" in linked._jdf.queryExecution().executedPlan().toString()

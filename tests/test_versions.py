@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from feedloom.operators import joins
 from feedloom.operators.joins import lookup, unique_by
 from feedloom.operators.versions import drop_dominated, update_from
 from feedloom.plans import inactivation
@@ -196,3 +197,33 @@ def test_lookup_spreads_a_hot_key(spark, how):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_settled_leaves_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {f for f in disk.getAllFiles().mkString(" ").split() if "shuffle_" in f and f.endswith(".data")}
+    before = held()
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key)
+    out = joins.settled(spark.range(1000).groupBy("id").count(), "grouped")
+    assert not held() - before
+    assert spark.conf.get(key) == was
+    assert out.count() == 1000
+
+
+@pytest.mark.parametrize("words", [1, 64, 1 << 20])
+def test_parted_keeps_every_row_with_a_key(spark, monkeypatch, words):
+    monkeypatch.setattr(joins, "SIFT_WORDS", words)
+    rows = spark.range(4000).selectExpr("if(id % 50 = 0, null, id) as a", "concat('t', id) as b", "cast(id as int) as c")
+    keys = joins.settled(spark.range(0, 4000, 9).selectExpr("id as k", "concat('t', id) as t", "id as wide"), "keys")
+    likely, others = joins.parted(rows, keys, {"a": "k", "b": "t", "c": "wide"})
+    assert likely.exceptAll(rows).count() == others.exceptAll(rows).count() == 0
+    got, rest = {r.b for r in likely.collect()}, {r.b for r in others.collect()}
+    assert not got & rest and len(got | rest) == 4000
+    wanted = {f"t{i}" for i in range(0, 4000, 9) if i % 50}
+    assert wanted <= got
+    if words > 64:
+        assert len(got) < 1.2 * len(wanted)
+    nothing = joins.sifted(rows, joins.settled(keys.limit(0), "none"), {"a": "k"})
+    assert nothing.count() == 0
+    assert joins.sifted(rows, keys, {"c": "wide"}).count() == 4000
