@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators.gates import branch
-from feedloom.operators.joins import lookup, settled
+from feedloom.operators.joins import lookup, settled, sifted
 
 START, END, INSIDE = "<", ">", "~"
 #: Insides longer than this are found by grams of this length. A shorter gram is in far more rows, and those grow with the rows.
@@ -73,9 +73,12 @@ def indexed_join(
     cut = cut.select(*rows.columns, F.col("__s.kind").alias("__kind"), F.col("__s.at").alias("__at"), F.substring(text, F.col("__s.at"), F.col("__s.size")).alias("__part"))
     # A gram that is in a text twice counts where it is first.
     cut = cut.where((F.col("__kind") != INSIDE) | (F.instr(F.col(text), F.col("__part")) == F.col("__at")))
-    equal = [cut["__kind"] == asks["__kind"], cut["__part"] == asks["__key"], *[cut[a] == asks[b] for a, b in pairs.items()]]
-    joined = cut.join(asks, reduce(lambda a, b: a & b, equal))
-    return joined.select(*[cut[c] for c in rows.columns], *[asks[c] for c in asks.columns if not c.startswith("__")])
+    # Most parts of a text are no request's key; they are dropped where they are cut and never shuffled.
+    equal = {"__kind": "__kind", "__part": "__key", **pairs}
+    cut = sifted(cut, asks, equal)
+    named = asks.withColumnsRenamed({c: f"__of_{c}" for c in asks.columns})
+    joined = cut.join(named, reduce(lambda a, b: a & b, [F.col(a) == F.col(f"__of_{b}") for a, b in equal.items()]))
+    return joined.select(*rows.columns, *[F.col(f"__of_{c}").alias(c) for c in asks.columns if not c.startswith("__")])
 
 
 def select_for(files: DataFrame, requests: DataFrame, path: str = "path", length: str = "length") -> DataFrame:
@@ -118,16 +121,18 @@ def containing(rows: DataFrame, text: str, asks: DataFrame, part: str, same: Map
 def status_gate_for(requests: DataFrame, audit: DataFrame, busy: str, free: str, statuses: Sequence[str] = ("started",), last_run: bool = False) -> DataFrame:
     """As :func:`gates.status_gate_like`, for a table of requests (``domainname``, ``load_text``) of any length.
 
-    Audit rows are counted per load, run and status before they meet the requests, so a load with many rows is few.
+    Audit rows are reduced to one per load before they meet the requests, and those of domains that nobody asks for are mostly dropped before that.
+    Of a load only its last run matters, and the last run that has one of the statuses: where these two are one run, that run is busy.
     """
-    hit = F.count_if(F.col("status").isin(*statuses)).alias("hits")
-    runs = audit.groupBy("domainname", "loadname", "run_id").agg(hit)
     asks = requests.select(F.col("domainname").alias("ask_domain"), "load_text").distinct()
-    met = containing(runs, "loadname", asks, "load_text", {"domainname": "ask_domain"})
+    domains = settled(asks.select("ask_domain").distinct(), "request-domains")
+    hit = F.col("status").isin(*statuses)
+    marks = {"__last": F.col("run_id"), "__hit": F.when(hit, F.col("run_id"))} if last_run else {"__hit": hit}
+    rows = sifted(audit, domains, {"domainname": "ask_domain"}).select("domainname", "loadname", *[c.alias(n) for n, c in marks.items()])
+    most = [F.max(n).alias(n) for n in marks]
+    loads = rows.groupBy("domainname", "loadname").agg(*most)
+    met = containing(loads, "loadname", asks, "load_text", {"domainname": "ask_domain"})
     keys = ["domainname", "load_text"]
-    if last_run:
-        met = met.groupBy(*keys, "run_id").agg(F.sum("hits").alias("hits"))
-        counts = met.groupBy(*keys).agg(F.max_by("hits", "run_id").alias("__n"))
-    else:
-        counts = met.groupBy(*keys).agg(F.sum("hits").alias("__n"))
-    return lookup(requests, counts, keys).withColumn("branch", branch(F.col("__n") > 0, busy, free)).drop("__n")
+    counts = met.groupBy(*keys).agg(*most)
+    busy_now = F.col("__hit") == F.col("__last") if last_run else F.col("__hit")
+    return lookup(requests, counts, keys).withColumn("branch", branch(busy_now, busy, free)).drop(*marks)

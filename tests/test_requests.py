@@ -110,6 +110,46 @@ def test_short_insides_meet_only_rows_that_have_them(spark):
     assert pairs.count() == pairs.where(F.contains("loadname", "load_text")).count() == expected
 
 
+def test_parts_that_no_request_asks_for_are_not_shuffled(spark):
+    """Rows are sifted where they are cut: as many go on as meet a request, and a few more."""
+    rows = spark.createDataFrame([("d" if i % 2 else "e", f"load_{i}") for i in range(3000)], "domain string, loadname string")
+    asks = spark.createDataFrame([("d", f"_{i}") for i in range(0, 3000, 7)], "ask_domain string, load_text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        pairs = requests.indexed_join(rows, "loadname", asks, [(requests.INSIDE, F.col("load_text"))], {"domain": "ask_domain"})
+        assert "LeftSemi" in plan(pairs) and "BroadcastHashJoin" in plan(pairs)
+        met = sum(f"_{a}" in f"load_{i}" for a in range(0, 3000, 7) for i in range(1, 3000, 2))
+        assert pairs.count() == met
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("last_run", [False, True])
+def test_status_gate_for_requests_with_ties_and_nulls(spark, last_run):
+    """The last run may be in several loads and rows, and any of them makes it busy; rows without a run are in none."""
+    audit = [
+        ("x", "load_1", 5, "completed"), ("x", "load_1", 5, "started"), ("x", "load_12", 5, "completed"), ("x", "load_2", 7, "started"),
+        ("x", "load_2", 8, None), ("x", "load_23", 8, "completed"), ("x", "load_3", None, "started"), ("x", "load_4", 1, "started"),
+        ("x", "load_4", None, "completed"), (None, "load_5", 1, "started"), ("x", None, 1, "started"),
+    ]
+    asks = [("x", t) for t in ("_1", "_12", "_2", "_23", "_3", "_4", "_5", "", "load", None)] + [(None, "_5"), ("y", "_1")]
+    df = spark.createDataFrame(audit, "domainname string, loadname string, run_id long, status string")
+    got = requests.status_gate_for(spark.createDataFrame(asks, "domainname string, load_text string"), df, "busy", "free", last_run=last_run)
+    busy = {"_1", "_4"} if last_run else {"_1", "_2", "_3", "_4", "load"}
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(repr((d, t, "busy" if d == "x" and t in busy else "free")) for d, t in asks)
+
+
+def test_status_gate_reduces_loads_before_they_meet_requests(spark, monkeypatch):
+    """However many runs a load has, one row of it is cut, and none of a domain that nobody asks for."""
+    met, containing = [], requests.containing
+    monkeypatch.setattr(requests, "containing", lambda rows, *a, **k: met.append(rows.count()) or containing(rows, *a, **k))
+    df = spark.range(1000).selectExpr("if(id < 500, 'x', 'z') as domainname", "concat('load_', id % 3) as loadname", "id as run_id", "'started' as status")
+    out = requests.status_gate_for(spark.createDataFrame([("x", "_1")], "domainname string, load_text string"), df, "b", "f", last_run=True)
+    assert [tuple(r) for r in out.collect()] == [("x", "_1", "b")]
+    assert met == [3]
+
+
 @pytest.mark.parametrize("ordered", [1, 7, 1000])
 def test_nth_by_ranges(spark, monkeypatch, ordered):
     rng = random.Random(ordered)
